@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES = ("secrets",)
+MODULES = ("secrets", "bpe")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
