@@ -115,12 +115,15 @@ IS_SPACE = np.zeros(256, dtype=bool)
 IS_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
 
-def words(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and ends of the words ``[^\\x20\\x09-\\x0D]+`` of all texts, and each text's first word (and one past)."""
+def words(buf: np.ndarray, offsets: np.ndarray, is_break: np.ndarray = IS_SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the words ``[^\\x20\\x09-\\x0D]+`` of all texts, and each text's first word (and one past).
+
+    Another table of breaking bytes gives other words.
+    """
     if not len(buf):
         none = np.zeros(0, np.int64)
         return none, none, np.zeros(len(offsets), np.int64)
-    inside = ~IS_SPACE[buf]
+    inside = ~is_break[buf]
     begins = inside.copy()
     begins[1:] &= ~inside[:-1]
     ends = inside.copy()

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES = ("secrets", "bpe", "quality", "language")
+MODULES = ("decontaminate", "language", "bpe", "quality", "secrets")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
