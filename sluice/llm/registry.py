@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES = ("decontaminate", "language", "bpe", "quality", "secrets")
+MODULES = ("decontaminate", "language", "bpe", "quality", "chat", "secrets")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
