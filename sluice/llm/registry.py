@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES = ("decontaminate", "language", "similar", "bpe", "quality", "chat", "lines", "secrets")
+MODULES = ("decontaminate", "suffix", "language", "similar", "bpe", "quality", "chat", "lines", "secrets")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
