@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES = ("decontaminate", "suffix", "language", "similar", "bpe", "quality", "chat", "lines", "secrets")
+MODULES = ("decontaminate", "suffix", "language", "similar", "bpe", "lm", "quality", "chat", "lines", "secrets")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -15,6 +15,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     for name in MODULES:
         module = importlib.import_module(f"sluice.llm.{name}")
         found[module.NAME] = module.query
+    found["pipeline"] = importlib.import_module("corpus_pipeline").run
     return found
 
 
