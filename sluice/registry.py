@@ -26,9 +26,18 @@ GROUP BY 1
 """
 
 
+def _plans() -> dict[str, tuple[Query, str | None]]:
+    from .plans import candidates, catalog, pages, reviews
+
+    found: dict[str, tuple[Query, str | None]] = {"review_latest_gate": (review_latest_gate, REVIEW_LATEST_GATE)}
+    for module in (reviews, catalog, candidates, pages):
+        found.update(module.QUERIES)
+    return found
+
+
 def queries() -> dict[str, Query]:
-    return {"review_latest_gate": review_latest_gate}
+    return {name: query for name, (query, _) in _plans().items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"review_latest_gate": REVIEW_LATEST_GATE}
+    return {name: sql for name, (_, sql) in _plans().items() if sql}
