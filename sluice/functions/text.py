@@ -11,6 +11,10 @@ def normal_name(c: Column) -> Column:
     return F.regexp_replace(F.coalesce(c, F.lit("")), r"[\s　]+", "")
 
 
+def strip(c: Column) -> Column:
+    return F.regexp_replace(c, r"^[\s　]+|[\s　]+$", "")
+
+
 def collapse(c: Column) -> Column:
     return F.trim(F.regexp_replace(c, r"[ \t\n\r\f\x0B]+", " "))
 
@@ -104,7 +108,7 @@ def option_texts(block: Column) -> Column:
     """Array of (key, text) of options A-E: text between consecutive markers `(A)` or `A.`, in label order."""
     marked = F.regexp_replace(block, r"(?m)(?:^|\s)\(?([A-E])[).．、]\s*", "\u0001$1\u0002")
     parts = F.slice(F.split(marked, "\u0001"), 2, 1000)
-    options = F.transform(parts, lambda p: F.struct(F.substring(p, 1, 1).alias("key"), F.trim(F.substring_index(p, "\u0002", -1)).alias("text")))
+    options = F.transform(parts, lambda p: F.struct(F.substring(p, 1, 1).alias("key"), strip(F.substring_index(p, "\u0002", -1)).alias("text")))
     return F.array_sort(options)
 
 
@@ -112,4 +116,4 @@ def question_blocks(markdown: Column) -> Column:
     """Array of (number, body): a question starts at a line's 1-3 digits with a mark; decimals start none."""
     marked = F.regexp_replace(markdown, r"(?m)^[ \t]*([0-9]{1,3})[.、．](?![0-9])[ \t]*", "\u0001$1\u0002")
     parts = F.slice(F.split(marked, "\u0001"), 2, 100000)
-    return F.transform(parts, lambda p: F.struct(F.substring_index(p, "\u0002", 1).cast("int").alias("number"), F.trim(F.substring_index(p, "\u0002", -1)).alias("body")))
+    return F.transform(parts, lambda p: F.struct(F.substring_index(p, "\u0002", 1).cast("int").alias("number"), strip(F.substring_index(p, "\u0002", -1)).alias("body")))
