@@ -2,7 +2,8 @@
 
 Each language has a probability for every vocabulary piece. The probability of a word is the sum over all
 ways to cut it into pieces of the product of their probabilities (forward algorithm); a text's score is
-the product over its words. Words are maximal runs of letters in lower case, as UTF-8 bytes; the last
+the product over its words. Words are maximal runs of letters (and of
+numerals other than digits, such as fractions) in lower case, as UTF-8 bytes; the last
 piece of a word comes from the pieces that end words. All single bytes are pieces, so every word has a
 segmentation. Words of over BLOCK bytes are scored in blocks of BLOCK bytes.
 
@@ -16,11 +17,11 @@ from __future__ import annotations
 
 import json
 import math
+import re
 from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
-import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,8 +33,8 @@ TRAINING = 250
 ROUNDS = 2
 BLOCK = 48
 SMOOTHING = 0.05
-REMEMBERED = 150_000
-LETTERS = regex.compile(r"\p{L}+")
+REMEMBERED = 500_000
+LETTERS = re.compile(r"[^\W\d_]+")
 
 
 class Pieces:
@@ -190,12 +191,10 @@ class Scorer:
 
     def predict(self, text: str | None) -> tuple[str, float]:
         found = text_words(text)
-        if not found or not self.languages:
+        if not self.languages or not any(map(str.isalpha, found)) and not any(map(str.isalpha, text or "")):
             return "und", 0.0
-        totals = [0.0] * len(self.languages)
-        for w, n in sorted(Counter(found).items()):
-            for i, x in enumerate(self.of(w)):
-                totals[i] += n * x
+        known, of = self.known, self.of
+        totals = [sum(scores) for scores in zip(*[known.get(w) or of(w) for w in found], strict=True)]
         best = max(range(len(totals)), key=lambda i: (totals[i], -i))
         return self.languages[best], 1.0 / sum(math.exp(max(-700.0, t - totals[best])) for t in totals)
 
