@@ -32,9 +32,9 @@ from .common import LOWER_VALUE, Prefix, chunks, release, stored, table, words
 NAME = "op6_lm_scoring"
 SAMPLE = 1500
 SIZE = 16
-CLASSES = 64
+CLASSES = 128
 STRIDE = 16
-STEPS = 500
+STEPS = 1500
 BLOCK_BYTES = 8 << 20
 END = 50256
 VOCABULARY = 50257
@@ -267,7 +267,7 @@ def classes_by_neighbours(ids: np.ndarray, rng: np.random.Generator, frequent: i
     weight = np.sqrt(counts[seen])
     center = z[rng.choice(len(seen), CLASSES, replace=False, p=weight / weight.sum())]
     for _ in range(12):
-        near = ((z[:, None] - center[None]) ** 2).sum(-1).argmin(1)
+        near = ((center**2).sum(1) - 2 * z @ center.T).argmin(1)
         for c in range(CLASSES):
             if (near == c).any():
                 center[c] = np.average(z[near == c], axis=0, weights=weight[near == c])
