@@ -32,7 +32,17 @@ def stored(df: DataFrame) -> DataFrame:
     """Cut lineage: write df as Parquet in the shared folder and read it back."""
     path = f"{work_dir(df.sparkSession)}/sluice-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete stored results that nothing will read again, and let shuffle files go."""
+    for df in frames:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.stored_at)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+    release(frames[0].sparkSession)
 
 
 def release(spark: SparkSession) -> None:

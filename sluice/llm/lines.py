@@ -10,8 +10,9 @@ null; an empty text is one line without words.
 Every line of n words stands for itself and for its n variants with one word deleted. Equal variants at the
 same place and length are substitutions; a variant equal to a whole line is an insertion or deletion. Two
 lines one edit apart share their first or their last half, so only lines that share a half with another
-line emit variants, and only for places outside the shared half. Variant keys come from prefix sums of word
-hashes modulo two primes, so all n take time in proportion to n. Matches found by key are verified word by
+line emit variants, and only for places outside the shared half. Variant keys are hashes
+of word hashes; very long lines take them from prefix sums modulo two primes, so that all n take time in
+proportion to n. Matches found by key are verified word by
 word. Groups are reduced to their earliest line before anything is joined back: no pairs within a group.
 """
 
@@ -20,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import release, stored, table
+from .common import discard, release, stored, table
 
 NAME = "op9_line_dedup"
 LEAST = 8
@@ -28,7 +29,13 @@ PRIMES = (2147483647, 2147483629)
 BASES = (1103515245, 1664525017)
 BLOCK = 256
 
-SPACE = r"[\x20\x09-\x0D]+"
+#: Lines of up to so many words hash each variant on its own (short arrays of word hashes); longer ones by prefix sums.
+DIRECT = 4096
+
+
+def line_words(line: Column) -> Column:
+    """Words in lower case; a line holds no line feed."""
+    return F.array_remove(F.split(F.translate(F.lower(line), "\t\x0b\x0c\r", "    "), " "), "")
 
 
 def row_keys(text: Column) -> list[Column]:
@@ -38,8 +45,7 @@ def row_keys(text: Column) -> list[Column]:
 def line_rows(docs: DataFrame) -> DataFrame:
     """k1, k2, doc_id, i, words of every line with words."""
     rows = docs.select("doc_id", *row_keys(F.col("text")), F.posexplode(F.split("text", "\n", -1)).alias("i", "line"))
-    norm = F.trim(F.regexp_replace(F.lower("line"), SPACE, " "))
-    return rows.select("doc_id", "k1", "k2", "i", norm.alias("norm")).filter("norm <> ''").withColumn("words", F.split("norm", " "))
+    return rows.select("doc_id", "k1", "k2", "i", line_words(F.col("line")).alias("words")).filter(F.size("words") > 0)
 
 
 def half_keys(words: Column, n: Column) -> Column:
@@ -75,15 +81,29 @@ def prefix_sums(words: Column, prime: int, base: int) -> Column:
     return F.aggregate(starts, first, block, lambda s: F.flatten(s["out"]))
 
 
-def variants(lines: DataFrame) -> DataFrame:
-    """h, n, i, key for each place i in a line's open half, and the line itself as i = -1."""
-    sums = lines
-    for x, (prime, base) in enumerate(zip(PRIMES, BASES, strict=True)):
-        sums = sums.withColumn(f"p{x}", prefix_sums(F.col("words"), prime, base))
+def places() -> Column:
+    """Places of the words to delete: those in a line's open half; and -1, for the whole line."""
     middle = F.floor(F.col("n") / 2).cast("int")
     low = F.when(F.col("tail_open") & ~F.col("head_open"), middle - 1).otherwise(0)
     high = F.when(F.col("head_open") & ~F.col("tail_open"), middle + 1).otherwise(F.col("n") - 1)
-    places = F.concat(F.array(F.lit(-1)), F.sequence(low, high))
+    return F.concat(F.array(F.lit(-1)), F.sequence(low, high))
+
+
+def short_variants(lines: DataFrame) -> DataFrame:
+    hashed = lines.withColumn("w", F.transform("words", lambda x: F.xxhash64(x)))
+
+    def key(i: Column) -> Column:
+        w, n = F.col("w"), F.col("n")
+        cut = F.xxhash64(n - 1, F.concat(F.slice(w, F.lit(1), i), F.slice(w, i + 2, n)))
+        return F.when(i < 0, F.xxhash64(n, w)).otherwise(cut)
+
+    return hashed.select("h", "h2", "n", F.inline(F.transform(places(), lambda i: F.struct(i.alias("i"), key(i).alias("key")))))
+
+
+def long_variants(lines: DataFrame) -> DataFrame:
+    sums = lines
+    for x, (prime, base) in enumerate(zip(PRIMES, BASES, strict=True)):
+        sums = sums.withColumn(f"p{x}", prefix_sums(F.col("words"), prime, base))
 
     def value(x: int, i: Column) -> Column:
         prime, p = PRIMES[x], F.col(f"p{x}")
@@ -92,16 +112,26 @@ def variants(lines: DataFrame) -> DataFrame:
         without = F.pmod(F.get(p, i) + F.pmod(total - F.get(p, i + 1), F.lit(prime)) * F.lit(back), F.lit(prime))
         return F.when(i < 0, total).otherwise(without)
 
-    rows = F.transform(places, lambda i: F.struct(i.alias("i"), F.xxhash64(value(0, i), value(1, i), F.col("n") - F.when(i < 0, 0).otherwise(1)).alias("key")))
+    rows = F.transform(places(), lambda i: F.struct(i.alias("i"), F.xxhash64(F.lit(1), value(0, i), value(1, i), F.col("n") - F.when(i < 0, 0).otherwise(1)).alias("key")))
     return sums.select("h", "h2", "n", F.inline(rows))
 
 
+def variants(lines: DataFrame, direct: int = DIRECT) -> DataFrame:
+    """h, n, i, key for each place i in a line's open half, and the line itself as i = -1.
+
+    Lines of just `direct` words are whole lines of both kinds, so that longer ones can meet them.
+    """
+    spread = lines.repartition("h", "h2")
+    beyond = long_variants(spread.filter(F.col("n") >= direct)).filter((F.col("n") > direct) | (F.col("i") < 0))
+    return short_variants(spread.filter(F.col("n") <= direct)).unionByName(beyond)
+
+
 def verdicts(docs: DataFrame) -> DataFrame:
     """k1, k2, i and whether the line is kept, for every line with words."""
     spark = docs.sparkSession
     n = F.size("words")
     plain = line_rows(docs).select(
-        "doc_id", "k1", "k2", "i", F.xxhash64("norm").alias("h"), F.xxhash64(F.lit(3), F.col("norm")).alias("h2"), n.alias("n"), half_keys(F.col("words"), n).alias("halves")
+        "doc_id", "k1", "k2", "i", F.xxhash64("words").alias("h"), F.xxhash64(F.lit(3), F.col("words")).alias("h2"), n.alias("n"), half_keys(F.col("words"), n).alias("halves")
     )
     position = F.struct("doc_id", "k1", "i", "k2")
     distinct = stored(plain.groupBy("h", "h2").agg(F.min(F.struct(position.alias("at"), F.col("n"), F.col("halves"))).alias("x")).select("h", "h2", "x.*"))
@@ -114,7 +144,7 @@ def verdicts(docs: DataFrame) -> DataFrame:
     wanted = live.groupBy(F.col("at.k1").alias("k1"), F.col("at.k2").alias("k2")).agg(F.collect_list(F.struct("at.i", "h", "h2", "at", "n", "tail_open", "head_open")).alias("lines"))  # lines of one row
     texts = docs.select(*row_keys(F.col("text")), "text").join(wanted, ["k1", "k2"])
     cut = texts.select(F.split("text", "\n", -1).alias("all"), F.explode("lines").alias("x")).select("x.*", F.get("all", F.col("x.i")).alias("line"))
-    open_lines = stored(cut.select("h", "h2", "at", "n", "tail_open", "head_open", F.split(F.trim(F.regexp_replace(F.lower("line"), SPACE, " ")), " ").alias("words")).dropDuplicates(["h", "h2"]))
+    open_lines = stored(cut.select("h", "h2", "at", "n", "tail_open", "head_open", line_words(F.col("line")).alias("words")).dropDuplicates(["h", "h2"]))
     release(spark)
 
     v = stored(variants(open_lines))
@@ -139,7 +169,7 @@ def verdicts(docs: DataFrame) -> DataFrame:
     cut_words = F.concat(F.slice(long_words, F.lit(1), F.col("gap")), F.slice(long_words, F.col("gap") + 2, F.size(long_words)))
     one = F.size(F.filter(F.zip_with("words", "others", lambda a, b: ~a.eqNullSafe(b)), lambda x: x)) == 1
     near = stored(checked.filter(F.when(F.col("gap").isNull(), one).otherwise(cut_words == short_words)).select("h", "h2").distinct())
-    release(spark)
+    discard(v, groups, open_lines)
 
     first = distinct.select("h", "h2", F.col("at").alias("first")).join(near.withColumn("near", F.lit(True)), ["h", "h2"], "left")
     met_first = plain.select("h", "h2", "k1", "k2", "i").join(first, ["h", "h2"])
@@ -153,16 +183,18 @@ def dedup(docs: DataFrame) -> DataFrame:
     dropped = judged.groupBy("k1", "k2").agg(F.sort_array(F.collect_list("i")).alias("gone"))  # lines of one row
     keyed = docs.select("*", *(c.alias(f"__{x}") for c, x in zip(row_keys(F.col("text")), ("k1", "k2"), strict=True)))
     joined = keyed.join(dropped.select(F.col("k1").alias("__k1"), F.col("k2").alias("__k2"), F.col("gone").alias("__gone")), ["__k1", "__k2"], "left").drop("__k1", "__k2")
-    lines = F.split("text", "\n", -1)
+    joined = joined.withColumn("__lines", F.when(F.col("__gone").isNotNull(), F.split("text", "\n", -1)))
+    lines = F.col("__lines")
     # lines between two dropped ones are one slice each: linear in lines and drops
     edges = F.concat(F.array(F.lit(-1)), F.col("__gone"), F.array(F.size(lines)))
-    slices = F.flatten(F.transform(F.sequence(F.lit(1), F.size("__gone") + 1), lambda j: F.slice(lines, F.get(edges, j - 1) + 2, F.get(edges, j) - F.get(edges, j - 1) - 1)))
-    text = F.when(F.col("__gone").isNull(), F.col("text")).otherwise(F.array_join(slices, "\n"))
-    count = F.coalesce(F.size(F.col("__gone")), F.lit(0))
+    joined = joined.withColumn("__edges", edges)
+    spans = F.transform(F.sequence(F.lit(1), F.size("__gone") + 1), lambda j: F.slice(lines, F.get("__edges", j - 1) + 2, F.get("__edges", j) - F.get("__edges", j - 1) - 1))
+    text = F.when(F.col("__gone").isNull(), F.col("text")).otherwise(F.array_join(F.flatten(spans), "\n"))
+    breaks = F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1
     return joined.select(
         *(text.alias(c) if c == "text" else F.col(c) for c in docs.columns if c not in ("n_lines", "n_dropped")),
-        F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).cast("long").alias("n_lines"),
-        F.when(F.col("__gone").isNull(), 0).otherwise(count).cast("long").alias("n_dropped"),
+        F.coalesce(breaks, F.lit(0)).cast("long").alias("n_lines"),
+        F.when(F.col("__gone").isNull(), 0).otherwise(F.size("__gone")).cast("long").alias("n_dropped"),
     )
 
 
