@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Prefix, chunks, mix, release, stored, table
+from .common import Prefix, chunks, discard, mix, release, stored, table
 
 NAME = "op2_suffix_dedup"
 LENGTH = 200
@@ -98,12 +98,12 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, q: int = Q) -> DataFra
     often = stored(found.groupBy("gram").agg(F.count(F.lit(1)).alias("times")).filter("times > 1").select("gram"))
     release(spark)
     live = stored(found.join(often.hint("merge"), "gram", "left_semi"))
-    release(spark)
+    discard(found, often)
     same = ["gram", "context", "low", "high"]
     wide = live.groupBy(*same).agg(F.count(F.lit(1)).alias("times")).filter("times > 1").select(*same, F.lit(True).alias("whole"))
     first = stored(live.join(wide.hint("merge"), same, "left"))
-    release(spark)
-    spans = first.filter("whole").select("k1", "k2", (F.col("a") - F.col("high")).alias("s"), (F.col("a") - F.col("low") + length).alias("e"))
+    discard(live)
+    spans = stored(first.filter("whole").select("k1", "k2", (F.col("a") - F.col("high")).alias("s"), (F.col("a") - F.col("low") + length).alias("e")))
 
     # the contexts of what is open yet, and of one witness of each settled class in the same buckets
     still = first.filter("whole is null").select("k1", "k2", "gram", "a", "low", "high")
@@ -112,7 +112,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, q: int = Q) -> DataFra
     cut = rows.select("k1", "k2", "text").join(wanted, ["k1", "k2"]).select("k1", "k2", F.encode("text", "utf-8").alias("raw"), F.explode("open").alias("x"))
     context = F.substring("raw", F.col("x.a") - F.col("x.high") + 1, F.col("x.high") - F.col("x.low") + length)
     edges = stored(cut.select("k1", "k2", "x.*", context.alias("bytes")))
-    release(spark)
+    discard(first)
 
     def refine(step: int):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -146,23 +146,31 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, q: int = Q) -> DataFra
     todo = edges.withColumn("parents", F.array(F.struct(F.lit(0).alias("lo"), F.lit(width - 1).alias("hi"))))
     for step in level_ranges(width):
         parts = stored(todo.select("k1", "k2", "gram", "a", "low", "high", "bytes", "parents").mapInArrow(refine(step), "k1 long, k2 long, gram long, a int, lo int, hi int, core long, whole long"))
+        release(spark)
         cores = parts.groupBy("gram", "lo", "core").agg(F.count(F.lit(1)).alias("times")).filter("times > 1").select("gram", "lo", "core")
-        able = stored(parts.join(cores.hint("merge"), ["gram", "lo", "core"], "left_semi"))
+        able = parts.join(cores.hint("merge"), ["gram", "lo", "core"], "left_semi")
+        if step == 1:  # what one window has in common is the window
+            spans = spans.unionByName(stored(able.select("k1", "k2", (F.col("a") - F.col("hi")).alias("s"), (F.col("a") - F.col("lo") + length).alias("e"))))
+            discard(parts, edges)
+            break
+        able = stored(able)
+        discard(parts)
         wholes = able.filter("whole is not null").groupBy("gram", "lo", "whole").agg(F.count(F.lit(1)).alias("times")).filter("times > 1").select("gram", "lo", "whole", F.lit(True).alias("found"))
         settled = stored(able.join(wholes.hint("merge"), ["gram", "lo", "whole"], "left").select("k1", "k2", "gram", "a", "lo", "hi", "whole", "found"))
-        spans = spans.unionByName(settled.filter("found").select("k1", "k2", (F.col("a") - F.col("hi")).alias("s"), (F.col("a") - F.col("lo") + length).alias("e")))
+        discard(able)
+        spans = spans.unionByName(stored(settled.filter("found").select("k1", "k2", (F.col("a") - F.col("hi")).alias("s"), (F.col("a") - F.col("lo") + length).alias("e"))))
         still = settled.filter("found is null").select("k1", "k2", "gram", "a", "lo", "hi")
         open_nodes = still.select("gram", "lo").distinct().hint("merge")
         witness = settled.filter("found").join(open_nodes, ["gram", "lo"], "left_semi").groupBy("gram", "lo", "whole").agg(F.min(F.struct("k1", "k2", "a", "hi")).alias("x")).select("x.k1", "x.k2", "gram", "x.a", "lo", "x.hi")
-        below = still.unionByName(witness).groupBy("k1", "k2", "a").agg(F.collect_set(F.struct("lo", "hi")).alias("parents"))  # ranges of one anchor
+        below = stored(still.unionByName(witness).groupBy("k1", "k2", "a").agg(F.collect_set(F.struct("lo", "hi")).alias("parents")))  # ranges of one anchor
+        discard(settled)
         todo = edges.join(below, ["k1", "k2", "a"])
-        release(spark)
-    return spans.distinct()
+    return spans
 
 
 def with_spans(docs: DataFrame, length: int = LENGTH, q: int = Q) -> DataFrame:
     """doc_id, text and its repeated spans (array of structs s, e; null if none) of every row."""
-    spans = repeated_spans(docs, length, q).groupBy("k1", "k2").agg(F.collect_list(F.struct("s", "e")).alias("spans"))  # of one text
+    spans = repeated_spans(docs, length, q).groupBy("k1", "k2").agg(F.collect_set(F.struct("s", "e")).alias("spans"))  # of one text
     return keyed_docs(docs).join(spans, ["k1", "k2"], "left").select("doc_id", "text", "spans")
 
 
