@@ -10,8 +10,8 @@ prefix are scanned; any two similar sets share a token in their prefixes, since
 (frequent tokens last). The boundary is the size where the summed cost of both ways is least.
 
 Lists are never expanded to all pairs at once. First every class is checked against one pivot of its lists
-and components are formed; then only classes of different components that share a list are paired, filtered
-by size and by a parity sketch (the number of differing bits never exceeds the size of the symmetric
+and components are formed; then only classes of different components that share a list are paired, the
+likeliest pair of each two components before all others, filtered by size and by a parity sketch (the number of differing bits never exceeds the size of the symmetric
 difference), and verified on their texts. Pairs within a component need no check: the result is components.
 
 Null, empty and blank texts have empty sets, which link with nothing. Repeated rows each get their row; a
@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import LOWER_VALUE, Prefix, chunks, inside, mix, release, rolling, stored, table, words
+from .common import LOWER_VALUE, Prefix, chunks, discard, inside, mix, release, rolling, stored, table, words
 from .graph import components
 
 NAME = "op4_jaccard_join"
@@ -105,9 +105,9 @@ SKETCH = [f"s{i}" for i in range(BITS)]
 
 
 def described(docs: DataFrame) -> DataFrame:
-    """One row for each document (doc_id, k1, k2, c, n, sketch), and rows (token, times) of tokens frequent in a batch."""
+    """One row for each document (doc_id, k1, k2, c, n, sketch, tokens of a small set), and rows (token, times) of tokens frequent in a batch."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    names = ["doc_id", "k1", "k2", "c", "n", *SKETCH, "token", "times"]
+    names = ["doc_id", "k1", "k2", "c", "n", *SKETCH, "small", "token", "times"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -116,16 +116,20 @@ def described(docs: DataFrame) -> DataFrame:
                 tokens, firsts = shingle_sets(buf, offsets)
                 seen.append(tokens)
                 rows = [*(c.slice(a, b - a) for c in batch.columns[:3]), pa.array(class_ids(tokens, firsts)), pa.array(np.diff(firsts)), *map(pa.array, sketches(tokens, firsts))]
+                sizes = np.diff(firsts)
+                few = sizes <= HEAVIEST
+                small = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(np.where(few, sizes, 0))]).astype(np.int32), pa.array(tokens[np.repeat(few, sizes)].view(np.int64)))
                 none = pa.nulls(b - a, pa.int64())
-                yield pa.RecordBatch.from_arrays([*rows, none, none], names)
+                yield pa.RecordBatch.from_arrays([*rows, small, none, none], names)
             values, times = np.unique(np.concatenate(seen) if seen else np.zeros(0, np.uint64), return_counts=True)
             often = times >= HOT_IN_BATCH
             values, times = values[often].view(np.int64), times[often]
             ids = pa.nulls(len(values), batch.schema.field(0).type)
-            yield pa.RecordBatch.from_arrays([ids, *(pa.nulls(len(values), pa.int64()) for _ in names[1:-2]), pa.array(values), pa.array(times.astype(np.int64))], names)
+            none = [pa.nulls(len(values), pa.int64()) for _ in names[1:-3]]
+            yield pa.RecordBatch.from_arrays([ids, *none, pa.nulls(len(values), pa.list_(pa.int64())), pa.array(values), pa.array(times.astype(np.int64))], names)
 
     rows = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("k1"), F.xxhash64(F.lit(5), "text", "doc_id").alias("k2"), "text")
-    return rows.mapInArrow(run, f"doc_id {kind}, " + ", ".join(f"{x} long" for x in names[1:]))
+    return rows.mapInArrow(run, f"doc_id {kind}, " + ", ".join(f"{x} {'array<long>' if x == 'small' else 'long'}" for x in names[1:]))
 
 
 def boundary(sizes: dict[int, int]) -> int:
@@ -139,10 +143,10 @@ def boundary(sizes: dict[int, int]) -> int:
     return min(range(LIGHTEST, HEAVIEST + 1), key=cost)
 
 
-def keyed(docs: DataFrame, most: int, hot: np.ndarray) -> DataFrame:
-    """Rows (light, token, c, n, low): prefix tokens of large sets, and subset keys of small ones.
+def prefixes(docs: DataFrame, most: int, hot: np.ndarray) -> DataFrame:
+    """Rows (token, c, n): the prefix tokens of large sets, and of small ones that large ones may link with.
 
-    hot: frequent tokens, from the least frequent. low: the class has the smaller size of the key's pair.
+    hot: frequent tokens, from the least frequent.
     """
     order = np.argsort(hot)
     shared = docs.sparkSession.sparkContext.broadcast((hot[order], (order + 1).astype(np.int64)))  # HOT_TOKENS at most
@@ -165,19 +169,29 @@ def keyed(docs: DataFrame, most: int, hot: np.ndarray) -> DataFrame:
                 heavy = keep & ((sizes > most) | (100 * sizes >= PERCENT * (most + 1)))
                 chosen = (place < prefix_length(sizes)[owner]) & heavy[owner]
                 out_token, out_owner = tokens[turn][chosen], owner[chosen]
-                yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(out_token), bool)), pa.array(out_token.view(np.int64)), pa.array(ids[out_owner]), pa.array(sizes[out_owner]), pa.array(np.zeros(len(out_token), bool))], ["light", "token", "c", "n", "low"])
-                rows = []
-                for d in np.flatnonzero(keep & (sizes > 0) & (sizes <= most)):
-                    a, mine = int(sizes[d]), tokens[firsts[d] : firsts[d + 1]].tolist()
-                    for b in partners(a):
-                        if b <= most:
-                            tag = min(a, b) << 8 | max(a, b)
-                            for subset in combinations(mine, needed(a, b)):
-                                rows.append((int(rolling(np.array([tag, *subset], np.uint64), len(subset) + 1)[0]), int(ids[d]), a, a <= b))
-                if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(rows), bool)), pa.array(np.array([r[0] for r in rows], np.uint64).view(np.int64)), pa.array([r[1] for r in rows]), pa.array([r[2] for r in rows]), pa.array([r[3] for r in rows])], ["light", "token", "c", "n", "low"])
+                yield pa.RecordBatch.from_arrays([pa.array(out_token.view(np.int64)), pa.array(ids[out_owner]), pa.array(sizes[out_owner])], ["token", "c", "n"])
 
-    return docs.select("text").mapInArrow(run, "light boolean, token long, c long, n long, low boolean")
+    return docs.select("text").mapInArrow(run, "token long, c long, n long")
+
+
+def subset_keys(classes: DataFrame, most: int) -> DataFrame:
+    """Rows (key, c, low) for every subset that a small class (c, n, small) may share with a partner of some size.
+
+    low: the class has the smaller size of the key's pair of sizes.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for c, a, mine in zip(*(x.to_pylist() for x in batch.columns), strict=True):
+                for b in partners(a):
+                    if b <= most:
+                        tag = min(a, b) << 8 | max(a, b)
+                        for subset in combinations([x & (1 << 64) - 1 for x in mine], needed(a, b)):
+                            rows.append((int(rolling(np.array([tag, *subset], np.uint64), len(subset) + 1).view(np.int64)[0]), c, a <= b))
+            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.bool_())], ["key", "c", "low"])
+
+    return classes.filter(F.col("n").between(1, most)).select("c", "n", "small").mapInArrow(run, "key long, c long, low boolean")
 
 
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -218,39 +232,64 @@ def similar_components(docs: DataFrame) -> DataFrame:
     tops = facts.filter("token is not null").groupBy("token").agg(F.sum("times").alias("times")).orderBy(F.desc("times"), "token").limit(HOT_TOKENS).collect()
     hot = np.array([r.token for r in reversed(tops)], np.int64).view(np.uint64)
     sizes = {r.n: r["count"] for r in rows.filter(f"n between 1 and {2 * HEAVIEST}").groupBy("n").count().collect()}
-    keys = keyed(docs, boundary(sizes), hot)
+    most = boundary(sizes)
     classes = rows.filter("n > 0").groupBy("c").agg(F.min("n").alias("n"), *(F.min(s).alias(s) for s in SKETCH), F.min(F.struct("k1", "k2")).alias("k"))
 
     # heavy: members of lists with at least two classes, and the list's pivot
-    heavy = keys.filter("not light")
+    heavy = prefixes(docs, most, hot)
     pivots = stored(heavy.groupBy("token").agg(F.min("c").alias("p"), F.max("c").alias("last")).filter("p <> last").select("token", "p"))
     release(spark)
     members = stored(heavy.join(pivots.hint("merge"), "token").select("token", "c", "n", "p"))
-    release(spark)
+    discard(pivots)
     # light: classes that share a subset key link with the key's first class of the smaller size
-    light = keys.filter("light")
-    lows = light.filter("low").groupBy("token").agg(F.min("c").alias("p"))
-    light_links = stored(light.join(lows, "token").filter("c <> p").select(F.col("c").alias("a"), F.col("p").alias("b")).distinct())
+    light = subset_keys(rows.select("c", "n", "small").filter(F.col("n").between(1, most)).dropDuplicates(["c"]), most)
+    lows = light.filter("low").groupBy("key").agg(F.min("c").alias("p"))
+    light_links = stored(light.join(lows.hint("merge"), "key").filter("c <> p").select(F.col("c").alias("a"), F.col("p").alias("b")).distinct())
 
-    near = stored(classes.join(members.select("c").distinct(), "c", "left_semi"))
-    first = likely(members.filter("c <> p").select(F.col("c").alias("a"), F.col("p").alias("b")).distinct(), near)
-    first = first.groupBy("a").agg(F.min(F.struct("bits", "b")).alias("x")).select("a", "x.b")
-    texts = stored(docs.select(F.xxhash64("doc_id", "text").alias("k1"), F.xxhash64(F.lit(5), "text", "doc_id").alias("k2"), "text").join(near.select("c", "k.k1", "k.k2"), ["k1", "k2"]).select("c", "text").dropDuplicates(["c"]))
+    near = stored(classes.join(members.select("c").distinct().hint("merge"), "c", "left_semi"))
     release(spark)
-    links = stored(verified(first, texts)).unionByName(light_links)
+
+    def check(pairs: DataFrame) -> DataFrame:
+        """Verified pairs; only texts of classes in pairs are fetched."""
+        pairs = stored(pairs.select("a", "b"))
+        wanted = near.select("c", "k.k1", "k.k2").join(pairs.select(F.col("a").alias("c")).unionByName(pairs.select(F.col("b").alias("c"))).distinct().hint("merge"), "c", "left_semi")
+        keyed = docs.select(F.xxhash64("doc_id", "text").alias("k1"), F.xxhash64(F.lit(5), "text", "doc_id").alias("k2"), "text")
+        texts = stored(keyed.join(wanted.hint("merge"), ["k1", "k2"]).select("c", "text").dropDuplicates(["c"]))
+        release(spark)
+        found = stored(verified(pairs, texts))
+        discard(pairs, texts)
+        return found
+
+    first = likely(members.filter("c <> p").select(F.col("c").alias("a"), F.col("p").alias("b")).distinct(), near)
+    links = check(first.groupBy("a").agg(F.min(F.struct("bits", "b")).alias("x")).select("a", "x.b")).unionByName(light_links)
     joined = components(links)
 
-    # second round: classes of different components that share a list
+    # second round: classes of different components that share a list, where size and half the sketch allow it
     labelled = stored(members.select("token", "c", "n").distinct().join(joined.select(F.col("node").alias("c"), "root"), "c", "left").withColumn("root", F.coalesce("root", "c")))
+    discard(members)
     mixed = labelled.groupBy("token").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y").select("token")
-    open_lists = labelled.join(mixed, "token", "left_semi")
+    half = SKETCH[: BITS // 2]
+    open_lists = labelled.join(mixed.hint("merge"), "token", "left_semi").join(near.select("c", *half).hint("merge"), "c")
     one, two = open_lists.alias("l"), open_lists.alias("r")
     fits = 100 * F.least("l.n", "r.n") >= PERCENT * F.greatest("l.n", "r.n")
+    apart = sum((F.bit_count(F.col(f"l.{x}").bitwiseXOR(F.col(f"r.{x}"))) for x in half), F.lit(0))
+    fits = fits & (apart * (100 + PERCENT) <= (F.col("l.n") + F.col("r.n")) * (100 - PERCENT))
     across = one.join(two, (F.col("l.token") == F.col("r.token")) & (F.col("l.root") < F.col("r.root")) & fits)
-    pairs = across.select(F.least("l.c", "r.c").alias("a"), F.greatest("l.c", "r.c").alias("b")).distinct()
-    more = stored(verified(likely(pairs, near), texts))
-    release(spark)
-    final = components(links.unionByName(more))
+    pairs = stored(likely(across.select(F.least("l.c", "r.c").alias("a"), F.greatest("l.c", "r.c").alias("b")).distinct(), near))
+    discard(labelled)
+
+    def apart_in(found: DataFrame) -> DataFrame:
+        """The pairs whose classes are in different components, with both roots."""
+        root = lambda side: found.select(F.col("node").alias(side), F.col("root").alias(f"r{side}"))
+        named = pairs.join(root("a"), "a", "left").join(root("b"), "b", "left").select("a", "b", "bits", F.coalesce("ra", "a").alias("ra"), F.coalesce("rb", "b").alias("rb"))
+        return named.filter("ra <> rb")
+
+    # the likeliest pair of each two components merges most; then every pair that is still apart
+    likeliest = apart_in(joined).groupBy(F.least("ra", "rb"), F.greatest("ra", "rb")).agg(F.min(F.struct("bits", "a", "b")).alias("x")).select("x.a", "x.b")
+    links = links.unionByName(check(likeliest))
+    links = links.unionByName(check(apart_in(components(links)).select("a", "b")))
+    discard(pairs, near)
+    final = components(links)
 
     of = rows.select("doc_id", "k1", "k2", "c", "n").join(final.select(F.col("node").alias("c"), "root"), "c", "left").withColumn("root", F.coalesce("root", "c"))
     least = of.filter("n > 0").groupBy("root").agg(F.min("doc_id").alias("least"))
