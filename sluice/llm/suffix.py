@@ -107,8 +107,9 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, q: int = Q) -> DataFra
 
     # the contexts of what is open yet, and of one witness of each settled class in the same buckets
     still = first.filter("whole is null").select("k1", "k2", "gram", "a", "low", "high")
-    witness = first.filter("whole").join(still.select("gram").distinct().hint("merge"), "gram", "left_semi").groupBy(*same).agg(F.min(F.struct("k1", "k2", "a")).alias("x")).select("x.k1", "x.k2", "gram", "x.a", "low", "high")
-    wanted = still.unionByName(witness).groupBy("k1", "k2").agg(F.collect_set(F.struct("gram", "a", "low", "high")).alias("open"))  # of one text
+    witness = first.filter("whole").groupBy(*same).agg(F.min(F.struct("k1", "k2", "a")).alias("x")).select("x.k1", "x.k2", "gram", "x.a", "low", "high")
+    witness = witness.join(still.select("gram").distinct().hint("merge"), "gram", "left_semi")  # classes, not the rows of a hot gram
+    wanted = still.unionByName(witness.select(*still.columns)).groupBy("k1", "k2").agg(F.collect_set(F.struct("gram", "a", "low", "high")).alias("open"))  # of one text
     cut = rows.select("k1", "k2", "text").join(wanted, ["k1", "k2"]).select("k1", "k2", F.encode("text", "utf-8").alias("raw"), F.explode("open").alias("x"))
     context = F.substring("raw", F.col("x.a") - F.col("x.high") + 1, F.col("x.high") - F.col("x.low") + length)
     edges = stored(cut.select("k1", "k2", "x.*", context.alias("bytes")))
@@ -161,8 +162,9 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, q: int = Q) -> DataFra
         spans = spans.unionByName(stored(settled.filter("found").select("k1", "k2", (F.col("a") - F.col("hi")).alias("s"), (F.col("a") - F.col("lo") + length).alias("e"))))
         still = settled.filter("found is null").select("k1", "k2", "gram", "a", "lo", "hi")
         open_nodes = still.select("gram", "lo").distinct().hint("merge")
-        witness = settled.filter("found").join(open_nodes, ["gram", "lo"], "left_semi").groupBy("gram", "lo", "whole").agg(F.min(F.struct("k1", "k2", "a", "hi")).alias("x")).select("x.k1", "x.k2", "gram", "x.a", "lo", "x.hi")
-        below = stored(still.unionByName(witness).groupBy("k1", "k2", "a").agg(F.collect_set(F.struct("lo", "hi")).alias("parents")))  # ranges of one anchor
+        witness = settled.filter("found").groupBy("gram", "lo", "whole").agg(F.min(F.struct("k1", "k2", "a", "hi")).alias("x")).select("x.k1", "x.k2", "gram", "x.a", "lo", "x.hi")
+        witness = witness.join(open_nodes, ["gram", "lo"], "left_semi")
+        below = stored(still.unionByName(witness.select(*still.columns)).groupBy("k1", "k2", "a").agg(F.collect_set(F.struct("lo", "hi")).alias("parents")))  # ranges of one anchor
         discard(settled)
         todo = edges.join(below, ["k1", "k2", "a"])
     return spans
