@@ -49,3 +49,28 @@ def test_verdicts(spark):
     assert sum(got[i].kept for i in range(60)) >= 58
     assert all(r.kept or r.base_failed for r in quality.judge(docs, labels.filter(F.lit(False))).collect())
     assert quality.judge(docs.limit(0), labels).collect() == []
+
+
+def test_threshold_weighs_toxic_rows(spark):
+    rng = np.random.default_rng(3)
+    word = np.array([f"w{i}" for i in range(400)])
+    text = lambda n, slurs: " ".join(rng.permutation([*rng.choice(word, n - slurs), *rng.choice(["idiot", "moron", "scum"], slurs)]))
+    rows = [(i, text(120, 0)) for i in range(600)] + [(1000 + i, text(120, 6)) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(300)] + [(1000 + i, 1, 1) for i in range(150)], "doc_id long, quality int, toxic int")
+    judged = quality.judge(docs, labels).cache()
+    kept = {r.doc_id for r in judged.filter("kept").collect()}
+    share = lambda ids: sum(i in kept for i in ids) / len(ids)
+    assert share(range(1000, 1150)) < 0.1 and share(range(1150, 1300)) < 0.1
+    # labelled and unlabelled documents of one kind fare alike: no document vouches for itself
+    assert share(range(300)) > 0.85 and abs(share(range(300)) - share(range(300, 600))) < 0.1
+    found = {r.label: r for r in quality.kept_of_labels(judged, labels).collect()}
+    assert (found["trusted"].n, found["toxic"].n) == (300, 150)
+
+
+def test_threshold_is_the_least_sum_of_both_errors(spark):
+    rows = [(x / 10, True, False) for x in (1, 5, 6, 7, 8)] + [(x / 10, False, True) for x in (0, 2, 3, 6)] + [(9.0, False, False)]
+    passed = spark.createDataFrame(rows, "score double, trusted boolean, toxic boolean")
+    assert 0.3 < quality.threshold_of(passed) <= 0.5
+    assert quality.threshold_of(passed.filter("not toxic")) <= 0.1
+    assert quality.threshold_of(passed.filter("not trusted")) is None
