@@ -66,8 +66,10 @@ def bracket_balance(c: Column, opening: str = "(", closing: str = ")") -> Column
 def common_prefix(a: Column, b: Column) -> Column:
     """Length of the common prefix, 0 if either is empty."""
     n = F.least(F.length(a), F.length(b))
-    same = F.filter(F.sequence(F.lit(1), n), lambda i: F.substring(a, F.lit(1), i) == F.substring(b, F.lit(1), i))
-    return F.when(n > 0, F.size(same)).otherwise(0).cast("long")
+    steps = F.array(*(F.lit(1 << k) for k in reversed(range(30))))  # the greatest equal length, bit by bit
+    part = lambda x, at, step: F.substring(x, at + 1, step)
+    same = F.aggregate(steps, F.lit(0), lambda at, step: F.when((at + step <= n) & (part(a, at, step) == part(b, at, step)), at + step).otherwise(at))
+    return F.when(n > 0, same).otherwise(0).cast("long")
 
 
 def group_ref(text: Column, number: Column) -> Column:

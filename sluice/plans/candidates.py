@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators import relational as R
+from ..operators import review as V
 from ..operators import rules as G
 from .common import REVIEW_SQL, review_events, table
 
@@ -141,6 +142,12 @@ def reconcile_prefix(spark, d):
     return best.select("doc_id", "score", F.when(tie, "ambiguous").otherwise("matched").alias("status"), "best")
 
 
+def reconcile_documents(spark, d):
+    """Every document against the others of its source and language by whole texts; unmatched ones too."""
+    docs = table(spark, d, "documents").select("doc_id", F.concat("lang", F.lit("|"), "source").alias("folder"), F.col("text").alias("name"))
+    return V.reconciled(docs, docs, key="doc_id").select(F.col("wanted").alias("doc_id"), "score", "status", F.col("found").alias("best"))
+
+
 QUERIES = {
     "issue_rules": (issue_rules, f"WITH {ISSUES_SQL} SELECT * FROM coded"),
     "issue_flags": (issue_flags, f"WITH {ISSUES_SQL} SELECT doc_id, bool_or(severity IN ('error', 'blocked')) AS has_error, bool_or(severity = 'warning') AS has_warning FROM coded WHERE issue_code <> 'missing_source' GROUP BY 1"),
@@ -167,4 +174,5 @@ QUERIES = {
       FROM d a JOIN d b ON a.lang = b.lang AND a.source = b.source AND left(a.h, 24) = left(b.h, 24) AND a.doc_id <> b.doc_id WHERE a.doc_id % 10 = 3)
       SELECT doc_id, max(score) AS score, CASE WHEN count(*) FILTER (score = top) > 1 THEN 'ambiguous' ELSE 'matched' END AS status, arg_max(other, (score, -other)) AS best
       FROM (SELECT *, max(score) OVER (PARTITION BY doc_id) AS top FROM j WHERE score >= 24) GROUP BY 1"""),
+    "reconcile_documents": (reconcile_documents, None),
 }
