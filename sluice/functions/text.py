@@ -109,7 +109,7 @@ def iso_seconds(ts: Column) -> Column:
 def option_texts(block: Column) -> Column:
     """Array of (key, text) of options A-E: text between consecutive markers `(A)` or `A.`, in label order."""
     marked = F.regexp_replace(block, r"(?m)(?:^|\s)\(?([A-E])[).．、]\s*", "\u0001$1\u0002")
-    parts = F.slice(F.split(marked, "\u0001"), 2, 1000)
+    parts = F.filter(F.split(marked, "\u0001"), lambda _, i: i > 0)
     options = F.transform(parts, lambda p: F.struct(F.substring(p, 1, 1).alias("key"), strip(F.substring_index(p, "\u0002", -1)).alias("text")))
     return F.array_sort(options)
 

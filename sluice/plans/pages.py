@@ -49,6 +49,11 @@ def answer_values(spark, d):
     return table(spark, d, "documents").select("doc_id", F.array_join(T.answer_letters(head), "").alias("letters"), F.array_join(T.accepted_answers(made), ",").alias("accepted"), T.question_number(F.col("source")).cast("long").alias("number"))
 
 
+def answer_letters_text(spark, d):
+    """Answer letters of each document's whole text, in order of their first place."""
+    return table(spark, d, "documents").select("doc_id", F.array_join(T.answer_letters(F.col("text")), "").alias("letters"))
+
+
 def vector_top_k(spark, d):
     e = table(spark, d, "embeddings")
     probe = [((i * 7) % 11 - 5) / 10 for i in range(64)]
@@ -69,7 +74,8 @@ def question_blocks(spark, d):
 
 
 def option_parse(spark, d):
-    docs = table(spark, d, "documents").select("doc_id", F.concat(F.lit("stem\n(A) "), F.substring("text", 1, 20), F.lit("\n(B) "), F.substring("text", 21, 20), F.lit("\n(C) x\n(D) y")).alias("block"))
+    """Options of a block with each whole text under A, and of the markers within it."""
+    docs = table(spark, d, "documents").select("doc_id", F.concat(F.lit("stem\n(A) "), F.col("text"), F.lit("\n(B) w\n(C) x\n(D) y")).alias("block"))
     return docs.select("doc_id", F.size(T.option_texts(F.col("block"))).cast("long").alias("n_options"), T.option_texts(F.col("block"))[0]["text"].alias("first"))
 
 
@@ -97,6 +103,8 @@ QUERIES = {
       FROM (SELECT *, list_filter(['A', 'B', 'C', 'D'], lambda c: contains(l, c)) AS x, list_sort(list_filter(['A', 'B', 'C', 'D'], lambda c: contains(l, c)), 'ASC') AS y,
         list_transform(list_sort(list_transform(list_filter(['A', 'B', 'C', 'D'], lambda c: contains(l, c)), lambda c: lpad(instr(l, c)::VARCHAR, 3, '0') || c)), lambda c: right(c, 1)) AS list_distinct_ordered
         FROM (SELECT *, upper(left(text, 40)) AS l FROM documents))"""),
+    "answer_letters_text": (answer_letters_text, """SELECT doc_id, array_to_string(list_transform(list_sort(list_transform(list_filter(['A', 'B', 'C', 'D'], lambda c: contains(l, c)), lambda c: lpad(instr(l, c)::VARCHAR, 12, '0') || c)), lambda c: right(c, 1)), '') AS letters
+      FROM (SELECT doc_id, upper(coalesce(text, '')) AS l FROM documents)"""),
     "vector_top_k": (vector_top_k, """SELECT vec_id, round(sqrt(list_sum(list_transform(range(1, len(embedding) + 1), lambda i: pow(embedding[i]::DOUBLE - ((((i - 1) * 7) % 11 - 5) / 10.0)::DOUBLE, 2)))), 6) AS distance FROM embeddings ORDER BY distance, vec_id LIMIT 10"""),
     "science_markup": (science_markup, None),
     "question_blocks": (question_blocks, "SELECT doc_id, len(string_split(text, chr(10))) AS n_blocks, CASE WHEN contains(text, chr(10)) THEN 2 ELSE 1 END AS top FROM documents"),

@@ -1,6 +1,7 @@
 """Queries over whole tables and whole texts, against brute force."""
 
 import os
+import re
 from collections import Counter
 
 from pyspark.sql import functions as F
@@ -37,3 +38,23 @@ def test_common_prefix_of_long_texts(spark):
     rows = [("x" * 90_000 + "a", "x" * 90_000 + "b"), ("", "a"), (None, "a"), ("ab", "ab"), ("abc", "ab"), ("b", "a")]
     got = spark.createDataFrame(rows, "a string, b string").select(T.common_prefix(F.col("a"), F.col("b")).alias("n")).collect()
     assert [r.n for r in got] == [90_000, 0, 0, 2, 2, 0]
+
+
+def test_letters_and_options_of_whole_texts(spark, tmp_path):
+    far = "x" * 300
+    texts = {1: far + " d then a", 2: far + "\n(C) late\n(E) last " + far, 3: "", 4: "\n".join(f"(A) {i}" for i in range(1500)), 5: None}
+    spark.createDataFrame(list(texts.items()), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r.letters for r in QUERIES["answer_letters_text"](spark, str(tmp_path)).collect()}
+    assert got == {i: "".join(dict.fromkeys(re.findall("[A-D]", (t or "").upper()))) for i, t in texts.items()}
+    found = {r.doc_id: (r.n_options, r.first) for r in QUERIES["option_parse"](spark, str(tmp_path)).collect()}
+    real = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    more = {r.doc_id: (r.n_options, r.first) for r in QUERIES["option_parse"](spark, SF).collect()}
+    for docs, options in ((texts, found), (real, more)):
+        for i, t in docs.items():
+            if t is None:
+                continue
+            block = f"stem\n(A) {t}\n(B) w\n(C) x\n(D) y"
+            parts = re.split(r"(?m)(?:^|[ \t\n\x0B\f\r])\(?([A-E])[).．、][ \t\n\x0B\f\r]*", block)
+            pairs = sorted(zip(parts[1::2], (x.strip() for x in parts[2::2])))
+            assert options[i] == (len(pairs), pairs[0][1]), i
+    assert found[2][0] == 6 and found[4][0] == 1503
