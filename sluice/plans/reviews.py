@@ -81,6 +81,14 @@ def total_over_page(spark, d):
     return e.select("candidate_key", "id", F.count(F.lit(1)).over(w).alias("n"), F.sum(F.when(F.col("action") == "accept", 1).otherwise(0)).over(w).alias("accepts"))
 
 
+def total_over_table(spark, d):
+    """Counts beside every event: counted by key first, then joined back, so that a hot key needs no window."""
+    e = review_events(spark, d)
+    n = e.groupBy("candidate_key").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("action") == "accept").alias("accepts"))
+    j = e.select(F.col("candidate_key").alias("own"), "id").join(n, F.col("own").eqNullSafe(F.col("candidate_key")))
+    return j.select("candidate_key", "id", "n", "accepts")
+
+
 def correct_action_rewrite(spark, d):
     """An event with a correction takes the action of the event before it, or `reviewed`."""
     e = review_events(spark, d)
@@ -136,6 +144,8 @@ QUERIES = {
         count(*) FILTER (a = 'comment') AS commented, count(*) FILTER (a = 'reset_review') AS reset FROM last"""),
     "total_over_page": (total_over_page, f"""WITH {REVIEW_SQL} SELECT candidate_key, id, count(*) OVER (PARTITION BY candidate_key) AS n,
       (count(*) FILTER (action = 'accept') OVER (PARTITION BY candidate_key))::BIGINT AS accepts FROM review WHERE candidate_key <= 20"""),
+    "total_over_table": (total_over_table, f"""WITH {REVIEW_SQL} SELECT candidate_key, id, count(*) OVER (PARTITION BY candidate_key) AS n,
+      count(*) FILTER (action = 'accept') OVER (PARTITION BY candidate_key) AS accepts FROM review"""),
     "correct_action_rewrite": (correct_action_rewrite, f"WITH {REVIEW_SQL} SELECT id, CASE WHEN has_correction THEN coalesce(lag(action) OVER (PARTITION BY candidate_key ORDER BY created_at, id), 'reviewed') ELSE action END AS action FROM review"),
     "batch_accept_guard": (batch_accept_guard, f"""WITH {REVIEW_SQL}, g AS (SELECT candidate_key, arg_max(action, (created_at, id)) AS last, bool_or(action = 'block') AS ever, count(*) AS n FROM review GROUP BY 1)
       SELECT CASE WHEN last = 'accept' THEN 'already_accepted' WHEN last = 'block' THEN 'blocked' WHEN ever THEN 'was_blocked' WHEN n < 3 THEN 'too_few_events' ELSE 'ok' END AS reason, count(*) AS n FROM g GROUP BY 1"""),

@@ -58,3 +58,13 @@ def test_letters_and_options_of_whole_texts(spark, tmp_path):
             pairs = sorted(zip(parts[1::2], (x.strip() for x in parts[2::2])))
             assert options[i] == (len(pairs), pairs[0][1]), i
     assert found[2][0] == 6 and found[4][0] == 1503
+
+
+def test_totals_beside_every_event(spark, tmp_path):
+    kinds = ["purchase", "click", "view"]
+    rows = [(i, 500 if i % 2 else i % 30, kinds[i % 3]) for i in range(400)] + [(1000, None, "purchase"), (1001, None, "view")]
+    frame = spark.createDataFrame(rows, "event_id long, user_id long, event_type string").selectExpr("event_id", "timestamp_ntz '2026-01-01' as ts", "user_id", "event_type", "0.5D as value", "'{}' as props")
+    frame.write.parquet(f"{tmp_path}/events.parquet")
+    n, accepts = Counter(u for _, u, _ in rows), Counter(u for _, u, k in rows if k == "purchase")
+    got = sorted((r.id, r.candidate_key, r.n, r.accepts) for r in QUERIES["total_over_table"](spark, str(tmp_path)).collect())
+    assert got == [(i, u, n[u], accepts[u]) for i, u, _ in rows]
