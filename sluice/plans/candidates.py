@@ -45,11 +45,18 @@ def issue_status(spark, d):
     return s.groupBy("quality_status", "issue_count").agg(F.count(F.lit(1)).alias("n"))
 
 
-def document_gaps(spark, d):
-    c = table(spark, d, "conversations").filter("turn % 3 <> 1 or conv_id % 2 = 0")
+def _gaps(c):
     return R.gaps(c, "conv_id", "turn").select("conv_id", F.array_join(F.transform("missing", lambda x: x.cast("string")), ",").alias("missing"))
 
 
+def document_gaps(spark, d):
+    return _gaps(table(spark, d, "conversations").filter("turn % 3 <> 1 or conv_id % 2 = 0"))
+
+
+def document_gaps_whole(spark, d):
+    return _gaps(table(spark, d, "conversations"))
+
+
 def duplicate_numbers(spark, d):
     c = table(spark, d, "conversations").withColumn("number", F.floor(F.col("turn") / 2))
     return c.groupBy("conv_id", "number").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
@@ -61,14 +68,21 @@ def dup_key_suffix(spark, d):
     return R.occurrence_keys(c, ["conv_id", "number"], [F.asc("turn")], base).select("conv_id", "turn", "candidate_key")
 
 
-def answer_sheet_fill(spark, d):
+def _sheet(c):
     """Numbers 0 to the greatest of each sheet, with placeholders; a repeated number is its last row."""
-    c = table(spark, d, "conversations").filter("turn % 3 <> 1")
     last = c.groupBy("conv_id", "turn").agg(F.max("role").alias("role"))
     grid = c.groupBy("conv_id").agg(F.max("turn").alias("top")).select("conv_id", F.explode(F.sequence(F.lit(0).cast("bigint"), "top")).alias("turn"))
     return grid.join(last, ["conv_id", "turn"], "left").select("conv_id", "turn", "role", F.col("role").isNull().alias("placeholder"))
 
 
+def answer_sheet_fill(spark, d):
+    return _sheet(table(spark, d, "conversations").filter("turn % 3 <> 1"))
+
+
+def answer_sheet_whole(spark, d):
+    return _sheet(table(spark, d, "conversations"))
+
+
 def answer_sheet_status(spark, d):
     e = review_events(spark, d).groupBy("candidate_key").agg(F.max_by("action", F.struct("created_at", "id")).alias("action"))
     n = lambda a: F.count_if(F.col("action") == a)
@@ -174,5 +188,9 @@ QUERIES = {
       FROM d a JOIN d b ON a.lang = b.lang AND a.source = b.source AND left(a.h, 24) = left(b.h, 24) AND a.doc_id <> b.doc_id WHERE a.doc_id % 10 = 3)
       SELECT doc_id, max(score) AS score, CASE WHEN count(*) FILTER (score = top) > 1 THEN 'ambiguous' ELSE 'matched' END AS status, arg_max(other, (score, -other)) AS best
       FROM (SELECT *, max(score) OVER (PARTITION BY doc_id) AS top FROM j WHERE score >= 24) GROUP BY 1"""),
+    "document_gaps_whole": (document_gaps_whole, """WITH g AS (SELECT conv_id, unnest(range(min(turn), max(turn) + 1)) AS t FROM conversations GROUP BY 1)
+      SELECT conv_id, string_agg(t, ',' ORDER BY t) AS missing FROM (SELECT g.* FROM g ANTI JOIN conversations c ON c.conv_id = g.conv_id AND c.turn = g.t QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY t) <= 50) GROUP BY 1"""),
+    "answer_sheet_whole": (answer_sheet_whole, """WITH c AS (SELECT conv_id, turn, max(role) AS role FROM conversations GROUP BY ALL), g AS (SELECT conv_id, unnest(range(0, max(turn) + 1)) AS turn FROM c GROUP BY 1)
+      SELECT g.conv_id, g.turn, role, role IS NULL AS placeholder FROM g LEFT JOIN c USING (conv_id, turn)"""),
     "reconcile_documents": (reconcile_documents, None),
 }

@@ -110,9 +110,9 @@ def semi_either_path(spark, d):
     return l.join(chosen, "path", "left_semi").select("l_orderkey", "l_linenumber").distinct()
 
 
-def _prices(spark, d):
+def _prices(spark, d, new_keys="p_partkey % 2 = 0"):
     old = table(spark, d, "part").filter("p_partkey % 3 <> 0").select("p_partkey", F.col("p_brand").alias("brand"), F.col("p_size").alias("size"))
-    new = table(spark, d, "part").filter("p_partkey % 2 = 0").select("p_partkey", F.when(F.col("p_size") % 4 != 0, F.upper("p_type")).alias("brand"), (F.col("p_size") + F.when(F.col("p_partkey") % 4 == 0, 1).otherwise(0)).cast("int").alias("size"))
+    new = table(spark, d, "part").filter(new_keys).select("p_partkey", F.when(F.col("p_size") % 4 != 0, F.upper("p_type")).alias("brand"), (F.col("p_size") + F.when(F.col("p_partkey") % 4 == 0, 1).otherwise(0)).cast("int").alias("size"))
     return old, new
 
 
@@ -142,6 +142,33 @@ def full_outer_diff(spark, d):
     return R.full_outer_diff(*_prices(spark, d), ["p_partkey"], ["size"]).groupBy("change").agg(F.count(F.lit(1)).alias("n"))
 
 
+def _whole(spark, d):
+    """Every row of `part` in the old state or the new one, or both."""
+    return _prices(spark, d, "p_partkey % 2 = 0 or p_partkey % 3 = 0")
+
+
+def upsert_whole(spark, d):
+    return R.upsert(*_whole(spark, d), ["p_partkey"])
+
+
+def insert_ignore_whole(spark, d):
+    return R.insert_ignore(*_whole(spark, d), ["p_partkey"])
+
+
+def scoped_replace_whole(spark, d):
+    old, new = _whole(spark, d)
+    return R.replace_scope(old, new, new, ["p_partkey"])
+
+
+def mirror_delete_whole(spark, d):
+    old, new = _whole(spark, d)
+    return R.mirror_delete(old, new.withColumn("brand", F.lit("Brand#11")), "brand", ["p_partkey"])
+
+
+def full_outer_diff_whole(spark, d):
+    return R.full_outer_diff(*_whole(spark, d), ["p_partkey"], ["size"]).groupBy("change").agg(F.count(F.lit(1)).alias("n"))
+
+
 def union_counts(spark, d):
     out = None
     for t in ("customer", "nation", "orders", "part", "region", "supplier"):
@@ -241,3 +268,10 @@ QUERIES = {
     "numeric_sort_values": (numeric_sort_values, """SELECT row_number() OVER (ORDER BY CASE WHEN regexp_full_match(v, '[0-9]+') THEN v::INTEGER ELSE 9999 END, v) AS place, v FROM (SELECT DISTINCT regexp_replace(source, '^src', '') AS v FROM documents UNION ALL SELECT 'none')"""),
 }
 QUERIES["chunk_tasks"] = (chunk_tasks, f"SELECT part, count(*) AS n, min(s_suppkey) AS first_key, max(s_suppkey) AS last_key FROM ({QUERIES['chunk_tasks'][1]}) GROUP BY 1")
+
+WHOLE_SQL = OLD_NEW.replace("WHERE p_partkey % 2 = 0)", "WHERE p_partkey % 2 = 0 OR p_partkey % 3 = 0)")
+QUERIES |= {
+    f"{name}_whole": (query, QUERIES[of][1].replace(OLD_NEW, WHOLE_SQL))
+    for name, of, query in (("upsert", "upsert_state", upsert_whole), ("insert_ignore", "insert_ignore", insert_ignore_whole), ("mirror_delete", "mirror_delete", mirror_delete_whole), ("full_outer_diff", "full_outer_diff", full_outer_diff_whole))
+}
+QUERIES["scoped_replace_whole"] = (scoped_replace_whole, f"WITH {WHOLE_SQL} SELECT * FROM old WHERE p_partkey NOT IN (SELECT p_partkey FROM new) UNION ALL SELECT * FROM new")

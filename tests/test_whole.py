@@ -68,3 +68,19 @@ def test_totals_beside_every_event(spark, tmp_path):
     n, accepts = Counter(u for _, u, _ in rows), Counter(u for _, u, k in rows if k == "purchase")
     got = sorted((r.id, r.candidate_key, r.n, r.accepts) for r in QUERIES["total_over_table"](spark, str(tmp_path)).collect())
     assert got == [(i, u, n[u], accepts[u]) for i, u, _ in rows]
+
+
+def test_sheets_and_gaps_of_whole_conversations(spark, tmp_path):
+    turns = {1: [0, 1, 2, 3, 4], 2: [0, 3, 4, 7], 3: [2, 2, 5, 10], 4: [1]}
+    spark.createDataFrame([(c, t, "user", "x") for c, ts in turns.items() for t in ts], "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    got = {(r.conv_id, r.turn): r.placeholder for r in QUERIES["answer_sheet_whole"](spark, str(tmp_path)).collect()}
+    assert got == {(c, t): t not in ts for c, ts in turns.items() for t in range(max(ts) + 1)}
+    gaps = {r.conv_id: r.missing for r in QUERIES["document_gaps_whole"](spark, str(tmp_path)).collect()}
+    assert gaps == {2: "1,2,5,6", 3: "3,4,6,7,8,9"}
+
+
+def test_every_part_is_read(spark):
+    keys = {r.p_partkey for r in spark.read.parquet(f"{SF}/part.parquet").select("p_partkey").collect()}
+    for name in ("upsert_whole", "insert_ignore_whole", "scoped_replace_whole"):
+        assert {r.p_partkey for r in QUERIES[name](spark, SF).collect()} == keys, name
+    assert sum(r.n for r in QUERIES["full_outer_diff_whole"](spark, SF).collect()) == len(keys)
