@@ -20,14 +20,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def work_dir(spark: SparkSession) -> str:
-    """The shared folder that the cluster names in spark.checkpoint.dir; a temporary one only where it is unset."""
-    named = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+    """The shared folder that the cluster names in spark.checkpoint.dir; a temporary one only in a local session."""
+    named = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None) or _local_dir.get(spark.sparkContext.applicationId)
     if not named:
-        named = "file://" + tempfile.mkdtemp(prefix="sluice-")
-        spark.conf.set("spark.checkpoint.dir", named)
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        named = _local_dir[spark.sparkContext.applicationId] = "file://" + tempfile.mkdtemp(prefix="sluice-")
     return named.rstrip("/")
 
 
+_local_dir: dict[str, str] = {}
+
+
 def stored(df: DataFrame) -> DataFrame:
     """Cut lineage: write df as Parquet in the shared folder and read it back."""
     path = f"{work_dir(df.sparkSession)}/sluice-{uuid.uuid4().hex}"
@@ -45,6 +49,31 @@ def discard(*frames: DataFrame) -> None:
     release(frames[0].sparkSession)
 
 
+class Scratch:
+    """Stored results of one run, deleted when it ends."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.frames = spark, []
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def stored(self, df: DataFrame) -> DataFrame:
+        out = stored(df)
+        self.frames.append(out)
+        release(self.spark)
+        return out
+
+    def discard(self, *frames: DataFrame) -> None:
+        self.frames = [f for f in self.frames if all(f is not g for g in frames)]
+        discard(*frames)
+
+    def __exit__(self, *_) -> None:
+        if self.frames:
+            discard(*self.frames)
+            self.frames = []
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of plans that nothing refers to any more."""
     gc.collect()

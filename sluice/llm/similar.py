@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import LOWER_VALUE, Prefix, chunks, discard, inside, mix, release, rolling, stored, table, words
+from .common import LOWER_VALUE, Prefix, Scratch, chunks, inside, mix, rolling, stored, table, words
 from .graph import components
 
 NAME = "op4_jaccard_join"
@@ -38,7 +38,9 @@ PERCENT = 75
 HOT_TOKENS = 200_000  # most tokens that are ordered by frequency (8 MB at most to each executor)
 HOT_IN_BATCH = 4
 LIGHTEST, HEAVIEST = 0, 10  # sizes between which the boundary may lie
-BITS = 8  # 64-bit words of a parity sketch
+BITS = 8  # 64-bit words of a folded sketch, and the least of a whole one
+PART = 4096  # rows of a part of a frequent token's list
+LOT = 2048  # rows of a block of a list in the second round
 
 
 def needed(a: int, b: int) -> int:
@@ -61,20 +63,20 @@ def shingle_sets(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     hashes = Prefix(buf, LOWER_VALUE).of(starts, ends)
     counts = np.diff(firsts)
     whole = inside(firsts, SHINGLE, len(hashes))
-    owner = np.repeat(np.arange(len(counts)), counts)
-    tokens, owners = [rolling(hashes, SHINGLE)[whole]], [owner[: len(whole)][whole]]
+    sizes = np.where(counts < SHINGLE, counts > 0, counts - SHINGLE + 1)
+    edges = np.concatenate([[0], np.cumsum(sizes)])
+    tokens = np.zeros(edges[-1], np.uint64)
+    tokens[np.repeat(counts >= SHINGLE, sizes)] = rolling(hashes, SHINGLE)[whole]
     for k in range(1, SHINGLE):
         few = np.flatnonzero(counts == k)
         if len(few):
-            tokens.append(rolling(hashes, k)[firsts[few]])
-            owners.append(few)
-    tokens, owners = np.concatenate(tokens), np.concatenate(owners)
-    order = np.lexsort((tokens, owners))
-    tokens, owners = tokens[order], owners[order]
+            tokens[edges[few]] = rolling(hashes, k)[firsts[few]]
     new = np.ones(len(tokens), bool)
-    new[1:] = (tokens[1:] != tokens[:-1]) | (owners[1:] != owners[:-1])
-    tokens, owners = tokens[new], owners[new]
-    return tokens, np.searchsorted(owners, np.arange(len(counts) + 1))
+    for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+        tokens[a:b].sort()
+    new[1:] = tokens[1:] != tokens[:-1]
+    new[edges[:-1][sizes > 0]] = True
+    return tokens[new], np.concatenate([[0], np.cumsum(new)])[edges]
 
 
 def sums(values: np.ndarray, firsts: np.ndarray) -> np.ndarray:
@@ -83,17 +85,31 @@ def sums(values: np.ndarray, firsts: np.ndarray) -> np.ndarray:
     return total[firsts[1:]] - total[firsts[:-1]]
 
 
-def sketches(tokens: np.ndarray, firsts: np.ndarray) -> list[np.ndarray]:
-    """Parity of the number of tokens at each of 64 * BITS places, as BITS words for each text."""
-    place = mix(tokens ^ np.uint64(0xA5A5A5A5))
-    word, bit = place % np.uint64(BITS), np.uint64(1) << ((place >> np.uint64(8)) % np.uint64(64))
-    out = []
-    for w in range(BITS):
-        masks = np.where(word == w, bit, np.uint64(0))
-        folded = np.zeros(len(tokens) + 1, np.uint64)
-        np.bitwise_xor.accumulate(masks, out=folded[1:])
-        out.append((folded[firsts[1:]] ^ folded[firsts[:-1]]).view(np.int64))
-    return out
+def sketches(tokens: np.ndarray, firsts: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Parity of the number of tokens at each place of every text's sketch.
+
+    A sketch has a power of two places, twice the tokens or more. Returned: all sketches as 64-bit words, each
+    one's first word (and one past), and all sketches folded to BITS words.
+    """
+    sizes = np.diff(firsts)
+    width = np.int64(64 * BITS) << np.maximum(0, np.ceil(np.log2(np.maximum(1, 2 * sizes) / (64 * BITS)))).astype(np.int64)
+    begin = np.concatenate([[0], np.cumsum(width)])
+    place = (mix(tokens ^ np.uint64(0xA5A5A5A5)) & np.repeat((width - 1).astype(np.uint64), sizes)).astype(np.int64) + np.repeat(begin[:-1], sizes)
+    odd = (np.bincount(place, minlength=int(begin[-1])) & 1).astype(np.uint8)
+    whole = np.packbits(odd, bitorder="little").view(np.uint64)
+    edges = begin // 64
+    folded = np.bitwise_xor.reduceat(whole.reshape(-1, BITS), edges[:-1] // BITS, axis=0) if len(sizes) else np.zeros((0, BITS), np.uint64)
+    return whole, edges, [np.ascontiguousarray(folded[:, w]).view(np.int64) for w in range(BITS)]
+
+
+def far(one: bytes, two: bytes) -> int:
+    """Differing places of two sketches, the wider one folded to the other: at most the size of the symmetric difference."""
+    x, y = np.frombuffer(one, np.uint64), np.frombuffer(two, np.uint64)
+    if len(x) > len(y):
+        x, y = y, x
+    if len(y) > len(x):
+        y = np.bitwise_xor.reduce(y.reshape(-1, len(x)), axis=0)
+    return int(np.bitwise_count(x ^ y).sum())
 
 
 def class_ids(tokens: np.ndarray, firsts: np.ndarray) -> np.ndarray:
@@ -102,21 +118,36 @@ def class_ids(tokens: np.ndarray, firsts: np.ndarray) -> np.ndarray:
 
 
 SKETCH = [f"s{i}" for i in range(BITS)]
+HALF = SKETCH[: BITS // 2]
+
+
+def once(ids: np.ndarray) -> np.ndarray:
+    """Which of the texts of a batch are the first of their class."""
+    keep = np.zeros(len(ids), bool)
+    keep[np.unique(ids, return_index=True)[1]] = True
+    return keep
+
+
+def row_keys() -> list[Column]:
+    return [F.xxhash64("doc_id", "text").alias("k1"), F.xxhash64(F.lit(5), "text", "doc_id").alias("k2")]
 
 
 def described(docs: DataFrame) -> DataFrame:
-    """One row for each document (doc_id, k1, k2, c, n, sketch, tokens of a small set), and rows (token, times) of tokens frequent in a batch."""
+    """One row for each document (doc_id, k1, k2, c, n, folded and whole sketch, tokens of a small set), and rows (token, times) of tokens frequent in a batch."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    names = ["doc_id", "k1", "k2", "c", "n", *SKETCH, "small", "token", "times"]
+    names = ["doc_id", "k1", "k2", "c", "n", *SKETCH, "sketch", "small", "token", "times"]
+    kinds = {"sketch": "binary", "small": "array<long>"}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             seen = []
             for a, b, buf, offsets in chunks(batch.column(3)):
                 tokens, firsts = shingle_sets(buf, offsets)
-                seen.append(tokens)
-                rows = [*(c.slice(a, b - a) for c in batch.columns[:3]), pa.array(class_ids(tokens, firsts)), pa.array(np.diff(firsts)), *map(pa.array, sketches(tokens, firsts))]
-                sizes = np.diff(firsts)
+                ids, sizes = class_ids(tokens, firsts), np.diff(firsts)
+                seen.append(tokens[np.repeat(once(ids), sizes)])
+                whole, edges, folded = sketches(tokens, firsts)
+                sketch = pa.LargeBinaryArray.from_buffers(pa.large_binary(), b - a, [None, pa.py_buffer(edges * 8), pa.py_buffer(whole)]).cast(pa.binary())
+                rows = [*(c.slice(a, b - a) for c in batch.columns[:3]), pa.array(ids), pa.array(sizes), *map(pa.array, folded), sketch]
                 few = sizes <= HEAVIEST
                 small = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(np.where(few, sizes, 0))]).astype(np.int32), pa.array(tokens[np.repeat(few, sizes)].view(np.int64)))
                 none = pa.nulls(b - a, pa.int64())
@@ -124,12 +155,11 @@ def described(docs: DataFrame) -> DataFrame:
             values, times = np.unique(np.concatenate(seen) if seen else np.zeros(0, np.uint64), return_counts=True)
             often = times >= HOT_IN_BATCH
             values, times = values[often].view(np.int64), times[often]
-            ids = pa.nulls(len(values), batch.schema.field(0).type)
-            none = [pa.nulls(len(values), pa.int64()) for _ in names[1:-3]]
-            yield pa.RecordBatch.from_arrays([ids, *none, pa.nulls(len(values), pa.list_(pa.int64())), pa.array(values), pa.array(times.astype(np.int64))], names)
+            none = [pa.nulls(len(values), batch.schema.field(0).type), *(pa.nulls(len(values), {"sketch": pa.binary(), "small": pa.list_(pa.int64())}.get(x, pa.int64())) for x in names[1:-2])]
+            yield pa.RecordBatch.from_arrays([*none, pa.array(values), pa.array(times.astype(np.int64))], names)
 
-    rows = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("k1"), F.xxhash64(F.lit(5), "text", "doc_id").alias("k2"), "text")
-    return rows.mapInArrow(run, f"doc_id {kind}, " + ", ".join(f"{x} {'array<long>' if x == 'small' else 'long'}" for x in names[1:]))
+    rows = docs.select("doc_id", *row_keys(), "text")
+    return rows.mapInArrow(run, f"doc_id {kind}, " + ", ".join(f"{x} {kinds.get(x, 'long')}" for x in names[1:]))
 
 
 def boundary(sizes: dict[int, int]) -> int:
@@ -143,35 +173,42 @@ def boundary(sizes: dict[int, int]) -> int:
     return min(range(LIGHTEST, HEAVIEST + 1), key=cost)
 
 
-def prefixes(docs: DataFrame, most: int, hot: np.ndarray) -> DataFrame:
-    """Rows (token, c, n): the prefix tokens of large sets, and of small ones that large ones may link with.
+def prefixes(docs: DataFrame, most: int, hot: np.ndarray, times: np.ndarray) -> DataFrame:
+    """Rows (token, part, c, n): the prefix tokens of large sets, and of small ones that large ones may link with.
 
-    hot: frequent tokens, from the least frequent.
+    hot: frequent tokens, from the least frequent, and how often each was counted. part: the list of a frequent
+    token lies in parts of about PART rows, from 0; the part of other lists is -1.
     """
     order = np.argsort(hot)
-    shared = docs.sparkSession.sparkContext.broadcast((hot[order], (order + 1).astype(np.int64)))  # HOT_TOKENS at most
+    shared = docs.sparkSession.sparkContext.broadcast((hot[order], (order + 1).astype(np.int64), 1 + times[order] // PART))  # HOT_TOKENS at most
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, ranks = shared.value
+        known, ranks, parts = shared.value
         for batch in batches:
             for _, _, buf, offsets in chunks(batch.column(0)):
                 tokens, firsts = shingle_sets(buf, offsets)
                 ids, sizes = class_ids(tokens, firsts), np.diff(firsts)
-                keep = np.zeros(len(ids), bool)
-                keep[np.unique(ids, return_index=True)[1]] = True  # copies near each other go once
+                heavy = once(ids) & ((sizes > most) | (100 * sizes >= PERCENT * (most + 1)))  # copies near each other go once
+                rows = heavy[np.repeat(np.arange(len(ids)), sizes)]
+                tokens, ids, sizes = tokens[rows], ids[heavy], sizes[heavy]
+                firsts = np.concatenate([[0], np.cumsum(sizes)])
                 owner = np.repeat(np.arange(len(ids)), sizes)
-                rank = np.zeros(len(tokens), np.int64)
+                rank, part = np.zeros(len(tokens), np.int64), np.ones(len(tokens), np.int64)
                 if len(known):
                     at = np.minimum(np.searchsorted(known, tokens), len(known) - 1)
-                    rank = np.where(known[at] == tokens, ranks[at], 0)
-                turn = np.lexsort((tokens, rank, owner))
+                    found = known[at] == tokens
+                    rank, part = np.where(found, ranks[at], 0), np.where(found, parts[at], 1)
+                late = np.flatnonzero(rank)  # frequent tokens go last in each set; the others stay in order
+                turn = np.concatenate([np.flatnonzero(rank == 0), late[np.lexsort((rank[late], owner[late]))]])
+                turn = turn[np.argsort(owner[turn], kind="stable")]
                 place = np.arange(len(tokens)) - firsts[owner]
-                heavy = keep & ((sizes > most) | (100 * sizes >= PERCENT * (most + 1)))
-                chosen = (place < prefix_length(sizes)[owner]) & heavy[owner]
-                out_token, out_owner = tokens[turn][chosen], owner[chosen]
-                yield pa.RecordBatch.from_arrays([pa.array(out_token.view(np.int64)), pa.array(ids[out_owner]), pa.array(sizes[out_owner])], ["token", "c", "n"])
+                chosen = place < prefix_length(sizes)[owner]
+                pick, whose = turn[chosen], owner[chosen]
+                lot = (mix(ids[whose].view(np.uint64) ^ tokens[pick]) % part[pick].astype(np.uint64)).astype(np.int32)
+                lot[part[pick] == 1] = -1
+                yield pa.RecordBatch.from_arrays([pa.array(tokens[pick].view(np.int64)), pa.array(lot), pa.array(ids[whose]), pa.array(sizes[whose])], ["token", "part", "c", "n"])
 
-    return docs.select("text").mapInArrow(run, "token long, c long, n long")
+    return docs.select("text").mapInArrow(run, "token long, part int, c long, n long")
 
 
 def subset_keys(classes: DataFrame, most: int) -> DataFrame:
@@ -211,84 +248,143 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.mapInArrow(run, "a long, b long")
 
 
-def differing() -> Column:
-    return sum((F.bit_count(F.col(f"{s}").bitwiseXOR(F.col(f"o_{s}"))) for s in SKETCH), F.lit(0))
+def differing(names: list[str]) -> Column:
+    return sum((F.bit_count(F.col(s).bitwiseXOR(F.col(f"o_{s}"))) for s in names), F.lit(0))
 
 
 def likely(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs (a, b) that size and sketch allow, with the number of differing bits."""
+    """Pairs (a, b) that size and sketches allow, with the number of differing places: folded sketches first, whole ones last."""
     one = classes.select(F.col("c").alias("a"), F.col("n").alias("na"), *SKETCH)
     two = classes.select(F.col("c").alias("b"), F.col("n").alias("nb"), *(F.col(s).alias(f"o_{s}") for s in SKETCH))
-    met = pairs.join(one, "a").join(two, "b").withColumn("bits", differing())
     apart = F.floor((F.col("na") + F.col("nb")) * (100 - PERCENT) / (100 + PERCENT))
-    return met.filter((100 * F.least("na", "nb") >= PERCENT * F.greatest("na", "nb")) & (F.col("bits") <= apart)).select("a", "b", "bits")
+    fits = (100 * F.least("na", "nb") >= PERCENT * F.greatest("na", "nb")) & (differing(SKETCH) <= apart)
+    met = pairs.join(one, "a").join(two, "b").filter(fits).select("a", "b", apart.alias("most"))
+    met = met.join(classes.select(F.col("c").alias("a"), F.col("sketch").alias("sa")), "a").join(classes.select(F.col("c").alias("b"), F.col("sketch").alias("sb")), "b").select("a", "b", "most", "sa", "sb")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bits = np.array([far(x.as_py(), y.as_py()) for x, y in zip(batch.column(3), batch.column(4), strict=True)], np.int64)
+            good = pa.array(bits <= batch.column(2).to_numpy())
+            yield pa.RecordBatch.from_arrays([*(c.filter(good) for c in batch.columns[:2]), pa.array(bits).filter(good)], ["a", "b", "bits"])
+
+    return met.mapInArrow(run, "a long, b long, bits long")
+
+
+def met_in_lists(rows: DataFrame) -> DataFrame:
+    """Pairs (a, b) of different roots that share a list, where size and half the folded sketch allow it.
+
+    rows: token, m (length of the list), c, n, root and HALF. A list lies in blocks of about LOT rows, and each two
+    blocks of one list, in order of size, pass through one task: a set meets those up to a third larger, and only
+    pairs that pass the filters are ever made.
+    """
+    blocks = F.floor((F.col("m") + LOT - 1) / LOT).cast("int")
+    mine = F.pmod(F.xxhash64("c"), blocks).cast("int").alias("mine")
+    dealt = rows.select("*", mine, blocks.alias("blocks")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("token", F.least("mine", "other").alias("lo"), F.greatest("mine", "other").alias("hi"), "mine", "c", "n", "root", *HALF)
+    ordered = dealt.repartition("token", "lo", "hi").sortWithinPartitions("token", "lo", "hi", "n")
+    ordered = ordered.select("token", "lo", "hi", "mine", "c", "n", "root", *HALF)
+
+    def pairs(columns: list[np.ndarray]) -> pa.RecordBatch:
+        token, lo, hi, mine, c, n, root, *half = columns
+        half = np.stack(half, 1) if len(token) else np.zeros((0, len(HALF)), np.int64)
+        at, step, out = np.arange(len(token)), 1, []
+        while len(at):
+            at = at[at + step < len(token)]
+            to = at + step
+            near = (token[at] == token[to]) & (lo[at] == lo[to]) & (hi[at] == hi[to]) & (100 * n[at] >= PERCENT * n[to])
+            at, to = at[near], to[near]
+            good = (root[at] != root[to]) & ((lo[at] == hi[at]) | (mine[at] != mine[to]))
+            x, y = at[good], to[good]
+            bits = np.bitwise_count(half[x] ^ half[y]).sum(1, dtype=np.int64)
+            fits = bits * (100 + PERCENT) <= (n[x] + n[y]) * (100 - PERCENT)
+            out.append(np.stack([np.minimum(c[x[fits]], c[y[fits]]), np.maximum(c[x[fits]], c[y[fits]])], 1))
+            step += 1
+        found = np.unique(np.concatenate(out), axis=0) if out else np.zeros((0, 2), np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], ["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] | None = None  # rows of a group that may go on in the next batch: 2 * LOT or so
+        for batch in batches:
+            now = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+            if not len(now[0]):
+                continue
+            now = now if held is None else [np.concatenate(x) for x in zip(held, now, strict=True)]
+            last = (now[0] != now[0][-1]) | (now[1] != now[1][-1]) | (now[2] != now[2][-1])
+            cut = int(np.flatnonzero(last)[-1]) + 1 if last.any() else 0
+            held = [c[cut:] for c in now]
+            if cut:
+                yield pairs([c[:cut] for c in now])
+        if held is not None:
+            yield pairs(held)
+
+    return ordered.mapInArrow(run, "a long, b long").distinct()
 
 
 def similar_components(docs: DataFrame) -> DataFrame:
     """doc_id, k1, k2 (row keys), n_shingles and component_id of every row of docs (doc_id, text)."""
-    spark = docs.sparkSession
-    facts = stored(described(docs))
+    with Scratch(docs.sparkSession) as work:
+        return stored(_components(docs, work))
+
+
+def _components(docs: DataFrame, work: Scratch) -> DataFrame:
+    facts = work.stored(described(docs))
     rows = facts.filter("token is null")
     tops = facts.filter("token is not null").groupBy("token").agg(F.sum("times").alias("times")).orderBy(F.desc("times"), "token").limit(HOT_TOKENS).collect()
-    hot = np.array([r.token for r in reversed(tops)], np.int64).view(np.uint64)
+    hot, times = np.array([r.token for r in reversed(tops)], np.int64).view(np.uint64), np.array([r.times for r in reversed(tops)], np.int64)
     sizes = {r.n: r["count"] for r in rows.filter(f"n between 1 and {2 * HEAVIEST}").groupBy("n").count().collect()}
     most = boundary(sizes)
-    classes = rows.filter("n > 0").groupBy("c").agg(F.min("n").alias("n"), *(F.min(s).alias(s) for s in SKETCH), F.min(F.struct("k1", "k2")).alias("k"))
-
-    # heavy: members of lists with at least two classes, and the list's pivot
-    heavy = prefixes(docs, most, hot)
-    pivots = stored(heavy.groupBy("token").agg(F.min("c").alias("p"), F.max("c").alias("last")).filter("p <> last").select("token", "p"))
-    release(spark)
-    members = stored(heavy.join(pivots.hint("merge"), "token").select("token", "c", "n", "p"))
-    discard(pivots)
+
+    # heavy: one shuffle of the prefixes gives the lists of at least two classes, their pivots and their members
+    heavy = prefixes(docs, most, hot, times).repartition("token", "part")
+    pivots = heavy.groupBy("token", "part").agg(F.min("c").alias("p"), F.max("c").alias("last")).filter("part >= 0 or p <> last").select("token", "part", "p")
+    members = work.stored(heavy.join(pivots.hint("merge"), ["token", "part"]).distinct())
     # light: classes that share a subset key link with the key's first class of the smaller size
     light = subset_keys(rows.select("c", "n", "small").filter(F.col("n").between(1, most)).dropDuplicates(["c"]), most)
     lows = light.filter("low").groupBy("key").agg(F.min("c").alias("p"))
-    light_links = stored(light.join(lows.hint("merge"), "key").filter("c <> p").select(F.col("c").alias("a"), F.col("p").alias("b")).distinct())
-
-    near = stored(classes.join(members.select("c").distinct().hint("merge"), "c", "left_semi"))
-    release(spark)
-
-    def check(pairs: DataFrame) -> DataFrame:
-        """Verified pairs; only texts of classes in pairs are fetched."""
-        pairs = stored(pairs.select("a", "b"))
-        wanted = near.select("c", "k.k1", "k.k2").join(pairs.select(F.col("a").alias("c")).unionByName(pairs.select(F.col("b").alias("c"))).distinct().hint("merge"), "c", "left_semi")
-        keyed = docs.select(F.xxhash64("doc_id", "text").alias("k1"), F.xxhash64(F.lit(5), "text", "doc_id").alias("k2"), "text")
-        texts = stored(keyed.join(wanted.hint("merge"), ["k1", "k2"]).select("c", "text").dropDuplicates(["c"]))
-        release(spark)
-        found = stored(verified(pairs, texts))
-        discard(pairs, texts)
-        return found
-
-    first = likely(members.filter("c <> p").select(F.col("c").alias("a"), F.col("p").alias("b")).distinct(), near)
-    links = check(first.groupBy("a").agg(F.min(F.struct("bits", "b")).alias("x")).select("a", "x.b")).unionByName(light_links)
+    light_links = work.stored(light.join(lows.hint("merge"), "key").filter("c <> p").select(F.col("c").alias("a"), F.col("p").alias("b")).distinct())
+
+    ones = rows.join(members.select("c").distinct().hint("merge"), "c", "left_semi").groupBy("c").agg(F.min(F.struct("k1", "k2", "n", *SKETCH, "sketch")).alias("x"))
+    near = work.stored(ones.select("c", "x.*"))
+
+    def texts_of(pairs: DataFrame) -> DataFrame:
+        """(c, text) of the classes in pairs."""
+        wanted = near.select("c", "k1", "k2").join(pairs.select(F.explode(F.array("a", "b")).alias("c")).distinct().hint("merge"), "c", "left_semi")
+        keyed = docs.select(*row_keys(), "text")
+        return work.stored(keyed.join(wanted.hint("merge"), ["k1", "k2"]).select("c", "text").dropDuplicates(["c"]))
+
+    # first round: each class meets the pivots of its lists, and pivots of parts that of their list
+    tops_of_parts = members.filter("part >= 0").select("token", "p").distinct()
+    between = tops_of_parts.join(tops_of_parts.groupBy("token").agg(F.min("p").alias("top")), "token").filter("p <> top").select(F.col("p").alias("a"), F.col("top").alias("b"))
+    met = members.filter("c <> p").select(F.col("c").alias("a"), F.col("p").alias("b")).unionByName(between)
+    first = work.stored(likely(met.distinct(), near))
+    texts = texts_of(first)
+    best = first.groupBy("a").agg(F.min(F.struct("bits", "b")).alias("x")).select("a", "x.b")
+    links = light_links.unionByName(work.stored(verified(best, texts)))
+    work.discard(texts)
     joined = components(links)
 
-    # second round: classes of different components that share a list, where size and half the sketch allow it
-    labelled = stored(members.select("token", "c", "n").distinct().join(joined.select(F.col("node").alias("c"), "root"), "c", "left").withColumn("root", F.coalesce("root", "c")))
-    discard(members)
-    mixed = labelled.groupBy("token").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y").select("token")
-    half = SKETCH[: BITS // 2]
-    open_lists = labelled.join(mixed.hint("merge"), "token", "left_semi").join(near.select("c", *half).hint("merge"), "c")
-    one, two = open_lists.alias("l"), open_lists.alias("r")
-    fits = 100 * F.least("l.n", "r.n") >= PERCENT * F.greatest("l.n", "r.n")
-    apart = sum((F.bit_count(F.col(f"l.{x}").bitwiseXOR(F.col(f"r.{x}"))) for x in half), F.lit(0))
-    fits = fits & (apart * (100 + PERCENT) <= (F.col("l.n") + F.col("r.n")) * (100 - PERCENT))
-    across = one.join(two, (F.col("l.token") == F.col("r.token")) & (F.col("l.root") < F.col("r.root")) & fits)
-    pairs = stored(likely(across.select(F.least("l.c", "r.c").alias("a"), F.greatest("l.c", "r.c").alias("b")).distinct(), near))
-    discard(labelled)
-
-    def apart_in(found: DataFrame) -> DataFrame:
+    # second round: classes of different components that share a list; in a list of one part its pivot has met all others
+    open_rows = members.filter("part >= 0 or c <> p").select("token", "c", "n").distinct()
+    labelled = work.stored(open_rows.join(joined.select(F.col("node").alias("c"), "root"), "c", "left").withColumn("root", F.coalesce("root", "c")))
+    work.discard(members)
+    mixed = labelled.groupBy("token").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count(F.lit(1)).alias("m")).filter("x <> y").select("token", "m")
+    open_lists = labelled.join(mixed.hint("merge"), "token").join(near.select("c", *HALF).hint("merge"), "c")
+    second = likely(met_in_lists(open_lists), near)
+
+    def apart_in(pairs: DataFrame, found: DataFrame) -> DataFrame:
         """The pairs whose classes are in different components, with both roots."""
         root = lambda side: found.select(F.col("node").alias(side), F.col("root").alias(f"r{side}"))
         named = pairs.join(root("a"), "a", "left").join(root("b"), "b", "left").select("a", "b", "bits", F.coalesce("ra", "a").alias("ra"), F.coalesce("rb", "b").alias("rb"))
         return named.filter("ra <> rb")
 
     # the likeliest pair of each two components merges most; then every pair that is still apart
-    likeliest = apart_in(joined).groupBy(F.least("ra", "rb"), F.greatest("ra", "rb")).agg(F.min(F.struct("bits", "a", "b")).alias("x")).select("x.a", "x.b")
-    links = links.unionByName(check(likeliest))
-    links = links.unionByName(check(apart_in(components(links)).select("a", "b")))
-    discard(pairs, near)
+    still = work.stored(apart_in(first.unionByName(second).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "bits").distinct(), joined))
+    work.discard(labelled)
+    pairs = still.select("a", "b", "bits")
+    texts = texts_of(pairs)
+    likeliest = still.groupBy(F.least("ra", "rb"), F.greatest("ra", "rb")).agg(F.min(F.struct("bits", "a", "b")).alias("x")).select("x.a", "x.b")
+    links = links.unionByName(work.stored(verified(likeliest, texts)))
+    links = links.unionByName(work.stored(verified(apart_in(pairs, components(links)), texts)))
     final = components(links)
 
     of = rows.select("doc_id", "k1", "k2", "c", "n").join(final.select(F.col("node").alias("c"), "root"), "c", "left").withColumn("root", F.coalesce("root", "c"))
@@ -300,11 +396,11 @@ def similar_components(docs: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame) -> DataFrame:
     """docs without the rows that have a linked row of smaller (doc_id, row keys); all columns. Rows equal in doc_id and text go once."""
     found = similar_components(docs.select("doc_id", "text"))
-    group = F.when(F.col("n_shingles") > 0, F.col("component_id"))
     kept = found.filter("n_shingles > 0").groupBy("component_id").agg(F.min(F.struct("doc_id", "k1", "k2")).alias("x")).select("x.k1", "x.k2")
-    empty = found.filter(group.isNull()).select("k1", "k2").distinct()
+    empty = found.filter("n_shingles = 0 or component_id is null").select("k1", "k2").distinct()
     keys = kept.unionByName(empty).distinct()
-    rows = docs.select("*", F.xxhash64("doc_id", "text").alias("__k1"), F.xxhash64(F.lit(5), "text", "doc_id").alias("__k2"))
+    k1, k2 = row_keys()
+    rows = docs.select("*", k1.alias("__k1"), k2.alias("__k2"))
     chosen = rows.join(keys.select(F.col("k1").alias("__k1"), F.col("k2").alias("__k2")), ["__k1", "__k2"], "left_semi")
     return chosen.dropDuplicates(["__k1", "__k2"]).select(*docs.columns)
 

@@ -1,6 +1,8 @@
 import random
 import re
 
+import numpy as np
+
 from sluice.llm import graph, similar
 
 
@@ -79,3 +81,27 @@ def test_components(spark):
 
 def test_empty_table(spark):
     assert similar.similar_components(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_one_passage_in_thousands_of_components(spark, monkeypatch):
+    rng = random.Random(5)
+    passage = " ".join(f"p{i}" for i in range(14))
+    rows = [(d, f"{passage} u{d} v{d} x{d}") for d in range(1200)]
+    rows += [(1200 + d, f"{passage} u{k} v{k} {rng.choice(['x', 'y'])}{k}") for d, k in enumerate(rng.choices(range(1200), k=200))]
+    monkeypatch.setattr(similar, "PART", 100)
+    monkeypatch.setattr(similar, "LOT", 64)
+    check(spark, rows)
+
+
+def test_sketches():
+    rng = np.random.default_rng(3)
+    for n, m, common in ((5, 5, 4), (300, 250, 240), (3000, 4000, 2900), (40000, 30000, 29000), (700, 700, 0)):
+        draw = np.unique(rng.integers(0, 1 << 63, n + m, dtype=np.uint64))
+        a, b = draw[:n], np.concatenate([draw[:common], draw[n : n + m - common]])
+        whole, edges, folded = similar.sketches(np.concatenate([a, b]), np.array([0, len(a), len(a) + len(b)]))
+        one, two = (whole[edges[i] : edges[i + 1]].tobytes() for i in (0, 1))
+        apart = len(a) + len(b) - 2 * common
+        assert similar.far(one, two) == similar.far(two, one) <= apart
+        assert sum(int(np.bitwise_count(f.view(np.uint64)[0] ^ f.view(np.uint64)[1])) for f in folded) <= apart
+        if not common:
+            assert similar.far(one, two) > 0.5 * apart
