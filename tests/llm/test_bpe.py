@@ -1,4 +1,5 @@
 import hashlib
+import unicodedata
 
 import public_tokenizers
 from hypothesis import given, settings
@@ -44,3 +45,18 @@ def test_rows(spark):
         assert got[i].ids_sha256 == hashlib.sha256(ids.encode()).hexdigest()
         assert got[i].decoded_sha256 == hashlib.sha256(decoded.encode()).hexdigest()
     assert bpe.encode(docs.limit(0), PATH).collect() == []
+
+
+def test_every_code_point():
+    """In letters, after numbers, alone, and among combining marks; 128 to a text."""
+    real = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    texts = [" ".join(f"a{c}B1{c}\u0323 {c} a\u0301{c}\u0300" for c in real[i : i + 128]) for i in range(0, len(real), 128)]
+    for text, said in zip(texts, LIBRARY.encode_batch(texts, add_special_tokens=False), strict=True):
+        assert OURS.encode(text)[0] == " ".join(map(str, said.ids)), hex(ord(text[1]))
+
+
+def test_every_canonical_pair():
+    for c in range(0x110000):
+        if (parts := unicodedata.decomposition(chr(c))) and not parts.startswith("<"):
+            text = "".join(chr(int(x, 16)) for x in parts.split())
+            assert OURS.encode(text) == library(text), hex(c)
