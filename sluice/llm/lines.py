@@ -5,7 +5,8 @@ their words are equal, or, from LEAST words on, if one word edit (substitution,
 one into the other. A line is dropped if an earlier line of the corpus matches it; lines without words stay.
 Earlier means: smaller doc_id (null first), then smaller hash of the row, then smaller line number. Rows
 that are equal in doc_id and text count as one and get the same verdict. A null text has no lines, and stays
-null; an empty text is one line without words.
+null; an empty text is one line without words. Columns called n_lines and n_dropped are replaced, others left alone;
+an empty table gives no rows. The search joins by hashes, so ties and long lines need nothing else.
 
 Every line of n words stands for itself and for its n variants with one word deleted. Equal variants at the
 same place and length are substitutions; a variant equal to a whole line is an insertion or deletion. Two
@@ -21,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import discard, release, stored, table
+from .common import Scratch, stored, table
 
 NAME = "op9_line_dedup"
 LEAST = 8
@@ -33,9 +34,15 @@ BLOCK = 256
 DIRECT = 4096
 
 
+def lowered(text: Column) -> Column:
+    """In lower case, with blanks for other white space within lines."""
+    other = F.contains(text, F.lit("\t")) | F.contains(text, F.lit("\x0b")) | F.contains(text, F.lit("\x0c")) | F.contains(text, F.lit("\r"))
+    return F.lower(F.when(other, F.translate(text, "\t\x0b\x0c\r", "    ")).otherwise(text))
+
+
 def line_words(line: Column) -> Column:
-    """Words in lower case; a line holds no line feed."""
-    return F.array_remove(F.split(F.translate(F.lower(line), "\t\x0b\x0c\r", "    "), " "), "")
+    """Words of a lowered line; a line holds no line feed."""
+    return F.array_remove(F.split(line, " "), "")
 
 
 def row_keys(text: Column) -> list[Column]:
@@ -44,19 +51,19 @@ def row_keys(text: Column) -> list[Column]:
 
 def line_rows(docs: DataFrame) -> DataFrame:
     """k1, k2, doc_id, i, words of every line with words."""
-    rows = docs.select("doc_id", *row_keys(F.col("text")), F.posexplode(F.split("text", "\n", -1)).alias("i", "line"))
+    rows = docs.select("doc_id", *row_keys(F.col("text")), F.posexplode(F.split(lowered(F.col("text")), "\n", -1)).alias("i", "line"))
     return rows.select("doc_id", "k1", "k2", "i", line_words(F.col("line")).alias("words")).filter(F.size("words") > 0)
 
 
-def half_keys(words: Column, n: Column) -> Column:
-    """Hashes of the first and last halves, for the line's own length and the length next to it."""
+def half_keys(words: Column, n: Column, least: int) -> Column:
+    """Hashes of the first and last halves, for the line's own length and the length next to it; null below `least` words."""
     def key(side: int, length: Column) -> Column:
         part = F.slice(words, F.lit(1), length) if side == 0 else F.slice(words, n - length + 1, length)
         return F.struct(F.lit(side).alias("side"), F.xxhash64(F.lit(side), length, part).alias("key"))
 
     down = lambda x: F.floor(x / 2).cast("int")
     keys = F.array(key(0, down(n)), key(0, down(n - 1)), key(1, down(n + 1)), key(1, down(n)))
-    return F.when(n >= LEAST, F.array_distinct(keys))
+    return F.when(n >= least, keys)
 
 
 def prefix_sums(words: Column, prime: int, base: int) -> Column:
@@ -126,32 +133,27 @@ def variants(lines: DataFrame, direct: int = DIRECT) -> DataFrame:
     return short_variants(spread.filter(F.col("n") <= direct)).unionByName(beyond)
 
 
-def verdicts(docs: DataFrame) -> DataFrame:
-    """k1, k2, i and whether the line is kept, for every line with words."""
-    spark = docs.sparkSession
+def kept_lines(docs: DataFrame, work: Scratch, least: int = LEAST) -> DataFrame:
+    """k1, k2, i of every line with words that no earlier line matches."""
     n = F.size("words")
-    plain = line_rows(docs).select(
-        "doc_id", "k1", "k2", "i", F.xxhash64("words").alias("h"), F.xxhash64(F.lit(3), F.col("words")).alias("h2"), n.alias("n"), half_keys(F.col("words"), n).alias("halves")
-    )
+    plain = line_rows(docs).select("doc_id", "k1", "k2", "i", F.xxhash64("words").alias("h"), F.xxhash64(F.lit(3), F.col("words")).alias("h2"), n.alias("n"), half_keys(F.col("words"), n, least).alias("halves"))
     position = F.struct("doc_id", "k1", "i", "k2")
-    distinct = stored(plain.groupBy("h", "h2").agg(F.min(F.struct(position.alias("at"), F.col("n"), F.col("halves"))).alias("x")).select("h", "h2", "x.*"))
-    release(spark)
+    distinct = work.stored(plain.groupBy("h", "h2").agg(F.min(F.struct(position.alias("at"), F.col("n"), F.col("halves"))).alias("x")).select("h", "h2", "x.*"))
 
-    halves = distinct.filter("halves is not null").select("h", "h2", F.inline("halves"))
+    halves = distinct.filter("halves is not null").select("h", "h2", F.inline("halves")).distinct()
     shared = halves.groupBy("side", "key").agg(F.count(F.lit(1)).alias("times")).filter("times > 1")
     live = halves.join(shared.hint("shuffle_merge"), ["side", "key"], "left_semi").groupBy("h", "h2").agg(F.max(F.col("side") == 0).alias("tail_open"), F.max(F.col("side") == 1).alias("head_open"))
     live = distinct.select("h", "h2", "at", "n").join(live, ["h", "h2"])
     wanted = live.groupBy(F.col("at.k1").alias("k1"), F.col("at.k2").alias("k2")).agg(F.collect_list(F.struct("at.i", "h", "h2", "at", "n", "tail_open", "head_open")).alias("lines"))  # lines of one row
     texts = docs.select(*row_keys(F.col("text")), "text").join(wanted, ["k1", "k2"])
-    cut = texts.select(F.split("text", "\n", -1).alias("all"), F.explode("lines").alias("x")).select("x.*", F.get("all", F.col("x.i")).alias("line"))
-    open_lines = stored(cut.select("h", "h2", "at", "n", "tail_open", "head_open", line_words(F.col("line")).alias("words")).dropDuplicates(["h", "h2"]))
-    release(spark)
+    cut = texts.select(F.split(lowered(F.col("text")), "\n", -1).alias("all"), F.explode("lines").alias("x")).select("x.*", F.get("all", F.col("x.i")).alias("line"))
+    open_lines = work.stored(cut.select("h", "h2", "at", "n", "tail_open", "head_open", line_words(F.col("line")).alias("words")).dropDuplicates(["h", "h2"]))
 
-    v = stored(variants(open_lines))
+    v = work.stored(variants(open_lines))
     at = open_lines.select("h", "h2", "at")
     # substitutions: variants of one length and place; each points to the earliest of its key
     often = v.filter("i >= 0").groupBy("key", "n", "i").agg(F.count(F.lit(1)).alias("times")).filter("times > 1")
-    groups = stored(v.filter("i >= 0").join(often.hint("shuffle_merge"), ["key", "n", "i"], "left_semi").join(at, ["h", "h2"]))
+    groups = work.stored(v.filter("i >= 0").join(often.hint("shuffle_merge"), ["key", "n", "i"], "left_semi").join(at, ["h", "h2"]))
     earliest = groups.groupBy("key", "n", "i").agg(F.min(F.struct("at", "h", "h2")).alias("e"))
     same = groups.join(earliest, ["key", "n", "i"]).filter("e.at < at").select("h", "h2", F.col("e.h").alias("eh"), F.col("e.h2").alias("eh2"), F.lit(None).cast("int").alias("gap"), F.lit(False).alias("longer"))
     # insertions and deletions: a variant that is a whole line
@@ -168,33 +170,34 @@ def verdicts(docs: DataFrame) -> DataFrame:
     long_words, short_words = F.when(F.col("longer"), F.col("words")).otherwise(F.col("others")), F.when(F.col("longer"), F.col("others")).otherwise(F.col("words"))
     cut_words = F.concat(F.slice(long_words, F.lit(1), F.col("gap")), F.slice(long_words, F.col("gap") + 2, F.size(long_words)))
     one = F.size(F.filter(F.zip_with("words", "others", lambda a, b: ~a.eqNullSafe(b)), lambda x: x)) == 1
-    near = stored(checked.filter(F.when(F.col("gap").isNull(), one).otherwise(cut_words == short_words)).select("h", "h2").distinct())
-    discard(v, groups, open_lines)
+    near = work.stored(checked.filter(F.when(F.col("gap").isNull(), one).otherwise(cut_words == short_words)).select("h", "h2").distinct())
+    work.discard(v, groups, open_lines)
+    return distinct.select("h", "h2", "at").join(near, ["h", "h2"], "left_anti").select("at.k1", "at.k2", "at.i")
 
-    first = distinct.select("h", "h2", F.col("at").alias("first")).join(near.withColumn("near", F.lit(True)), ["h", "h2"], "left")
-    met_first = plain.select("h", "h2", "k1", "k2", "i").join(first, ["h", "h2"])
-    is_first = (F.col("first.k1") == F.col("k1")) & (F.col("first.k2") == F.col("k2")) & (F.col("first.i") == F.col("i"))
-    return met_first.select("k1", "k2", "i", (F.col("near").isNull() & is_first).alias("keep"))
+
+def dedup(docs: DataFrame, least: int = LEAST) -> DataFrame:
+    """docs with `text` cut to its kept lines, and n_lines, n_dropped; other columns as they are.
+
+    least: lines of fewer words (at least 2) match only if equal.
+    """
+    with Scratch(docs.sparkSession) as work:
+        kept = work.stored(kept_lines(docs, work, least).groupBy("k1", "k2").agg(F.sort_array(F.collect_list("i")).alias("stay")))  # lines of one row
+        return stored(_cut(docs, kept))
 
 
-def dedup(docs: DataFrame) -> DataFrame:
-    """docs with `text` cut to its kept lines, and n_lines, n_dropped; other columns as they are."""
-    judged = verdicts(docs).filter("not keep").distinct()  # equal rows give equal verdicts
-    dropped = judged.groupBy("k1", "k2").agg(F.sort_array(F.collect_list("i")).alias("gone"))  # lines of one row
+def _cut(docs: DataFrame, kept: DataFrame) -> DataFrame:
     keyed = docs.select("*", *(c.alias(f"__{x}") for c, x in zip(row_keys(F.col("text")), ("k1", "k2"), strict=True)))
-    joined = keyed.join(dropped.select(F.col("k1").alias("__k1"), F.col("k2").alias("__k2"), F.col("gone").alias("__gone")), ["__k1", "__k2"], "left").drop("__k1", "__k2")
-    joined = joined.withColumn("__lines", F.when(F.col("__gone").isNotNull(), F.split("text", "\n", -1)))
-    lines = F.col("__lines")
-    # lines between two dropped ones are one slice each: linear in lines and drops
-    edges = F.concat(F.array(F.lit(-1)), F.col("__gone"), F.array(F.size(lines)))
-    joined = joined.withColumn("__edges", edges)
-    spans = F.transform(F.sequence(F.lit(1), F.size("__gone") + 1), lambda j: F.slice(lines, F.get("__edges", j - 1) + 2, F.get("__edges", j) - F.get("__edges", j - 1) - 1))
-    text = F.when(F.col("__gone").isNull(), F.col("text")).otherwise(F.array_join(F.flatten(spans), "\n"))
-    breaks = F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1
+    joined = keyed.join(kept.select(F.col("k1").alias("__k1"), F.col("k2").alias("__k2"), F.col("stay").alias("__stay")), ["__k1", "__k2"], "left").drop("__k1", "__k2")
+    joined = joined.withColumn("__lines", F.split("text", "\n", -1))
+    # lines without words stay too: merged by place with the kept ones
+    bare = F.filter(F.sequence(F.lit(0), F.size("__lines") - 1), lambda j: ~F.get("__lines", j).rlike(r"[^\x20\x09-\x0D]"))
+    joined = joined.withColumn("__stay", F.when(F.col("text").isNotNull(), F.array_sort(F.concat(F.coalesce("__stay", F.array().cast("array<int>")), bare))))
+    whole = F.size("__stay") == F.size("__lines")
+    text = F.when(whole, F.col("text")).otherwise(F.array_join(F.transform("__stay", lambda j: F.get("__lines", j)), "\n"))
     return joined.select(
         *(text.alias(c) if c == "text" else F.col(c) for c in docs.columns if c not in ("n_lines", "n_dropped")),
-        F.coalesce(breaks, F.lit(0)).cast("long").alias("n_lines"),
-        F.when(F.col("__gone").isNull(), 0).otherwise(F.size("__gone")).cast("long").alias("n_dropped"),
+        F.when(F.col("text").isNull(), 0).otherwise(F.size("__lines")).cast("long").alias("n_lines"),
+        F.when(F.col("text").isNull(), 0).otherwise(F.size("__lines") - F.size("__stay")).cast("long").alias("n_dropped"),
     )
 
 
