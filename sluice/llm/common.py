@@ -43,10 +43,15 @@ def stored(df: DataFrame) -> DataFrame:
 
 def discard(*frames: DataFrame) -> None:
     """Delete stored results that nothing will read again, and let shuffle files go."""
+    delete(*frames)
+    release(frames[0].sparkSession)
+
+
+def delete(*frames: DataFrame) -> None:
+    """Delete stored results that nothing will read again."""
     for df in frames:
         path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.stored_at)
         path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
-    release(frames[0].sparkSession)
 
 
 class Scratch:
@@ -61,7 +66,6 @@ class Scratch:
     def stored(self, df: DataFrame) -> DataFrame:
         out = stored(df)
         self.frames.append(out)
-        release(self.spark)
         return out
 
     def discard(self, *frames: DataFrame) -> None:

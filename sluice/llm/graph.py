@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, stored
+from .common import delete, stored
 
 
 def _both(edges: DataFrame) -> DataFrame:
@@ -30,7 +30,7 @@ def components(edges: DataFrame) -> DataFrame:
         small = moved.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(moved.select("a", F.col("m").alias("b"))).filter("a <> b").distinct()
         after = stored(small)
         # stars: nobody is both a leaf and a root, and each leaf has one root
-        discard(now)
+        delete(now)
         roots = after.select(F.col("b").alias("a")).distinct()
         if after.join(roots, "a", "left_semi").isEmpty() and after.groupBy("a").count().filter("count > 1").isEmpty():
             leaves = after.select(F.col("a").alias("node"), F.col("b").alias("root"))

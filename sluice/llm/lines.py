@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, stored, table
+from .common import Scratch, release, stored, table
 
 NAME = "op9_line_dedup"
 LEAST = 8
@@ -139,6 +139,7 @@ def kept_lines(docs: DataFrame, work: Scratch, least: int = LEAST) -> DataFrame:
     plain = line_rows(docs).select("doc_id", "k1", "k2", "i", F.xxhash64("words").alias("h"), F.xxhash64(F.lit(3), F.col("words")).alias("h2"), n.alias("n"), half_keys(F.col("words"), n, least).alias("halves"))
     position = F.struct("doc_id", "k1", "i", "k2")
     distinct = work.stored(plain.groupBy("h", "h2").agg(F.min(F.struct(position.alias("at"), F.col("n"), F.col("halves"))).alias("x")).select("h", "h2", "x.*"))
+    release(docs.sparkSession)
 
     halves = distinct.filter("halves is not null").select("h", "h2", F.inline("halves")).distinct()
     shared = halves.groupBy("side", "key").agg(F.count(F.lit(1)).alias("times")).filter("times > 1")
@@ -149,6 +150,7 @@ def kept_lines(docs: DataFrame, work: Scratch, least: int = LEAST) -> DataFrame:
     cut = texts.select(F.split(lowered(F.col("text")), "\n", -1).alias("all"), F.explode("lines").alias("x")).select("x.*", F.get("all", F.col("x.i")).alias("line"))
     open_lines = work.stored(cut.select("h", "h2", "at", "n", "tail_open", "head_open", line_words(F.col("line")).alias("words")).dropDuplicates(["h", "h2"]))
 
+    release(docs.sparkSession)
     v = work.stored(variants(open_lines))
     at = open_lines.select("h", "h2", "at")
     # substitutions: variants of one length and place; each points to the earliest of its key

@@ -9,13 +9,17 @@ key; classes that share a key link, no check needed. Large sets (heavy): inverte
 prefix are scanned; any two similar sets share a token in their prefixes, since all sets are ordered alike
 (frequent tokens last). The boundary is the size where the summed cost of both ways is least.
 
-Lists are never expanded to all pairs at once. First every class is checked against one pivot of its lists
-and components are formed; then only classes of different components that share a list are paired, the
-likeliest pair of each two components before all others, filtered by size and by a parity sketch (the number of differing bits never exceeds the size of the symmetric
-difference), and verified on their texts. Pairs within a component need no check: the result is components.
+Lists are never expanded to all pairs. First every class is checked against one pivot of its lists and
+components are formed. Then the lists that still hold several components are scanned in bounded blocks, and
+classes of different components are paired where their sizes, the number of lists that linked sets of these
+sizes must share, and a parity sketch allow it. The number of differing places of two sketches never exceeds
+the size of the symmetric difference; sketches are as long as the sets, so that few pairs pass that are not
+alike. What passes is verified on whole texts, the likeliest pair of each two components before all others.
+Pairs within a component need no check: the result is components.
 
 Null, empty and blank texts have empty sets, which link with nothing. Repeated rows each get their row; a
-null doc_id never names a component unless all its members are null.
+null doc_id never names a component unless all its members are null. Very long texts are taken whole; an
+empty table gives no rows. Only doc_id and text are read, so other columns never clash.
 """
 
 from __future__ import annotations
@@ -26,10 +30,10 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import LOWER_VALUE, Prefix, Scratch, chunks, inside, mix, rolling, stored, table, words
+from .common import LOWER_VALUE, Prefix, Scratch, chunks, inside, mix, release, rolling, stored, table, words
 from .graph import components
 
 NAME = "op4_jaccard_join"
@@ -40,7 +44,7 @@ HOT_IN_BATCH = 4
 LIGHTEST, HEAVIEST = 0, 10  # sizes between which the boundary may lie
 BITS = 8  # 64-bit words of a folded sketch, and the least of a whole one
 PART = 4096  # rows of a part of a frequent token's list
-LOT = 2048  # rows of a block of a list in the second round
+LOT = 512  # rows of a block of a list in the second round
 
 
 def needed(a: int, b: int) -> int:
@@ -252,12 +256,23 @@ def differing(names: list[str]) -> Column:
     return sum((F.bit_count(F.col(s).bitwiseXOR(F.col(f"o_{s}"))) for s in names), F.lit(0))
 
 
+def least_shared(a: Column, b: Column) -> Column:
+    """Least number of tokens that the prefixes of linked sets of sizes a and b share.
+
+    Of at least o = needed(a, b) shared tokens, the k-th is at place a - o + k or before in the one set, and at
+    b - o + k in the other: all are in both prefixes up to o - (larger size - its prefix).
+    """
+    whole = lambda x, per: F.floor((x + per - 1) / per)
+    return F.greatest(F.lit(1), whole(PERCENT * (a + b), 100 + PERCENT) - whole(PERCENT * F.greatest(a, b), 100) + 1)
+
+
 def likely(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs (a, b) that size and sketches allow, with the number of differing places: folded sketches first, whole ones last."""
-    one = classes.select(F.col("c").alias("a"), F.col("n").alias("na"), *SKETCH)
-    two = classes.select(F.col("c").alias("b"), F.col("n").alias("nb"), *(F.col(s).alias(f"o_{s}") for s in SKETCH))
-    apart = F.floor((F.col("na") + F.col("nb")) * (100 - PERCENT) / (100 + PERCENT))
-    fits = (100 * F.least("na", "nb") >= PERCENT * F.greatest("na", "nb")) & (differing(SKETCH) <= apart)
+    """Pairs (a, b) that size, shared tokens and sketches allow, with the number of differing places: folded sketches first, whole ones last."""
+    one = classes.select(F.col("c").alias("a"), F.col("n").alias("na"), F.col("open").alias("oa"), *SKETCH)
+    two = classes.select(F.col("c").alias("b"), F.col("n").alias("nb"), F.col("open").alias("ob"), *(F.col(s).alias(f"o_{s}") for s in SKETCH))
+    na, nb = F.col("na"), F.col("nb")
+    apart = F.floor((na + nb) * (100 - PERCENT) / (100 + PERCENT))
+    fits = (100 * F.least(na, nb) >= PERCENT * F.greatest(na, nb)) & (F.least("oa", "ob") >= least_shared(na, nb)) & (differing(SKETCH) <= apart)
     met = pairs.join(one, "a").join(two, "b").filter(fits).select("a", "b", apart.alias("most"))
     met = met.join(classes.select(F.col("c").alias("a"), F.col("sketch").alias("sa")), "a").join(classes.select(F.col("c").alias("b"), F.col("sketch").alias("sb")), "b").select("a", "b", "most", "sa", "sb")
 
@@ -271,21 +286,23 @@ def likely(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def met_in_lists(rows: DataFrame) -> DataFrame:
-    """Pairs (a, b) of different roots that share a list, where size and half the folded sketch allow it.
+    """Pairs (a, b) of different roots that share a list, where size, rank and half the folded sketch allow it.
 
-    rows: token, m (length of the list), c, n, root and HALF. A list lies in blocks of about LOT rows, and each two
+    rows: token, m (length of the list), c, n, root, rank and HALF. rank: how many of the set's lists are as long as
+    this one or longer. The shortest list that linked sets share has for both at least the rank of the number of
+    lists they must share, so that they need to meet in that one alone. A list lies in blocks of about LOT rows, and each two
     blocks of one list, in order of size, pass through one task: a set meets those up to a third larger, and only
     pairs that pass the filters are ever made.
     """
     blocks = F.floor((F.col("m") + LOT - 1) / LOT).cast("int")
     mine = F.pmod(F.xxhash64("c"), blocks).cast("int").alias("mine")
     dealt = rows.select("*", mine, blocks.alias("blocks")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("token", F.least("mine", "other").alias("lo"), F.greatest("mine", "other").alias("hi"), "mine", "c", "n", "root", *HALF)
+    dealt = dealt.select("token", F.least("mine", "other").alias("lo"), F.greatest("mine", "other").alias("hi"), "mine", "c", "n", "root", "rank", *HALF)
     ordered = dealt.repartition("token", "lo", "hi").sortWithinPartitions("token", "lo", "hi", "n")
-    ordered = ordered.select("token", "lo", "hi", "mine", "c", "n", "root", *HALF)
+    ordered = ordered.select("token", "lo", "hi", "mine", "c", "n", "root", "rank", *HALF)
 
     def pairs(columns: list[np.ndarray]) -> pa.RecordBatch:
-        token, lo, hi, mine, c, n, root, *half = columns
+        token, lo, hi, mine, c, n, root, rank, *half = columns
         half = np.stack(half, 1) if len(token) else np.zeros((0, len(HALF)), np.int64)
         at, step, out = np.arange(len(token)), 1, []
         while len(at):
@@ -295,6 +312,9 @@ def met_in_lists(rows: DataFrame) -> DataFrame:
             at, to = at[near], to[near]
             good = (root[at] != root[to]) & ((lo[at] == hi[at]) | (mine[at] != mine[to]))
             x, y = at[good], to[good]
+            shared = np.maximum(1, -(-PERCENT * (n[x] + n[y]) // (100 + PERCENT)) + -PERCENT * n[y] // 100 + 1)  # n[y] is the larger
+            ranked = np.minimum(rank[x], rank[y]) >= shared
+            x, y = x[ranked], y[ranked]
             bits = np.bitwise_count(half[x] ^ half[y]).sum(1, dtype=np.int64)
             fits = bits * (100 + PERCENT) <= (n[x] + n[y]) * (100 - PERCENT)
             out.append(np.stack([np.minimum(c[x[fits]], c[y[fits]]), np.maximum(c[x[fits]], c[y[fits]])], 1))
@@ -336,26 +356,36 @@ def _components(docs: DataFrame, work: Scratch) -> DataFrame:
 
     # heavy: one shuffle of the prefixes gives the lists of at least two classes, their pivots and their members
     heavy = prefixes(docs, most, hot, times).repartition("token", "part")
-    pivots = heavy.groupBy("token", "part").agg(F.min("c").alias("p"), F.max("c").alias("last")).filter("part >= 0 or p <> last").select("token", "part", "p")
-    members = work.stored(heavy.join(pivots.hint("merge"), ["token", "part"]).distinct())
+    pivots = heavy.groupBy("token", "part").agg(F.min("c").alias("p"), F.max("c").alias("last"), F.count(F.lit(1)).alias("m")).filter("part >= 0 or p <> last")
+    longest = F.when(F.col("part") >= 0, 1 << 40).otherwise(F.col("m"))  # lists in parts are the longest of all
+    met_lists = heavy.join(pivots.select("token", "part", "p", longest.alias("m")).hint("merge"), ["token", "part"]).distinct()
+    ranked = F.row_number().over(Window.partitionBy("c").orderBy(F.desc("m"), F.desc("token")))  # the lists of one set
+    members = work.stored(met_lists.withColumn("rank", ranked).drop("m"))
+    release(docs.sparkSession)
     # light: classes that share a subset key link with the key's first class of the smaller size
     light = subset_keys(rows.select("c", "n", "small").filter(F.col("n").between(1, most)).dropDuplicates(["c"]), most)
     lows = light.filter("low").groupBy("key").agg(F.min("c").alias("p"))
     light_links = work.stored(light.join(lows.hint("merge"), "key").filter("c <> p").select(F.col("c").alias("a"), F.col("p").alias("b")).distinct())
 
-    ones = rows.join(members.select("c").distinct().hint("merge"), "c", "left_semi").groupBy("c").agg(F.min(F.struct("k1", "k2", "n", *SKETCH, "sketch")).alias("x"))
-    near = work.stored(ones.select("c", "x.*"))
+    lists = members.groupBy("c").agg(F.max("rank").alias("open"))
+    ones = rows.join(lists.hint("merge"), "c").groupBy("c", "open").agg(F.min(F.struct("k1", "k2", "n", *SKETCH, "sketch")).alias("x"))
+    near = work.stored(ones.select("c", "open", "x.*"))
 
     def texts_of(pairs: DataFrame) -> DataFrame:
         """(c, text) of the classes in pairs."""
         wanted = near.select("c", "k1", "k2").join(pairs.select(F.explode(F.array("a", "b")).alias("c")).distinct().hint("merge"), "c", "left_semi")
         keyed = docs.select(*row_keys(), "text")
-        return work.stored(keyed.join(wanted.hint("merge"), ["k1", "k2"]).select("c", "text").dropDuplicates(["c"]))
-
-    # first round: each class meets the pivots of its lists, and pivots of parts that of their list
-    tops_of_parts = members.filter("part >= 0").select("token", "p").distinct()
-    between = tops_of_parts.join(tops_of_parts.groupBy("token").agg(F.min("p").alias("top")), "token").filter("p <> top").select(F.col("p").alias("a"), F.col("top").alias("b"))
-    met = members.filter("c <> p").select(F.col("c").alias("a"), F.col("p").alias("b")).unionByName(between)
+        texts = work.stored(keyed.join(wanted.hint("merge"), ["k1", "k2"]).select("c", "text").dropDuplicates(["c"]))
+        release(docs.sparkSession)
+        return texts
+
+    # first round: each class meets the pivots of its lists; for lists in parts, the two pivots met most often or smallest
+    split = members.filter("part >= 0").select("token", "c", "p")
+    tops_of_lists = split.groupBy("token").agg(F.min("p").alias("p"))  # HOT_TOKENS rows at most
+    often = split.select("token", "c").join(F.broadcast(tops_of_lists), "token").filter("c <> p").groupBy("c", "p").agg(F.count(F.lit(1)).alias("times"))
+    two = often.groupBy("c").agg(F.min("p").alias("x"), F.max(F.struct("times", "p")).alias("y"))
+    between = two.select(F.col("c").alias("a"), F.explode(F.array("x", "y.p")).alias("b"))
+    met = members.filter("part < 0 and c <> p").select(F.col("c").alias("a"), F.col("p").alias("b")).unionByName(between)
     first = work.stored(likely(met.distinct(), near))
     texts = texts_of(first)
     best = first.groupBy("a").agg(F.min(F.struct("bits", "b")).alias("x")).select("a", "x.b")
@@ -364,7 +394,7 @@ def _components(docs: DataFrame, work: Scratch) -> DataFrame:
     joined = components(links)
 
     # second round: classes of different components that share a list; in a list of one part its pivot has met all others
-    open_rows = members.filter("part >= 0 or c <> p").select("token", "c", "n").distinct()
+    open_rows = members.filter("part >= 0 or c <> p").select("token", "c", "n", "rank")
     labelled = work.stored(open_rows.join(joined.select(F.col("node").alias("c"), "root"), "c", "left").withColumn("root", F.coalesce("root", "c")))
     work.discard(members)
     mixed = labelled.groupBy("token").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count(F.lit(1)).alias("m")).filter("x <> y").select("token", "m")
