@@ -5,12 +5,14 @@ ways to cut it into pieces of the product of their probabilities (forward algori
 the product over its words. Words are maximal runs of letters (and of
 numerals other than digits, such as fractions) in lower case, as UTF-8 bytes; the last
 piece of a word comes from the pieces that end words. All single bytes are pieces, so every word has a
-segmentation. Words of over BLOCK bytes are scored in blocks of BLOCK bytes.
+segmentation. Words of any length are summed in one forward pass, rescaled as it goes.
 
 Piece probabilities are fitted by expectation maximisation on a bounded sample of labelled rows: about
 TRAINING documents of each language, those whose hash falls under a rate set by the language's row count.
 Every document is scored, whole. A null text or one without a letter is `und` with score 0; so is every
-text if nothing was learned. Repeated rows each get their row.
+text if nothing was learned. Of languages that score alike the first in order wins. Repeated rows each get their
+row; an empty table gives none. A null doc_id is neither held out nor learned from. In
+identify(), a kept column called lang_pred or score gives way to the result's.
 """
 
 from __future__ import annotations
@@ -31,9 +33,10 @@ from .common import table
 NAME = "op3_language_id"
 TRAINING = 250
 ROUNDS = 2
-BLOCK = 48
 SMOOTHING = 0.05
+RESCALE = 16  # bytes: probabilities of all ways over this stretch stay well within a double
 REMEMBERED = 500_000
+SHORT = 48  # letters of the longest words that are remembered
 LETTERS = re.compile(r"[^\W\d_]+")
 
 
@@ -71,11 +74,6 @@ def pieces(path: str) -> Pieces:
     return _pieces[path]
 
 
-def word_blocks(word: str) -> list[bytes]:
-    raw = word.encode("utf-8", "surrogatepass")
-    return [raw] if len(raw) <= BLOCK else [raw[i : i + BLOCK] for i in range(0, len(raw), BLOCK)]
-
-
 def text_words(text: str | None) -> list[str]:
     return LETTERS.findall(text.lower()) if text else []
 
@@ -83,36 +81,45 @@ def text_words(text: str | None) -> list[str]:
 def log_probabilities(word: str, vocabulary: Pieces, p: dict[int, tuple[float, ...]], rest: tuple[float, ...]) -> tuple[float, ...]:
     """log P(word) in each language: the forward sum over all segmentations."""
     k = len(rest)
-    total = [0.0] * k
-    for block in word_blocks(word):
-        forward = [(1.0,) * k]
-        for arcs in vocabulary.lattice(block):
-            here = [0.0] * k
-            for a, piece in arcs:
-                prob, before = p.get(piece, rest), forward[a]
-                for i in range(k):
-                    here[i] += before[i] * prob[i]
-            forward.append(here)
-        for i in range(k):
-            total[i] += math.log(max(forward[-1][i], 1e-300))
-    return tuple(total)
+    some = range(k)
+    forward, total = [[1.0] * k], [0.0] * k
+    longest = vocabulary.longest
+    raw = word.encode("utf-8", "surrogatepass")
+    for end, arcs in enumerate(vocabulary.lattice(raw), 1):
+        here = [0.0] * k
+        for a, piece in arcs:
+            prob, before = p.get(piece, rest), forward[a]
+            for i in some:
+                here[i] += before[i] * prob[i]
+        forward.append(here)
+        if end % RESCALE == 0:  # what later places look back to is brought near 1
+            for i in some:
+                top = max(f[i] for f in forward[max(0, end - longest) :])
+                total[i] += math.log(top)
+                for f in forward[max(0, end - longest) :]:
+                    f[i] /= top
+    return tuple(total[i] + math.log(forward[-1][i]) for i in some)
 
 
 def expected_counts(word: str, weight: float, vocabulary: Pieces, p: dict[int, float], rest: float, out: dict[int, float]) -> None:
-    """Add the expected number of times each piece is used in the word's segmentations (forward-backward)."""
-    for block in word_blocks(word):
-        lattice = vocabulary.lattice(block)
-        n = len(lattice)
-        forward, backward = [1.0] + [0.0] * n, [0.0] * n + [1.0]
-        for end, arcs in enumerate(lattice, 1):
-            forward[end] = sum(forward[a] * p.get(x, rest) for a, x in arcs)
-        for end in range(n, 0, -1):
-            for a, x in lattice[end - 1]:
-                backward[a] += backward[end] * p.get(x, rest)
-        if forward[n] > 0:
-            for end, arcs in enumerate(lattice, 1):
-                for a, x in arcs:
-                    out[x] = out.get(x, 0.0) + weight * forward[a] * p.get(x, rest) * backward[end] / forward[n]
+    """Add the expected number of times each piece is used in the word's segmentations (forward-backward, each place with its own scale)."""
+    lattice = vocabulary.lattice(word.encode("utf-8", "surrogatepass"))
+    n = len(lattice)
+    forward, scale = [1.0] + [0.0] * n, [0.0] * (n + 1)  # the sum at a place is forward * e**scale
+    for end, arcs in enumerate(lattice, 1):
+        high = scale[end - 1]
+        got = sum(forward[a] * math.exp(scale[a] - high) * p.get(x, rest) for a, x in arcs)
+        forward[end], scale[end] = 1.0, high + math.log(got)
+    backward = [-math.inf] * n + [0.0]  # in logarithms: a place's sum over what may follow
+    for end in range(n, 0, -1):
+        for a, x in lattice[end - 1]:
+            one, two = backward[a], backward[end] + math.log(p.get(x, rest))
+            top = max(one, two)
+            backward[a] = top + math.log(math.exp(one - top) + math.exp(two - top))
+    for end, arcs in enumerate(lattice, 1):
+        for a, x in arcs:
+            share = p.get(x, rest) * math.exp(scale[a] + backward[end] - scale[n])
+            out[x] = out.get(x, 0.0) + weight * share
 
 
 class Model:
@@ -185,7 +192,7 @@ class Scorer:
             if len(self.known) >= REMEMBERED:
                 self.known.clear()
             got = log_probabilities(word, self.vocabulary, self.p, self.rest)
-            if len(word) <= BLOCK:
+            if len(word) <= SHORT:
                 self.known[word] = got
         return got
 
@@ -203,6 +210,7 @@ def identify(docs: DataFrame, model: Model, path: str, keep: tuple[str, ...] = (
     """lang_pred and score of every row's text, beside the columns in `keep`."""
     shared = docs.sparkSession.sparkContext.broadcast((model.languages, model.p, model.rest))
     fields = {f.name: f.dataType.simpleString() for f in docs.schema}
+    keep = tuple(k for k in keep if k not in ("lang_pred", "score"))
     schema = ", ".join([*(f"`{k}` {fields[k]}" for k in keep), "lang_pred string", "score double"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

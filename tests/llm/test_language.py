@@ -1,5 +1,6 @@
 import itertools
 import math
+import random
 
 from pyspark.sql import functions as F
 
@@ -32,6 +33,50 @@ def test_forward_sums_all_segmentations():
             assert math.isclose(got[i], brute(word, pieces, p, rest, i), rel_tol=1e-9)
 
 
+def test_long_words_are_one_sum():
+    pieces = language.pieces(PATH)
+    rng = random.Random(2)
+    p = {i: (rng.random() / 500, rng.random() / 900) for i in range(0, pieces.size, 3)}
+    rest = (1e-7, 2e-7)
+    word = "".join(rng.choice("abcdeéßñ語") for _ in range(10_000))
+    got = language.log_probabilities(word, pieces, p, rest)
+    for i in range(2):  # the same sum in exact logarithms
+        logs = [0.0]
+        for arcs in pieces.lattice(word.encode()):
+            terms = [logs[a] + math.log(p.get(x, rest)[i]) for a, x in arcs]
+            logs.append(max(terms) + math.log(sum(math.exp(t - max(terms)) for t in terms)))
+        assert math.isclose(got[i], logs[-1], rel_tol=1e-9)
+
+
+def test_expected_counts_against_brute_force():
+    pieces = language.pieces(PATH)
+    p = {i: 0.001 + i % 7 / 1000 for i in range(0, pieces.size, 3)}
+    for word in ("a", "the", "rest", "été", "nation"):
+        got, want, total = {}, {}, 0.0
+        language.expected_counts(word, 2.0, pieces, p, 1e-4, got)
+        raw = word.encode()
+        for cuts in itertools.product([0, 1], repeat=len(raw) - 1):
+            places = [0, *(k + 1 for k, c in enumerate(cuts) if c), len(raw)]
+            found = [(pieces.final if b == len(raw) else pieces.inner).get(raw[a:b]) for a, b in zip(places, places[1:])]
+            if None not in found:
+                prob = math.prod(p.get(x, 1e-4) for x in found)
+                total += prob
+                for x in found:
+                    want[x] = want.get(x, 0.0) + prob
+        assert got.keys() == want.keys() and all(math.isclose(got[x], 2.0 * want[x] / total, rel_tol=1e-9) for x in want)
+    long, n = {}, 3000
+    language.expected_counts("e" * n, 1.0, pieces, p, 1e-4, long)
+    lengths = {i: len(raw) for known in (pieces.inner, pieces.final) for raw, i in known.items()}
+    assert math.isclose(sum(lengths[x] * v for x, v in long.items()), n, rel_tol=1e-6)  # every byte is covered once
+
+
+def test_kept_columns_give_way(spark):
+    docs = spark.createDataFrame([(1, "the cat", "en", "x", 2)], "doc_id long, text string, lang string, score string, lang_pred int")
+    model = language.fit(docs, PATH)
+    got = language.identify(docs, model, PATH, keep=tuple(docs.columns))
+    assert got.columns == ["doc_id", "text", "lang", "lang_pred", "score"] and got.first().lang_pred == "en"
+
+
 def test_rows(spark):
     texts = {"en": "the cat and the dog are in the house with them", "de": "der hund und die katze sind nicht mit ihnen im haus", "es": "el perro y los gatos no son de la casa para ellos"}
     rows = [(10 * i + k, f"{t} {i}", g, "x") for i in range(30) for k, (g, t) in enumerate(texts.items())]
