@@ -1,7 +1,11 @@
 """A corpus pipeline: language ID, line dedup, near-duplicate removal, decontamination, BPE encoding.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet and read again as
-the next one's docs. All but the last return the columns of documents.
+the next one's docs. All but the last return the columns of documents, and any extra ones, whatever their names.
+
+Null, empty and blank texts have no language and go in the first stage, so none reaches the others. Of rows that are
+alike the one of smallest doc_id (null first) stays, and one of rows equal in
+doc_id and text. An empty table, or one of which nothing is left, gives no rows. Very long texts are taken whole.
 """
 
 from __future__ import annotations
@@ -10,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.llm import bpe, decontaminate, language, lines, similar
-from sluice.llm.common import stored, table
+from sluice.llm.common import discard, stored, table
 
 #: A text whose best language has less than this share of the probability is rejected.
 SURE = 0.5
@@ -20,14 +24,20 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Rows with letters whose language is told with a probability of SURE or more; rows without text go."""
     path = language.default_vocabulary()
     model = language.fit(docs.filter(language.is_training(F.col("doc_id"))), path)
-    found = language.identify(docs, model, path, keep=tuple(docs.columns))
-    return found.filter((F.col("lang_pred") != "und") & (F.col("score") >= SURE)).select(*docs.columns)
+    own = {c: f"__own_{c}" for c in docs.columns if c in ("lang_pred", "score")}
+    renamed = docs.withColumnsRenamed(own)
+    found = language.identify(renamed, model, path, keep=tuple(renamed.columns))
+    sure = found.filter((F.col("lang_pred") != "und") & (F.col("score") >= SURE)).select(*renamed.columns)
+    return sure.withColumnsRenamed({v: k for k, v in own.items()})
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that an earlier line matches go, and rows of which no word is left; n_chars follows the text."""
-    found = lines.dedup(docs).filter(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
-    return found.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    own = {c: f"__own_{c}" for c in docs.columns if c in ("n_lines", "n_dropped")}
+    found = lines.dedup(docs.withColumnsRenamed(own)).drop("n_lines", "n_dropped").withColumnsRenamed({v: k for k, v in own.items()})
+    found = found.filter(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    counted = {"n_chars": F.length("text").cast("long")} if "n_chars" in docs.columns else {}
+    return found.withColumns(counted).select(*docs.columns)
 
 
 def join_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,10 +66,12 @@ STAGES = [
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
+    before = None
     for name, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-        if name != STAGES[-1][0]:
-            docs = stored(docs)
+        now = stored(stage(spark, docs, sf_dir))
+        if before is not None:
+            discard(before)
+        docs = before = now
     return docs
 
 
