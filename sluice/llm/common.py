@@ -66,6 +66,7 @@ class Scratch:
     def stored(self, df: DataFrame) -> DataFrame:
         out = stored(df)
         self.frames.append(out)
+        release(self.spark)
         return out
 
     def discard(self, *frames: DataFrame) -> None:

@@ -10,8 +10,9 @@ prefix are scanned; any two similar sets share a token in their prefixes, since
 (frequent tokens last). The boundary is the size where the summed cost of both ways is least.
 
 Lists are never expanded to all pairs. First every class is checked against one pivot of its lists and
-components are formed. Then the lists that still hold several components are scanned in bounded blocks, and
-classes of different components are paired where their sizes, the number of lists that linked sets of these
+components are formed. Then the lists that still hold several components are scanned in bounded blocks, for the
+likeliest partner of each class, and, once those are joined, for all that is left. Classes of different components
+are paired where their sizes, the number of lists that linked sets of these
 sizes must share, and a parity sketch allow it. The number of differing places of two sketches never exceeds
 the size of the symmetric difference; sketches are as long as the sets, so that few pairs pass that are not
 alike. What passes is verified on whole texts, the likeliest pair of each two components before all others.
@@ -92,11 +93,11 @@ def sums(values: np.ndarray, firsts: np.ndarray) -> np.ndarray:
 def sketches(tokens: np.ndarray, firsts: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
     """Parity of the number of tokens at each place of every text's sketch.
 
-    A sketch has a power of two places, twice the tokens or more. Returned: all sketches as 64-bit words, each
+    A sketch has a power of two places, four times the tokens or more. Returned: all sketches as 64-bit words, each
     one's first word (and one past), and all sketches folded to BITS words.
     """
     sizes = np.diff(firsts)
-    width = np.int64(64 * BITS) << np.maximum(0, np.ceil(np.log2(np.maximum(1, 2 * sizes) / (64 * BITS)))).astype(np.int64)
+    width = np.int64(64 * BITS) << np.maximum(0, np.ceil(np.log2(np.maximum(1, 4 * sizes) / (64 * BITS)))).astype(np.int64)
     begin = np.concatenate([[0], np.cumsum(width)])
     place = (mix(tokens ^ np.uint64(0xA5A5A5A5)) & np.repeat((width - 1).astype(np.uint64), sizes)).astype(np.int64) + np.repeat(begin[:-1], sizes)
     odd = (np.bincount(place, minlength=int(begin[-1])) & 1).astype(np.uint8)
@@ -122,7 +123,6 @@ def class_ids(tokens: np.ndarray, firsts: np.ndarray) -> np.ndarray:
 
 
 SKETCH = [f"s{i}" for i in range(BITS)]
-HALF = SKETCH[: BITS // 2]
 
 
 def once(ids: np.ndarray) -> np.ndarray:
@@ -285,10 +285,11 @@ def likely(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return met.mapInArrow(run, "a long, b long, bits long")
 
 
-def met_in_lists(rows: DataFrame) -> DataFrame:
-    """Pairs (a, b) of different roots that share a list, where size, rank and half the folded sketch allow it.
+def met_in_lists(rows: DataFrame, best: bool) -> DataFrame:
+    """Pairs (a, b) of different roots that share a list, where size, rank and folded sketches allow it.
 
-    rows: token, m (length of the list), c, n, root, rank and HALF. rank: how many of the set's lists are as long as
+    best: of each set's pairs in a block only the one of fewest differing places, so that what is made never
+    exceeds the rows read. rows: token, m (length of the list), c, n, root, rank and SKETCH. rank: how many of the set's lists are as long as
     this one or longer. The shortest list that linked sets share has for both at least the rank of the number of
     lists they must share, so that they need to meet in that one alone. A list lies in blocks of about LOT rows, and each two
     blocks of one list, in order of size, pass through one task: a set meets those up to a third larger, and only
@@ -297,14 +298,15 @@ def met_in_lists(rows: DataFrame) -> DataFrame:
     blocks = F.floor((F.col("m") + LOT - 1) / LOT).cast("int")
     mine = F.pmod(F.xxhash64("c"), blocks).cast("int").alias("mine")
     dealt = rows.select("*", mine, blocks.alias("blocks")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("token", F.least("mine", "other").alias("lo"), F.greatest("mine", "other").alias("hi"), "mine", "c", "n", "root", "rank", *HALF)
+    dealt = dealt.select("token", F.least("mine", "other").alias("lo"), F.greatest("mine", "other").alias("hi"), "mine", "c", "n", "root", "rank", *SKETCH)
     ordered = dealt.repartition("token", "lo", "hi").sortWithinPartitions("token", "lo", "hi", "n")
-    ordered = ordered.select("token", "lo", "hi", "mine", "c", "n", "root", "rank", *HALF)
+    ordered = ordered.select("token", "lo", "hi", "mine", "c", "n", "root", "rank", *SKETCH)
 
     def pairs(columns: list[np.ndarray]) -> pa.RecordBatch:
-        token, lo, hi, mine, c, n, root, rank, *half = columns
-        half = np.stack(half, 1) if len(token) else np.zeros((0, len(HALF)), np.int64)
-        at, step, out = np.arange(len(token)), 1, []
+        token, lo, hi, mine, c, n, root, rank, *sketch = columns
+        sketch = np.stack(sketch, 1).view(np.uint64)
+        at, step, found = np.arange(len(token)), 1, []
+        least, who = np.full(len(token), 1 << 30), np.full(len(token), -1)
         while len(at):
             at = at[at + step < len(token)]
             to = at + step
@@ -315,12 +317,22 @@ def met_in_lists(rows: DataFrame) -> DataFrame:
             shared = np.maximum(1, -(-PERCENT * (n[x] + n[y]) // (100 + PERCENT)) + -PERCENT * n[y] // 100 + 1)  # n[y] is the larger
             ranked = np.minimum(rank[x], rank[y]) >= shared
             x, y = x[ranked], y[ranked]
-            bits = np.bitwise_count(half[x] ^ half[y]).sum(1, dtype=np.int64)
+            bits = np.bitwise_count(sketch[x] ^ sketch[y]).sum(1, dtype=np.int64)
             fits = bits * (100 + PERCENT) <= (n[x] + n[y]) * (100 - PERCENT)
-            out.append(np.stack([np.minimum(c[x[fits]], c[y[fits]]), np.maximum(c[x[fits]], c[y[fits]])], 1))
+            x, y, bits = x[fits], y[fits], bits[fits]
+            if best:
+                for one, two in ((x, y), (y, x)):
+                    better = bits < least[one]
+                    least[one[better]], who[one[better]] = bits[better], two[better]
+            else:
+                found.append(np.stack([x, y], 1))
             step += 1
-        found = np.unique(np.concatenate(out), axis=0) if out else np.zeros((0, 2), np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], ["a", "b"])
+        if best:
+            x = np.flatnonzero(who >= 0)
+            found = [np.stack([x, who[x]], 1)]
+        ends = np.sort(c[np.concatenate(found)], axis=1) if found else np.zeros((0, 2), np.int64)
+        ends = np.unique(ends, axis=0)
+        return pa.RecordBatch.from_arrays([pa.array(ends[:, 0]), pa.array(ends[:, 1])], ["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] | None = None  # rows of a group that may go on in the next batch: 2 * LOT or so
@@ -393,31 +405,33 @@ def _components(docs: DataFrame, work: Scratch) -> DataFrame:
     work.discard(texts)
     joined = components(links)
 
-    # second round: classes of different components that share a list; in a list of one part its pivot has met all others
-    open_rows = members.filter("part >= 0 or c <> p").select("token", "c", "n", "rank")
-    labelled = work.stored(open_rows.join(joined.select(F.col("node").alias("c"), "root"), "c", "left").withColumn("root", F.coalesce("root", "c")))
-    work.discard(members)
-    mixed = labelled.groupBy("token").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count(F.lit(1)).alias("m")).filter("x <> y").select("token", "m")
-    open_lists = labelled.join(mixed.hint("merge"), "token").join(near.select("c", *HALF).hint("merge"), "c")
-    second = likely(met_in_lists(open_lists), near)
-
     def apart_in(pairs: DataFrame, found: DataFrame) -> DataFrame:
         """The pairs whose classes are in different components, with both roots."""
         root = lambda side: found.select(F.col("node").alias(side), F.col("root").alias(f"r{side}"))
         named = pairs.join(root("a"), "a", "left").join(root("b"), "b", "left").select("a", "b", "bits", F.coalesce("ra", "a").alias("ra"), F.coalesce("rb", "b").alias("rb"))
         return named.filter("ra <> rb")
 
-    # the likeliest pair of each two components merges most; then every pair that is still apart
-    still = work.stored(apart_in(first.unionByName(second).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "bits").distinct(), joined))
-    work.discard(labelled)
-    pairs = still.select("a", "b", "bits")
-    texts = texts_of(pairs)
-    likeliest = still.groupBy(F.least("ra", "rb"), F.greatest("ra", "rb")).agg(F.min(F.struct("bits", "a", "b")).alias("x")).select("x.a", "x.b")
-    links = links.unionByName(work.stored(verified(likeliest, texts)))
-    links = links.unionByName(work.stored(verified(apart_in(pairs, components(links)), texts)))
-    final = components(links)
-
-    of = rows.select("doc_id", "k1", "k2", "c", "n").join(final.select(F.col("node").alias("c"), "root"), "c", "left").withColumn("root", F.coalesce("root", "c"))
+    # classes of different components that share a list: first the likeliest pair of each class, and of each two
+    # components; then, with what this has joined, every pair that is still apart
+    open_rows = members.filter("part >= 0 or c <> p").select("token", "c", "n", "rank")  # in a list of one part the pivot has met all others
+    seen = first
+    for best in (True, False):
+        labelled = work.stored(open_rows.join(joined.select(F.col("node").alias("c"), "root"), "c", "left").withColumn("root", F.coalesce("root", "c")))
+        mixed = labelled.groupBy("token").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count(F.lit(1)).alias("m")).filter("x <> y").select("token", "m")
+        open_lists = labelled.join(mixed.hint("merge"), "token").join(near.select("c", *SKETCH).hint("merge"), "c")
+        seen = seen.unionByName(work.stored(likely(met_in_lists(open_lists, best), near)))
+        work.discard(labelled)
+        still = work.stored(apart_in(seen.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "bits").distinct(), joined))
+        texts = texts_of(still.select("a", "b"))
+        if best:
+            pairs = still.groupBy(F.least("ra", "rb"), F.greatest("ra", "rb")).agg(F.min(F.struct("bits", "a", "b")).alias("x")).select("x.a", "x.b")
+        else:
+            pairs = still.select("a", "b")
+        links = links.unionByName(work.stored(verified(pairs, texts)))
+        work.discard(texts)
+        joined = components(links)
+
+    of = rows.select("doc_id", "k1", "k2", "c", "n").join(joined.select(F.col("node").alias("c"), "root"), "c", "left").withColumn("root", F.coalesce("root", "c"))
     least = of.filter("n > 0").groupBy("root").agg(F.min("doc_id").alias("least"))
     out = of.join(least, "root", "left")
     return out.select("doc_id", "k1", "k2", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"))
