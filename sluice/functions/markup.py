@@ -24,7 +24,7 @@ def _scripts(c: Column, mark: str, table: tuple[str, str]) -> Column:
     pattern = rf"\{mark}(?:\{{([0-9+\-]+)\}}|([0-9+\-]))"
     marked = F.regexp_replace(c, pattern, "\u0001$1$2\u0002")
     parts = F.split(marked, "\u0001")
-    rest = F.transform(F.slice(parts, 2, 1_000_000), lambda p: F.concat(F.translate(F.substring_index(p, "\u0002", 1), *table), F.substring_index(p, "\u0002", -1)))
+    rest = F.transform(F.slice(parts, 2, F.size(parts)), lambda p: F.concat(F.translate(F.substring_index(p, "\u0002", 1), *table), F.substring_index(p, "\u0002", -1)))
     return F.when(F.contains(c, F.lit(mark)), F.concat(parts[0], F.array_join(rest, ""))).otherwise(c)
 
 

@@ -117,5 +117,6 @@ def option_texts(block: Column) -> Column:
 def question_blocks(markdown: Column) -> Column:
     """Array of (number, body): a question starts at a line's 1-3 digits with a mark; decimals start none."""
     marked = F.regexp_replace(markdown, r"(?m)^[ \t]*([0-9]{1,3})[.、．](?![0-9])[ \t]*", "\u0001$1\u0002")
-    parts = F.slice(F.split(marked, "\u0001"), 2, 100000)
+    pieces = F.split(marked, "\u0001")
+    parts = F.slice(pieces, 2, F.size(pieces))
     return F.transform(parts, lambda p: F.struct(F.substring_index(p, "\u0002", 1).cast("int").alias("number"), strip(F.substring_index(p, "\u0002", -1)).alias("body")))

@@ -46,3 +46,20 @@ def ordinals(df: DataFrame, group: str, code: Sequence[str], explicit: str) -> D
     rows = df.withColumn("__rn", rn)
     lead = F.max(F.col(explicit) - F.col("__rn")).over(w.rowsBetween(Window.unboundedPreceding, 0))
     return rows.withColumn("ordinal", (F.col("__rn") + F.greatest(F.lit(0), F.coalesce(lead, F.lit(0)))).cast("long")).drop("__rn")
+
+
+#: Actions whose correction keeps them.
+KEPT_ACTIONS = ("accept", "needs_review", "block", "exclude", "unblock", "comment", "reviewed")
+
+
+def corrected_actions(events: DataFrame, key: str, order: Sequence[str], action: str, is_correction: Column, reset: str, kept: Sequence[str] = KEPT_ACTIONS) -> DataFrame:
+    """events with the action of each correction rewritten to that of its key's state before it.
+
+    The state is the last action that is no correction, and none after a reset or at the start; a state outside
+    `kept`, or none, gives `reviewed`. Corrections take the state over, so a run of them keeps it. One ordered window a key.
+    """
+    w = Window.partitionBy(key).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    said = F.when(~is_correction, F.col(action))
+    before = F.last(said, ignorenulls=True).over(w)
+    state = F.when(before.isin(*(k for k in kept if k != reset)), before).otherwise("reviewed")
+    return events.withColumn(action, F.when(is_correction, state).otherwise(F.col(action)))

@@ -38,16 +38,25 @@ def last_wins(df: DataFrame, keys: Sequence[str], seq: str) -> DataFrame:
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Target after INSERT ... ON CONFLICT (keys) DO UPDATE: matched rows take all source values, nulls too."""
+    """Target after INSERT ... ON CONFLICT (keys) DO UPDATE: matched rows take all source values, nulls too.
+
+    A key that stands in source twice is an error, raised when the result is computed.
+    """
     rest = [c for c in target.columns if c not in keys]
-    s = source.select(*keys, *(F.col(c).alias(f"__s_{c}") for c in rest), F.lit(True).alias("__m"))
+    one = source.groupBy(*keys).agg(F.any_value(F.struct(F.lit(True).alias("__m"), *rest)).alias("__s"), F.count(F.lit(1)).alias("__n"))
+    s = one.withColumn("__s", F.when(F.col("__n") == 1, F.col("__s")).otherwise(F.raise_error(F.concat(F.lit("repeated key: "), F.to_json(F.struct(*keys)))))).drop("__n")
     joined = target.join(s, list(keys), "full_outer")
-    return joined.select(*keys, *(F.when(F.col("__m"), F.col(f"__s_{c}")).otherwise(F.col(c)).alias(c) for c in rest)).select(*target.columns)
+    return joined.select(*keys, *(F.when(F.col("__s.__m"), F.col(f"__s.{c}")).otherwise(F.col(c)).alias(c) for c in rest)).select(*target.columns)
 
 
-def insert_ignore(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Target after INSERT ... ON CONFLICT DO NOTHING; also conditional inserts on any composite key."""
-    return target.unionByName(source.join(target.select(*keys).distinct(), list(keys), "left_anti"), allowMissingColumns=True)
+def insert_ignore(target: DataFrame, source: DataFrame, keys: Sequence[str], order: Sequence[Column] = ()) -> DataFrame:
+    """Target after INSERT ... ON CONFLICT DO NOTHING; also conditional inserts on any composite key.
+
+    Of source rows with one new key the first in `order` is inserted; without an order, any one.
+    """
+    new = source.join(target.select(*keys).distinct(), list(keys), "left_anti")
+    new = distinct_on(new, keys, order) if order else new.dropDuplicates(list(keys))
+    return target.unionByName(new, allowMissingColumns=True)
 
 
 def replace_scope(target: DataFrame, scope: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -57,8 +66,10 @@ def replace_scope(target: DataFrame, scope: DataFrame, new: DataFrame, keys: Seq
 
 def mirror_delete(target: DataFrame, loaded: DataFrame, category: str, keys: Sequence[str]) -> DataFrame:
     """Target without rows of the loaded categories whose keys were not loaded."""
-    stale = target.join(loaded.select(category).distinct(), category, "left_semi").join(loaded.select(*keys).distinct(), list(keys), "left_anti")
-    return target.join(stale.select(*keys).distinct(), list(keys), "left_anti")
+    categories = loaded.select(category).distinct().withColumn("__c", F.lit(True))
+    known = loaded.select(*keys).distinct().withColumn("__k", F.lit(True))
+    marked = target.join(categories, category, "left").join(known, list(keys), "left")
+    return marked.filter("__c is null or __k is not null").select(*target.columns)
 
 
 def full_outer_diff(before: DataFrame, after: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
@@ -102,6 +113,14 @@ def optional_filters(df: DataFrame, filters: dict[str, object]) -> DataFrame:
     return df
 
 
+def within_years(date: Column, year_start: int, year_end: int) -> Column:
+    """Dates of the years from year_end to year_start: the start is the later one, as the windows are read backwards.
+
+    A comparison with two dates, so that it reaches the scan. A start before the end keeps nothing.
+    """
+    return (date >= F.make_date(F.lit(year_end), F.lit(1), F.lit(1))) & (date < F.make_date(F.lit(year_start + 1), F.lit(1), F.lit(1)))
+
+
 def clamp_limit(limit, default: int = 500, most: int = 1000) -> int:
     try:
         n = int(limit or default)
@@ -124,15 +143,51 @@ def contains_text(query: str, *columns: str) -> Column:
     return F.contains(F.lower(F.concat_ws(" ", *columns)), F.lit(query.lower()))
 
 
-def chunk_number(order: Sequence[Column], size: int) -> Column:
-    return (F.floor((F.row_number().over(Window.orderBy(*order)) - 1) / size) + 1).cast("long")
+def numbered(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
+    """Adds each row's place in the order, from 1, without bringing all rows to one task.
+
+    Rows are dealt to partitions by ranges of the order; each counts its own, and a row for each partition says
+    where it begins. Ties in the order are broken by the other columns, so that both passes agree.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # named, so that adaptive execution keeps the partitions as they are
+    ranges = df.repartitionByRange(n, *order, *(F.col(c) for c in df.columns)).withColumn("__p", F.spark_partition_id())
+    local = ranges.withColumn("__i", F.row_number().over(Window.partitionBy("__p").orderBy(*order, *df.columns)))
+    sizes = local.groupBy("__p").agg(F.count(F.lit(1)).alias("n"))
+    begin = sizes.select(F.col("__p").alias("__q"), (F.sum("n").over(Window.orderBy("__p")) - F.col("n")).alias("__b"))  # a row for each partition
+    return local.join(F.broadcast(begin), F.col("__p") == F.col("__q")).withColumn(name, F.col("__i") + F.col("__b")).drop("__p", "__i", "__q", "__b")
+
+
+def chunked(df: DataFrame, order: Sequence[Column], size: int, name: str = "chunk") -> DataFrame:
+    """Adds the number, from 1, of each row's chunk of `size` rows in order."""
+    return numbered(df, order, "__n").withColumn(name, (F.floor((F.col("__n") - 1) / size) + 1).cast("long")).drop("__n")
 
 
 def gaps(df: DataFrame, key: str, number: str, most: int = 50) -> DataFrame:
-    """Numbers that lack between each key's least and greatest, the first `most`."""
-    g = df.groupBy(key).agg(F.min(number).alias("lo"), F.max(number).alias("hi"), F.collect_set(number).alias("seen"))
-    missing = F.array_except(F.sequence("lo", "hi"), "seen")
-    return g.select(key, F.slice(F.array_sort(missing), 1, most).alias("missing")).filter(F.size("missing") > 0)
+    """Numbers that lack between each key's least and greatest, the first `most`; never builds a whole range."""
+    w = Window.partitionBy(key).orderBy(number)
+    seen = df.select(key, F.col(number).alias("__n")).filter("__n is not null").distinct()
+    after = F.lead("__n").over(Window.partitionBy(key).orderBy("__n"))
+    open_ = seen.withColumn("__to", after - 1).filter("__to > __n")
+    lacking = open_.select(key, F.explode(F.sequence(F.col("__n") + 1, F.least("__to", F.col("__n") + most))).alias(number))
+    first = lacking.withColumn("__rn", F.row_number().over(w)).filter(f"__rn <= {most}")
+    return first.groupBy(key).agg(F.array_sort(F.collect_list(number)).alias("missing"))
+
+
+#: Placeholders that one step of filled_sheet() makes at once.
+STRETCH = 4096
+
+
+def filled_sheet(df: DataFrame, key: str, number: str, order: Sequence[str], columns: Sequence[str], first: int = 0) -> DataFrame:
+    """Each key's numbers from `first` to its greatest: the last row of each number, and placeholders for numbers without one.
+
+    Placeholders come from the gaps between numbers, STRETCH at a time, so that a stray number costs rows but no memory.
+    """
+    last = latest_by(df.filter(F.col(number).isNotNull()), [key, number], order, columns).withColumn("placeholder", F.lit(False))
+    before = F.coalesce(F.lag(number).over(Window.partitionBy(key).orderBy(number)), F.lit(first - 1))
+    spans = last.select(key, (before + 1).alias("__a"), (F.col(number) - 1).alias("__b")).filter("__a <= __b")
+    stretches = spans.select(key, "__b", F.explode(F.sequence(F.col("__a"), F.col("__b"), F.lit(STRETCH).cast("bigint"))).alias("__a"))
+    lacking = stretches.select(key, F.explode(F.sequence(F.col("__a"), F.least(F.col("__b"), F.col("__a") + STRETCH - 1))).alias(number))
+    return last.unionByName(lacking.withColumn("placeholder", F.lit(True)), allowMissingColumns=True)
 
 
 def occurrence_keys(df: DataFrame, keys: Sequence[str], order: Sequence[Column], base: Column) -> DataFrame:
@@ -141,8 +196,8 @@ def occurrence_keys(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
     return df.withColumn("candidate_key", F.when(rn > 1, F.concat(base, F.lit(":dup"), F.lpad(rn.cast("string"), 2, "0"))).otherwise(base))
 
 
-def top_k_l2(df: DataFrame, vector: str, probe: Sequence[float], k: int, key: str) -> DataFrame:
-    """The k rows nearest to probe, exact; ties by key. Planned as a distributed top-k."""
-    q = F.array(*(F.lit(float(x)) for x in probe))
+def top_k_l2(df: DataFrame, vector: str, probe: Sequence[float] | Column, k: int, key: str) -> DataFrame:
+    """The k rows nearest to probe (numbers, or an array column), exact; ties by key. Planned as a distributed top-k."""
+    q = probe if isinstance(probe, Column) else F.array(*(F.lit(float(x)) for x in probe))
     squares = F.zip_with(F.col(vector).cast("array<double>"), q, lambda a, b: (a - b) * (a - b))
     return df.withColumn("distance", F.sqrt(F.aggregate(squares, F.lit(0.0), lambda s, x: s + x))).orderBy("distance", key).limit(k)

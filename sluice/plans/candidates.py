@@ -70,9 +70,7 @@ def dup_key_suffix(spark, d):
 
 def _sheet(c):
     """Numbers 0 to the greatest of each sheet, with placeholders; a repeated number is its last row."""
-    last = c.groupBy("conv_id", "turn").agg(F.max("role").alias("role"))
-    grid = c.groupBy("conv_id").agg(F.max("turn").alias("top")).select("conv_id", F.explode(F.sequence(F.lit(0).cast("bigint"), "top")).alias("turn"))
-    return grid.join(last, ["conv_id", "turn"], "left").select("conv_id", "turn", "role", F.col("role").isNull().alias("placeholder"))
+    return R.filled_sheet(c, "conv_id", "turn", ["role", "text"], ["role"]).select("conv_id", "turn", "role", "placeholder")
 
 
 def answer_sheet_fill(spark, d):

@@ -82,11 +82,10 @@ def dimension_join(spark, d):
 
 def self_join_roles(spark, d):
     """Each order with three optional role rows of one table."""
-    o = table(spark, d, "orders").select("o_orderkey")
-    l = table(spark, d, "lineitem")
-    for number, name in ((1, "first"), (4, "fourth"), (7, "seventh")):
-        o = o.join(l.filter(F.col("l_linenumber") == number).groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.min("l_partkey").alias(name)), "o_orderkey", "left")
-    return o
+    roles = {1: "first", 4: "fourth", 7: "seventh"}
+    l = table(spark, d, "lineitem").filter(F.col("l_linenumber").isin(*roles)).groupBy(F.col("l_orderkey").alias("o_orderkey"))
+    found = l.agg(*(F.min(F.when(F.col("l_linenumber") == number, F.col("l_partkey"))).alias(name) for number, name in roles.items()))
+    return table(spark, d, "orders").select("o_orderkey").join(found, "o_orderkey", "left")
 
 
 def or_join_union(spark, d):
@@ -211,7 +210,7 @@ def years_histogram(spark, d):
 
 
 def chunk_tasks(spark, d):
-    s = table(spark, d, "supplier").select("s_suppkey", R.chunk_number([F.asc("s_suppkey")], 30).alias("part"))
+    s = R.chunked(table(spark, d, "supplier").select("s_suppkey"), [F.asc("s_suppkey")], 30, "part")
     return s.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.min("s_suppkey").alias("first_key"), F.max("s_suppkey").alias("last_key"))
 
 

@@ -43,10 +43,9 @@ def sha256_text(spark, d):
 
 
 def answer_values(spark, d):
-    """Answer letters of each document's first 40 characters, and accepted answers of a made-up field."""
-    head = F.substring("text", 1, 40)
+    """Answer letters of each document's whole text, and accepted answers of a made-up field."""
     made = F.concat_ws("|", F.substring("lang", 1, 1), F.lit(" "), F.substring("source", 4, 2))
-    return table(spark, d, "documents").select("doc_id", F.array_join(T.answer_letters(head), "").alias("letters"), F.array_join(T.accepted_answers(made), ",").alias("accepted"), T.question_number(F.col("source")).cast("long").alias("number"))
+    return table(spark, d, "documents").select("doc_id", F.array_join(T.answer_letters(F.col("text")), "").alias("letters"), F.array_join(T.accepted_answers(made), ",").alias("accepted"), T.question_number(F.col("source")).cast("long").alias("number"))
 
 
 def answer_letters_text(spark, d):
@@ -56,10 +55,7 @@ def answer_letters_text(spark, d):
 
 def vector_top_k(spark, d):
     e = table(spark, d, "embeddings")
-    probe = [((i * 7) % 11 - 5) / 10 for i in range(64)]
-    n = e.select(F.size("embedding").alias("n")).first()
-    width = n.n if n else 0
-    probe = [((i * 7) % 11 - 5) / 10 for i in range(width)]
+    probe = F.transform("embedding", lambda _, i: ((i * 7) % 11 - 5) / F.lit(10.0))  # made up, as wide as the vectors
     return R.top_k_l2(e, "embedding", probe, 10, "vec_id").select("vec_id", F.round("distance", 6).alias("distance"))
 
 
@@ -88,7 +84,7 @@ def stream_tumbling(spark, d):
 
 
 def stream_session(spark, d):
-    return S.replayed(spark, S.sessions(S.event_stream(spark, d)), "append")
+    return S.replayed(spark, S.sessions(S.event_stream(spark, d)), "complete")
 
 
 QUERIES = {
@@ -101,8 +97,8 @@ QUERIES = {
     "sha256_text": (sha256_text, "SELECT doc_id, sha256(text) AS sha256 FROM documents"),
     "answer_values": (answer_values, """SELECT doc_id, array_to_string(list_distinct_ordered, '') AS letters, left(lang, 1) || CASE WHEN trim(substr(source, 4, 2)) = '' THEN '' ELSE ',' || substr(source, 4, 2) END AS accepted, try_cast(regexp_extract(source, '[0-9]{1,3}') AS BIGINT) AS number
       FROM (SELECT *, list_filter(['A', 'B', 'C', 'D'], lambda c: contains(l, c)) AS x, list_sort(list_filter(['A', 'B', 'C', 'D'], lambda c: contains(l, c)), 'ASC') AS y,
-        list_transform(list_sort(list_transform(list_filter(['A', 'B', 'C', 'D'], lambda c: contains(l, c)), lambda c: lpad(instr(l, c)::VARCHAR, 3, '0') || c)), lambda c: right(c, 1)) AS list_distinct_ordered
-        FROM (SELECT *, upper(left(text, 40)) AS l FROM documents))"""),
+        list_transform(list_sort(list_transform(list_filter(['A', 'B', 'C', 'D'], lambda c: contains(l, c)), lambda c: lpad(instr(l, c)::VARCHAR, 12, '0') || c)), lambda c: right(c, 1)) AS list_distinct_ordered
+        FROM (SELECT *, upper(coalesce(text, '')) AS l FROM documents))"""),
     "answer_letters_text": (answer_letters_text, """SELECT doc_id, array_to_string(list_transform(list_sort(list_transform(list_filter(['A', 'B', 'C', 'D'], lambda c: contains(l, c)), lambda c: lpad(instr(l, c)::VARCHAR, 12, '0') || c)), lambda c: right(c, 1)), '') AS letters
       FROM (SELECT doc_id, upper(coalesce(text, '')) AS l FROM documents)"""),
     "vector_top_k": (vector_top_k, """SELECT vec_id, round(sqrt(list_sum(list_transform(range(1, len(embedding) + 1), lambda i: pow(embedding[i]::DOUBLE - ((((i - 1) * 7) % 11 - 5) / 10.0)::DOUBLE, 2)))), 6) AS distance FROM embeddings ORDER BY distance, vec_id LIMIT 10"""),
@@ -111,5 +107,6 @@ QUERIES = {
     "option_parse": (option_parse, None),
     "stream_latest": (stream_latest, "SELECT user_id, arg_max(event_type, (ts, event_id)) AS action FROM events GROUP BY 1"),
     "stream_tumbling": (stream_tumbling, "SELECT time_bucket(INTERVAL 1 hour, ts) AS start, event_type, count(*) AS n FROM events GROUP BY ALL"),
-    "stream_session": (stream_session, None),
+    "stream_session": (stream_session, """SELECT min(ts) AS start, user_id, count(*) AS n FROM (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS part
+      FROM (SELECT *, CASE WHEN ts < lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) + INTERVAL 30 minutes THEN 0 ELSE 1 END AS fresh FROM events)) GROUP BY user_id, part"""),
 }

@@ -60,8 +60,8 @@ def optional_filter(spark, d):
 
 
 def year_window_filter(spark, d):
-    o = table(spark, d, "orders").withColumn("year", F.year("o_orderdate").cast("long"))
-    return o.filter(F.col("year").between(1993, 1995)).groupBy("year").agg(F.count(F.lit(1)).alias("n"))
+    o = table(spark, d, "orders").filter(R.within_years(F.col("o_orderdate"), 1995, 1993))
+    return o.groupBy(F.year("o_orderdate").cast("long").alias("year")).agg(F.count(F.lit(1)).alias("n"))
 
 
 def pipeline_counts(spark, d):
@@ -75,8 +75,8 @@ def pipeline_counts(spark, d):
 
 
 def total_over_page(spark, d):
-    """Counts beside each row of one key's page: a window keyed by the page's scope."""
-    e = review_events(spark, d).filter("candidate_key <= 20")
+    """Counts beside each row of its key: a window keyed by the page's scope."""
+    e = review_events(spark, d)
     w = Window.partitionBy("candidate_key")
     return e.select("candidate_key", "id", F.count(F.lit(1)).over(w).alias("n"), F.sum(F.when(F.col("action") == "accept", 1).otherwise(0)).over(w).alias("accepts"))
 
@@ -90,10 +90,8 @@ def total_over_table(spark, d):
 
 
 def correct_action_rewrite(spark, d):
-    """An event with a correction takes the action of the event before it, or `reviewed`."""
-    e = review_events(spark, d)
-    before = F.lag("action").over(Window.partitionBy("candidate_key").orderBy(*ORDER))
-    return e.select("id", F.when(F.col("has_correction"), F.coalesce(before, F.lit("reviewed"))).otherwise(F.col("action")).alias("action"))
+    """Corrections (events with a payload of 50 or more) take the action of the key's state before them."""
+    return logs.corrected_actions(review_events(spark, d), "candidate_key", ORDER, "action", F.col("has_correction"), "reset_review").select("id", "action")
 
 
 def batch_accept_guard(spark, d):
@@ -143,10 +141,14 @@ QUERIES = {
       SELECT count(*) AS total, count(*) FILTER (a <> 'reset_review') AS reviewed, count(*) FILTER (a = 'accept') AS accepted, count(*) FILTER (a = 'block') AS blocked,
         count(*) FILTER (a = 'comment') AS commented, count(*) FILTER (a = 'reset_review') AS reset FROM last"""),
     "total_over_page": (total_over_page, f"""WITH {REVIEW_SQL} SELECT candidate_key, id, count(*) OVER (PARTITION BY candidate_key) AS n,
-      (count(*) FILTER (action = 'accept') OVER (PARTITION BY candidate_key))::BIGINT AS accepts FROM review WHERE candidate_key <= 20"""),
+      (count(*) FILTER (action = 'accept') OVER (PARTITION BY candidate_key))::BIGINT AS accepts FROM review"""),
     "total_over_table": (total_over_table, f"""WITH {REVIEW_SQL} SELECT candidate_key, id, count(*) OVER (PARTITION BY candidate_key) AS n,
       count(*) FILTER (action = 'accept') OVER (PARTITION BY candidate_key) AS accepts FROM review"""),
-    "correct_action_rewrite": (correct_action_rewrite, f"WITH {REVIEW_SQL} SELECT id, CASE WHEN has_correction THEN coalesce(lag(action) OVER (PARTITION BY candidate_key ORDER BY created_at, id), 'reviewed') ELSE action END AS action FROM review"),
+    "correct_action_rewrite": (correct_action_rewrite, f"""WITH {REVIEW_SQL},
+      seen AS (SELECT *, count(CASE WHEN NOT has_correction THEN 1 END) OVER (PARTITION BY candidate_key ORDER BY created_at, id) AS run FROM review),
+      state AS (SELECT candidate_key, run, action FROM seen WHERE NOT has_correction)
+      SELECT e.id, CASE WHEN NOT has_correction THEN e.action WHEN s.action IN ('accept', 'block', 'comment', 'reviewed') THEN s.action ELSE 'reviewed' END AS action
+      FROM seen e LEFT JOIN state s ON s.candidate_key = e.candidate_key AND s.run = e.run"""),
     "batch_accept_guard": (batch_accept_guard, f"""WITH {REVIEW_SQL}, g AS (SELECT candidate_key, arg_max(action, (created_at, id)) AS last, bool_or(action = 'block') AS ever, count(*) AS n FROM review GROUP BY 1)
       SELECT CASE WHEN last = 'accept' THEN 'already_accepted' WHEN last = 'block' THEN 'blocked' WHEN ever THEN 'was_blocked' WHEN n < 3 THEN 'too_few_events' ELSE 'ok' END AS reason, count(*) AS n FROM g GROUP BY 1"""),
     "ai_effective_status": (ai_effective_status, """SELECT CASE WHEN quality IS NULL THEN 'unreviewed' WHEN toxic = 1 THEN 'block' WHEN quality = 0 THEN 'needs_review' ELSE 'pass' END AS status, count(*) AS n

@@ -27,10 +27,10 @@ GROUP BY 1
 
 
 def _plans() -> dict[str, tuple[Query, str | None]]:
-    from .plans import candidates, catalog, pages, reviews
+    from .plans import bank, candidates, catalog, pages, reviews
 
     found: dict[str, tuple[Query, str | None]] = {"review_latest_gate": (review_latest_gate, REVIEW_LATEST_GATE)}
-    for module in (reviews, catalog, candidates, pages):
+    for module in (reviews, catalog, candidates, pages, bank):
         found.update(module.QUERIES)
     return found
 

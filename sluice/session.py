@@ -2,8 +2,22 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
+_local: dict[str, str] = {}
+
+
+def work_folder(spark: SparkSession) -> str:
+    """The shared folder named in spark.checkpoint.dir; in a local session without one, a temporary folder."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or _local.get(spark.sparkContext.applicationId)
+    if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        named = _local[spark.sparkContext.applicationId] = "file://" + tempfile.mkdtemp(prefix="sluice-")
+    return named.rstrip("/")
+
 
 def local_session(cores: int = 8, memory: str = "12g", **extra: str) -> SparkSession:
     """A local session with UTC time zone and adaptive execution; a cluster brings its own."""

@@ -12,18 +12,21 @@ from pyspark.sql.types import StructType
 MANIFEST = r"__([^/]+?)__y([0-9]+)-([0-9]+)__([0-9-]+)\.csv$"
 
 
-def read_csv(spark: SparkSession, path, required: Sequence[str] = (), schema: StructType | None = None, header: bool = True) -> DataFrame:
+def read_csv(spark: SparkSession, path, required: Sequence[str] = (), schema: StructType | None = None, header: bool = True, breaks: bool = False) -> DataFrame:
     """A CSV table of strings (or of `schema`) with a header; a byte order mark on the first name is dropped.
 
-    A missing required column fails; an empty file lacks all of them.
+    A required column that the file's header lacks fails, with a schema too; an empty file lacks all of them.
+    With `breaks`, values may hold line breaks, and each file is one task.
     """
-    reader = spark.read.option("header", header).option("multiLine", True).option("escape", '"')
-    df = (reader.schema(schema) if schema is not None else reader).csv(path)
-    df = df.toDF(*(c.removeprefix("﻿") for c in df.columns))
-    missing = [c for c in required if c not in df.columns]
+    reader = spark.read.option("header", header).option("multiLine", breaks).option("escape", '"')
+    plain = lambda names: [c.removeprefix("\ufeff") for c in names]
+    named = reader.csv(path) if schema is None or required and header else None
+    columns = plain(named.columns) if named is not None else plain(schema.names)
+    missing = [c for c in required if c not in columns]
     if missing:
         raise ValueError(f"{path}: missing columns {', '.join(missing)}")
-    return df
+    df = named if schema is None else reader.schema(schema).csv(path)
+    return df.toDF(*plain(df.columns))
 
 
 def read_jsonl_strict(spark: SparkSession, path, schema: StructType) -> DataFrame:
@@ -57,14 +60,20 @@ def latest_manifests(listing: DataFrame) -> DataFrame:
 
 
 def last_row_by_path(df: DataFrame, key: str) -> DataFrame:
-    """Rows of many files; the row of the file changed last wins for each key, later lines over earlier ones."""
-    order = F.struct(F.col("_metadata.file_modification_time"), F.col("_metadata.file_path"), F.col("_metadata.file_block_start"))
+    """Rows of many files; the row of the file changed last wins for each key, later lines over earlier ones.
+
+    Within a part of a file, rows come in the order of their lines, and monotonically_increasing_id rises with them.
+    """
+    order = F.struct(F.col("_metadata.file_modification_time"), F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id().alias("line"))
     columns = df.columns
     return df.select("*", order.alias("__o")).groupBy(key).agg(F.max_by(F.struct(*columns), "__o").alias("x")).select("x.*")
 
 
 def relative_paths(listing: DataFrame, root: str) -> DataFrame:
-    return listing.select(F.regexp_replace("path", "^.*?" + root.strip("/") + "/", "").alias("relative")).distinct()
+    """Distinct paths below `root`, without it; paths elsewhere stay whole."""
+    mark = F.lit("/" + root.strip("/") + "/")
+    at = F.instr(F.concat(F.lit("/"), F.col("path")), mark)
+    return listing.select(F.when(at > 0, F.substring("path", at + len("/" + root.strip("/") + "/") - 1, F.length("path"))).otherwise(F.col("path")).alias("relative")).distinct()
 
 
 def empty_files(spark: SparkSession, path: str) -> DataFrame:

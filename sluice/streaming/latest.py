@@ -7,6 +7,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import work_folder
+
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events table as a file stream with event time as TIMESTAMP."""
@@ -37,8 +39,19 @@ def first_deliveries(events: DataFrame, late: str = "2 hours") -> DataFrame:
 
 
 def replayed(spark: SparkSession, stream: DataFrame, mode: str) -> DataFrame:
-    """Run the stream over what is there and return the sink's rows."""
-    name = f"replay_{uuid.uuid4().hex}"
-    run = stream.writeStream.format("memory").queryName(name).outputMode(mode).trigger(availableNow=True).start()
+    """Run the stream over what is there and return the sink's rows: of all micro-batches, or in complete mode of the last.
+
+    Micro-batches are written as files in the shared folder, each by its number, so that one that is tried again replaces itself.
+    """
+    path, done = f"{work_folder(spark)}/replay-{uuid.uuid4().hex}", []
+
+    def keep(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/rows/{number}")
+        done.append(number)
+
+    run = stream.writeStream.foreachBatch(keep).outputMode(mode).option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start()
     run.awaitTermination()
-    return spark.table(name)
+    numbers = sorted(set(done))[-1:] if mode == "complete" else sorted(set(done))
+    if not numbers:
+        return spark.createDataFrame([], stream.schema)
+    return spark.read.schema(stream.schema).parquet(*(f"{path}/rows/{n}" for n in numbers))
