@@ -1,25 +1,34 @@
-"""LM scoring: a causal self-attention model on subword ids, trained in numpy.
+"""LM scoring: a causal self-attention model on subword ids, trained in numpy, over counted words.
 
 A text's tokens are its lower-cased (A-Z) words and one end. Each word, with a blank before it, is cut into
-subword ids of a public byte-level BPE; the end is one more id. P(id | before) = P(class | before) * P(id | class).
-The class comes from one causal self-attention layer over at most STRIDE earlier ids; ids are dealt to
-classes by their neighbours. The model's parameters, and the classes, are fitted on the driver from a bounded
-sample (about SAMPLE training rows, those of smallest hash); P(id | class), and the word counts of the base
-score, are counted over every training row.
-
-Scoring lays each text's ids out in blocks of STRIDE. The queries of a block see the keys of their own block
+subword ids of a public byte-level BPE; the end is one more id. A token's class is that of its first id, and
+P(token | before) = P(class | ids before) * P(token | class). The class comes from one causal self-attention
+layer over at most STRIDE earlier ids. P(token | class) is counted over every training row: a share for words
+that no training row holds (that of words seen once), the rest by counts. As in the base score, all unknown
+words (of one class) are one event.
+
+Frequent ids have an embedding, and frequent first ids a class, of their own; the others share some. All counts
+are of every training row. The attention parameters are averages of those that learners find, one for each
+block of documents, in ROUNDS rounds: every learner starts from the last average and goes once through a share
+of its block, chosen by hash. The share is SHARE, and more if that gives less than LEAST rows: what is learned
+from grows with the input. Averages are taken in groups of FAN.
+
+Scoring lays each text's ids out in rows of STRIDE. The queries of a row see the keys of their own row
 and of the one before it, masked to what comes earlier in the same text: windows of 2 * STRIDE overlap by half,
-and each id is scored once, in batched matrix products.
+and each token is scored once, in batched matrix products.
 
 Word counts are joined with what needs them by blocks of documents: rows are dealt to blocks of bounded bytes
 by their hash, each block's distinct words are counted once, summed over blocks, and sent back to the block.
 A null text is empty: it has the end alone. Rows equal in doc_id and text each get their row. Without
-training rows all counts are 0 and the model is uniform over classes. Words are told apart by 64-bit hashes.
+training rows all counts are 0 and every token is unknown. Words are told apart by 64-bit hashes. Texts are
+scored whole, a very long one in a block of its own; an empty table gives no rows. Only doc_id and text are
+read, so other columns never clash.
 """
 
 from __future__ import annotations
 
 import base64
+import copy
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,14 +36,18 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import LOWER_VALUE, Prefix, chunks, release, stored, table, words
+from .common import LOWER_VALUE, Prefix, Scratch, chunks, release, stored, table, words
 
 NAME = "op6_lm_scoring"
-SAMPLE = 1500
 SIZE = 16
-CLASSES = 128
+CELLS, SHARED_CELLS = 2048, 256  # embeddings, and those that rare ids share
+CLASSES, SHARED_CLASSES = 128, 32
 STRIDE = 16
-STEPS = 1500
+BATCH = 128
+ROUNDS = 3
+SHARE = 1 / 16
+LEAST = 20_000
+FAN = 64
 BLOCK_BYTES = 8 << 20
 END = 50256
 VOCABULARY = 50257
@@ -81,36 +94,40 @@ class Block:
         self.ids = np.array(ids, np.int32)
         self.begin = np.concatenate([[0], np.cumsum(lengths)])
 
-    def sequence(self) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all texts, each ending with END, and each text's first (and one past)."""
+    def sequence(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The ids of all texts, each ending with END, which of them begin a token, and each text's first (and one past)."""
         n = len(self.firsts) - 1
         length = np.diff(self.begin)[self.of]
         owner = np.repeat(np.arange(n), np.diff(self.firsts))
         size = np.bincount(owner, weights=length, minlength=n).astype(np.int64) + 1
         first = np.concatenate([[0], np.cumsum(size)])
         out = np.full(first[-1], END, np.int32)
+        starts = np.zeros(first[-1], bool)
+        starts[first[1:] - 1] = True
         at = np.concatenate([[0], np.cumsum(length)])[:-1] + owner  # one END for each earlier text
+        starts[at] = True
         if len(length):
             step = np.arange(int(length.sum())) - np.repeat(np.concatenate([[0], np.cumsum(length)])[:-1], length)
             out[np.repeat(at, length) + step] = self.ids[np.repeat(self.begin[:-1][self.of], length) + step]
-        return out, first
+        return out, starts, first
 
 
-def blocked(ids: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Inputs and targets in rows of STRIDE (-1 beyond a text), which rows begin a text, and each row's text."""
+def blocked(inputs: np.ndarray, goals: np.ndarray, first: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Inputs and goals (-1: none) in rows of STRIDE, each place after its input, which rows begin a text, and each row's text."""
     size = np.diff(first)
     rows = -(-size // STRIDE)
     row_first = np.concatenate([[0], np.cumsum(rows)])
     owner = np.repeat(np.arange(len(size)), size)
-    place = row_first[owner] * STRIDE + np.arange(len(ids)) - first[owner]
-    target = np.full(row_first[-1] * STRIDE, -1, np.int32)
-    target[place] = ids
-    before = np.full(row_first[-1] * STRIDE, END, np.int32)
-    before[1:] = np.where(target[:-1] >= 0, target[:-1], END)
-    before[row_first[:-1] * STRIDE] = END
+    place = row_first[owner] * STRIDE + np.arange(len(inputs)) - first[owner]
+    goal = np.full(row_first[-1] * STRIDE, -1, np.int32)
+    goal[place] = goals
+    before = np.full(row_first[-1] * STRIDE + 1, end, np.int32)
+    before[place + 1] = inputs
+    before = before[:-1]
+    before[row_first[:-1] * STRIDE] = end
     fresh = np.zeros(row_first[-1], bool)
     fresh[row_first[:-1]] = True
-    return before.reshape(-1, STRIDE), target.reshape(-1, STRIDE), fresh, np.repeat(np.arange(len(size)), rows)
+    return before.reshape(-1, STRIDE), goal.reshape(-1, STRIDE), fresh, np.repeat(np.arange(len(size)), rows)
 
 
 def mask() -> np.ndarray:
@@ -119,97 +136,112 @@ def mask() -> np.ndarray:
     return np.where((k <= q) & (k > q - STRIDE), 0.0, -np.inf).astype(np.float32)
 
 
+def dealt_by_count(counts: np.ndarray, n: int, shared: int) -> np.ndarray:
+    """A number below n for each id: the most frequent have one of their own, the others the last `shared`."""
+    own = np.argsort(-counts, kind="stable")[: n - shared]
+    out = (n - shared + np.arange(len(counts)) % shared).astype(np.int32)
+    out[own] = np.arange(len(own))
+    return out
+
+
 class Model:
-    def __init__(self, classes: np.ndarray, rng: np.random.Generator):
-        self.classes = classes.astype(np.int32)  # of each id
+    """ids, firsts: how often each id, and each first id of a token, stands in the training rows; once: tokens seen once."""
+
+    def __init__(self, ids: np.ndarray, firsts: np.ndarray, once: int, rng: np.random.Generator):
+        self.cell, self.classes = dealt_by_count(ids, CELLS, SHARED_CELLS), dealt_by_count(firsts, CLASSES, SHARED_CLASSES)
+        self.mass = np.bincount(self.classes, weights=firsts, minlength=CLASSES)
+        self.unknown = (once + 0.5) / (firsts.sum() + 1)
         draw = lambda *shape: (rng.standard_normal(shape) * 0.2).astype(np.float32)
-        self.p = {"e": draw(VOCABULARY, SIZE), "q": draw(SIZE, SIZE), "k": draw(SIZE, SIZE), "v": draw(SIZE, SIZE), "near": np.zeros(STRIDE, np.float32), "u": draw(2 * SIZE, CLASSES), "c": np.zeros(CLASSES, np.float32)}
-        self.within = np.full(VOCABULARY, -np.log(VOCABULARY), np.float32)  # log P(id | class), set from counts
+        prior = np.log((self.mass + 0.5) / (self.mass.sum() + 0.5 * CLASSES)).astype(np.float32)
+        self.p = {"e": draw(CELLS, SIZE), "q": draw(SIZE, SIZE), "k": draw(SIZE, SIZE), "v": draw(SIZE, SIZE), "near": np.zeros(STRIDE, np.float32), "u": draw(2 * SIZE, CLASSES) / 4, "c": prior}
+
+    def flat(self) -> np.ndarray:
+        return np.concatenate([v.ravel() for v in self.p.values()])
+
+    def set_flat(self, values: np.ndarray) -> None:
+        at = 0
+        for k, v in self.p.items():
+            self.p[k] = np.asarray(values[at : at + v.size], np.float32).reshape(v.shape)
+            at += v.size
+
+    def within(self, classes: np.ndarray, times: np.ndarray) -> np.ndarray:
+        """log P(token | class) of tokens of these classes, by their training counts (0: unknown)."""
+        mass = self.mass[classes]
+        known = np.log(1 - self.unknown) + np.log(np.maximum(times, 1)) - np.log(np.maximum(mass, 1))
+        return np.where(times > 0, known, np.where(mass > 0, np.log(self.unknown), 0.0))
+
+    def inputs(self, part: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        ids, starts, first = part.sequence()
+        return blocked(self.cell[ids], np.where(starts, self.classes[ids], -1), first, int(self.cell[END]))
 
     def bias(self) -> np.ndarray:
         q, k = np.arange(STRIDE)[:, None], np.arange(2 * STRIDE)[None, :] - STRIDE
         return mask() + self.p["near"][np.clip(q - k, 0, STRIDE - 1)]
 
-    def forward(self, before: np.ndarray, fresh: np.ndarray, tables: dict | None = None) -> tuple[np.ndarray, dict]:
-        """Class logits of every place, and what the backward pass needs."""
-        p = self.p
-        if tables is None:
-            x = p["e"][before]
-            q, k, v = x @ p["q"], x @ p["k"], x @ p["v"]
-            own = None
-        else:
-            q, k, v, own = tables["q"][before], tables["k"][before], tables["v"][before], tables["own"][before]
+    def attended(self, q: np.ndarray, k: np.ndarray, v: np.ndarray, fresh: np.ndarray, bias: np.ndarray) -> tuple[np.ndarray, ...]:
         prior = lambda z: np.concatenate([np.concatenate([np.zeros_like(z[:1]), z[:-1]]), z], axis=1)
         keys, values = prior(k), prior(v)
         s = np.matmul(q, keys.transpose(0, 2, 1))
-        s += self.bias() if tables is None else tables["bias"]
+        s += bias
         s[fresh, :, :STRIDE] = -np.inf
-        if tables is None:
-            s -= s.max(-1, keepdims=True)
-        else:
-            np.clip(s, None, 60.0, out=s)
+        s -= s.max(-1, keepdims=True)
         np.exp(s, out=s)
         s /= s.sum(-1, keepdims=True)
-        h = np.matmul(s, values)
-        if tables is not None:
-            return (h.reshape(-1, SIZE) @ p["u"][SIZE:]).reshape(*before.shape, CLASSES) + own, {}
-        both = np.concatenate([x, h], -1)
-        return both @ p["u"] + p["c"], {"x": x, "q": q, "keys": keys, "values": values, "a": s, "both": both}
+        return np.matmul(s, values), keys, values, s
 
     def tables(self) -> dict:
-        """What depends on one id alone, for every id."""
+        """What depends on one id alone, for every embedding."""
         p = self.p
         return {"q": p["e"] @ p["q"], "k": p["e"] @ p["k"], "v": p["e"] @ p["v"], "own": p["e"] @ p["u"][:SIZE] + p["c"], "bias": self.bias()}
 
-    def gradients(self, before: np.ndarray, target: np.ndarray, fresh: np.ndarray) -> tuple[float, dict]:
+    def gradients(self, before: np.ndarray, goal: np.ndarray, fresh: np.ndarray) -> tuple[float, dict]:
         p = self.p
-        logits, m = self.forward(before, fresh)
-        real = target >= 0
-        cls = self.classes[np.maximum(target, 0)]
+        x = p["e"][before]
+        q = x @ p["q"]
+        h, keys, values, attention = self.attended(q, x @ p["k"], x @ p["v"], fresh, self.bias())
+        real = goal >= 0
+        both = np.concatenate([x, h], -1)[real]
+        logits = both @ p["u"] + p["c"]
         logits -= logits.max(-1, keepdims=True)
-        prob = np.exp(logits)
-        prob /= prob.sum(-1, keepdims=True)
-        n = max(1, int(real.sum()))
-        loss = -np.log(np.maximum(np.take_along_axis(prob, cls[..., None], -1)[..., 0], 1e-20))[real].sum() / n
-        d = prob
-        np.put_along_axis(d, cls[..., None], np.take_along_axis(d, cls[..., None], -1) - 1, -1)
-        d *= real[..., None] / n
-        g = {"u": np.einsum("btd,btc->dc", m["both"], d, optimize=True), "c": d.sum((0, 1))}
-        db = d @ p["u"].T
+        d = np.exp(logits)
+        d /= d.sum(-1, keepdims=True)
+        n, line = max(1, len(d)), np.arange(len(d))
+        loss = -np.log(np.maximum(d[line, goal[real]], 1e-20)).sum() / n
+        d[line, goal[real]] -= 1
+        d /= n
+        g = {"u": both.T @ d, "c": d.sum(0)}
+        db = np.zeros((*before.shape, 2 * SIZE), d.dtype)
+        db[real] = d @ p["u"].T
         dx, dh = db[..., :SIZE], db[..., SIZE:]
-        da = np.matmul(dh, m["values"].transpose(0, 2, 1))
-        dv = np.matmul(m["a"].transpose(0, 2, 1), dh)
-        ds = m["a"] * (da - (da * m["a"]).sum(-1, keepdims=True))
-        dq, dk = np.matmul(ds, m["keys"]), np.matmul(ds.transpose(0, 2, 1), m["q"])
-        q, k = np.arange(STRIDE)[:, None], np.arange(2 * STRIDE)[None, :] - STRIDE
-        g["near"] = np.bincount(np.clip(q - k, 0, STRIDE - 1).ravel(), weights=ds.sum(0).ravel(), minlength=STRIDE).astype(np.float32)
+        da = np.matmul(dh, values.transpose(0, 2, 1))
+        dv = np.matmul(attention.transpose(0, 2, 1), dh)
+        ds = attention * (da - (da * attention).sum(-1, keepdims=True))
+        dq, dk = np.matmul(ds, keys), np.matmul(ds.transpose(0, 2, 1), q)
+        at, to = np.arange(STRIDE)[:, None], np.arange(2 * STRIDE)[None, :] - STRIDE
+        g["near"] = np.bincount(np.clip(at - to, 0, STRIDE - 1).ravel(), weights=ds.sum(0).ravel(), minlength=STRIDE).astype(np.float32)
 
         def back(z: np.ndarray) -> np.ndarray:  # undo `prior`
             out = z[:, STRIDE:].copy()
             out[:-1] += z[1:, :STRIDE]
             return out
 
-        dk, dv = back(dk), back(dv)
-        for name, dz in (("q", dq), ("k", dk), ("v", dv)):
-            g[name] = np.einsum("btd,bte->de", m["x"], dz, optimize=True)
+        flat = x.reshape(-1, SIZE)
+        for name, dz in (("q", dq), ("k", back(dk)), ("v", back(dv))):
+            g[name] = flat.T @ dz.reshape(-1, SIZE)
             dx = dx + dz @ p[name].T
         g["e"] = (before.ravel(), dx.reshape(-1, SIZE))
         return float(loss), g
 
-    def train(self, ids: np.ndarray, first: np.ndarray, rng: np.random.Generator, steps: int = STEPS, batch: int = 256) -> list[float]:
-        before, target, fresh, _ = blocked(ids, first)
-        if not len(before):
-            return []
+    def train(self, before: np.ndarray, goal: np.ndarray, fresh: np.ndarray, rng: np.random.Generator, rate: float = 0.02, batch: int = BATCH) -> list[float]:
+        """Once through all rows, in batches of neighbouring rows."""
         moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in self.p.items()}
         losses = []
-        for t in range(1, steps + 1):
-            at = int(rng.integers(0, max(1, len(before) - batch)))
+        for t, at in enumerate(rng.permutation(np.arange(0, len(before), batch)), 1):
             rows = slice(at, at + batch)
             cut = fresh[rows].copy()
             cut[0] = True
-            loss, g = self.gradients(before[rows], target[rows], cut)
+            loss, g = self.gradients(before[rows], goal[rows], cut)
             losses.append(loss)
-            rate = 0.02 * min(1.0, t / 20) * (1 - 0.9 * t / steps)
             for k, x in self.p.items():
                 a, b = moments[k]
                 if k == "e":
@@ -220,96 +252,53 @@ class Model:
                     some, grad = slice(None), g[k]
                 a[some] = 0.9 * a[some] + 0.1 * grad
                 b[some] = 0.98 * b[some] + 0.02 * grad * grad
-                x[some] -= rate * a[some] / (np.sqrt(b[some]) + 1e-6)
+                x[some] -= rate * min(1.0, t / 20) * a[some] / (np.sqrt(b[some]) + 1e-6)
         return losses
 
-    def set_counts(self, counts: np.ndarray) -> None:
-        """P(id | class) from the training counts of all ids, add-half."""
-        smooth = counts + 0.5
-        total = np.bincount(self.classes, weights=smooth, minlength=CLASSES)
-        self.within = np.log(smooth / total[self.classes]).astype(np.float32)
-
-    def text_scores(self, ids: np.ndarray, first: np.ndarray, tables: dict, most: int = 512) -> np.ndarray:
-        """log10 P of each text."""
-        before, target, fresh, text = blocked(ids, first)
-        out = np.zeros(len(first) - 1)
+    def class_scores(self, part: Block, tables: dict, most: int = 512) -> np.ndarray:
+        """For each text, the sum over its tokens of log P(class | ids before)."""
+        before, goal, fresh, text = self.inputs(part)
+        out = np.zeros(len(part.firsts) - 1)
         for at in range(0, len(before), most):
-            a = max(0, at - 1)  # the block before, for its keys
+            a = max(0, at - 1)  # the row before, for its keys
             rows = slice(a, at + most)
             start = fresh[rows].copy()
             start[0] = True
             if at > a and not fresh[at]:
                 start[1] = False
-            logits, _ = self.forward(before[rows], start, tables)
-            logits, goal = logits[at - a :], target[at : at + most]
-            picked = np.take_along_axis(logits, self.classes[np.maximum(goal, 0)][..., None], -1)[..., 0]
-            np.exp(np.clip(logits, -60, 60, out=logits), out=logits)
-            said = np.where(goal >= 0, picked - np.log(logits.sum(-1)) + self.within[np.maximum(goal, 0)], 0.0)
-            out += np.bincount(text[at : at + most], weights=said.sum(-1), minlength=len(out))
-        return out / LOG10
-
-
-def classes_by_neighbours(ids: np.ndarray, rng: np.random.Generator, frequent: int = 512) -> np.ndarray:
-    """A class for every id: k-means over the square roots of its neighbours' shares, projected."""
-    counts = np.bincount(ids, minlength=VOCABULARY)
-    top = np.argsort(-counts, kind="stable")[:frequent]
-    column = np.full(VOCABULARY, frequent)
-    column[top] = np.arange(frequent)
-    share = np.zeros((VOCABULARY, 2 * (frequent + 1)), np.float32)
-    if len(ids) > 1:
-        np.add.at(share, (ids[1:], column[ids[:-1]]), 1)
-        np.add.at(share, (ids[:-1], frequent + 1 + column[ids[1:]]), 1)
-    seen = np.flatnonzero(counts >= 3)
-    out = np.zeros(VOCABULARY, np.int64)
-    if len(seen) < CLASSES:
-        return np.arange(VOCABULARY) % CLASSES
-    z = np.sqrt(share[seen] / share[seen].sum(1, keepdims=True)) @ (rng.standard_normal((share.shape[1], 24)) / 5).astype(np.float32)
-    weight = np.sqrt(counts[seen])
-    center = z[rng.choice(len(seen), CLASSES, replace=False, p=weight / weight.sum())]
-    for _ in range(12):
-        near = ((center**2).sum(1) - 2 * z @ center.T).argmin(1)
-        for c in range(CLASSES):
-            if (near == c).any():
-                center[c] = np.average(z[near == c], axis=0, weights=weight[near == c])
-    out[seen] = near
-    return out
+            seen = before[rows]
+            h = self.attended(tables["q"][seen], tables["k"][seen], tables["v"][seen], start, tables["bias"])[0][at - a :]
+            now = goal[at : at + most]
+            real = now >= 0
+            logits = h[real] @ self.p["u"][SIZE:]
+            logits += tables["own"][seen[at - a :][real]]
+            logits -= logits.max(-1, keepdims=True)
+            picked = logits[np.arange(len(logits)), now[real]]
+            np.exp(logits, out=logits)
+            said = picked.astype(np.float64) - np.log(logits.sum(-1))
+            out += np.bincount(np.repeat(text[at : at + most], real.sum(1)), weights=said, minlength=len(out))
+        return out
 
 
 def is_training(key: Column) -> Column:
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % 5 != 1, F.lit(True))
 
 
-def fit(training: DataFrame, path: str, sample: int = SAMPLE, seed: int = 7) -> Model:
-    """Classes and attention parameters, from about `sample` rows."""
-    n = training.count()
-    rows = training.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) / F.lit(1_000_003.0) < sample / max(1, n)).select("doc_id", "text")
-    texts = [r.text or "" for r in sorted(rows.collect(), key=lambda r: (r.doc_id is None, r.doc_id, r.text or ""))]
-    rng = np.random.default_rng(seed)
-    if not texts:
-        return Model(np.arange(VOCABULARY) % CLASSES, rng)
-    parts = [Block(buf, offsets, path).sequence() for _, _, buf, offsets in chunks(pa.array(texts, pa.string()))]
-    ids = np.concatenate([p[0] for p in parts])
-    first = np.concatenate([[0], np.cumsum(np.concatenate([np.diff(p[1]) for p in parts]))])
-    model = Model(classes_by_neighbours(ids, rng), rng)
-    model.train(ids, first, rng)
-    return model
-
-
-def dealt(docs: DataFrame) -> DataFrame:
-    """doc_id, text, training and block: rows dealt by hash to blocks of about BLOCK_BYTES."""
+def dealt(docs: DataFrame) -> tuple[DataFrame, int]:
+    """doc_id, text, training and block: rows dealt by hash to blocks of about BLOCK_BYTES; and the number of blocks."""
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(1, -(-total // BLOCK_BYTES))
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), is_training(F.col("doc_id")).alias("training"))
-    return rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).cast("int"))
+    return rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).cast("int")), n
 
 
 def block_words(rows: DataFrame, path: str) -> DataFrame:
-    """(block, h, n): each block's distinct words with their training counts; and, as block -1, of each id."""
+    """(block, h, n): each block's distinct words with their training counts; as block -1, of each id; as -2, of each first id."""
 
     def run(frame: pa.Table) -> pa.Table:
         block = frame.column("block")[0].as_py()
         learn = frame.column("training").to_numpy()
-        h, n, ids = [], [], np.zeros(VOCABULARY, np.int64)
+        h, n, ids, firsts = [], [], np.zeros(VOCABULARY, np.int64), np.zeros(VOCABULARY, np.int64)
         for a, b, buf, offsets in chunks(frame.column("text")):
             part = Block(buf, offsets, path)
             owner = np.repeat(np.arange(b - a), np.diff(part.firsts))
@@ -317,33 +306,89 @@ def block_words(rows: DataFrame, path: str) -> DataFrame:
             h.append(part.hashes)
             n.append(times)
             ids += np.bincount(part.ids, weights=np.repeat(times, np.diff(part.begin)), minlength=VOCABULARY).astype(np.int64)
-            ids[END] += int(learn[a:b].sum())
+            firsts += np.bincount(part.ids[part.begin[:-1]], weights=times, minlength=VOCABULARY).astype(np.int64)
+            for counts in (ids, firsts):
+                counts[END] += int(learn[a:b].sum())
         words_, back = np.unique(np.concatenate(h), return_inverse=True)
         times = np.bincount(back, weights=np.concatenate(n), minlength=len(words_)).astype(np.int64)
-        some = np.flatnonzero(ids)
-        return pa.table({"block": pa.array(np.concatenate([np.full(len(words_), block), np.full(len(some), -1)]).astype(np.int32)), "h": pa.array(np.concatenate([words_.view(np.int64), some])), "n": pa.array(np.concatenate([times, ids[some]]))})
+        some, lead = np.flatnonzero(ids), np.flatnonzero(firsts)
+        blocks = np.concatenate([np.full(len(words_), block), np.full(len(some), -1), np.full(len(lead), -2)]).astype(np.int32)
+        return pa.table({"block": pa.array(blocks), "h": pa.array(np.concatenate([words_.view(np.int64), some, lead])), "n": pa.array(np.concatenate([times, ids[some], firsts[lead]]))})
 
     return rows.groupBy("block").applyInArrow(run, "block int, h long, n long")  # a block's bytes are bounded
 
 
+def average(found: DataFrame, n: int, work: Scratch) -> np.ndarray:
+    """The mean, by weight, of the parameters of n learners (learner, weight, p), in groups of FAN."""
+
+    def mean(frame: pa.Table) -> pa.Table:
+        weight = frame.column("weight").to_numpy()
+        order = np.argsort(frame.column("learner").to_numpy(), kind="stable")  # alike in every run
+        total = sum(weight[i] * np.asarray(frame.column("p")[int(i)].values, np.float64) for i in order)
+        out = (total / max(weight.sum(), 1e-9)).astype(np.float32)
+        return pa.table({"learner": pa.array([frame.column("learner")[0].as_py() // FAN], pa.int64()), "weight": pa.array([float(weight.sum())]), "p": pa.array([out], pa.list_(pa.float32()))})
+
+    while n > 1:
+        found = work.stored(found.groupBy(F.floor(F.col("learner") / FAN).alias("g")).applyInArrow(mean, "learner long, weight double, p array<float>"))
+        n = -(-n // FAN)
+    got = found.select("p").first()
+    return None if got is None else np.array(got.p, np.float32)
+
+
+def fit(model: Model, training: DataFrame, blocks: int, path: str, work: Scratch, rounds: int = ROUNDS, share: float = SHARE, least: int = LEAST) -> Model:
+    """The attention parameters, from a share of the training rows (doc_id, text, block)."""
+    n = training.count()
+    if not n:
+        return model
+    rate = min(1.0, max(share, least / n))
+    spark = training.sparkSession
+    rows = training.filter(F.pmod(F.xxhash64("doc_id", "text", F.lit(3)), F.lit(1_000_003)) / F.lit(1_000_003.0) < rate).select("block", "doc_id", "text")
+
+    def learner(turn: int, shared):
+        def learn(frame: pa.Table) -> pa.Table:
+            mine = copy.deepcopy(shared.value)
+            block = frame.column("block")[0].as_py()
+            frame = frame.sort_by([("doc_id", "ascending"), ("text", "ascending")])  # alike in every run
+            weight, rng = 0, np.random.default_rng([turn, block])
+            for _, _, buf, offsets in chunks(frame.column("text")):
+                before, goal, fresh, _ = mine.inputs(Block(buf, offsets, path))
+                mine.train(before, goal, fresh, rng, 0.02 / (1 + turn))
+                weight += int((goal >= 0).sum())
+            return pa.table({"learner": pa.array([block], pa.int64()), "weight": pa.array([float(weight)]), "p": pa.array([mine.flat()], pa.list_(pa.float32()))})
+
+        return learn
+
+    for turn in range(rounds):
+        learn = learner(turn, spark.sparkContext.broadcast(model))  # its size is fixed
+        found = work.stored(rows.groupBy("block").applyInArrow(learn, "learner long, weight double, p array<float>"))
+        got = average(found, blocks, work)
+        if got is not None:
+            model.set_flat(got)
+    return model
+
+
 def score(docs: DataFrame, path: str | None = None) -> DataFrame:
     """doc_id, training, n_tokens, n_known, train_tokens, base_score, score of every row of docs (doc_id, text)."""
-    path = path or default_vocabulary()
+    with Scratch(docs.sparkSession) as work:
+        return stored(_score(docs, path or default_vocabulary(), work))
+
+
+def _score(docs: DataFrame, path: str, work: Scratch) -> DataFrame:
     spark = docs.sparkSession
-    rows = dealt(docs)
-    counted = stored(block_words(rows, path))
+    rows, blocks = dealt(docs)
+    counted = work.stored(block_words(rows, path))
     release(spark)
-    ids = np.zeros(VOCABULARY, np.int64)
-    for i, n in counted.filter("block = -1").groupBy("h").agg(F.sum("n")).collect():  # one row for each id
-        ids[i] = n
+    ids, firsts = np.zeros(VOCABULARY, np.int64), np.zeros(VOCABULARY, np.int64)
+    for block, i, n in counted.filter("block < 0").groupBy("block", "h").agg(F.sum("n")).collect():  # two rows for each id at most
+        (ids if block == -1 else firsts)[i] = n
     end = int(ids[END])
     known = counted.filter("block >= 0")
-    sums = stored(known.groupBy("h").agg(F.sum("n").alias("c")).filter("c > 0"))
-    n_words, distinct = sums.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
-    total, distinct = n_words + end, distinct + (end > 0)
-    model = fit(rows.filter("training").select("doc_id", "text"), path)
-    model.set_counts(ids)
-    shared = spark.sparkContext.broadcast(model)  # its size is set by the vocabulary
+    sums = work.stored(known.groupBy("h").agg(F.sum("n").alias("c")).filter("c > 0"))
+    distinct, once = sums.agg(F.count(F.lit(1)), F.count(F.when(F.col("c") == 1, 1))).first()
+    total, distinct = int(firsts.sum()), distinct + (end > 0)
+    model = fit(Model(ids, firsts, once, np.random.default_rng(7)), rows.filter("training"), blocks, path, work)
+    release(spark)
+    shared = spark.sparkContext.broadcast(model)  # its size is fixed
     counts = known.select("block", "h").join(sums.hint("merge"), "h").select("block", "h", "c")
     kind = docs.schema["doc_id"].dataType.simpleString()
     names = ["doc_id", "training", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
@@ -363,12 +408,14 @@ def score(docs: DataFrame, path: str | None = None) -> DataFrame:
             owner = np.repeat(np.arange(b - a), np.diff(part.firsts))
             each = times[part.of]
             floor = total + 0.5 * (distinct + 1)
-            base = np.bincount(owner, weights=np.log10((each + 0.5) / floor), minlength=b - a) + np.log10((end + 0.5) / floor)
+            summed = lambda x, owner=owner, n=b - a: np.bincount(owner, weights=x, minlength=n)
             out["n_tokens"].append(np.diff(part.firsts) + 1)
-            out["n_known"].append(np.bincount(owner, weights=each > 0, minlength=b - a).astype(np.int64) + (end > 0))
+            out["n_known"].append(summed(each > 0).astype(np.int64) + (end > 0))
             out["train_tokens"].append(np.full(b - a, total))
-            out["base_score"].append(base)
-            out["score"].append(model.text_scores(*part.sequence(), tables))
+            out["base_score"].append(summed(np.log10((times + 0.5) / floor)[part.of]) + np.log10((end + 0.5) / floor))
+            inner = model.within(model.classes[part.ids[part.begin[:-1]]], times)[part.of]
+            last = float(model.within(model.classes[[END]], np.array([end]))[0])
+            out["score"].append((model.class_scores(part, tables) + summed(inner) + last) / LOG10)
         return pa.table({"doc_id": left.column("doc_id"), "training": left.column("training"), **{k: pa.array(np.concatenate(v) if v else np.zeros(0)) for k, v in out.items()}})
 
     left = rows.groupBy("block")

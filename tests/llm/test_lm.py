@@ -2,52 +2,62 @@ import math
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+from pyspark.sql import functions as F
 
 from sluice.llm import lm
+from sluice.llm.common import Scratch, chunks
 
 PATH = lm.default_vocabulary()
 
 
 def tiny_model():
     rng = np.random.default_rng(0)
-    model = lm.Model(rng.integers(0, lm.CLASSES, lm.VOCABULARY), rng)
-    model.set_counts(rng.integers(0, 5, lm.VOCABULARY))
+    counts = rng.integers(0, 5, lm.VOCABULARY)
+    model = lm.Model(counts, counts // 2, 40, rng)
+    model.p["near"] = rng.standard_normal(lm.STRIDE).astype(np.float32)
     return model
 
 
-def slow_score(model, ids):
+def slow_score(model, ids, starts):
     """One id at a time, straight from the definition."""
     p, total = model.p, 0.0
     before = [lm.END, *ids[:-1]]
+    x = p["e"][model.cell[before]].astype(np.float64)
     for t, goal in enumerate(ids):
+        if not starts[t]:
+            continue
         low = max(0, t - lm.STRIDE + 1, (t // lm.STRIDE - 1) * lm.STRIDE)
-        x = p["e"][before[t]]
-        q = x @ p["q"]
-        s = np.array([q @ (p["e"][before[j]] @ p["k"]) + p["near"][t - j] for j in range(low, t + 1)], np.float64)
+        s = np.array([x[t] @ p["q"] @ (x[j] @ p["k"]) + p["near"][t - j] for j in range(low, t + 1)])
         a = np.exp(s - s.max())
         a /= a.sum()
-        h = sum(w * (p["e"][before[j]] @ p["v"]) for w, j in zip(a, range(low, t + 1)))
-        logits = np.concatenate([x, h]) @ p["u"] + p["c"]
-        total += logits[model.classes[goal]] - np.log(np.exp(logits - logits.max()).sum()) - logits.max() + model.within[goal]
-    return total / lm.LOG10
+        h = sum(w * (x[j] @ p["v"]) for w, j in zip(a, range(low, t + 1)))
+        logits = np.concatenate([x[t], h]) @ p["u"] + p["c"]
+        total += logits[model.classes[goal]] - np.log(np.exp(logits - logits.max()).sum()) - logits.max()
+    return total
 
 
-def test_windows_score_each_id_once():
-    model = tiny_model()
+def part_of(texts):
+    return [lm.Block(buf, offsets, PATH) for _, _, buf, offsets in chunks(pa.array(texts, pa.string()))][0]
+
+
+def test_windows_score_each_token_once():
     rng = np.random.default_rng(1)
-    texts = [rng.integers(0, 5000, n).tolist() + [lm.END] for n in (0, 1, 15, 16, 17, 40, 200)]
-    first = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
-    ids = np.concatenate(texts).astype(np.int32)
-    want = [slow_score(model, t) for t in texts]
-    for most in (2, 3, 512):
-        got = model.text_scores(ids, first, model.tables(), most)
-        assert np.allclose(got, want, rtol=1e-3, atol=1e-2)
+    part = part_of([" ".join(rng.choice(["the", "unbelievable", "cat", "zqxj"], n)) for n in (0, 1, 7, 15, 16, 40, 200)])
+    ids, starts, first = part.sequence()
+    for scale in (1, 40):  # large parameters give whole numbers too
+        model = tiny_model()
+        model.p = {k: v * scale for k, v in model.p.items()}
+        want = [slow_score(model, ids[a:b].tolist(), starts[a:b]) for a, b in zip(first, first[1:])]
+        for most in (2, 3, 512):
+            got = model.class_scores(part, model.tables(), most)
+            assert np.isfinite(got).all() and np.allclose(got, want, rtol=1e-2 if scale > 1 else 1e-3, atol=1e-2)
 
 
 def test_gradients():
     rng = np.random.default_rng(2)
     model = tiny_model()
-    before, target = rng.integers(0, 50, (3, lm.STRIDE)), rng.integers(0, 50, (3, lm.STRIDE))
+    before, target = rng.integers(0, 50, (3, lm.STRIDE)), rng.integers(-1, 50, (3, lm.STRIDE))
     target[2, 9:] = -1
     fresh = np.array([True, False, True])
     model.p = {k: v.astype(np.float64) for k, v in model.p.items()}
@@ -67,8 +77,29 @@ def test_gradients():
 
 
 def test_probabilities_sum_to_one():
-    model = tiny_model()
-    assert np.allclose(np.bincount(model.classes, weights=np.exp(model.within), minlength=lm.CLASSES), 1, atol=1e-3)
+    counts = np.array([5, 1, 1, 3, 2, 0])
+    firsts = np.zeros(lm.VOCABULARY, np.int64)
+    firsts[[3, 7, 9, lm.END]] = 5 + 1, 1 + 3, 0, 2
+    model = lm.Model(firsts, firsts, 2, np.random.default_rng(0))
+    classes = model.classes[[3, 3, 7, 7, lm.END, 9]]
+    p = np.exp(model.within(classes, counts))
+    assert math.isclose(p[0] + p[1] + model.unknown, 1) and math.isclose(p[2] + p[3] + model.unknown, 1) and math.isclose(p[4] + model.unknown, 1)
+    assert p[5] == 1  # nothing is known of this class
+
+
+def test_learners_are_averaged_in_groups(spark, monkeypatch):
+    monkeypatch.setattr(lm, "FAN", 2)
+    rows = spark.createDataFrame([(i, float(i + 1), [float(i), 1.0]) for i in range(5)], "learner long, weight double, p array<float>")
+    with Scratch(spark) as work:
+        got = lm.average(rows, 5, work)
+    assert np.allclose(got, [sum(i * (i + 1) for i in range(5)) / 15, 1.0])
+
+
+def test_held_out_score_beats_the_base(spark):
+    got = lm.query(spark, "/root/testdata/sf0.01").groupBy("held_out").agg(F.sum("score"), F.sum("base_score"), F.sum("n_tokens"), F.sum("n_known")).collect()
+    for r in got:
+        print(r)
+        assert r[1] > r[2] + 0.1 * r[3]  # a tenth of a digit for each token
 
 
 def test_rows(spark):
