@@ -4,11 +4,14 @@ A test item of m words may appear in a document with up to e word edits (a share
 pieces, at least one piece of such an appearance is unchanged; so pieces are looked up exactly, and around
 each hit the whole item is aligned with Myers' bit-parallel edit distance, over words.
 
-Words are runs of ASCII letters, digits and bytes of 0x80 and above; A-Z count as a-z. Pieces have at least
-PIECE words, which bounds e for short items; items of fewer than 2 * PIECE words must appear unchanged, and
-items without words never match. Null and empty texts match nothing. Each matching (row, item) gives a row;
-repeated rows and items each count. Items are matched in blocks of ITEMS, so that what is broadcast has a
-bound; every block is held against all rows.
+Words are runs of ASCII letters, digits and bytes of 0x80 and above; A-Z count as a-z. What counts as a match has
+two parameters: `share`, and `piece`, the least words of a piece, which bounds e for short items (items of fewer
+than 2 * piece words must appear unchanged; with piece = 1 the share alone counts). Items without words never
+match. Null and empty texts match nothing; texts of any length are taken whole. Each matching (row, item) gives a
+row; repeated rows and items each count, and of several places the least distance. Items of equal words are looked
+up once. Items are matched in blocks of about ITEMS items and ITEM_BYTES bytes, so that what is broadcast has a
+bound; every block is held against all rows. Without items, or rows, nothing matches. Columns other than those kept
+are not read; a kept one that is named item_id, distance or n_item_words is an error.
 """
 
 from __future__ import annotations
@@ -19,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from . import common
 from .common import LOWER_VALUE, Prefix, chunks, rolling, table
@@ -26,7 +30,7 @@ from .common import LOWER_VALUE, Prefix, chunks, rolling, table
 NAME = "op1_benchmark_leaks"
 SHARE = 0.2
 PIECE = 4
-ITEMS = 20_000
+ITEMS, ITEM_BYTES = 20_000, 64 << 20
 
 IS_BREAK = np.ones(256, dtype=bool)
 IS_BREAK[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
@@ -42,8 +46,9 @@ def text_hashes(text: str) -> list[int]:
     return word_hashes(raw, np.array([0, len(raw)]))[0].tolist()
 
 
-def budget(m: int, share: float = SHARE) -> int:
-    return max(0, min(int(share * m), m // PIECE - 1))
+def budget(m: int, share: float = SHARE, piece: int = PIECE) -> int:
+    """Edits that an item of m words may have; all its pieces then have `piece` words or more."""
+    return max(0, min(int(share * m), m // piece - 1))
 
 
 def edit_distance(pattern: dict[int, int], m: int, text: list[int], most: int) -> tuple[int, int]:
@@ -74,26 +79,28 @@ def edit_distance(pattern: dict[int, int], m: int, text: list[int], most: int) -
 
 
 class PieceIndex:
-    """Pieces of a block of items, by the hash of their first words."""
+    """Pieces of a block of items, by the hash of their first words; items of equal words are one."""
 
-    def __init__(self, items: list[tuple], share: float = SHARE):
+    def __init__(self, items: list[tuple], share: float = SHARE, piece: int = PIECE):
         self.items = []
         entries: dict[int, list[tuple[int, int, int]]] = {}
+        alike: dict[tuple, list] = {}
         for item_id, text in items:
-            hashes = text_hashes(text or "")
-            m = len(hashes)
+            alike.setdefault(tuple(text_hashes(text or "")), []).append(item_id)
+        for words, ids in alike.items():
+            hashes, m = list(words), len(words)
             if not m:
                 continue
-            e = budget(m, share)
+            e = budget(m, share, piece)
             bits: dict[int, int] = {}
             for i, h in enumerate(hashes):
                 bits[h] = bits.get(h, 0) | 1 << i
             cuts = [m * i // (e + 1) for i in range(e + 2)]
             for a, b in zip(cuts, cuts[1:], strict=False):
-                width = min(PIECE, b - a)
+                width = min(piece, b - a)
                 key = int(rolling(np.array(hashes[a : a + width], np.uint64), width)[0])
                 entries.setdefault(width, []).append((key, len(self.items), a, b))
-            self.items.append((item_id, hashes, m, e, bits))
+            self.items.append((ids, hashes, m, e, bits))
         self.by_width = {}
         for width, rows in entries.items():
             rows.sort()
@@ -133,45 +140,45 @@ class PieceIndex:
         return sorted((doc, item, d) for (doc, item), d in best.items())
 
 
-def blocks(benchmark: DataFrame, item: str = "item_id", text: str = "text", most: int = ITEMS) -> Iterator[list[tuple]]:
-    """The items in blocks of about `most`, each collected alone."""
-    n = benchmark.count()
-    parts = max(1, -(-n // most))
+def blocks(benchmark: DataFrame, item: str = "item_id", text: str = "text", most: int = ITEMS, most_bytes: int = ITEM_BYTES) -> Iterator[list[tuple]]:
+    """The items in blocks of about `most` items and `most_bytes` bytes, each collected alone."""
+    n, size = benchmark.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length(text)), F.lit(0))).first()
+    parts = max(1, -(-n // most), -(-size // most_bytes))
     for i in range(parts):
         part = benchmark.select(item, text)
         part = part if parts == 1 else part.filter(F.pmod(F.xxhash64(text, item), F.lit(parts)) == i)
         yield [tuple(r) for r in part.collect()]
 
 
-def find(docs: DataFrame, benchmark: DataFrame, keep: tuple[str, ...] = ("doc_id",), text: str = "text", share: float = SHARE) -> DataFrame:
+def find(docs: DataFrame, benchmark: DataFrame, keep: tuple[str, ...] = ("doc_id",), text: str = "text", share: float = SHARE, piece: int = PIECE, most: int = ITEMS) -> DataFrame:
     """A row (columns in keep, item_id, distance, n_item_words) for each item that appears in a row of docs."""
     fields = {f.name: f.dataType.simpleString() for f in docs.schema}
     item_type = benchmark.schema["item_id"].dataType
     schema = ", ".join([*(f"`{k}` {fields[k]}" for k in keep), f"item_id {item_type.simpleString()}, distance int, n_item_words int"])
+    arrow_type = to_arrow_type(item_type)
     out = None
-    for block in blocks(benchmark):
-        shared = docs.sparkSession.sparkContext.broadcast(PieceIndex(block, share))
+    for block in blocks(benchmark, most=most):
+        shared = docs.sparkSession.sparkContext.broadcast(PieceIndex(block, share, piece))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             index = shared.value
             for batch in batches:
                 for a, b, buf, offsets in chunks(batch.column(len(keep))):
                     if found := index.matches(buf, offsets):
-                        rows = pa.array([a + r[0] for r in found])
-                        kept = [c.take(rows) for c in batch.columns[: len(keep)]]
-                        items = [index.items[r[1]] for r in found]
-                        yield pa.RecordBatch.from_arrays([*kept, pa.array([x[0] for x in items], pa.int64() if item_type.simpleString() == "bigint" else None), pa.array([r[2] for r in found], pa.int32()), pa.array([x[2] for x in items], pa.int32())], [*keep, "item_id", "distance", "n_item_words"])
+                        each = [(a + row, i, d, index.items[at][2]) for row, at, d in found for i in index.items[at][0]]
+                        kept = [c.take(pa.array([x[0] for x in each])) for c in batch.columns[: len(keep)]]
+                        yield pa.RecordBatch.from_arrays([*kept, pa.array([x[1] for x in each], arrow_type), pa.array([x[2] for x in each], pa.int32()), pa.array([x[3] for x in each], pa.int32())], [*keep, "item_id", "distance", "n_item_words"])
 
         part = docs.select(*(docs[k] for k in keep), docs[text].alias("__text")).mapInArrow(run, schema)
         out = part if out is None else out.unionByName(part)
     return out
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", share: float = SHARE) -> DataFrame:
+def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", share: float = SHARE, piece: int = PIECE) -> DataFrame:
     """The rows of docs in which no item appears, all columns."""
     place = docs.columns.index(text)
     for block in blocks(benchmark):
-        shared = docs.sparkSession.sparkContext.broadcast(PieceIndex(block, share))
+        shared = docs.sparkSession.sparkContext.broadcast(PieceIndex(block, share, piece))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for batch in batches:

@@ -1,6 +1,8 @@
 import random
 import re
 
+import pytest
+
 from sluice.llm import decontaminate as D
 
 
@@ -29,10 +31,12 @@ def test_distance():
         assert D.edit_distance(bits, len(p), t, len(p))[0] == levenshtein_in(p, t)
 
 
-def test_against_brute_force(spark):
+@pytest.mark.parametrize("piece, most", [(D.PIECE, D.ITEMS), (1, D.ITEMS), (2, 3)])
+def test_against_brute_force(spark, piece, most):
     rng = random.Random(3)
     vocabulary = [f"w{i}" for i in range(40)] + ["Été", "naïve", "X"]
     items = [(i, " ".join(rng.choice(vocabulary) for _ in range(n))) for i, n in enumerate([1, 3, 4, 7, 8, 12, 20, 35, 70, 130])] + [(90, None), (91, ""), (92, "!!"), (5, "w1 w2")]
+    items.append((93, items[6][1].upper()))
     docs = []
     for d in range(120):
         w = [rng.choice(vocabulary) for _ in range(rng.randint(0, 80))]
@@ -50,13 +54,13 @@ def test_against_brute_force(spark):
         words = re.findall(r"[a-z0-9\u0080-\U0010ffff]+", t)
         for i, x in items:
             p = re.findall(r"[a-z0-9\u0080-\U0010ffff]+", re.sub("[A-Z]", lambda m: m[0].lower(), x or ""))
-            if p and (n := levenshtein_in(p, words)) <= D.budget(len(p)):
+            if p and (n := levenshtein_in(p, words)) <= D.budget(len(p), piece=piece):
                 want.append((d, i, n, len(p)))
     frame = spark.createDataFrame(docs, "doc_id long, text string, item_id long")
-    bench = spark.createDataFrame(items, "item_id long, text string")
-    got = sorted(tuple(r) for r in D.find(frame, bench).collect())
+    bench = spark.createDataFrame(items, f"item_id {'long' if piece > 1 else 'int'}, text string")
+    got = sorted(tuple(r) for r in D.find(frame, bench, piece=piece, most=most).collect())
     assert got == sorted(want) and len(got) > 60
-    kept = D.clean(frame, bench)
+    kept = D.clean(frame, bench, piece=piece)
     assert kept.columns == frame.columns
     bad = {x[0] for x in want}
     assert sorted(r.doc_id for r in kept.collect()) == sorted(d for d, _, _ in docs if d not in bad)
