@@ -183,8 +183,8 @@ def dedup(docs: DataFrame, least: int = LEAST) -> DataFrame:
     least: lines of fewer words (at least 2) match only if equal.
     """
     with Scratch(docs.sparkSession) as work:
-        kept = work.stored(kept_lines(docs, work, least).groupBy("k1", "k2").agg(F.sort_array(F.collect_list("i")).alias("stay")))  # lines of one row
-        return stored(_cut(docs, kept))
+        kept = stored(kept_lines(docs, work, least).groupBy("k1", "k2").agg(F.sort_array(F.collect_list("i")).alias("stay")))  # lines of one row
+    return _cut(docs, kept)  # texts are not stored once more
 
 
 def _cut(docs: DataFrame, kept: DataFrame) -> DataFrame:
