@@ -113,8 +113,8 @@ def reconciled(errors: DataFrame, outputs: DataFrame, least: int = 24, key: str
     from ..functions.text import common_prefix
 
     own = F.col(key) if key else F.col("name")
-    a = errors.select("folder", own.alias("wanted"), F.substring("name", 1, least).alias("key"))
-    b = outputs.select("folder", own.alias("found"), F.substring("name", 1, least).alias("key"))
+    a = errors.select("folder", own.alias("wanted"), F.substring("name", 1, least).alias("key")).filter("key <> ''")
+    b = outputs.select("folder", own.alias("found"), F.substring("name", 1, least).alias("key")).filter("key <> ''")
     long = a.join(b, ["folder", "key"]).select("folder", "wanted", "found")
     cut = lambda df, c: df.select("folder", c, "key", F.explode(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length("key")))).alias("n")).select("folder", c, F.substring(F.col("key"), F.lit(1), F.col("n")).alias("key"))
     inside = cut(a, "wanted").join(b.filter(F.length("key") < least), ["folder", "key"]).select("folder", "wanted", "found")

@@ -50,7 +50,7 @@ def answers_joined(spark, d):
 # --- issues --------------------------------------------------------------------------------------
 
 
-def _candidates(spark, d):
+def candidates(spark, d):
     """A candidate for each document: its first line is the stem, the others are options labelled by their length."""
     docs = table(spark, d, "documents").join(table(spark, d, "labels").groupBy("doc_id").agg(F.max("quality").alias("quality")), "doc_id", "left")
     lines = F.split(F.coalesce("text", F.lit("")), "\n", -1)
@@ -63,7 +63,7 @@ def _candidates(spark, d):
 
 
 def candidate_issue_codes(spark, d):
-    return B.candidate_issues(_candidates(spark, d), ["doc_id"])
+    return B.candidate_issues(candidates(spark, d), ["doc_id"])
 
 
 CODES_SQL = r"""cand AS (SELECT doc_id, lang, source, trim(l[1]) AS stem, list_transform(l[2:], lambda x: substr('ABCDE', length(x) % 5 + 1, 1)) AS raw, list_transform(l[2:], lambda x: trim(x)) AS texts, q
@@ -85,7 +85,7 @@ def failure_codes(spark, d):
 
 
 def gate_split(spark, d):
-    return B.split_statuses(B.candidate_issues(_candidates(spark, d), ["doc_id"]), ["doc_id"])
+    return B.split_statuses(B.candidate_issues(candidates(spark, d), ["doc_id"]), ["doc_id"])
 
 
 def markup_flags(spark, d):
@@ -104,7 +104,7 @@ def corrections_applied(spark, d):
 
 
 def _gate_rows(spark, d):
-    c = _candidates(spark, d)
+    c = candidates(spark, d)
     issues = B.candidate_issues(c, ["doc_id"])
     has_four, has_asset = F.size("options") >= 4, F.coalesce(F.exists("image_refs", lambda r: r["exists"]), F.lit(False))
     blocking = issues.filter("severity in ('error', 'blocked')").join(c.select("doc_id", has_four.alias("four"), has_asset.alias("asset")), "doc_id")
@@ -228,7 +228,7 @@ def event_staging(spark, d):
 
 
 def candidate_staging(spark, d):
-    i = B.candidate_issues(_candidates(spark, d), ["doc_id"]).join(table(spark, d, "documents").select("doc_id", "source"), "doc_id")
+    i = B.candidate_issues(candidates(spark, d), ["doc_id"]).join(table(spark, d, "documents").select("doc_id", "source"), "doc_id")
     i = i.withColumns({"issue_code": F.when(F.col("doc_id") % 3 != 0, F.col("issue_code")), "severity": F.when(F.col("doc_id") % 5 == 0, "").otherwise(F.col("severity"))})
     return B.staged(i, ["source"], {"issue_code": "unknown_issue", "severity": "warning"}).groupBy("issue_code", "severity").agg(rows())
 
@@ -278,7 +278,7 @@ def first_assets(spark, d):
 
 def answer_report(spark, d):
     """Questions, options and answers of each document side by side, with counts where there are none."""
-    c = _candidates(spark, d)
+    c = candidates(spark, d)
     options = c.select("doc_id", F.explode("options").alias("o")).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_options"), F.count_distinct("o.key").alias("n_labels"))
     answers = c.filter("answer is not null").select("doc_id", "answer")
     return c.select("doc_id").join(options, "doc_id", "left").join(answers, "doc_id", "left").select("doc_id", F.coalesce("n_options", F.lit(0)).alias("n_options"), F.coalesce("n_labels", F.lit(0)).alias("n_labels"), "answer")
@@ -434,7 +434,7 @@ def sheet_keys(spark, d):
 
 def candidate_payload(spark, d):
     """Candidates beside their issues, review and audit, with the options in compact form and the block cut as exports have it."""
-    c = _candidates(spark, d)
+    c = candidates(spark, d)
     issues = B.candidate_issues(c, ["doc_id"]).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_issues"), F.count_if(F.col("severity") == "error").alias("n_errors"))
     review = _states(spark, d).select(F.col("candidate_key").alias("doc_id"), F.struct("review_action", "is_reviewed").alias("review"), F.struct("ai_effective_status").alias("ai"))
     j = c.join(issues, "doc_id", "left").join(review, "doc_id", "left")

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import text as T
 from ..operators import relational as R
 from ..operators import review as V
 from ..operators import rules as G
+from . import bank
 from .common import REVIEW_SQL, review_events, table
 
 ISSUES = [
@@ -50,7 +50,7 @@ def _gaps(c):
 
 
 def document_gaps(spark, d):
-    return _gaps(table(spark, d, "conversations").filter("turn % 3 <> 1 or conv_id % 2 = 0"))
+    return _gaps(table(spark, d, "conversations").withColumn("turn", F.col("turn") * 3))
 
 
 def document_gaps_whole(spark, d):
@@ -74,7 +74,7 @@ def _sheet(c):
 
 
 def answer_sheet_fill(spark, d):
-    return _sheet(table(spark, d, "conversations").filter("turn % 3 <> 1"))
+    return _sheet(table(spark, d, "conversations").withColumn("turn", F.col("turn") * 3 + 2))
 
 
 def answer_sheet_whole(spark, d):
@@ -130,11 +130,10 @@ def preflight_top_reasons(spark, d):
 
 
 def promote_options(spark, d):
-    """Option rows of the candidates that pass the gate: their first four words, labelled A-D."""
+    """Option rows of the candidates that pass the gate."""
     ready = _preflight(spark, d).filter("status = 'ready'").select("doc_id")
-    words = F.filter(F.split(F.col("text"), "[ \n]+"), lambda w: w != "")
-    rows = table(spark, d, "documents").join(ready, "doc_id", "left_semi").select("doc_id", F.posexplode(F.slice(words, 1, 4)).alias("i", "option_text"))
-    return rows.select("doc_id", F.substring(F.lit("ABCD"), F.col("i") + 1, F.lit(1)).alias("option_label"), "option_text")
+    c = bank.candidates(spark, d).join(ready, "doc_id", "left_semi").select(F.col("doc_id").alias("candidate_key"), "source", F.lit(None).cast("string").alias("group_ref"), "stem", "options", "answer", F.col("image_refs").alias("refs"))
+    return V.promoted(c)["options"].select(F.col("candidate_key").alias("doc_id"), F.col("option_order").cast("long").alias("option_order"), "option_label", "option_text")
 
 
 def risk_labels(spark, d):
@@ -143,52 +142,53 @@ def risk_labels(spark, d):
     return table(spark, d, "documents").select("doc_id", F.array_join(found, ";").alias("labels"))
 
 
-def reconcile_prefix(spark, d):
-    """Best document by common prefix (24 characters or more) within the same source and language."""
-    docs = table(spark, d, "documents").select("doc_id", "lang", "source", F.substring("text", 1, 120).alias("head"))
-    left = docs.filter("doc_id % 10 = 3")  # the outputs to reconcile
-    right = docs.select(F.col("doc_id").alias("other"), "lang", "source", F.col("head").alias("other_head")).withColumn("key", F.substring("other_head", 1, 24))
-    j = left.withColumn("key", F.substring("head", 1, 24)).join(right, ["lang", "source", "key"]).filter("doc_id <> other").withColumn("score", T.common_prefix(F.col("head"), F.col("other_head"))).filter("score >= 24")
-    best = j.groupBy("doc_id").agg(F.max("score").alias("score"), F.max_by("other", F.struct("score", -F.col("other"))).alias("best"), F.collect_list("score").alias("scores"))
-    tie = F.size(F.filter("scores", lambda s: s == F.col("score"))) > 1
-    return best.select("doc_id", "score", F.when(tie, "ambiguous").otherwise("matched").alias("status"), "best")
-
-
 def reconcile_documents(spark, d):
     """Every document against the others of its source and language by whole texts; unmatched ones too."""
     docs = table(spark, d, "documents").select("doc_id", F.concat("lang", F.lit("|"), "source").alias("folder"), F.col("text").alias("name"))
     return V.reconciled(docs, docs, key="doc_id").select(F.col("wanted").alias("doc_id"), "score", "status", F.col("found").alias("best"))
 
 
+def reconcile_prefix(spark, d):
+    """The documents that another one of their source and language begins like."""
+    return reconcile_documents(spark, d).filter("status <> 'unmatched'")
+
+
+#: Best other document by common prefix: 24 characters or more, or one text inside the other's beginning.
+RECONCILED_SQL = """d AS (SELECT doc_id, lang || '|' || source AS f, text AS t FROM documents WHERE text IS NOT NULL),
+  j AS (SELECT a.doc_id, b.doc_id AS other, a.t AS x, b.t AS y, least(length(a.t), length(b.t)) AS n FROM d a JOIN d b ON a.f = b.f AND left(a.t, 24) = left(b.t, 24) AND a.doc_id <> b.doc_id AND a.t <> ''
+    UNION SELECT a.doc_id, b.doc_id, a.t, b.t, least(length(a.t), length(b.t)) FROM d a JOIN d b ON a.f = b.f AND a.doc_id <> b.doc_id AND a.t <> '' AND b.t <> ''
+      AND ((length(b.t) < 24 AND starts_with(a.t, b.t)) OR (length(a.t) < 24 AND starts_with(b.t, a.t)))),
+  s AS (SELECT doc_id, other, list_reduce([0, 1048576, 524288, 262144, 131072, 65536, 32768, 16384, 8192, 4096, 2048, 1024, 512, 256, 128, 64, 32, 16, 8, 4, 2, 1],
+    lambda p, q: CASE WHEN p + q <= n AND left(x, p + q) = left(y, p + q) THEN p + q ELSE p END)::BIGINT AS score FROM j),
+  best AS (SELECT doc_id, score, count(*) AS ties, min(other) AS other FROM s GROUP BY doc_id, score QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC) = 1),
+  said AS (SELECT doc_id, score, CASE WHEN ties > 1 THEN 'ambiguous' ELSE 'matched' END AS status, CASE WHEN ties = 1 THEN other END AS best FROM best)"""
+
+
 QUERIES = {
     "issue_rules": (issue_rules, f"WITH {ISSUES_SQL} SELECT * FROM coded"),
     "issue_flags": (issue_flags, f"WITH {ISSUES_SQL} SELECT doc_id, bool_or(severity IN ('error', 'blocked')) AS has_error, bool_or(severity = 'warning') AS has_warning FROM coded WHERE issue_code <> 'missing_source' GROUP BY 1"),
     "issue_status": (issue_status, f"""WITH {ISSUES_SQL}, st AS (SELECT d.doc_id, count(issue_code) AS issue_count, max(CASE severity WHEN 'error' THEN 2 WHEN 'blocked' THEN 2 WHEN 'warning' THEN 1 ELSE 0 END) AS r FROM documents d LEFT JOIN coded c ON c.doc_id = d.doc_id GROUP BY 1)
       SELECT CASE r WHEN 2 THEN 'blocked' WHEN 1 THEN 'needs_review' ELSE 'pass' END AS quality_status, issue_count, count(*) AS n FROM st GROUP BY ALL"""),
-    "document_gaps": (document_gaps, """WITH c AS (SELECT * FROM conversations WHERE turn % 3 <> 1 OR conv_id % 2 = 0), g AS (SELECT conv_id, unnest(range(min(turn), max(turn) + 1)) AS t FROM c GROUP BY 1)
+    "document_gaps": (document_gaps, """WITH c AS (SELECT conv_id, turn * 3 AS turn FROM conversations), g AS (SELECT conv_id, unnest(range(min(turn), max(turn) + 1)) AS t FROM c GROUP BY 1)
       SELECT conv_id, string_agg(t, ',' ORDER BY t) AS missing FROM (SELECT g.* FROM g ANTI JOIN c ON c.conv_id = g.conv_id AND c.turn = g.t QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY t) <= 50) GROUP BY 1"""),
     "duplicate_numbers": (duplicate_numbers, "SELECT conv_id, turn // 2 AS number, count(*) AS n FROM conversations GROUP BY ALL HAVING count(*) > 1"),
     "dup_key_suffix": (dup_key_suffix, """SELECT conv_id, turn, 'c' || conv_id || ':q' || lpad((turn // 2)::VARCHAR, 3, '0') || CASE WHEN rn > 1 THEN ':dup' || lpad(rn::VARCHAR, 2, '0') ELSE '' END AS candidate_key
       FROM (SELECT *, row_number() OVER (PARTITION BY conv_id, turn // 2 ORDER BY turn) AS rn FROM conversations)"""),
-    "answer_sheet_fill": (answer_sheet_fill, """WITH c AS (SELECT conv_id, turn, max(role) AS role FROM conversations WHERE turn % 3 <> 1 GROUP BY ALL), g AS (SELECT conv_id, unnest(range(0, max(turn) + 1)) AS turn FROM c GROUP BY 1)
+    "answer_sheet_fill": (answer_sheet_fill, """WITH c AS (SELECT conv_id, turn * 3 + 2 AS turn, max(role) AS role FROM conversations GROUP BY ALL), g AS (SELECT conv_id, unnest(range(0, max(turn) + 1)) AS turn FROM c GROUP BY 1)
       SELECT g.conv_id, g.turn, role, role IS NULL AS placeholder FROM g LEFT JOIN c USING (conv_id, turn)"""),
     "answer_sheet_status": (answer_sheet_status, f"""WITH {REVIEW_SQL}, la AS (SELECT candidate_key, arg_max(action, (created_at, id)) AS a FROM review GROUP BY 1)
       SELECT candidate_key % 40 AS sheet, count(*) AS total, CASE WHEN bool_or(a = 'block') THEN 'block' WHEN bool_or(a = 'comment') THEN 'needs_review' WHEN bool_and(a = 'accept') THEN 'accept' WHEN bool_or(a <> 'reset_review') THEN 'reviewed' END AS status FROM la GROUP BY 1"""),
     "group_sheet": (group_sheet, f"""WITH {ISSUES_SQL} SELECT source, sum(n)::BIGINT AS n_issues, string_agg(issue_code || ':' || n, ';' ORDER BY issue_code) AS reasons FROM (SELECT source, issue_code, count(*) AS n FROM coded JOIN documents USING (doc_id) GROUP BY ALL) GROUP BY 1"""),
     "preflight": (preflight, f"WITH {PREFLIGHT_SQL} SELECT *, CASE WHEN reasons = '' THEN 'ready' ELSE 'blocked' END AS status FROM pre"),
     "preflight_top_reasons": (preflight_top_reasons, f"WITH {PREFLIGHT_SQL} SELECT reason, count(*) AS n FROM (SELECT unnest(string_split(reasons, ';')) AS reason FROM pre) WHERE reason <> '' GROUP BY 1 ORDER BY n DESC, reason LIMIT 20"),
-    "promote_options": (promote_options, f"""WITH {PREFLIGHT_SQL}, w AS (SELECT doc_id, list_filter(string_split_regex(text, '[ \n]+'), lambda x: x <> '')[1:4] AS w FROM documents WHERE doc_id IN (SELECT doc_id FROM pre WHERE reasons = ''))
-      SELECT doc_id, substr('ABCD', i, 1) AS option_label, w[i] AS option_text FROM w, unnest(range(1, len(w) + 1)) AS u(i)"""),
+    "promote_options": (promote_options, f"""WITH {PREFLIGHT_SQL}, {bank.CODES_SQL}, o AS (SELECT doc_id, raw, texts, list_sort(list_transform(range(1, len(raw) + 1), lambda i: raw[i] || lpad(i::VARCHAR, 9, '0'))) AS k FROM cand WHERE doc_id IN (SELECT doc_id FROM pre WHERE reasons = ''))
+      SELECT doc_id, i AS option_order, k[i][1] AS option_label, texts[k[i][2:]::INTEGER] AS option_text FROM o, unnest(range(1, len(k) + 1)) AS u(i)"""),
     "risk_labels": (risk_labels, """SELECT doc_id, array_to_string(list_filter([CASE WHEN contains(text, '(') THEN 'brackets' END, CASE WHEN regexp_matches(text, '[A-Z]{4,}') THEN 'caps' END, CASE WHEN regexp_matches(text, '[0-9]') THEN 'digits' END,
       CASE WHEN length(text) > 2000 THEN 'long' END, CASE WHEN contains(text, '|') THEN 'pipe' END], lambda x: x IS NOT NULL), ';') AS labels FROM documents"""),
-    "reconcile_prefix": (reconcile_prefix, """WITH d AS (SELECT doc_id, lang, source, left(text, 120) AS h FROM documents), j AS (SELECT a.doc_id, b.doc_id AS other,
-        len(list_filter(range(1, least(length(a.h), length(b.h)) + 1), lambda i: left(a.h, i) = left(b.h, i))) AS score
-      FROM d a JOIN d b ON a.lang = b.lang AND a.source = b.source AND left(a.h, 24) = left(b.h, 24) AND a.doc_id <> b.doc_id WHERE a.doc_id % 10 = 3)
-      SELECT doc_id, max(score) AS score, CASE WHEN count(*) FILTER (score = top) > 1 THEN 'ambiguous' ELSE 'matched' END AS status, arg_max(other, (score, -other)) AS best
-      FROM (SELECT *, max(score) OVER (PARTITION BY doc_id) AS top FROM j WHERE score >= 24) GROUP BY 1"""),
+    "reconcile_prefix": (reconcile_prefix, f"WITH {RECONCILED_SQL} SELECT * FROM said"),
     "document_gaps_whole": (document_gaps_whole, """WITH g AS (SELECT conv_id, unnest(range(min(turn), max(turn) + 1)) AS t FROM conversations GROUP BY 1)
       SELECT conv_id, string_agg(t, ',' ORDER BY t) AS missing FROM (SELECT g.* FROM g ANTI JOIN conversations c ON c.conv_id = g.conv_id AND c.turn = g.t QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY t) <= 50) GROUP BY 1"""),
     "answer_sheet_whole": (answer_sheet_whole, """WITH c AS (SELECT conv_id, turn, max(role) AS role FROM conversations GROUP BY ALL), g AS (SELECT conv_id, unnest(range(0, max(turn) + 1)) AS turn FROM c GROUP BY 1)
       SELECT g.conv_id, g.turn, role, role IS NULL AS placeholder FROM g LEFT JOIN c USING (conv_id, turn)"""),
-    "reconcile_documents": (reconcile_documents, None),
+    "reconcile_documents": (reconcile_documents, f"WITH {RECONCILED_SQL} SELECT doc_id, score, coalesce(status, 'unmatched') AS status, best FROM documents LEFT JOIN said USING (doc_id)"),
 }

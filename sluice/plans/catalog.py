@@ -109,14 +109,20 @@ def semi_either_path(spark, d):
     return l.join(chosen, "path", "left_semi").select("l_orderkey", "l_linenumber").distinct()
 
 
-def _prices(spark, d, new_keys="p_partkey % 2 = 0"):
-    old = table(spark, d, "part").filter("p_partkey % 3 <> 0").select("p_partkey", F.col("p_brand").alias("brand"), F.col("p_size").alias("size"))
-    new = table(spark, d, "part").filter(new_keys).select("p_partkey", F.when(F.col("p_size") % 4 != 0, F.upper("p_type")).alias("brand"), (F.col("p_size") + F.when(F.col("p_partkey") % 4 == 0, 1).otherwise(0)).cast("int").alias("size"))
-    return old, new
+def _changed(part, key):
+    return part.select(key.alias("p_partkey"), F.when(F.col("p_size") % 4 != 0, F.upper("p_type")).alias("brand"), (F.col("p_size") + F.when(F.col("p_partkey") % 4 == 0, 1).otherwise(0)).cast("int").alias("size"))
 
 
-OLD_NEW = """old AS (SELECT p_partkey, p_brand AS brand, p_size AS size FROM part WHERE p_partkey % 3 <> 0),
-  new AS (SELECT p_partkey, CASE WHEN p_size % 4 <> 0 THEN upper(p_type) END AS brand, (p_size + CASE WHEN p_partkey % 4 = 0 THEN 1 ELSE 0 END)::INTEGER AS size FROM part WHERE p_partkey % 2 = 0)"""
+def _prices(spark, d):
+    """All parts as they were, and changed ones under twice their keys: some known, some new."""
+    part = table(spark, d, "part")
+    return part.select("p_partkey", F.col("p_brand").alias("brand"), F.col("p_size").alias("size")), _changed(part, F.col("p_partkey") * 2)
+
+
+OLD_NEW = """old AS (SELECT p_partkey, p_brand AS brand, p_size AS size FROM part),
+  new AS (SELECT p_partkey * 2 AS p_partkey, CASE WHEN p_size % 4 <> 0 THEN upper(p_type) END AS brand, (p_size + CASE WHEN p_partkey % 4 = 0 THEN 1 ELSE 0 END)::INTEGER AS size FROM part)"""
+WHOLE_SQL = """old AS (SELECT p_partkey, p_brand AS brand, p_size AS size FROM part WHERE p_partkey % 3 <> 0),
+  new AS (SELECT p_partkey, CASE WHEN p_size % 4 <> 0 THEN upper(p_type) END AS brand, (p_size + CASE WHEN p_partkey % 4 = 0 THEN 1 ELSE 0 END)::INTEGER AS size FROM part WHERE p_partkey % 2 = 0 OR p_partkey % 3 = 0)"""
 
 
 def upsert_state(spark, d):
@@ -143,7 +149,9 @@ def full_outer_diff(spark, d):
 
 def _whole(spark, d):
     """Every row of `part` in the old state or the new one, or both."""
-    return _prices(spark, d, "p_partkey % 2 = 0 or p_partkey % 3 = 0")
+    part = table(spark, d, "part")
+    old = part.filter("p_partkey % 3 <> 0").select("p_partkey", F.col("p_brand").alias("brand"), F.col("p_size").alias("size"))
+    return old, _changed(part.filter("p_partkey % 2 = 0 or p_partkey % 3 = 0"), F.col("p_partkey"))
 
 
 def upsert_whole(spark, d):
@@ -268,7 +276,6 @@ QUERIES = {
 }
 QUERIES["chunk_tasks"] = (chunk_tasks, f"SELECT part, count(*) AS n, min(s_suppkey) AS first_key, max(s_suppkey) AS last_key FROM ({QUERIES['chunk_tasks'][1]}) GROUP BY 1")
 
-WHOLE_SQL = OLD_NEW.replace("WHERE p_partkey % 2 = 0)", "WHERE p_partkey % 2 = 0 OR p_partkey % 3 = 0)")
 QUERIES |= {
     f"{name}_whole": (query, QUERIES[of][1].replace(OLD_NEW, WHOLE_SQL))
     for name, of, query in (("upsert", "upsert_state", upsert_whole), ("insert_ignore", "insert_ignore", insert_ignore_whole), ("mirror_delete", "mirror_delete", mirror_delete_whole), ("full_outer_diff", "full_outer_diff", full_outer_diff_whole))
