@@ -13,19 +13,20 @@ def fold_with_reset(events: DataFrame, key: str, order: Sequence[str], action: s
 
     A reset closes the segment before it. With carry = (column, has_key): an event that lacks the key
     inherits the value of the last event in its segment that has it, if that value is truthy; one that has
-    the key replaces it, with null if its value is null.
+    the key replaces it, with null if its value is null. One aggregation, partial before the shuffle.
     """
-    w = Window.partitionBy(key).orderBy(*order)
-    rows = events.withColumn("__seg", F.sum(F.when(F.col(action) == reset, 1).otherwise(0)).over(w))
+    at = F.struct(*order)
     columns = [F.col(action).alias("action"), *(F.col(c).alias(c) for c in order)]
+    aggregates = [F.max_by(F.struct(*columns), at).alias("x"), F.max(F.when(F.col(action) == reset, at)).alias("__reset")]
     if carry is not None:
         column, has = carry
-        seg = Window.partitionBy(key, "__seg").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-        said = F.when(has & (F.col(action) != reset), F.struct(F.col(column).alias("v")))
-        rows = rows.withColumn("__carried", F.last(said, ignorenulls=True).over(seg)["v"])
-        columns.append(F.col("__carried").alias("carried"))
-    last = rows.groupBy(key).agg(F.max_by(F.struct(*columns), F.struct(*order)).alias("x")).select(key, "x.*")
-    return last.withColumn("state", F.when(F.col("action") == reset, "reset").otherwise("latest"))
+        said = F.when(has & (F.col(action) != reset), at)
+        aggregates += [F.max(said).alias("__said"), F.max_by(F.struct(F.col(column).alias("v")), said).alias("__value")]
+    last = events.groupBy(key).agg(*aggregates)
+    out = [key, "x.*"]
+    if carry is not None:  # only the last value said can count, and only if no reset came after it
+        out.append(F.when(F.col("__reset").isNull() | (F.col("__said") > F.col("__reset")), F.col("__value.v")).alias("carried"))
+    return last.select(*out).withColumn("state", F.when(F.col("action") == reset, "reset").otherwise("latest"))
 
 
 def last_event(events: DataFrame, key: str, order: Sequence[str], columns: Sequence[str], reset: tuple[str, str] | None = None) -> DataFrame:

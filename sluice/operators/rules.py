@@ -32,6 +32,13 @@ def status_of_issues(candidates: DataFrame, issues: DataFrame, key: str) -> Data
     return candidates.select(key).join(per, key, "left").select(key, F.coalesce("issue_count", F.lit(0)).alias("issue_count"), quality_status(F.coalesce("rank", F.lit(0))).alias("quality_status"))
 
 
+def status_by_rules(df: DataFrame, keys: Sequence[str], rules: Sequence[tuple[str, str, Column]], keep: Sequence[str] = ()) -> DataFrame:
+    """keys, issue_count, quality_status and the columns in keep, from the rules (code, severity, condition) of each row: no shuffle."""
+    ranks = F.array_compact(F.array(*(F.when(cond, F.lit(SEVERITY_RANK[severity])) for _, severity, cond in rules)))
+    rows = df.select(*keys, *keep, ranks.alias("__r"))
+    return rows.select(*keys, *keep, F.size("__r").cast("long").alias("issue_count"), quality_status(F.coalesce(F.array_max("__r"), F.lit(0))).alias("quality_status"))
+
+
 def labels(rules: Sequence[tuple[str, Column]]) -> Column:
     """Sorted array of the names of the rules that hold."""
     return F.array_sort(F.array_compact(F.array(*(F.when(c, F.lit(n)) for n, c in rules))))

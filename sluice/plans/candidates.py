@@ -27,8 +27,12 @@ ISSUES_SQL = """issues AS (SELECT doc_id, unnest(list_filter([
  coded AS (SELECT doc_id, split_part(said, ':', 1) AS issue_code, split_part(said, ':', 2) AS severity FROM issues)"""
 
 
+def _rules():
+    return [(c, s, f()) for c, s, f in ISSUES]
+
+
 def _issues(spark, d):
-    return G.rules_to_issues(table(spark, d, "documents"), ["doc_id"], [(c, s, f()) for c, s, f in ISSUES])
+    return G.rules_to_issues(table(spark, d, "documents"), ["doc_id"], _rules())
 
 
 def issue_rules(spark, d):
@@ -41,7 +45,7 @@ def issue_flags(spark, d):
 
 
 def issue_status(spark, d):
-    s = G.status_of_issues(table(spark, d, "documents"), _issues(spark, d), "doc_id")
+    s = G.status_by_rules(table(spark, d, "documents"), ["doc_id"], _rules())
     return s.groupBy("quality_status", "issue_count").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -97,10 +101,9 @@ def group_sheet(spark, d):
 
 
 def _preflight(spark, d):
-    docs = table(spark, d, "documents")
-    status = G.status_of_issues(docs, _issues(spark, d), "doc_id")
+    status = G.status_by_rules(table(spark, d, "documents"), ["doc_id"], _rules(), ["n_chars"])
     last = review_events(spark, d).groupBy("candidate_key").agg(F.max_by("action", F.struct("created_at", "id")).alias("action"))
-    j = docs.select("doc_id", "n_chars").join(status, "doc_id").join(last.withColumnRenamed("candidate_key", "doc_id"), "doc_id", "left").join(table(spark, d, "labels"), "doc_id", "left")
+    j = status.join(last.withColumnRenamed("candidate_key", "doc_id"), "doc_id", "left").join(table(spark, d, "labels"), "doc_id", "left")
     action = F.coalesce("action", F.lit(""))
     return j.select(
         "doc_id",
