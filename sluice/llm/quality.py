@@ -12,7 +12,8 @@ many do). Without toxic rows it is the LOST quantile of the trusted scores.
 
 All labelled rows and all documents are counted. Nulls and empty texts have no words and fail the rules. Labels
 whose doc_id is null or unknown are ignored; repeated labels count once, the worst of them; without trusted rows
-every score is 0.
+every score is 0. A score that equals the threshold is kept. Texts of any length are taken whole; repeated rows each get
+their row; an empty table gives none. Columns other than doc_id and text are left out, so names never clash.
 """
 
 from __future__ import annotations

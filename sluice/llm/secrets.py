@@ -6,7 +6,9 @@ pairs that the ledger lacks, and findings are joined back to every path (row) th
 DataFrame functions only.
 
 Nulls: a null text is the empty text. Repeated rows, even under one id, each get their row. A text
-without findings gets zero counts, the hash of the empty string and an empty span list.
+without findings gets zero counts, the hash of the empty string and an empty span list. Texts of any length are scanned whole.
+Of spans that start together the kinds' order decides. Only the key and text columns are read, so other names never
+clash; an empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -13,6 +13,8 @@ are held against), so that the work follows the repeated text and its edges.
 Buckets are counted and joined back, never gathered: a bucket may hold any share of all suffixes. Texts are
 UTF-8 bytes; null is empty; texts shorter than `length` have no window. Rows equal in doc_id and text are
 separate occurrences with the same verdict. Identifiers are 64-bit hashes compared within one bucket.
+Texts of any length are taken whole; of equal windows all go, so there are no ties to break. Only doc_id and text are
+read, so other columns never clash; an empty table gives no rows.
 """
 
 from __future__ import annotations

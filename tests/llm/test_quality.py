@@ -1,4 +1,6 @@
+import math
 import re
+from collections import Counter
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -74,3 +76,34 @@ def test_threshold_is_the_least_sum_of_both_errors(spark):
     assert 0.3 < quality.threshold_of(passed) <= 0.5
     assert quality.threshold_of(passed.filter("not toxic")) <= 0.1
     assert quality.threshold_of(passed.filter("not trusted")) is None
+
+
+def test_scores_and_verdicts_against_brute_force(spark):
+    rng = np.random.default_rng(11)
+    rows = [(i, " ".join(rng.choice([f"w{k}" for k in range(60)], rng.integers(1, 90)))) for i in range(90)] + [(90, None), (91, ""), (92, "x " * 30), (93, "long " + " ".join(f"v{k}" for k in range(30000))), (0, "w1 w2")]
+    labels = [(i, int(i % 3 > 0), int(i % 7 == 0)) for i in range(0, 60)]
+    docs = spark.createDataFrame([(*r, 9) for r in rows], "doc_id long, text string, score int")
+    got = quality.judge(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()
+    assert len(got) == len(rows)
+
+    def buckets(text):
+        raw = np.frombuffer((text or "").encode(), np.uint8)
+        return quality.grams(raw, np.array([0, len(raw)]), quality.Prefix(raw))[0].tolist() if len(raw) else []
+
+    trusted = {d for d, q, t in labels if q == 1 and t == 0}
+    raw, target = Counter(), Counter()
+    for d, t in rows:
+        raw.update(buckets(t))
+        target.update(buckets(t) if d in trusted else [])
+    half, all_raw, all_target = quality.SMOOTHING, sum(raw.values()) + quality.SMOOTHING * quality.BUCKETS, sum(target.values()) + quality.SMOOTHING * quality.BUCKETS
+    want = []
+    for d, t in rows:
+        b, own, left = buckets(t), Counter(), all_target
+        if d in trusted:
+            own, left = Counter(b), all_target - len(b)
+        score = sum(math.log(max(target[x] + half - own[x], half) / left) - math.log((raw[x] + half) / all_raw) for x in b) / max(1, len(b))
+        n, *_, repeats = brute(t) if (t or "").count(" ") < 1000 else (30001, 0)
+        failed = n < 20 or 100 * repeats > 30 * n
+        want.append((d, round(score, 6), failed, not failed and score >= got[0].threshold))
+    assert sorted((r.doc_id, round(r.score, 6), r.base_failed, r.kept) for r in got) == sorted(want)
+    assert any(r.kept for r in got) and any(not r.kept and not r.base_failed for r in got)
