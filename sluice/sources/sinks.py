@@ -5,8 +5,9 @@ from __future__ import annotations
 import time
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, StructType
 
 
 def write_csv(df: DataFrame, path: str, fields: Sequence[str], mode: str = "error") -> None:
@@ -14,9 +15,20 @@ def write_csv(df: DataFrame, path: str, fields: Sequence[str], mode: str = "erro
     df.select(*((F.col(f) if f in df.columns else F.lit("")).alias(f) for f in fields)).write.mode(mode).option("header", True).option("escape", '"').csv(path)
 
 
+def in_key_order(c: Column, kind: DataType) -> Column:
+    """The value with the fields of all its structs in order of their names."""
+    if isinstance(kind, StructType):
+        fields = sorted(kind.fields, key=lambda f: f.name)
+        return F.when(c.isNotNull(), F.struct(*(in_key_order(c.getField(f.name), f.dataType).alias(f.name) for f in fields)))
+    if isinstance(kind, ArrayType):
+        return F.transform(c, lambda x: in_key_order(x, kind.elementType))
+    return c
+
+
 def write_jsonl(df: DataFrame, path: str, mode: str = "error") -> None:
-    """JSON lines with keys in order; characters are kept as they are."""
-    df.select(*sorted(df.columns)).write.mode(mode).json(path)
+    """JSON lines with keys in order at every depth, nulls written, characters kept as they are."""
+    fields = sorted(df.schema.fields, key=lambda f: f.name)
+    df.select(*(in_key_order(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in fields)).write.mode(mode).option("ignoreNullFields", False).json(path)
 
 
 def append_events(df: DataFrame, path: str) -> None:

@@ -48,7 +48,7 @@ def test_catalog_pages(spark):
 def test_sinks(spark, tmp_path):
     df = spark.createDataFrame([(1, "é", None)], "b int, a string, c string")
     sinks.write_jsonl(df, f"{tmp_path}/j")
-    assert spark.read.text(f"{tmp_path}/j").first()[0] == '{"a":"é","b":1}'
+    assert spark.read.text(f"{tmp_path}/j").first()[0] == '{"a":"é","b":1,"c":null}'
     sinks.append_events(df, f"{tmp_path}/j")
     assert spark.read.text(f"{tmp_path}/j").count() == 2
     sinks.write_csv(df, f"{tmp_path}/c", ["a", "z"])
