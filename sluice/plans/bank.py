@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import names as N
+from ..functions import questions as Q
 from ..operators import bank as B
 from ..operators import relational as R
 from .common import REVIEW_SQL, review_events, table
@@ -47,6 +48,22 @@ def answers_joined(spark, d):
     return j.groupBy("number", F.coalesce("answer", F.lit("missing")).alias("answer")).agg(rows()).withColumn("number", F.col("number").cast("long"))
 
 
+def question_parse(spark, d):
+    """Blocks made of each order's lines, taken apart again; and how many questions have which options."""
+    l = table(spark, d, "lineitem").filter("l_linenumber between 1 and 5").groupBy("l_orderkey", "l_linenumber").agg(F.min("l_partkey").alias("part"))
+    option = F.concat(F.lit("\n("), F.substring(F.lit("ABCDE"), F.col("l_linenumber"), F.lit(1)), F.lit(") part "), "part", F.lit(" E. coli"))
+    blocks = l.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("l_linenumber", option.alias("o")))).alias("x"))  # the lines of one order
+    body = F.concat(F.lit("第1至9題 order "), "l_orderkey", F.array_join(F.transform("x", lambda x: x["o"]), ""))
+    q = blocks.select("l_orderkey", Q.question(F.lit(5), body).alias("q"))
+    return q.select("l_orderkey", F.col("q.stem").alias("stem"), F.size("q.options").cast("long").alias("n_options"), F.array_join(F.transform("q.options", lambda o: F.concat(o["key"], F.lit("="), o["text"])), ";").alias("options"), F.col("q.group_ref").alias("group_ref"))
+
+
+def question_types(spark, d):
+    """Whole documents as blocks: how many have options."""
+    q = table(spark, d, "documents").select(Q.question(F.lit(1), F.col("text")).alias("q"))
+    return q.groupBy(F.col("q.question_type").alias("question_type"), F.size("q.options").cast("long").alias("n_options")).agg(rows())
+
+
 # --- issues --------------------------------------------------------------------------------------
 
 
@@ -451,6 +468,9 @@ def repair_scope(spark, d):
 
 QUERIES = {
     "answer_tables": (answer_tables, f"WITH {ANSWERS_SQL} SELECT * FROM answers"),
+    "question_parse": (question_parse, """WITH l AS (SELECT l_orderkey, l_linenumber AS i, min(l_partkey) AS p FROM lineitem WHERE l_linenumber BETWEEN 1 AND 5 GROUP BY ALL)
+      SELECT l_orderkey, '第1至9題 order ' || l_orderkey AS stem, count(*) AS n_options, string_agg(substr('ABCDE', i, 1) || '=part ' || p || ' E. coli', ';' ORDER BY i) AS options, 'q001-q009' AS group_ref FROM l GROUP BY 1"""),
+    "question_types": (question_types, None),
     "answers_joined": (answers_joined, f"WITH {ANSWERS_SQL} SELECT u.number::BIGINT AS number, coalesce(answer, 'missing') AS answer, count(*) AS n FROM orders CROSS JOIN (SELECT unnest(range(1, 6)) AS number) u LEFT JOIN answers a ON a.l_orderkey = o_orderkey AND a.number = u.number GROUP BY ALL"),
     "candidate_issue_codes": (candidate_issue_codes, f"WITH {CODES_SQL} SELECT * FROM codes"),
     "failure_codes": (failure_codes, """SELECT l_orderkey, CASE WHEN q IS NULL THEN 'missing_question_markdown' WHEN a IS NULL THEN 'missing_answer_markdown' ELSE 'no_questions_parsed' END AS issue_code, 'blocked' AS severity
