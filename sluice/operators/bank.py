@@ -193,6 +193,13 @@ def review_filter(status: str = "", review: str = "", ai: str = "", q: str = "",
     return kept
 
 
+def suggested_correction(explicit: Column, stem: Column) -> Column:
+    """(stem, changes) that an audit suggests: the explicit correction's (a JSON object), else what the tables of OCR repairs give; null without either."""
+    derived = ocr.suggestions(stem)
+    said = F.struct(F.coalesce(F.get_json_object(explicit, "$.stem"), stem).alias("stem"), F.array(F.lit("explicit")).alias("changes"))
+    return F.when(F.coalesce(F.size(F.json_object_keys(explicit)), F.lit(0)) > 0, said).when(F.size(derived["changes"]) > 0, F.struct(derived["text"].alias("stem"), derived["changes"].alias("changes")))
+
+
 def audit_status(status: Column, deferred_only: Column, has_work: Column) -> Column:
     """What an audit amounts to: deferred answers alone pass, a pass with work to do needs review."""
     plain = F.when(status == "blocked", "block").otherwise(status)

@@ -211,6 +211,13 @@ def audit_statuses(spark, d):
     return j.select("doc_id", found.alias("status"))
 
 
+def suggested_corrections(spark, d):
+    """Every second document with a character that the tables repair; some have a correction of their own, or an empty one."""
+    docs = table(spark, d, "documents").select("doc_id", F.concat("lang", F.when(F.col("doc_id") % 2 == 0, " 氢化钠").otherwise(" ok")).alias("stem"), F.when(F.col("doc_id") % 5 == 0, '{"stem":"given"}').when(F.col("doc_id") % 5 == 1, "{}").alias("explicit"))
+    found = docs.select("doc_id", B.suggested_correction(F.col("explicit"), F.col("stem")).alias("x"))
+    return found.select("doc_id", F.col("x.stem").alias("stem"), F.array_join("x.changes", ";").alias("changes"))
+
+
 def repair_badges(spark, d):
     s = _states(spark, d)
     reviewer = F.when(F.col("k") % 4 == 0, "repair-auto").otherwise("local")
@@ -485,6 +492,7 @@ QUERIES = {
     "batch_accept_reasons": (batch_accept_reasons, f"""WITH {STATES_SQL} SELECT CASE WHEN candidate_key % 7 = 0 THEN 'not_found' WHEN a = 'block' THEN 'manual_block' WHEN a = 'accept' THEN 'already_accepted' WHEN ais IN ('needs_review', 'block') THEN 'ai_' || ais
       WHEN qual <> 'pass' THEN 'quality_' || qual ELSE 'saved' END AS reason, count(*) AS n FROM states GROUP BY 1"""),
     "audit_statuses": (audit_statuses, "SELECT doc_id, CASE WHEN quality IS NULL AND toxic IS DISTINCT FROM 1 THEN NULL WHEN lang = 'en' THEN 'pass' WHEN toxic = 1 THEN 'block' WHEN quality = 0 THEN 'needs_review' ELSE 'pass' END AS status FROM documents LEFT JOIN labels USING (doc_id)"),
+    "suggested_corrections": (suggested_corrections, """SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN 'given' WHEN doc_id % 2 = 0 THEN lang || ' 氫化鈉' END AS stem, CASE WHEN doc_id % 5 = 0 THEN 'explicit' WHEN doc_id % 2 = 0 THEN '氢 -> 氫;钠 -> 鈉' END AS changes FROM documents"""),
     "repair_badges": (repair_badges, f"WITH {STATES_SQL} SELECT candidate_key, a <> 'accept' AND (coalesce(k % 4 = 0, false) OR NOT rev OR coalesce(k % 9 = 0, false)) AS active FROM states"),
     "export_policies": (export_policies, f"""WITH {STATES_SQL} SELECT count(*) FILTER (a <> 'accept') AS every, count(*) FILTER (a <> 'accept' AND NOT air) AS pending,
       count(*) FILTER (a <> 'accept' AND NOT (air AND k % 7 <> 0 AND k % 4 <> 0 AND k % 6 <> 0)) AS unreliable FROM states"""),

@@ -104,7 +104,9 @@ QUERIES = {
     "vector_top_k": (vector_top_k, """SELECT vec_id, round(sqrt(list_sum(list_transform(range(1, len(embedding) + 1), lambda i: pow(embedding[i]::DOUBLE - ((((i - 1) * 7) % 11 - 5) / 10.0)::DOUBLE, 2)))), 6) AS distance FROM embeddings ORDER BY distance, vec_id LIMIT 10"""),
     "science_markup": (science_markup, None),
     "question_blocks": (question_blocks, "SELECT doc_id, len(string_split(text, chr(10))) AS n_blocks, CASE WHEN contains(text, chr(10)) THEN 2 ELSE 1 END AS top FROM documents"),
-    "option_parse": (option_parse, None),
+    "option_parse": (option_parse, r"""WITH b AS (SELECT doc_id, regexp_replace('stem' || chr(10) || '(A) ' || text || chr(10) || '(B) w' || chr(10) || '(C) x' || chr(10) || '(D) y', '(?m)(?:^|\s)\(?([A-E])[).．、]\s*', chr(1) || '\1' || chr(2), 'g') AS m FROM documents),
+      o AS (SELECT doc_id, list_transform(string_split(m, chr(1))[2:], lambda p: {'key': p[1], 'text': regexp_replace(p[3:], '^[\s　]+|[\s　]+$', '', 'g')}) AS o FROM b)
+      SELECT doc_id, len(o) AS n_options, list_sort(o)[1].text AS first FROM o"""),
     "stream_latest": (stream_latest, "SELECT user_id, arg_max(event_type, (ts, event_id)) AS action FROM events GROUP BY 1"),
     "stream_tumbling": (stream_tumbling, "SELECT time_bucket(INTERVAL 1 hour, ts) AS start, event_type, count(*) AS n FROM events GROUP BY ALL"),
     "stream_session": (stream_session, """SELECT min(ts) AS start, user_id, count(*) AS n FROM (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS part
