@@ -43,8 +43,8 @@ CONTRACTIONS = ("'re", "'ve", "'ll")
 NEWER_LETTERS = NEWER + "A7D2 A7D4"
 IS_NEWER = regex.compile(one_of(NEWER_LETTERS))
 RUNS = regex.compile(PATTERN)
-BLANKS = regex.compile(r"\s{2,}(?=\S)")
-LAST_RUN = regex.compile(r"\S\s*$")
+BLANKS = regex.compile(r"(?<!\s)\s{2,}+(?=\S)")
+LAST_LETTER = regex.compile(r"(?r)\S")
 
 
 def default_vocabulary() -> str:
@@ -146,7 +146,7 @@ class PrefixCounter:
         before = ""  # the part before a special token
         for part in self.parts(text):
             if part in self.added:
-                last = LAST_RUN.search(before)
+                last = LAST_LETTER.search(before)
                 tail = self.runs(before[: last.start() + 1])[-1] + before[last.start() + 1 :] if last else before
                 under = base - sum(map(self.counts.__getitem__, self.runs(tail)))
                 ends = [under + sum(map(self.counts.__getitem__, self.runs(tail + part[:k]))) for k in range(1, len(part))]
