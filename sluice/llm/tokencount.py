@@ -33,6 +33,7 @@ from .common import table
 NAME = "op13_token_counts"
 LIMIT = 1024
 REMEMBERED = 600_000
+PAIR, NEVER = 20, 1 << 40
 #: Runs of more characters are counted anew each time.
 LONGEST_REMEMBERED = 64
 # The pattern of byte-level vocabularies, and its contractions of two letters.
@@ -77,42 +78,69 @@ class PrefixCounter:
         byte_of = {c: chr(b) for b, c in enumerate(byte_letters())}
         added = [t["content"] for t in spec["added_tokens"]]
         tokens = {t: "".join(byte_of[c] for c in t) for t in spec["model"]["vocab"] if t not in added}
-        self.rank = {(tokens[a], tokens[b]): i for i, (a, b) in enumerate(spec["model"]["merges"])}
+        self.number = {t: i for i, t in enumerate(tokens.values())}
+        self.rank: dict[int, int] = {}
+        made: dict[int, tuple[int, int, int]] = {}  # of a token its halves and the rank of their merge
+        for r, (a, b) in enumerate(spec["model"]["merges"]):
+            left, right, whole = self.number[tokens[a]], self.number[tokens[b]], self.number[tokens[a] + tokens[b]]
+            self.rank[left << PAIR | right] = r
+            made.setdefault(whole, (left, right, r))
+        # of a token its last (first) parts from the byte up, each with the rank of the merge that takes it in
+        self.lasts, self.firsts = ([self.spine(t, made, side) for t in self.number.values()] for side in (1, 0))
         self.special = regex.compile("(" + "|".join(map(regex.escape, sorted(added, key=len, reverse=True))) + ")") if added else None
         self.added = frozenset(added)
         self.automaton = ahocorasick.Automaton()
-        for t in tokens.values():
-            self.automaton.add_word(t, t)
+        for t, i in self.number.items():
+            self.automaton.add_word(t, (i, len(t)))
         self.automaton.make_automaton()
-        self.stays: dict[tuple[str, str], bool] = {}
+        self.stays: dict[int, bool] = {}
         self.all_counts = Remembered(self.run_counts)
         self.counts = Remembered(lambda run: self.byte_counts(run.encode().decode("latin-1"))[-1])
 
-    def merged(self, parts: list[str]) -> list[str]:
-        while len(parts) > 1:
-            least = min(range(len(parts) - 1), key=lambda i: self.rank.get((parts[i], parts[i + 1]), len(self.rank)))
-            if (parts[least], parts[least + 1]) not in self.rank:
-                break
-            parts[least : least + 2] = [parts[least] + parts[least + 1]]
-        return parts
-
-    def side_by_side(self, a: str, b: str) -> bool:
-        """Whether merging the bytes of a and b ends in the tokens a and b."""
-        if (found := self.stays.get((a, b))) is None:
-            if len(self.stays) >= REMEMBERED:
-                self.stays.clear()
-            found = self.stays[a, b] = self.merged([*a, *b]) == [a, b]
-        return found
+    @staticmethod
+    def spine(token: int, made: dict[int, tuple[int, int, int]], side: int) -> list[tuple[int, int]]:
+        out = [(token, NEVER)]
+        while token in made:
+            rank, token = made[token][2], made[token][side]
+            out.append((token, rank))
+        return out[::-1]
+
+    def side_by_side(self, a: int, b: int) -> bool:
+        """Whether merging the bytes of a and b ends in the tokens a and b.
+
+        Merges run by rank, as a merge can only enable later ones. So the part before the border and the part behind it
+        grow along the spines of a and b, until a merge of the two comes first (of equal ranks the one further left).
+        """
+        before, behind, rank = iter(self.lasts[a]), iter(self.firsts[b]), self.rank
+        (x, grows), (y, starts) = next(before), next(behind)
+        while True:
+            across = rank.get(x << PAIR | y, NEVER)
+            if across < grows and across <= starts:
+                return False
+            if grows == starts == NEVER:
+                return True
+            if grows <= starts:
+                x, grows = next(before)
+            else:
+                y, starts = next(behind)
 
     def byte_counts(self, data: str) -> list[int]:
         """Tokens of every prefix of one run, by bytes."""
-        count, last = [0] * (len(data) + 1), [""] * (len(data) + 1)
-        for end, token in self.automaton.iter(data):
-            if count[end + 1]:
+        count, last, stays = [0] * (len(data) + 1), [0] * (len(data) + 1), self.stays
+        for end, (token, size) in self.automaton.iter(data):
+            end += 1
+            if count[end]:
                 continue
-            start = end + 1 - len(token)
-            if not start or self.side_by_side(last[start], token):
-                count[end + 1], last[end + 1] = count[start] + 1, token
+            start = end - size
+            if start:
+                pair = last[start] << PAIR | token
+                if (fits := stays.get(pair)) is None:
+                    if len(stays) >= REMEMBERED:
+                        stays.clear()
+                    fits = stays[pair] = self.side_by_side(last[start], token)
+                if not fits:
+                    continue
+            count[end], last[end] = count[start] + 1, token
         return count
 
     def run_counts(self, run: str) -> np.ndarray:
