@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES = ("decontaminate", "suffix", "language", "similar", "bpe", "lm", "quality", "chat", "lines", "secrets", "codes", "tokencount")
+MODULES = ("decontaminate", "suffix", "language", "similar", "bpe", "lm", "quality", "chat", "lines", "secrets", "repair", "codes", "tokencount")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
