@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import accepted_answers, answer_letters
+from .reconcile import reconciled  # noqa: F401
 
 # Verdicts that imported audits use, and what they count as.
 VERDICTS = {"pass": "pass", "ok": "pass", "accept": "pass", "needs_review": "needs_review", "review": "needs_review", "block": "block", "blocked": "block", "fail": "block"}
@@ -101,31 +102,3 @@ def planned_batches(rows: DataFrame, done: DataFrame, reserved: DataFrame, path:
     first = todo.withColumn("__rn", F.row_number().over(Window.partitionBy(path).orderBy(*order))).filter("__rn = 1").drop("__rn")
     place = F.row_number().over(Window.partitionBy(group).orderBy(*order))
     return first.withColumn("batch", (F.floor((place - 1) / size) + 1).cast("int"))
-
-
-def reconciled(errors: DataFrame, outputs: DataFrame, least: int = 24, key: str | None = None) -> DataFrame:
-    """Best output of each error row in its folder by common prefix of names (`least` characters, or one inside the other).
-
-    Candidates share the first `least` characters, or the whole of the shorter name: two equi-joins, no
-    comparison of all names in a folder. A tie for the best score is ambiguous. With a `key` column, rows are told
-    apart by it instead of by name, no row is its own candidate, and `found` is a key.
-    """
-    from ..functions.text import common_prefix
-
-    own = F.col(key) if key else F.col("name")
-    a = errors.select("folder", own.alias("wanted"), F.substring("name", 1, least).alias("key")).filter("key <> ''")
-    b = outputs.select("folder", own.alias("found"), F.substring("name", 1, least).alias("key")).filter("key <> ''")
-    long = a.join(b, ["folder", "key"]).select("folder", "wanted", "found")
-    cut = lambda df, c: df.select("folder", c, "key", F.explode(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length("key")))).alias("n")).select("folder", c, F.substring(F.col("key"), F.lit(1), F.col("n")).alias("key"))
-    inside = cut(a, "wanted").join(b.filter(F.length("key") < least), ["folder", "key"]).select("folder", "wanted", "found")
-    around = cut(b, "found").join(a.filter(F.length("key") < least), ["folder", "key"]).select("folder", "wanted", "found")
-    pairs = long.unionByName(inside).unionByName(around).distinct()
-    if key:
-        names = lambda df, c: df.select("folder", F.col(key).alias(c), F.col("name").alias(f"{c}_name"))
-        pairs = pairs.filter("wanted <> found").join(names(errors, "wanted"), ["folder", "wanted"]).join(names(outputs, "found"), ["folder", "found"])
-    name = lambda c: F.col(f"{c}_name" if key else c)
-    scores = pairs.select("folder", "wanted", "found", common_prefix(name("wanted"), name("found")).alias("score"))
-    ties = scores.groupBy("folder", "wanted", "score").agg(F.count(F.lit(1)).alias("n"), F.min("found").alias("found"))
-    best = ties.groupBy("folder", "wanted").agg(F.max("score").alias("score"), F.max_by(F.struct("n", "found"), "score").alias("top"))
-    matched = best.select("folder", "wanted", "score", F.when(F.col("top.n") > 1, "ambiguous").otherwise("matched").alias("status"), F.when(F.col("top.n") == 1, F.col("top.found")).alias("found"))
-    return errors.select("folder", own.alias("wanted")).join(matched, ["folder", "wanted"], "left").withColumn("status", F.coalesce("status", F.lit("unmatched")))

@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _local: dict[str, str] = {}
 
 
 def work_folder(spark: SparkSession) -> str:
     """The shared folder named in spark.checkpoint.dir; in a local session without one, a temporary folder."""
-    named = spark.conf.get("spark.checkpoint.dir", None) or _local.get(spark.sparkContext.applicationId)
+    named = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None) or _local.get(spark.sparkContext.applicationId)
     if not named:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
@@ -19,6 +20,13 @@ def work_folder(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """Cut lineage: write df as Parquet in the shared folder and read it back."""
+    path = f"{work_folder(df.sparkSession)}/sluice-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def local_session(cores: int = 8, memory: str = "12g", **extra: str) -> SparkSession:
     """A local session with UTC time zone and adaptive execution; a cluster brings its own."""
     builder = (
