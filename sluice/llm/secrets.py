@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import stored, table
@@ -58,25 +58,15 @@ RULES = (
 SPAN = "struct<start:int,rank:int,end:int,kind:string>"
 
 
-def rule_spans(text: Column, rule: Rule, rank: int) -> Column:
-    """Spans of the rule's matches in text, in code points, end exclusive.
+def hits(text: Column, rule: Rule) -> Column:
+    """Of each match of the rule in text, in code points: what lies before it, its length, and that of the measured group.
 
-    The pieces between matches and the matches alternate, so offsets are sums of their lengths.
+    The pieces between matches and the matches alternate, so a match ends at the sum of both up to it. Null without one.
     """
     gaps = F.transform(F.split(text, rule.pattern, -1), lambda x: F.length(x))
     whole = F.transform(F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0)), lambda x: F.length(x))
     measured = F.transform(F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(rule.measured)), lambda x: F.length(x))
-    rows = F.arrays_zip(F.slice(gaps, 1, F.size(whole)).alias("gap"), whole.alias("len"), measured.alias("m"))
-    start = F.struct(F.lit(0).alias("at"), F.expr(f"cast(array() as array<{SPAN}>)").alias("spans"))
-
-    def step(state: Column, x: Column) -> Column:
-        begin = state["at"] + x["gap"]
-        end = begin + x["len"]
-        span = F.struct(begin.alias("start"), F.lit(rank).alias("rank"), end.alias("end"), F.lit(rule.kind).alias("kind"))
-        kept = F.when(x["m"] >= rule.least, F.array(span)).otherwise(F.expr(f"cast(array() as array<{SPAN}>)"))
-        return F.struct(end.alias("at"), F.concat(state["spans"], kept).alias("spans"))
-
-    return F.when(text.rlike(rule.pattern), F.aggregate(rows, start, step, lambda s: s["spans"])).otherwise(F.expr(f"cast(array() as array<{SPAN}>)"))
+    return F.when(text.rlike(rule.pattern), F.arrays_zip(F.slice(gaps, 1, F.size(whole)).alias("gap"), whole.alias("len"), measured.alias("m")))
 
 
 def empty_ledger(spark: SparkSession) -> DataFrame:
@@ -97,10 +87,17 @@ def scan(versions: DataFrame, ledger: DataFrame, text: str = "text", rules: tupl
     todo = blobs.join(seen, "blob", "left").withColumn("seen", F.coalesce("seen", F.expr("cast(array() as array<string>)")))
     todo = todo.filter(F.size("seen") < len(rules))
     found = [
-        F.when(~F.array_contains("seen", r.kind), F.struct(F.lit(r.kind).alias("kind"), F.lit(r.version).alias("version"), rule_spans(F.col("text"), r, i).alias("spans")))
+        F.when(~F.array_contains("seen", r.kind), F.struct(F.lit(r.kind).alias("kind"), F.lit(r.version).alias("version"), F.lit(i).alias("rank"), F.lit(r.least).alias("least"), hits(F.col("text"), r).alias("hits")))
         for i, r in enumerate(rules)
     ]
-    return todo.select("blob", F.inline(F.filter(F.array(*found), lambda x: x.isNotNull())))
+    each = todo.select("blob", F.inline(F.filter(F.array(*found), lambda x: x.isNotNull())))
+    # a row for each hit, so that offsets are one running sum: a fold that gathers spans copies them at each step
+    single = each.select("blob", "kind", "version", "rank", "least", F.posexplode_outer("hits").alias("i", "hit"))
+    so_far = Window.partitionBy("blob", "kind").orderBy("i").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = single.withColumn("end", F.sum(F.col("hit.gap") + F.col("hit.len")).over(so_far).cast("int"))
+    span = F.struct((F.col("end") - F.col("hit.len")).alias("start"), "rank", "end", "kind")
+    spans = F.collect_list(F.when(F.col("hit.m") >= F.col("least"), span))  # of one text
+    return placed.groupBy("blob", "kind", "version").agg(F.array_sort(spans).cast(f"array<{SPAN}>").alias("spans"))
 
 
 def render(spans: Column) -> Column:

@@ -47,3 +47,13 @@ def test_other_kinds(spark):
     docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
     kinds = [s.kind for s in secrets.scan_documents(docs).first().all_spans]
     assert {"pem", "forge", "chat", "webtoken"} <= set(kinds)
+
+
+def test_a_text_of_very_many_hits(spark):
+    """In proportion to the hits: a million in seconds, where a fold that copies its result takes hours."""
+    hit = "token=abcdef, "
+    docs = spark.createDataFrame([(1, hit * 1_000_000), (2, hit * 600 + "x=" + "0" * 24)], "doc_id long, text string")
+    spans = {r.doc_id: r.all_spans for r in secrets.scan_documents(docs).filter("doc_id = 2").collect()}[2]
+    assert len(spans) == 601 and [s.start for s in spans[:3]] == [0, 14, 28] and spans[-1].start == 602 * 14 - 26
+    counted = secrets.scan_documents(docs).filter("doc_id = 1").select(F.size("all_spans").alias("n"), F.element_at("all_spans", -1)["end"].alias("end")).first()
+    assert (counted.n, counted.end) == (1_000_000, 14_000_000 - 2)
