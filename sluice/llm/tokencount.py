@@ -4,7 +4,7 @@ A byte sequence has one BPE encoding, and every prefix of that encoding is the e
 last token of a prefix is the one token that ends there, follows the last token of the prefix before it, and whose pair
 with that token is left alone by the merges; the count is that prefix's count plus one. An automaton over the vocabulary
 names the tokens that end at each byte, so a run of n bytes takes time in proportion to n, and all its prefixes
-are counted at once. Runs are those of the byte-level pattern; the counts of runs met before are remembered in a bounded
+are counted at once. Runs are those of the byte-level pattern; the counts of runs and words met before are remembered in a bounded
 table. Where a cut text falls into other runs than the whole one (within a contraction, after white space, within a special
 token) its end is counted anew.
 
@@ -45,6 +45,7 @@ NEWER_LETTERS = NEWER + "A7D2 A7D4"
 IS_NEWER = regex.compile(one_of(NEWER_LETTERS))
 RUNS = regex.compile(PATTERN)
 BLANKS = regex.compile(r"(?<!\s)\s{2,}+(?=\S)")
+BLANK, MORE_BLANKS = regex.compile(r"(?<=\S) "), regex.compile(r"\s ")
 LAST_LETTER = regex.compile(r"(?r)\S")
 
 
@@ -96,6 +97,7 @@ class PrefixCounter:
         self.stays: dict[int, bool] = {}
         self.all_counts = Remembered(self.run_counts)
         self.counts = Remembered(lambda run: self.byte_counts(run.encode().decode("latin-1"))[-1])
+        self.words = Remembered(lambda word: sum(map(self.counts.__getitem__, self.runs(" " + word))))
 
     @staticmethod
     def spine(token: int, made: dict[int, tuple[int, int, int]], side: int) -> list[tuple[int, int]]:
@@ -165,8 +167,15 @@ class PrefixCounter:
         return self.special.split(text) if self.special and self.special.search(text) else [text]
 
     def count(self, text: str) -> int:
-        counts = self.counts
-        return sum(1 if part in self.added else sum(map(counts.__getitem__, self.runs(part))) for part in self.parts(text))
+        """Tokens of the whole text. No run goes on over a blank behind another character, so what lies between two is counted as one."""
+        total, words = 0, self.words
+        for part in self.parts(text):
+            if part in self.added:
+                total += 1
+                continue
+            first, *rest = BLANK.split(part) if MORE_BLANKS.search(part) else part.split(" ")
+            total += sum(map(self.counts.__getitem__, self.runs(first))) + sum(map(words.__getitem__, rest))
+        return total
 
     def prefix_counts(self, text: str) -> np.ndarray:
         """Tokens of text[:p] for p from 0 to its length."""
