@@ -31,13 +31,19 @@ REF = "struct<path:string,exists:boolean,bytes:bigint>"
 def answer_pairs(markdown: Column) -> Column:
     """Array of (number, answer) of all answer tables, in order: the numbers' row beside the answers' row, blank cells left out first."""
 
+    def of_rows(rows: Column) -> Column:
+        last = lambda *heads: F.element_at(F.concat(F.array(F.array(F.lit(""))), F.filter(rows, lambda r: F.get(r, F.lit(0)).isin(*heads))), -1)
+        cells = lambda row: ocr.once(row, lambda x: F.filter(F.slice(x, F.lit(2), F.greatest(F.size(x) - 1, F.lit(0))), lambda y: y != ""))
+        both = F.struct(cells(last("題號", "題序")).alias("numbers"), cells(last("答案")).alias("answers"))
+        return ocr.once(both, matched)
+
+    def matched(both: Column) -> Column:
+        n = F.least(F.size(both["numbers"]), F.size(both["answers"]))
+        return F.zip_with(F.slice(both["numbers"], F.lit(1), n), F.slice(both["answers"], F.lit(1), n), lambda x, y: F.struct(question_number(x).alias("number"), y.alias("answer")))
+
     def pairs(body: Column) -> Column:
         rows = F.transform(F.regexp_extract_all(body, F.lit(r"(?is)<tr.*?>(.*?)</tr>"), F.lit(1)), lambda r: F.transform(F.regexp_extract_all(r, F.lit(r"(?is)<td[^>]*>(.*?)</td>"), F.lit(1)), strip_tags))
-        last = lambda *heads: F.element_at(F.concat(F.array(F.array(F.lit(""))), F.filter(rows, lambda r: F.get(r, F.lit(0)).isin(*heads))), -1)
-        cells = lambda row: F.filter(F.slice(row, F.lit(2), F.greatest(F.size(row) - 1, F.lit(0))), lambda x: x != "")
-        numbers, answers = cells(last("題號", "題序")), cells(last("答案"))
-        n = F.least(F.size(numbers), F.size(answers))
-        return F.zip_with(F.slice(numbers, F.lit(1), n), F.slice(answers, F.lit(1), n), lambda x, y: F.struct(question_number(x).alias("number"), y.alias("answer")))
+        return ocr.once(rows, of_rows)
 
     tables = F.regexp_extract_all(markdown, F.lit(r"(?is)<table.*?>(.*?)</table>"), F.lit(1))
     return F.filter(F.flatten(F.transform(tables, pairs)), lambda p: p["number"].isNotNull())
@@ -62,11 +68,11 @@ def with_answers(questions: DataFrame, answers: DataFrame, keys: Sequence[str])
 # --- issues --------------------------------------------------------------------------------------
 
 
-def candidate_issues(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """(keys, issue_code, severity) of candidates with stem, options, answer and image_refs: one scan.
+def with_issues(df: DataFrame, name: str = "issues") -> DataFrame:
+    """Candidates (stem, options, answer, image_refs) with the array of their issues (issue_code, severity), which all rules share.
 
     Options are (key, text, image, raw_order) in order of keys, references (path, exists, bytes). An issue of an
-    option or a reference is a row for each.
+    option or a reference is one for each.
     """
     stem, options, answer = F.coalesce("stem", F.lit("")), F.col("options"), F.col("answer")
     refs = F.coalesce("image_refs", F.array().cast(f"array<{REF}>"))
@@ -86,7 +92,12 @@ def candidate_issues(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
     of_options = F.transform(options, lambda o: one("empty_option", "error", (F.coalesce(o["text"], F.lit("")) == "") & o["image"].isNull()))
     of_refs = F.transform(refs, lambda r: F.coalesce(one("missing_image_asset", "error", ~r["exists"]), one("empty_image_asset", "error", r["bytes"] == 0)))
-    return df.select(*keys, F.inline(F.filter(F.concat(single, of_options, of_refs), lambda x: x.isNotNull())))
+    return df.withColumn(name, F.filter(F.concat(single, of_options, of_refs), lambda x: x.isNotNull()))
+
+
+def candidate_issues(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(keys, issue_code, severity) of candidates: one scan, a row for each issue."""
+    return with_issues(df).select(*keys, F.inline("issues"))
 
 
 def document_failures(documents: DataFrame, parsed: DataFrame, key: str, question: str, answer: str) -> DataFrame:

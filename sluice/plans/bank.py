@@ -8,6 +8,7 @@ from ..functions import names as N
 from ..functions import questions as Q
 from ..operators import bank as B
 from ..operators import relational as R
+from ..operators.notation import audited_notation
 from .common import REVIEW_SQL, review_events, table
 
 
@@ -83,6 +84,13 @@ def candidate_issue_codes(spark, d):
     return B.candidate_issues(candidates(spark, d), ["doc_id"])
 
 
+def notation_audit(spark, d):
+    """Findings of notation, options and borders over all candidates; documents are numbered by doc_id."""
+    c = candidates(spark, d).select("doc_id", "stem", "options", F.col("doc_id").alias("question_number"), F.col("image_refs").isNotNull().alias("has_image"))
+    found = audited_notation(c)
+    return found.select("doc_id", "audit.status", F.array_join("audit.labels", ";").alias("labels"), F.array_join(F.transform("audit.findings", lambda x: x["code"]), ";").alias("codes"), "audit.recommended_action", F.col("audit.correction.stem").alias("corrected_stem"))
+
+
 CODES_SQL = r"""cand AS (SELECT doc_id, lang, source, trim(l[1]) AS stem, list_transform(l[2:], lambda x: substr('ABCDE', length(x) % 5 + 1, 1)) AS raw, list_transform(l[2:], lambda x: trim(x)) AS texts, q
     FROM (SELECT doc_id, lang, source, string_split(coalesce(text, ''), chr(10)) AS l, (SELECT max(quality) FROM labels b WHERE b.doc_id = a.doc_id) AS q FROM documents a)),
   said AS (SELECT doc_id, unnest(list_concat([CASE WHEN stem = '' THEN 'empty_stem:error' END, CASE WHEN stem <> '' AND length(stem) < 8 THEN 'short_stem:warning' END,
@@ -121,16 +129,16 @@ def corrections_applied(spark, d):
 
 
 def _gate_rows(spark, d):
-    c = candidates(spark, d)
-    issues = B.candidate_issues(c, ["doc_id"])
+    c = B.with_issues(candidates(spark, d))
     has_four, has_asset = F.size("options") >= 4, F.coalesce(F.exists("image_refs", lambda r: r["exists"]), F.lit(False))
-    blocking = issues.filter("severity in ('error', 'blocked')").join(c.select("doc_id", has_four.alias("four"), has_asset.alias("asset")), "doc_id")
-    solved = B.is_resolved(F.col("issue_code"), F.col("four") | (F.col("doc_id") % 2 == 0), F.col("asset"), F.lit(None))
-    per = blocking.groupBy("doc_id").agg(F.collect_set(F.when(~solved, F.col("issue_code"))).alias("open_codes"), F.collect_set(F.when(solved, F.col("issue_code"))).alias("settled_codes"))
-    status = issues.groupBy("doc_id").agg(F.max(B.severity_rank(F.col("severity"))).alias("rank"))
+    blocking = F.filter("issues", lambda x: x["severity"].isin("error", "blocked"))
+    solved = lambda x: B.is_resolved(x["issue_code"], has_four | (F.col("doc_id") % 2 == 0), has_asset, F.lit(None).cast("string"))
+    codes = lambda ok: F.transform(F.filter("blocking", ok), lambda x: x["issue_code"])
+    rank = F.array_max(F.transform("issues", lambda x: B.severity_rank(x["severity"])))
+    c = c.withColumns({"blocking": blocking, "rank": rank}).withColumns({"open_codes": codes(lambda x: ~solved(x)), "settled_codes": codes(solved)})
     last = review_events(spark, d).groupBy(F.col("candidate_key").alias("doc_id")).agg(F.max_by("action", F.struct("created_at", "id")).alias("action"))
     none = F.array().cast("array<string>")
-    j = c.join(status, "doc_id", "left").join(per, "doc_id", "left").join(last, "doc_id", "left")
+    j = c.join(last, "doc_id", "left")
     said = F.when(F.col("action") == "accept", "accept").when(F.col("action") == "block", "block").when(F.col("action") == "comment", "comment")
     return j.select(
         "doc_id", F.when(F.col("rank") >= 2, "blocked").when(F.col("rank") == 1, "needs_review").otherwise("pass").alias("quality_status"), said.alias("question_action"),
@@ -458,12 +466,12 @@ def sheet_keys(spark, d):
 
 def candidate_payload(spark, d):
     """Candidates beside their issues, review and audit, with the options in compact form and the block cut as exports have it."""
-    c = candidates(spark, d)
-    issues = B.candidate_issues(c, ["doc_id"]).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_issues"), F.count_if(F.col("severity") == "error").alias("n_errors"))
+    c = B.with_issues(candidates(spark, d))
+    c = c.withColumns({"n_issues": F.size("issues").cast("long"), "n_errors": F.size(F.filter("issues", lambda x: x["severity"] == "error")).cast("long")})
     review = _states(spark, d).select(F.col("candidate_key").alias("doc_id"), F.struct("review_action", "is_reviewed").alias("review"), F.struct("ai_effective_status").alias("ai"))
-    j = c.join(issues, "doc_id", "left").join(review, "doc_id", "left")
+    j = c.join(review, "doc_id", "left")
     text = F.array_join(F.transform(B.compact_options(F.col("options")), lambda o: F.concat(o["key"], F.lit("."), o["text"])), "\n")
-    return j.select("doc_id", F.length("stem").cast("long").alias("stem_length"), F.left(text, F.lit(2000)).alias("options"), F.coalesce("n_issues", F.lit(0)).alias("n_issues"), F.coalesce("n_errors", F.lit(0)).alias("n_errors"), F.col("review.review_action").alias("action"), F.col("ai.ai_effective_status").alias("ai_status"))
+    return j.select("doc_id", F.length("stem").cast("long").alias("stem_length"), F.left(text, F.lit(2000)).alias("options"), "n_issues", "n_errors", F.col("review.review_action").alias("action"), F.col("ai.ai_effective_status").alias("ai_status"))
 
 
 def repair_scope(spark, d):
@@ -484,6 +492,7 @@ QUERIES = {
       FROM (SELECT l_orderkey, max(l_partkey) FILTER (l_returnflag = 'N') AS q, max(l_partkey) FILTER (l_returnflag = 'A') AS a, count(*) FILTER (l_quantity > 40) AS n FROM lineitem GROUP BY 1) WHERE q IS NULL OR a IS NULL OR n = 0"""),
     "gate_split": (gate_split, f"""WITH {CODES_SQL}, r AS (SELECT *, CASE severity WHEN 'error' THEN 2 WHEN 'warning' THEN 1 ELSE 0 END AS k, issue_code IN ('missing_answer', 'missing_answer_markdown', 'unexpected_answer_value') AS ans FROM codes)
       SELECT doc_id, ['pass', 'needs_review', 'blocked'][coalesce(max(k) FILTER (NOT ans), 0) + 1] AS question_status, ['pass', 'needs_review', 'blocked'][coalesce(max(k) FILTER (ans), 0) + 1] AS answer_status FROM r GROUP BY 1"""),
+    "notation_audit": (notation_audit, None),
     "markup_flags": (markup_flags, r"""SELECT m AS has_markup, m AND r AS needs_review, count(*) AS n FROM (SELECT coalesce(regexp_matches(text, '(<sub>|<sup>|\\[a-zA-Z]+|[α-ωΑ-ΩⅠⅡⅢⅣⅤⅥⅦⅧⅨⅩ]|[A-Za-z][0-9][A-Za-z0-9]*|\^[0-9+-]+)'), false) AS m,
       coalesce(regexp_matches(text, '(<sub>|<sup>|\\[a-zA-Z]+|\^[0-9+-]+)'), false) AS r FROM documents) GROUP BY ALL"""),
     "corrections_applied": (corrections_applied, f"WITH {REVIEW_SQL} SELECT id, CASE WHEN k % 3 = 0 THEN 's' || k ELSE action END AS stem, CASE WHEN k % 3 = 1 THEN NULL ELSE 'A' END AS answer, CASE WHEN k % 3 = 2 THEN 'a.png,b.png,c.png' ELSE 'a.png' END AS images FROM review"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import markup
+from ..functions import markup, notation
 from ..functions import text as T
 from ..operators import relational as R
 from ..streaming import latest as S
@@ -64,6 +64,11 @@ def science_markup(spark, d):
     return docs.select("doc_id", markup.science(F.col("text")).alias("text"))
 
 
+def science_notation(spark, d):
+    """All steps of science and blood groups over whole texts."""
+    return table(spark, d, "documents").select("doc_id", notation.science_notation(F.col("text")).alias("text"))
+
+
 def question_blocks(spark, d):
     docs = table(spark, d, "documents").select("doc_id", F.inline(T.question_blocks(F.concat(F.lit("1. "), F.replace("text", F.lit("\n"), F.lit("\n2. "))))))
     return docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_blocks"), F.max("number").alias("top"))
@@ -103,6 +108,7 @@ QUERIES = {
       FROM (SELECT doc_id, upper(coalesce(text, '')) AS l FROM documents)"""),
     "vector_top_k": (vector_top_k, """SELECT vec_id, round(sqrt(list_sum(list_transform(range(1, len(embedding) + 1), lambda i: pow(embedding[i]::DOUBLE - ((((i - 1) * 7) % 11 - 5) / 10.0)::DOUBLE, 2)))), 6) AS distance FROM embeddings ORDER BY distance, vec_id LIMIT 10"""),
     "science_markup": (science_markup, None),
+    "science_notation": (science_notation, None),
     "question_blocks": (question_blocks, "SELECT doc_id, len(string_split(text, chr(10))) AS n_blocks, CASE WHEN contains(text, chr(10)) THEN 2 ELSE 1 END AS top FROM documents"),
     "option_parse": (option_parse, r"""WITH b AS (SELECT doc_id, regexp_replace('stem' || chr(10) || '(A) ' || text || chr(10) || '(B) w' || chr(10) || '(C) x' || chr(10) || '(D) y', '(?m)(?:^|\s)\(?([A-E])[).．、]\s*', chr(1) || '\1' || chr(2), 'g') AS m FROM documents),
       o AS (SELECT doc_id, list_transform(string_split(m, chr(1))[2:], lambda p: {'key': p[1], 'text': regexp_replace(p[3:], '^[\s　]+|[\s　]+$', '', 'g')}) AS o FROM b)
