@@ -18,7 +18,9 @@ empty table gives none. Texts of any length are taken whole. Columns that are no
 from __future__ import annotations
 
 import json
+from bisect import bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
 
 import ahocorasick
 import numpy as np
@@ -34,6 +36,8 @@ NAME = "op13_token_counts"
 LIMIT = 1024
 REMEMBERED = 600_000
 PAIR, NEVER = 20, 1 << 40
+#: Runs at its end that a cut text may have in another form than the whole one: white space, a special token and what is before them.
+CHANGED = 4
 #: Runs of more characters are counted anew each time.
 LONGEST_REMEMBERED = 64
 # The pattern of byte-level vocabularies, and its contractions of two letters.
@@ -43,9 +47,11 @@ CONTRACTIONS = ("'re", "'ve", "'ll")
 # Capitals that are no letters to the library, beside those of NEWER.
 NEWER_LETTERS = NEWER + "A7D2 A7D4"
 IS_NEWER = regex.compile(one_of(NEWER_LETTERS))
+NO_LETTER = "\ue000"
 RUNS = regex.compile(PATTERN)
 BLANKS = regex.compile(r"(?<!\s)\s{2,}+(?=\S)")
-BLANK, MORE_BLANKS = regex.compile(r"(?<=\S) "), regex.compile(r"\s ")
+BLANK = regex.compile(r"(?<=\S) ")
+WHITE = [chr(c) for c in range(0x3001) if regex.match(r"\s", chr(c))]
 LAST_LETTER = regex.compile(r"(?r)\S")
 
 
@@ -161,21 +167,65 @@ class PrefixCounter:
     def runs(text: str) -> list[str]:
         if text.isascii() or not IS_NEWER.search(text):
             return RUNS.findall(text)
-        return [text[m.start() : m.end()] for m in RUNS.finditer(IS_NEWER.sub("", text))]
+        return [text[m.start() : m.end()] for m in RUNS.finditer(IS_NEWER.sub(NO_LETTER, text))]
 
-    def parts(self, text: str) -> list[str]:
-        return self.special.split(text) if self.special and self.special.search(text) else [text]
+    @staticmethod
+    def split(part: str) -> list[str]:
+        """What lies between blanks behind another character: no run goes on over such a blank."""
+        after_white = any(c + " " in part for c in WHITE if c in part)
+        return BLANK.split(part) if after_white else part.split(" ")
+
+    def totals(self, part: str) -> tuple[list[str], list[int]]:
+        """The words of a text without special tokens, and the tokens up to the end of each."""
+        first, *rest = words = self.split(part)
+        return words, list(accumulate(map(self.words.__getitem__, rest), initial=sum(map(self.counts.__getitem__, self.runs(first)))))
 
     def count(self, text: str) -> int:
-        """Tokens of the whole text. No run goes on over a blank behind another character, so what lies between two is counted as one."""
-        total, words = 0, self.words
+        return sum(1 if part in self.added else self.totals(part)[1][-1] for part in self.parts(text))
+
+    def measure(self, text: str, limit: int) -> tuple[int, int]:
+        """Tokens of the whole text, and characters of its longest prefix of at most `limit`.
+
+        Every run has a token, and a cut changes no run before the word that it goes through; so only the prefixes of the
+        word that passes the limit are counted one by one.
+        """
+        if len(self.parts(text)) > 1:
+            n = self.count(text)
+            return n, len(text) if n <= limit else self.longest_beside_special(text, limit)
+        words, totals = self.totals(text)
+        at = bisect_right(totals, limit)
+        if at == len(totals):
+            return totals[-1], len(text)
+        before, word = (totals[at - 1], " " + words[at]) if at else (0, words[0])
+        start = at - 1 + sum(map(len, words[:at])) if at else 0
+        return totals[-1], start + int(np.flatnonzero(before + self.prefix_counts(word) <= limit)[-1])
+
+    def longest_beside_special(self, text: str, limit: int) -> int:
+        """The same where special tokens stand, which a cut takes apart: runs around the limit, CHANGED behind it."""
+        total, at, over, begun = 0, 0, 0, []  # begun: where each run starts, and the tokens before it
         for part in self.parts(text):
-            if part in self.added:
-                total += 1
-                continue
-            first, *rest = BLANK.split(part) if MORE_BLANKS.search(part) else part.split(" ")
-            total += sum(map(self.counts.__getitem__, self.runs(first))) + sum(map(words.__getitem__, rest))
-        return total
+            special, start = part in self.added, 0
+            seen = part if special or part.isascii() else IS_NEWER.sub(NO_LETTER, part)
+            for end in [len(part)] if special else (m.end() for m in RUNS.finditer(seen)):
+                begun.append((at + start, total))
+                total += 1 if special else self.counts[part[start:end]]
+                over += total >= limit
+                if over > CHANGED:
+                    return self.last_fit(text[: at + end], begun, limit)
+                start = end
+            at += len(part)
+        return self.last_fit(text, begun, limit)
+
+    def last_fit(self, text: str, begun: list[tuple[int, int]], limit: int) -> int:
+        back = max(0, len(begun) - 2 * CHANGED - 2)
+        while back and text[begun[back][0] - 1].isspace():
+            back -= 1
+        start, tokens = begun[back] if begun else (0, 0)
+        fits = np.flatnonzero(tokens + self.prefix_counts(text[start:]) <= limit)
+        return start + int(fits[-1])
+
+    def parts(self, text: str) -> list[str]:
+        return self.special.split(text) if any(t in text for t in self.added) else [text]
 
     def prefix_counts(self, text: str) -> np.ndarray:
         """Tokens of text[:p] for p from 0 to its length."""
@@ -234,13 +284,7 @@ def _mapped(docs: DataFrame, text: str, keep: tuple[str, ...], more: str, of) ->
 def token_counts(docs: DataFrame, path: str | None = None, limit: int = LIMIT, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """n_tokens of every text, and fit_chars: characters of its longest prefix of at most `limit` tokens."""
     path = path or default_vocabulary()
-
-    def of(value: str) -> tuple[int, int]:
-        has = counter(path)
-        n = has.count(value)
-        return n, len(value) if n <= limit else int(np.flatnonzero(has.prefix_counts(value) <= limit)[-1])
-
-    return _mapped(docs, text, keep, "n_tokens long, fit_chars long", of)
+    return _mapped(docs, text, keep, "n_tokens long, fit_chars long", lambda value: counter(path).measure(value, limit))
 
 
 def prefix_index(docs: DataFrame, path: str | None = None, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:

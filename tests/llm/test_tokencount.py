@@ -33,6 +33,9 @@ def test_every_prefix_of_cases():
 def test_every_prefix_of_random_texts(text):
     assert OURS.prefix_counts(text).tolist() == [library(text[:p]) for p in range(len(text) + 1)]
     assert OURS.count(text) == library(text)
+    counts = OURS.prefix_counts(text)
+    for limit in range(0, int(counts.max()) + 2):
+        assert OURS.measure(text, limit) == (counts[-1], max(p for p, n in enumerate(counts) if n <= limit))
 
 
 def test_runs_of_every_code_point():
