@@ -217,13 +217,23 @@ def candidate_notation(c: Column) -> Column:
     return _batches(CANDIDATE)(c)
 
 
-def candidate_notation_all(c: Column) -> Column:
-    """candidate_notation of every text of an array of texts."""
+def _all(steps: tuple[Step, ...]):
+    """The steps over every text of arrays of texts."""
 
     @F.arrow_udf("array<string>")
     def rewritten(column: pa.Array) -> pa.Array:
-        of, known = rewriter(CANDIDATE), {None: None}
+        of, known = rewriter(steps), {None: None}
         one = lambda t: known[t] if t in known else known.setdefault(t, of(t))
         return pa.array([None if texts is None else [one(t) for t in texts] for texts in column.to_pylist()], pa.list_(pa.string()))
 
-    return rewritten(c)
+    return rewritten
+
+
+def candidate_notation_all(c: Column) -> Column:
+    """candidate_notation of every text of an array of texts."""
+    return _all(CANDIDATE)(c)
+
+
+def science_notation_all(c: Column) -> Column:
+    """science_notation of every text of an array of texts."""
+    return _all(FULL)(c)

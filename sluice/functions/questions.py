@@ -8,6 +8,7 @@ D, else one that starts with A, else the longest. A letter that the run already
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -76,3 +77,66 @@ def question(number: Column, body: Column) -> Column:
         return once(best_run(marks), with_run)
 
     return once(pieces(body), built)
+
+
+# --- many marks: one look at each ------------------------------------------------------------------
+
+#: What a mark's kind says: an organism's name, a mark that may stand within a text, any other.
+ORGANISM, WITHIN, PLAIN = "owp"
+
+
+def run_of(labels: str, kinds: str) -> list[int]:
+    """Places of the best run of marks, by one scan from the last mark to the first.
+
+    A run that starts at a mark takes the first mark of each letter from there on, and ends where a plain mark repeats a letter
+    that it has. So it is told by the next mark of each letter and the plain mark of that letter behind it, which the
+    scan keeps for five letters. Of equal runs the first start counts, so a later look replaces an earlier one.
+    """
+    first: dict[str, int] = {}
+    plain: dict[str, int] = {}
+    ends: dict[str, int] = {}
+    best, score = [], (0, 0, 0)
+    for i in range(len(labels) - 1, -1, -1):
+        label, kind = labels[i], kinds[i]
+        if kind != ORGANISM:
+            first[label], ends[label] = i, plain.get(label, len(labels))
+            if kind == PLAIN:
+                plain[label] = i
+        end = min(ends.values(), default=len(labels))
+        taken = sorted(at for at in first.values() if at < end)
+        letters = {labels[at] for at in taken}
+        now = (int(letters >= set("ABCD")), int(bool(taken) and labels[taken[0]] == "A"), len(taken))
+        if now >= score:
+            best, score = taken, now
+    return best
+
+
+def best_runs(labels: Column, kinds: Column) -> Column:
+    """run_of each row's marks."""
+
+    @F.arrow_udf("array<int>")
+    def runs(labels: pa.Array, kinds: pa.Array) -> pa.Array:
+        return pa.array([run_of(x or "", k or "") for x, k in zip(labels.to_pylist(), kinds.to_pylist(), strict=True)], pa.list_(pa.int32()))
+
+    return runs(labels, kinds)
+
+
+def with_question(df, number: str, body: str):
+    """df with stem, options (key, raw_order, text), group_ref and question_type of its blocks, as `question` gives them.
+
+    Takes time in proportion to the marks of a block: the run is one scan in an Arrow batch, the rest is columns.
+    """
+    kind = lambda m: F.when((m["label"] == "E") & m["text"].rlike(r"(?i)^\s*coli\b"), ORGANISM).when(F.trim(m["mark"]).rlike(r"^\s*[A-E](-|、)\s*$"), WITHIN).otherwise(PLAIN)
+    joined = lambda f: F.array_join(F.transform("__marks", f), "")
+    marked = df.withColumn("__marks", pieces(F.col(body)))
+    marked = marked.withColumns({"__labels": joined(lambda m: m["label"]), "__kinds": joined(kind)})
+    marked = marked.withColumn("__best", F.when(F.size("__marks") > 0, best_runs(F.col("__labels"), F.col("__kinds"))).otherwise(F.array().cast("array<int>")))
+    lines = F.transform(F.filter("__marks", lambda m: m["mark"].rlike(r"^(\s*\n)?\s*[（(A-E]") & (F.contains(m["mark"], F.lit("\n")) | (m["i"] == 0))), lambda m: m["i"])
+    marked = marked.withColumn("__run", F.when(F.size("__best") >= 2, F.col("__best")).otherwise(lines))
+    marks, run = F.col("__marks"), F.col("__run")
+    said = lambda a, b: F.array_join(F.transform(F.slice(marks, a + 1, b - a), lambda m, j: F.when(j == 0, m["text"]).otherwise(F.concat(m["mark"], m["text"]))), "")
+    options = F.transform(run, lambda at, j: F.struct(F.get(marks, at)["label"].alias("key"), (j + 1).alias("raw_order"), strip(said(at, F.coalesce(F.get(run, j + 1), F.size(marks)))).alias("text")))
+    head = F.substring_index(F.regexp_replace(F.col(body), MARK, "\u0001$0"), "\u0001", 1)
+    before = F.array_join(F.transform(F.slice(marks, F.lit(1), F.coalesce(F.get(run, F.lit(0)), F.lit(0))), lambda m: F.concat(m["mark"], m["text"])), "")
+    out = {"stem": strip(F.when(F.size(run) > 0, F.concat(head, before)).otherwise(F.col(body))), "options": F.array_sort(options), "question_type": F.when(F.size(run) > 0, "multiple_choice").otherwise("unknown")}
+    return marked.withColumns(out).withColumn("group_ref", group_ref(F.col("stem"), F.col(number))).drop("__marks", "__labels", "__kinds", "__best", "__run")

@@ -38,7 +38,7 @@ def audited_notation(df: DataFrame, stem: str = "stem", options: str = "options"
     their normal texts if one differs.
     """
     none = F.array().cast("array<string>")
-    texts = F.transform(F.coalesce(F.col(options), F.expr("cast(array() as array<struct<key:string,text:string>>)")), lambda o: F.struct(F.coalesce(o["key"], F.lit("")).alias("key"), F.coalesce(o["text"], F.lit("")).alias("text")))
+    texts = F.coalesce(F.transform(options, lambda o: F.struct(F.coalesce(o["key"], F.lit("")).alias("key"), F.coalesce(o["text"], F.lit("")).alias("text"))), F.expr("cast(array() as array<struct<key:string,text:string>>)"))
     base = df.withColumns({"__stem": F.coalesce(stem, F.lit("")), "__options": texts}).withColumn("__texts", F.transform("__options", lambda o: o["text"]))
     base = base.withColumns({"__normal": candidate_notation(F.col("__stem")), "__normals": candidate_notation_all(F.col("__texts"))})
     base = base.withColumn("__all", F.concat_ws("\n", F.array("__stem"), "__texts"))

@@ -9,6 +9,7 @@ from ..functions import questions as Q
 from ..operators import bank as B
 from ..operators import relational as R
 from ..operators.notation import audited_notation
+from ..operators.parse import parsed_candidates
 from .common import REVIEW_SQL, review_events, table
 
 
@@ -65,6 +66,44 @@ def question_types(spark, d):
     return q.groupBy(F.col("q.question_type").alias("question_type"), F.size("q.options").cast("long").alias("n_options")).agg(rows())
 
 
+def _papers(spark, d):
+    """A paper for each customer: its orders are questions, their lines options; the answers are a table, as pages have them."""
+    one = table(spark, d, "lineitem").filter("l_linenumber between 1 and 5").groupBy("l_orderkey", "l_linenumber").agg(F.min("l_partkey").alias("part"))
+    lines = one.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "part"))).alias("x"))  # five lines at most
+    option = lambda x: F.concat(F.lit("\n("), F.substring(F.lit("ABCDE"), x["l_linenumber"].cast("int"), F.lit(1)), F.lit(") part "), x["part"])
+    options = F.array_join(F.transform("x", option), "")
+    o = table(spark, d, "orders").join(lines.select(F.col("l_orderkey").alias("o_orderkey"), options.alias("options")), "o_orderkey", "left")
+    key = F.col("o_orderkey")
+    answer = F.when(key % 7 == 0, None).when(key % 11 == 0, "z").otherwise(F.substring(F.lit("ABCD"), (key % 4 + 1).cast("int"), F.lit(1)))
+    body = F.concat(F.when((key % 13 == 0) & F.col("options").isNotNull(), "").otherwise(F.concat(F.lit("What is the way of order "), key, F.lit("?"))), F.coalesce("options", F.lit("")))
+    own = o.groupBy("o_custkey").agg(F.array_sort(F.collect_list(F.struct(key, body.alias("body"), answer.alias("answer")))).alias("q"))  # the orders of one customer
+    number = lambda i: (i + 1 + F.when(i >= 3, 1).otherwise(0)).cast("string")  # noqa: E731  a number lacks after the third
+    cell = lambda x: F.concat(F.lit("<td>"), x, F.lit("</td>"))
+    given = F.filter(F.transform("q", lambda x, i: F.struct(number(i).alias("n"), x["answer"].alias("a"))), lambda x: x["a"].isNotNull())
+    pages = own.select("o_custkey", "q", given.alias("given"))
+    row = lambda head, of: F.concat(F.lit(f"<tr><td>{head}</td>"), F.array_join(F.transform("given", lambda x: cell(of(x))), ""), F.lit("</tr>"))
+    table_ = F.concat(F.lit("<table>"), row("題號", lambda x: x["n"]), row("答案", lambda x: x["a"]), F.lit("</table>"))
+    return pages.select("o_custkey", F.array_join(F.transform("q", lambda x, i: F.concat(number(i), F.lit("、"), x["body"])), "\n").alias("markdown"), table_.alias("answers"))
+
+
+def parsed_papers(spark, d):
+    """Whole papers from Markdown to candidates: stems, options, answers, issues and states."""
+    found = parsed_candidates(_papers(spark, d), "o_custkey", "markdown", "answers", F.lit("110"))
+    codes = F.array_join(F.array_sort(F.transform("issues", lambda x: x["issue_code"])), ";")
+    return found.select("candidate_key", F.col("number").cast("long").alias("number"), "stem", F.array_join(F.transform("options", lambda o: F.concat(o["key"], F.lit("="), o["text"])), ";").alias("options"), "answer", codes.alias("codes"), "quality_status")
+
+
+PAPERS_SQL = """WITH o AS (SELECT o_custkey, o_orderkey AS k, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS i FROM orders),
+  l AS (SELECT l_orderkey AS k, count(*) AS n, string_agg('ABCDE'[l_linenumber] || '=part ' || part, ';' ORDER BY l_linenumber) AS options, max(l_linenumber) AS top
+    FROM (SELECT l_orderkey, l_linenumber, min(l_partkey) AS part FROM lineitem WHERE l_linenumber BETWEEN 1 AND 5 GROUP BY ALL) GROUP BY 1),
+  q AS (SELECT o_custkey, k, i, i + CASE WHEN i > 3 THEN 1 ELSE 0 END AS number, count(*) OVER (PARTITION BY o_custkey) AS many, coalesce(n, 0) AS n, top, coalesce(options, '') AS options,
+    CASE WHEN k % 13 = 0 AND n > 0 THEN '' ELSE 'What is the way of order ' || k || '?' END AS stem, CASE WHEN k % 7 = 0 THEN NULL WHEN k % 11 = 0 THEN 'z' ELSE 'ABCD'[k % 4 + 1] END AS answer FROM o LEFT JOIN l USING (k)),
+  s AS (SELECT *, list_sort(list_filter([CASE WHEN stem = '' THEN 'empty_stem' END, CASE WHEN n < 4 THEN 'too_few_options' END, CASE WHEN n >= 4 AND top > n THEN 'option_order_unusual' END, CASE WHEN answer IS NULL THEN 'missing_answer' END, CASE WHEN answer = 'z' THEN 'unexpected_answer_value' END,
+    CASE WHEN i = 1 AND many > 3 THEN 'question_number_gap' END], lambda x: x IS NOT NULL)) AS codes FROM q)
+  SELECT o_custkey || ':q' || lpad(number::VARCHAR, 3, '0') AS candidate_key, number, stem, options, answer, array_to_string(codes, ';') AS codes,
+    CASE WHEN list_contains(codes, 'empty_stem') OR list_contains(codes, 'too_few_options') THEN 'blocked' WHEN list_contains(codes, 'unexpected_answer_value') OR list_contains(codes, 'question_number_gap') OR list_contains(codes, 'option_order_unusual') THEN 'needs_review' ELSE 'pass' END AS quality_status FROM s"""
+
+
 # --- issues --------------------------------------------------------------------------------------
 
 
@@ -493,6 +532,7 @@ QUERIES = {
     "gate_split": (gate_split, f"""WITH {CODES_SQL}, r AS (SELECT *, CASE severity WHEN 'error' THEN 2 WHEN 'warning' THEN 1 ELSE 0 END AS k, issue_code IN ('missing_answer', 'missing_answer_markdown', 'unexpected_answer_value') AS ans FROM codes)
       SELECT doc_id, ['pass', 'needs_review', 'blocked'][coalesce(max(k) FILTER (NOT ans), 0) + 1] AS question_status, ['pass', 'needs_review', 'blocked'][coalesce(max(k) FILTER (ans), 0) + 1] AS answer_status FROM r GROUP BY 1"""),
     "notation_audit": (notation_audit, None),
+    "parsed_papers": (parsed_papers, PAPERS_SQL),
     "markup_flags": (markup_flags, r"""SELECT m AS has_markup, m AND r AS needs_review, count(*) AS n FROM (SELECT coalesce(regexp_matches(text, '(<sub>|<sup>|\\[a-zA-Z]+|[α-ωΑ-ΩⅠⅡⅢⅣⅤⅥⅦⅧⅨⅩ]|[A-Za-z][0-9][A-Za-z0-9]*|\^[0-9+-]+)'), false) AS m,
       coalesce(regexp_matches(text, '(<sub>|<sup>|\\[a-zA-Z]+|\^[0-9+-]+)'), false) AS r FROM documents) GROUP BY ALL"""),
     "corrections_applied": (corrections_applied, f"WITH {REVIEW_SQL} SELECT id, CASE WHEN k % 3 = 0 THEN 's' || k ELSE action END AS stem, CASE WHEN k % 3 = 1 THEN NULL ELSE 'A' END AS answer, CASE WHEN k % 3 = 2 THEN 'a.png,b.png,c.png' ELSE 'a.png' END AS images FROM review"),
