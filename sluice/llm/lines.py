@@ -141,11 +141,12 @@ def kept_lines(docs: DataFrame, work: Scratch, least: int = LEAST) -> DataFrame:
     distinct = work.stored(plain.groupBy("h", "h2").agg(F.min(F.struct(position.alias("at"), F.col("n"), F.col("halves"))).alias("x")).select("h", "h2", "x.*"))
     release(docs.sparkSession)
 
-    halves = distinct.filter("halves is not null").select("h", "h2", F.inline("halves")).distinct()
+    halves = distinct.filter("halves is not null").select("h", "h2", F.inline(F.array_distinct("halves")))
     shared = halves.groupBy("side", "key").agg(F.count(F.lit(1)).alias("times")).filter("times > 1")
     live = halves.join(shared.hint("shuffle_merge"), ["side", "key"], "left_semi").groupBy("h", "h2").agg(F.max(F.col("side") == 0).alias("tail_open"), F.max(F.col("side") == 1).alias("head_open"))
     live = distinct.select("h", "h2", "at", "n").join(live, ["h", "h2"])
     wanted = live.groupBy(F.col("at.k1").alias("k1"), F.col("at.k2").alias("k2")).agg(F.collect_list(F.struct("at.i", "h", "h2", "at", "n", "tail_open", "head_open")).alias("lines"))  # lines of one row
+    wanted = work.stored(wanted)  # before texts move, so that both are not on disk at once
     texts = docs.select(*row_keys(F.col("text")), "text").join(wanted, ["k1", "k2"])
     cut = texts.select(F.split(lowered(F.col("text")), "\n", -1).alias("all"), F.explode("lines").alias("x")).select("x.*", F.get("all", F.col("x.i")).alias("line"))
     open_lines = work.stored(cut.select("h", "h2", "at", "n", "tail_open", "head_open", line_words(F.col("line")).alias("words")).dropDuplicates(["h", "h2"]))
@@ -173,7 +174,7 @@ def kept_lines(docs: DataFrame, work: Scratch, least: int = LEAST) -> DataFrame:
     cut_words = F.concat(F.slice(long_words, F.lit(1), F.col("gap")), F.slice(long_words, F.col("gap") + 2, F.size(long_words)))
     one = F.size(F.filter(F.zip_with("words", "others", lambda a, b: ~a.eqNullSafe(b)), lambda x: x)) == 1
     near = work.stored(checked.filter(F.when(F.col("gap").isNull(), one).otherwise(cut_words == short_words)).select("h", "h2").distinct())
-    work.discard(v, groups, open_lines)
+    work.discard(v, groups, open_lines, wanted)
     return distinct.select("h", "h2", "at").join(near, ["h", "h2"], "left_anti").select("at.k1", "at.k2", "at.i")
 
 
