@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .running import running
+
 
 def fold_with_reset(events: DataFrame, key: str, order: Sequence[str], action: str, reset: str, carry: tuple[str, Column] | None = None) -> DataFrame:
     """Each key's last state: key, state (`latest` or `reset`), action, and the carried value.
@@ -41,12 +43,13 @@ def quality_status(severity_rank: Column) -> Column:
 
 
 def ordinals(df: DataFrame, group: str, code: Sequence[str], explicit: str) -> DataFrame:
-    """Adds ordinal: the explicit one where it is not below the next free number, otherwise that number."""
-    w = Window.partitionBy(group).orderBy(*code)
-    rn = F.row_number().over(w)
-    rows = df.withColumn("__rn", rn)
-    lead = F.max(F.col(explicit) - F.col("__rn")).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    return rows.withColumn("ordinal", (F.col("__rn") + F.greatest(F.lit(0), F.coalesce(lead, F.lit(0)))).cast("long")).drop("__rn")
+    """Adds ordinal: the explicit one where it is not below the next free number, otherwise that number.
+
+    A scan in (max, +): the place in the group and how far explicit numbers have run ahead of places, in ranges of any group's rows.
+    """
+    numbered = running(df, [group], [F.col(c) for c in code], counts=["__rn"])
+    ahead = running(numbered, [group], [F.col("__rn")], greatest={"__ahead": F.col(explicit) - F.col("__rn")})
+    return ahead.withColumn("ordinal", (F.col("__rn") + F.greatest(F.lit(0), F.coalesce("__ahead", F.lit(0)))).cast("long")).drop("__rn", "__ahead")
 
 
 #: Actions whose correction keeps them.
@@ -57,10 +60,9 @@ def corrected_actions(events: DataFrame, key: str, order: Sequence[str], action:
     """events with the action of each correction rewritten to that of its key's state before it.
 
     The state is the last action that is no correction, and none after a reset or at the start; a state outside
-    `kept`, or none, gives `reviewed`. Corrections take the state over, so a run of them keeps it. One ordered window a key.
+    `kept`, or none, gives `reviewed`. Corrections take the state over, so a run of them keeps it. A key's events spread over tasks.
     """
-    w = Window.partitionBy(key).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     said = F.when(~is_correction, F.col(action))
-    before = F.last(said, ignorenulls=True).over(w)
-    state = F.when(before.isin(*(k for k in kept if k != reset)), before).otherwise("reviewed")
-    return events.withColumn(action, F.when(is_correction, state).otherwise(F.col(action)))
+    found = running(events, [key], [F.col(c) for c in order], last={"__before": said}, before=True)
+    state = F.when(F.col("__before").isin(*(k for k in kept if k != reset)), F.col("__before")).otherwise("reviewed")
+    return found.withColumn(action, F.when(is_correction, state).otherwise(F.col(action))).drop("__before")

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .running import running
+
 
 def blank_to_null(c: Column) -> Column:
     return F.nullif(c, F.lit(""))
@@ -191,9 +193,10 @@ def filled_sheet(df: DataFrame, key: str, number: str, order: Sequence[str], col
 
 
 def occurrence_keys(df: DataFrame, keys: Sequence[str], order: Sequence[Column], base: Column) -> DataFrame:
-    """Adds candidate_key: base, with :dupNN from the second occurrence on."""
-    rn = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    return df.withColumn("candidate_key", F.when(rn > 1, F.concat(base, F.lit(":dup"), F.lpad(rn.cast("string"), 2, "0"))).otherwise(base))
+    """Adds candidate_key: base, with :dupNN from the second occurrence on. A key's rows spread over tasks."""
+    found = running(df, keys, order, counts=["__rn"])
+    rn = F.col("__rn")
+    return found.withColumn("candidate_key", F.when(rn > 1, F.concat(base, F.lit(":dup"), F.lpad(rn.cast("string"), 2, "0"))).otherwise(base)).drop("__rn")
 
 
 def top_k_l2(df: DataFrame, vector: str, probe: Sequence[float] | Column, k: int, key: str) -> DataFrame:
