@@ -91,6 +91,24 @@ def or_join(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]],
     return out.distinct()
 
 
+def ancestors(path: Column) -> Column:
+    """All folders above a path, from the top: of `a/b/c` these are `a` and `a/b`."""
+    parts = F.split(path, "/", -1)
+    return F.transform(F.sequence(F.lit(1), F.size(parts) - 1), lambda n: F.array_join(F.slice(parts, F.lit(1), n), "/"))
+
+
+def path_join(left: DataFrame, right: DataFrame, path: str, exact: str, folder: str, keep: Sequence[str]) -> DataFrame:
+    """Distinct `keep` columns of left x right where left's path is right's exact path or lies under right's folder.
+
+    Each path meets the folders above it: a union of two equi-joins, no pattern and no comparison of all pairs. Folders are literal
+    and whole (`a/b` holds `a/b/c`, not `a/bc`); null and empty ones hold nothing.
+    """
+    same = left.join(right, left[path] == right[exact]).select(*keep)
+    under = left.filter(F.contains(path, F.lit("/"))).withColumn("__above", F.explode(ancestors(F.col(path))))
+    inside = under.join(right.filter(right[folder] != ""), F.col("__above") == right[folder]).select(*keep)
+    return same.unionByName(inside).distinct()
+
+
 def facets(df: DataFrame, filters: dict[str, object]) -> DataFrame:
     """(facet, value) in one pass: each column's values under all filters but its own; None is no filter."""
     columns = list(filters)

@@ -156,6 +156,11 @@ def reconcile_prefix(spark, d):
     return reconcile_documents(spark, d).filter("status <> 'unmatched'")
 
 
+def reconcile_counts(spark, d):
+    """How many documents were matched, are ambiguous, have no match."""
+    return reconcile_documents(spark, d).groupBy("status").agg(F.count(F.lit(1)).alias("n"))
+
+
 #: Best other document by common prefix: 24 characters or more, or one text inside the other's beginning.
 RECONCILED_SQL = """d AS (SELECT doc_id, lang || '|' || source AS f, text AS t FROM documents WHERE text IS NOT NULL),
   j AS (SELECT a.doc_id, b.doc_id AS other, a.t AS x, b.t AS y, least(length(a.t), length(b.t)) AS n FROM d a JOIN d b ON a.f = b.f AND left(a.t, 24) = left(b.t, 24) AND a.doc_id <> b.doc_id AND a.t <> ''
@@ -194,4 +199,5 @@ QUERIES = {
     "answer_sheet_whole": (answer_sheet_whole, """WITH c AS (SELECT conv_id, turn, max(role) AS role FROM conversations GROUP BY ALL), g AS (SELECT conv_id, unnest(range(0, max(turn) + 1)) AS turn FROM c GROUP BY 1)
       SELECT g.conv_id, g.turn, role, role IS NULL AS placeholder FROM g LEFT JOIN c USING (conv_id, turn)"""),
     "reconcile_documents": (reconcile_documents, f"WITH {RECONCILED_SQL} SELECT doc_id, score, coalesce(status, 'unmatched') AS status, best FROM documents LEFT JOIN said USING (doc_id)"),
+    "reconcile_counts": (reconcile_counts, f"WITH {RECONCILED_SQL} SELECT coalesce(status, 'unmatched') AS status, count(*) AS n FROM documents LEFT JOIN said USING (doc_id) GROUP BY 1"),
 }

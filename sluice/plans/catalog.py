@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..operators import logs, relational as R
+from ..session import work_folder
+from ..sources.merge import StoredTable
 from .common import table
 
 
@@ -129,6 +133,28 @@ def upsert_state(spark, d):
     return R.upsert(*_prices(spark, d), ["p_partkey"])
 
 
+def upsert_stored(spark, d):
+    """The same on a stored table: only the buckets of the new prices are read and written."""
+    old, new = _prices(spark, d)
+    t = StoredTable(spark, f"{work_folder(spark)}/prices-{uuid.uuid4().hex}", ["p_partkey"], 16).create(old)
+    t.upsert(new, ["p_partkey"])
+    return t.read()
+
+
+def path_prefix_join(spark, d):
+    """Parts as files beside lists of exact files and of folders."""
+    p = table(spark, d, "part")
+    folder = F.concat_ws("/", F.lit("out"), "p_brand", F.replace("p_type", F.lit(" "), F.lit("/")))
+    files = p.select("p_partkey", F.concat_ws("/", folder, F.col("p_partkey").cast("string")).alias("path"))
+    lists = p.filter("p_size <= 3").select(F.col("p_partkey").alias("list_key"), F.concat_ws("/", folder, F.col("p_partkey").cast("string")).alias("exact"), F.when(F.col("p_size") == 1, F.concat_ws("/", F.lit("out"), "p_brand")).when(F.col("p_size") == 2, folder).alias("folder"))
+    return R.path_join(files, lists, "path", "exact", "folder", ["p_partkey", "list_key"])
+
+
+PATHS_SQL = """WITH f AS (SELECT p_partkey, p_size, concat_ws('/', 'out', p_brand, replace(p_type, ' ', '/')) AS folder, concat_ws('/', 'out', p_brand) AS top FROM part),
+  l AS (SELECT p_partkey AS list_key, folder || '/' || p_partkey AS exact, CASE p_size WHEN 1 THEN top WHEN 2 THEN folder END AS folder FROM f WHERE p_size <= 3)
+  SELECT DISTINCT p_partkey, list_key FROM (SELECT p_partkey, folder || '/' || p_partkey AS path FROM f) a JOIN l ON a.path = l.exact OR starts_with(a.path, l.folder || '/')"""
+
+
 def insert_ignore(spark, d):
     return R.insert_ignore(*_prices(spark, d), ["p_partkey"])
 
@@ -259,6 +285,7 @@ QUERIES = {
     "anti_unfinished": (anti_unfinished, "SELECT p_partkey FROM part WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_linenumber = 1) AND p_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_quantity < 3)"),
     "semi_either_path": (semi_either_path, "SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem WHERE l_partkey IN (SELECT p_partkey FROM part WHERE p_size = 7) OR l_suppkey IN (SELECT s_suppkey FROM supplier WHERE s_nationkey = 3)"),
     "upsert_state": (upsert_state, f"WITH {OLD_NEW} SELECT coalesce(o.p_partkey, n.p_partkey) AS p_partkey, CASE WHEN n.p_partkey IS NOT NULL THEN n.brand ELSE o.brand END AS brand, CASE WHEN n.p_partkey IS NOT NULL THEN n.size ELSE o.size END AS size FROM old o FULL JOIN new n ON o.p_partkey = n.p_partkey"),
+    "path_prefix_join": (path_prefix_join, PATHS_SQL),
     "insert_ignore": (insert_ignore, f"WITH {OLD_NEW} SELECT * FROM old UNION ALL SELECT * FROM new WHERE p_partkey NOT IN (SELECT p_partkey FROM old)"),
     "scoped_replace": (scoped_replace, f"WITH {OLD_NEW} SELECT * FROM old WHERE p_partkey NOT IN (SELECT p_partkey FROM new WHERE size < 10) UNION ALL SELECT * FROM new WHERE size < 5"),
     "mirror_delete": (mirror_delete, f"WITH {OLD_NEW} SELECT brand, p_partkey, size FROM old WHERE NOT (brand = 'Brand#11' AND p_partkey NOT IN (SELECT p_partkey FROM new))"),
@@ -280,4 +307,5 @@ QUERIES |= {
     f"{name}_whole": (query, QUERIES[of][1].replace(OLD_NEW, WHOLE_SQL))
     for name, of, query in (("upsert", "upsert_state", upsert_whole), ("insert_ignore", "insert_ignore", insert_ignore_whole), ("mirror_delete", "mirror_delete", mirror_delete_whole), ("full_outer_diff", "full_outer_diff", full_outer_diff_whole))
 }
+QUERIES["upsert_stored"] = (upsert_stored, QUERIES["upsert_state"][1])
 QUERIES["scoped_replace_whole"] = (scoped_replace_whole, f"WITH {WHOLE_SQL} SELECT * FROM old WHERE p_partkey NOT IN (SELECT p_partkey FROM new) UNION ALL SELECT * FROM new")

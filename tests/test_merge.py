@@ -103,3 +103,12 @@ def test_ordinals_and_actions_of_a_hot_key(spark):
     for _, t, a in events:
         assert got[t] == ((now if now in ("accept", "block", "comment") else "reviewed") if a == "fix" else a)
         now = now if a == "fix" else a
+
+
+def test_paths_under_folders(spark):
+    left = spark.createDataFrame([(1, "a/b/c"), (2, "a/bc/d"), (3, "a/b"), (4, "/".join("deep" for _ in range(40))), (5, None), (6, ""), (7, "a/b/"), (8, "x_y/z")], "i int, path string")
+    right = spark.createDataFrame([(1, "a/b", None), (2, None, "a/b"), (3, None, "/".join(["deep"] * 39)), (4, "", ""), (5, "a/b", "a"), (6, None, "x%y"), (7, None, "x.y")], "j int, exact string, folder string")
+    got = sorted(map(tuple, R.path_join(left, right, "path", "exact", "folder", ["i", "j"]).collect()))
+    assert got == [(1, 2), (1, 5), (2, 5), (3, 1), (3, 5), (4, 3), (6, 4), (7, 2), (7, 5)]
+    plan = R.path_join(left, right, "path", "exact", "folder", ["i", "j"])._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
