@@ -8,9 +8,15 @@ from pyspark.sql import functions as F
 from .text import normal_name, strip_tags, unescape_basic
 
 
+# The notice at the end of answer pages' labels, and what tells markup in a text.
+ANSWER_NOTICE = r"\s*本考試所有測\s*驗題標準答案.*$"
+MARKUP_HINT = r"(<sub>|<sup>|\\[a-zA-Z]+|[α-ωΑ-ΩⅠⅡⅢⅣⅤⅥⅦⅧⅨⅩ]|[A-Za-z][0-9][A-Za-z0-9]*|\^[0-9+-]+)"
+MARKUP_REVIEW = r"(<sub>|<sup>|\\[a-zA-Z]+|\^[0-9+-]+)"
+
+
 def exam_label(c: Column) -> Column:
     """A label without tags, entities and the trailing notice of answer pages."""
-    return F.trim(F.regexp_replace(unescape_basic(strip_tags(c)), r"\s*本考試所有測\s*驗題標準答案.*$", ""))
+    return F.trim(F.regexp_replace(unescape_basic(strip_tags(c)), ANSWER_NOTICE, ""))
 
 
 def label_or(label: Column, fallback: Column) -> Column:
@@ -65,6 +71,4 @@ def is_safe_path(path: Column) -> Column:
 
 def markup_payload(c: Column) -> Column:
     """(plain, needs_review) of a text with formulas, scripts or Greek letters; null of others."""
-    hint = r"(<sub>|<sup>|\\[a-zA-Z]+|[α-ωΑ-ΩⅠⅡⅢⅣⅤⅥⅦⅧⅨⅩ]|[A-Za-z][0-9][A-Za-z0-9]*|\^[0-9+-]+)"
-    review = r"(<sub>|<sup>|\\[a-zA-Z]+|\^[0-9+-]+)"
-    return F.when(c.rlike(hint), F.struct(c.alias("plain"), c.rlike(review).alias("needs_review")))
+    return F.when(c.rlike(MARKUP_HINT), F.struct(c.alias("plain"), c.rlike(MARKUP_REVIEW).alias("needs_review")))

@@ -72,9 +72,14 @@ def common_prefix(a: Column, b: Column) -> Column:
     return F.when(n > 0, same).otherwise(0).cast("long")
 
 
+# How stems name a range of questions, and how notes name the answers that are accepted.
+GROUP_RANGE = r"第\s*([0-9]{1,3})\s*[至到~～\-－]\s*([0-9]{1,3})\s*題"
+CORRECTION_NOTE = r"第\s*([0-9]{1,3})\s*題[^第]*?答\s*([A-E](?:\s*[或、,]\s*[A-E])*)"
+
+
 def group_ref(text: Column, number: Column) -> Column:
     """qAAA-qBBB of the first range `第a至b題` in text that holds the number."""
-    pattern = F.lit(r"第\s*([0-9]{1,3})\s*[至到~～\-]\s*([0-9]{1,3})\s*題")
+    pattern = F.lit(GROUP_RANGE)
     ranges = F.arrays_zip(F.regexp_extract_all(text, pattern, F.lit(1)).alias("a"), F.regexp_extract_all(text, pattern, F.lit(2)).alias("b"))
     held = F.filter(ranges, lambda r: (r["a"].cast("int") <= number) & (number <= r["b"].cast("int")))
     first = F.get(held, F.lit(0))
@@ -89,7 +94,7 @@ def image_refs(c: Column) -> Column:
 
 def correction_notes(c: Column) -> Column:
     """Array of (number, accepted) from notes such as `第2題答A或B者均給分`."""
-    pattern = F.lit(r"第\s*([0-9]{1,3})\s*題[^第]*?答\s*([A-E](?:\s*[或、,]\s*[A-E])*)")
+    pattern = F.lit(CORRECTION_NOTE)
     pairs = F.arrays_zip(F.regexp_extract_all(c, pattern, F.lit(1)).alias("n"), F.regexp_extract_all(c, pattern, F.lit(2)).alias("v"))
     return F.transform(pairs, lambda p: F.struct(p["n"].cast("int").alias("number"), F.regexp_extract_all(p["v"], F.lit("[A-E]"), F.lit(0)).alias("accepted")))
 
