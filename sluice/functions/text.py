@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import html
+
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -72,6 +75,21 @@ def common_prefix(a: Column, b: Column) -> Column:
     return F.when(n > 0, same).otherwise(0).cast("long")
 
 
+def unescaped(c: Column) -> Column:
+    """All named and numeric HTML entities as their characters, in Arrow batches."""
+
+    @F.arrow_udf("string")
+    def plain(column: pa.Array) -> pa.Array:
+        return pa.array([html.unescape(t) if t and "&" in t else t for t in column.to_pylist()], pa.string())
+
+    return plain(c)
+
+
+def html_text(c: Column) -> Column:
+    """Text of HTML: tags dropped, entities as characters, white space as single blanks."""
+    return F.trim(F.regexp_replace(unescaped(F.regexp_replace(c, "<[^>]+>", "")), r"(?U)\s+", " "))
+
+
 # How stems name a range of questions, and how notes name the answers that are accepted.
 GROUP_RANGE = r"第\s*([0-9]{1,3})\s*[至到~～\-－]\s*([0-9]{1,3})\s*題"
 CORRECTION_NOTE = r"第\s*([0-9]{1,3})\s*題[^第]*?答\s*([A-E](?:\s*[或、,]\s*[A-E])*)"

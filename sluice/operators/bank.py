@@ -122,6 +122,21 @@ def has_key(json: Column, key: str) -> Column:
     return F.coalesce(F.array_contains(F.json_object_keys(json), key), F.lit(False))
 
 
+def canonical_json(json: Column) -> Column:
+    """JSON in one spelling: keys in order at every depth, no blanks; parsed once, as VARIANT. Null for what is no JSON."""
+    return F.to_json(F.try_parse_json(json))
+
+
+def canonical_hash(json: Column) -> Column:
+    """SHA-256 of the canonical spelling: equal under the order of keys and white space."""
+    return F.sha2(canonical_json(json), 256)
+
+
+def typed_paths(json: Column, paths: dict[str, tuple[str, str]]) -> Column:
+    """A struct of values {name: (path, type)} out of one parsed VARIANT; null where a path or a cast fails."""
+    return ocr.once(F.try_parse_json(json), lambda v: F.struct(*(F.try_variant_get(v, path, kind).alias(name) for name, (path, kind) in paths.items())))
+
+
 def path_text(json: Column, *paths: str) -> Column:
     """The first non-null of the JSON paths as text, else empty."""
     return F.coalesce(*(F.get_json_object(json, p) for p in paths), F.lit(""))

@@ -124,6 +124,15 @@ def candidate_issue_codes(spark, d):
     return B.candidate_issues(candidates(spark, d), ["doc_id"])
 
 
+def event_hashes(spark, d):
+    """Events in two spellings of one JSON object: as many hashes as objects, and their typed values."""
+    e = table(spark, d, "events").select("event_id", F.coalesce("props", F.lit("null")).alias("props"))
+    one = e.select("event_id", F.concat(F.lit('{ "b" : '), "event_id", F.lit(',\n "a":'), "props", F.lit(" }")).alias("j"))
+    two = e.select("event_id", F.concat(F.lit('{"a":'), "props", F.lit(',"b":'), "event_id", F.lit("}")).alias("j"))
+    both = one.unionByName(two).select("event_id", B.canonical_hash(F.col("j")).alias("hash"), B.typed_paths(F.col("j"), {"b": ("$.b", "bigint"), "k": ("$.a.k", "int")}).alias("v"))
+    return both.groupBy("event_id", "hash").agg(rows(), F.max("v.b").alias("b"), F.max("v.k").cast("long").alias("k"))
+
+
 def notation_audit(spark, d):
     """Findings of notation, options and borders over all candidates; documents are numbered by doc_id."""
     c = candidates(spark, d).select("doc_id", "stem", "options", F.col("doc_id").alias("question_number"), F.col("image_refs").isNotNull().alias("has_image"))
@@ -537,6 +546,7 @@ QUERIES = {
       SELECT doc_id, ['pass', 'needs_review', 'blocked'][coalesce(max(k) FILTER (NOT ans), 0) + 1] AS question_status, ['pass', 'needs_review', 'blocked'][coalesce(max(k) FILTER (ans), 0) + 1] AS answer_status FROM r GROUP BY 1"""),
     "notation_audit": (notation_audit, None),
     "parsed_papers": (parsed_papers, PAPERS_SQL),
+    "event_hashes": (event_hashes, """SELECT event_id, sha256('{"a":' || coalesce(json(props)::VARCHAR, 'null') || ',"b":' || event_id || '}') AS hash, 2::BIGINT AS n, event_id AS b, try_cast(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events"""),
     "markup_flags": (markup_flags, r"""SELECT m AS has_markup, m AND r AS needs_review, count(*) AS n FROM (SELECT coalesce(regexp_matches(text, '(<sub>|<sup>|\\[a-zA-Z]+|[α-ωΑ-ΩⅠⅡⅢⅣⅤⅥⅦⅧⅨⅩ]|[A-Za-z][0-9][A-Za-z0-9]*|\^[0-9+-]+)'), false) AS m,
       coalesce(regexp_matches(text, '(<sub>|<sup>|\\[a-zA-Z]+|\^[0-9+-]+)'), false) AS r FROM documents) GROUP BY ALL"""),
     "corrections_applied": (corrections_applied, f"WITH {REVIEW_SQL} SELECT id, CASE WHEN k % 3 = 0 THEN 's' || k ELSE action END AS stem, CASE WHEN k % 3 = 1 THEN NULL ELSE 'A' END AS answer, CASE WHEN k % 3 = 2 THEN 'a.png,b.png,c.png' ELSE 'a.png' END AS images FROM review"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -29,8 +29,28 @@ def read_csv(spark: SparkSession, path, required: Sequence[str] = (), schema: St
     return df.toDF(*plain(df.columns))
 
 
+def first_bad_lines(spark: SparkSession, path, schema: StructType) -> DataFrame:
+    """(path, line, value) of each file's first line that is no JSON of the schema; blank lines are none.
+
+    Files are read in splits. A split counts its lines and names its first bad one in one partial aggregation; the lines
+    before it are summed over the splits of its file, a row each.
+    """
+    full = StructType([*schema.fields]).add("_corrupt_record", "string")
+    rows = spark.read.text(path).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"), "value")
+    parsed = F.from_json("value", full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
+    bad = (F.trim("value") != "") & (parsed.isNull() | parsed["_corrupt_record"].isNotNull())
+    splits = rows.groupBy("path", "block").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("n"), F.min(F.when(bad, F.struct("at", "value"))).alias("bad"))
+    earlier = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    placed = splits.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0))).filter("bad is not null")
+    lines = placed.select("path", F.struct((F.col("bad.at") - F.col("first") + F.col("before") + 1).alias("line"), F.col("bad.value").alias("value")).alias("x"))
+    return lines.groupBy("path").agg(F.min("x").alias("x")).select("path", "x.line", "x.value")
+
+
 def read_jsonl_strict(spark: SparkSession, path, schema: StructType) -> DataFrame:
-    """JSON lines; the first bad line fails the query."""
+    """JSON lines; a bad line fails at once, named by its file and line."""
+    found = first_bad_lines(spark, path, schema).orderBy("path").first()
+    if found:
+        raise ValueError(f"{found['path']}:{found['line']}: not a JSON line of the schema: {found['value'][:200]}")
     return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
 
 
@@ -98,8 +118,8 @@ def images(listing: DataFrame) -> DataFrame:
 
 
 def markdown_documents(spark: SparkSession, path: str) -> DataFrame:
-    """path and whole text of every Markdown file; bytes that are not UTF-8 are replaced."""
-    return spark.read.text(path, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.md").select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
+    """path and whole text of every Markdown file; bytes that are not UTF-8 become U+FFFD."""
+    return spark.read.text(path, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.md").select(F.col("_metadata.file_path").alias("path"), F.make_valid_utf8("value").alias("text"))
 
 
 def resolve_markdown(wanted: DataFrame, listing: DataFrame, modes: Sequence[str] = ("vlm", "hybrid_auto", "ocr")) -> DataFrame:

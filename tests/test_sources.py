@@ -1,8 +1,10 @@
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
+from sluice.functions import text as T
 from sluice.sources import readers, sinks
 
 
@@ -61,3 +63,41 @@ def test_sinks(spark, tmp_path):
     found = sinks.constraint_violations(bad, [["k"]], {"role": ["x"]}, {"ref": (spark.createDataFrame([(5,)], "id int"), "id")})
     assert {r.violated: r.n for r in found.collect()} == {"unique k": 1, "values role": 1, "reference ref": 1}
     assert spark.read.parquet(sinks.rewrite_versioned(df, f"{tmp_path}/v")).count() == 1
+
+
+def test_bad_lines_are_named(spark, tmp_path):
+    """Line numbers over files that are read in many splits."""
+    from pyspark.sql.types import StructType
+
+    schema = StructType.fromDDL("a int, b string")
+    good = '{"a": 1, "b": "%s"}\n' % ("x" * 50)
+    for name, bad in (("one.jsonl", 3000), ("two.jsonl", None), ("three.jsonl", 1)):
+        lines = [good] * 4000
+        if bad:
+            lines[bad - 1] = '{"a": "no number"\n'
+            lines[3500] = "[\n"
+        lines[10] = "\n"
+        (tmp_path / name).write_text("".join(lines))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "16384")
+        found = {r.path.rsplit("/", 1)[1]: r.line for r in readers.first_bad_lines(spark, str(tmp_path), schema).collect()}
+        assert found == {"one.jsonl": 3000, "three.jsonl": 1}
+        with pytest.raises(ValueError, match="one.jsonl:3000:"):
+            readers.read_jsonl_strict(spark, str(tmp_path), schema)
+        assert readers.read_jsonl_strict(spark, str(tmp_path / "two.jsonl"), schema).count() == 3999
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_bytes_that_are_not_utf8(spark, tmp_path):
+    rng = random.Random(1)
+    for i in range(60):
+        (tmp_path / f"{i}.md").write_bytes(b"a\xe9\xff " + bytes(rng.choice([0x41, 0xC3, 0xA9, 0xE2, 0x82, 0xAC, 0xF0, 0x9F, 0x98, 0x80, 0xFF, 0xED, 0xA0]) for _ in range(12)))
+    for r in readers.markdown_documents(spark, str(tmp_path)).collect():
+        assert r.text == (tmp_path / r.path.rsplit("/", 1)[1]).read_bytes().decode("utf-8", "replace")
+
+
+def test_html_text(spark):
+    text = "<p>a &amp; b&nbsp;&#21644;&#x4e2d; &copy; &lt;x&gt;\n\n <b>c</b>&unknown;</p>"
+    assert spark.createDataFrame([(text,), (None,)], "t string").select(T.html_text(F.col("t")).alias("t")).collect()[0].t == "a & b 和中 © <x> c&unknown;"
