@@ -9,9 +9,9 @@ words (of one class) are one event.
 
 Frequent ids have an embedding, and frequent first ids a class, of their own; the others share some. All counts
 are of every training row. The attention parameters are averages of those that learners find, one for each
-block of documents, in ROUNDS rounds: every learner starts from the last average and goes once through a share
-of its block, chosen by hash. The share is SHARE, and more if that gives less than LEAST rows: what is learned
-from grows with the input. Averages are taken in groups of FAN.
+block of documents, in ROUNDS rounds: every learner starts from the last average and goes once through its block's rows of
+that round, which their hash picks. So every training row is learned from once, at any size. Averages are taken in groups
+of FAN.
 
 Scoring lays each text's ids out in rows of STRIDE. The queries of a row see the keys of their own row
 and of the one before it, masked to what comes earlier in the same text: windows of 2 * STRIDE overlap by half,
@@ -45,8 +45,6 @@ CLASSES, SHARED_CLASSES = 128, 32
 STRIDE = 16
 BATCH = 128
 ROUNDS = 3
-SHARE = 1 / 16
-LEAST = 20_000
 FAN = 64
 BLOCK_BYTES = 8 << 20
 END = 50256
@@ -335,14 +333,10 @@ def average(found: DataFrame, n: int, work: Scratch) -> np.ndarray:
     return None if got is None else np.array(got.p, np.float32)
 
 
-def fit(model: Model, training: DataFrame, blocks: int, path: str, work: Scratch, rounds: int = ROUNDS, share: float = SHARE, least: int = LEAST) -> Model:
-    """The attention parameters, from a share of the training rows (doc_id, text, block)."""
-    n = training.count()
-    if not n:
-        return model
-    rate = min(1.0, max(share, least / n))
+def fit(model: Model, training: DataFrame, blocks: int, path: str, work: Scratch, rounds: int = ROUNDS) -> Model:
+    """The attention parameters, from all training rows (doc_id, text, block), each in one of the rounds."""
     spark = training.sparkSession
-    rows = training.filter(F.pmod(F.xxhash64("doc_id", "text", F.lit(3)), F.lit(1_000_003)) / F.lit(1_000_003.0) < rate).select("block", "doc_id", "text")
+    rows = training.select("block", "doc_id", "text", F.pmod(F.xxhash64("doc_id", "text", F.lit(3)), F.lit(rounds)).alias("round"))
 
     def learner(turn: int, shared):
         def learn(frame: pa.Table) -> pa.Table:
@@ -360,7 +354,7 @@ def fit(model: Model, training: DataFrame, blocks: int, path: str, work: Scratch
 
     for turn in range(rounds):
         learn = learner(turn, spark.sparkContext.broadcast(model))  # its size is fixed
-        found = work.stored(rows.groupBy("block").applyInArrow(learn, "learner long, weight double, p array<float>"))
+        found = work.stored(rows.filter(F.col("round") == turn).drop("round").groupBy("block").applyInArrow(learn, "learner long, weight double, p array<float>"))
         got = average(found, blocks, work)
         if got is not None:
             model.set_flat(got)
