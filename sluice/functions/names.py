@@ -14,6 +14,20 @@ MARKUP_HINT = r"(<sub>|<sup>|\\[a-zA-Z]+|[α-ωΑ-ΩⅠⅡⅢⅣⅤⅥⅦⅧⅨ
 MARKUP_REVIEW = r"(<sub>|<sup>|\\[a-zA-Z]+|\^[0-9+-]+)"
 
 
+# Names of examinations that are parts of one group.
+GROUP_OVERRIDES = {
+    "牙醫師": "牙醫師", "牙醫師（一）": "牙醫師", "牙醫師（二）": "牙醫師", "醫師(一)": "醫師", "醫師(二)": "醫師", "牙醫師(一)": "牙醫師", "牙醫師(二)": "牙醫師", "藥師": "藥師",
+    "藥師（一）": "藥師", "藥師（二）": "藥師", "藥師(一)": "藥師", "藥師(二)": "藥師", "中醫師": "中醫師", "中醫師(一)": "中醫師", "中醫師(二)": "中醫師",
+}
+
+
+def group_name(c: Column, overrides: dict[str, str] = GROUP_OVERRIDES) -> Column:
+    """The name without blanks, or that of the group that it is part of. The overrides are a map within the plan; nothing is joined."""
+    name = normal_name(c)
+    named = F.create_map(*(F.lit(x) for pair in overrides.items() for x in pair))
+    return F.coalesce(F.try_element_at(named, name), name) if overrides else name
+
+
 def exam_label(c: Column) -> Column:
     """A label without tags, entities and the trailing notice of answer pages."""
     return F.trim(F.regexp_replace(unescape_basic(strip_tags(c)), ANSWER_NOTICE, ""))

@@ -31,8 +31,13 @@ def fold_with_reset(events: DataFrame, key: str, order: Sequence[str], action: s
     return last.select(*out).withColumn("state", F.when(F.col("action") == reset, "reset").otherwise("latest"))
 
 
-def last_event(events: DataFrame, key: str, order: Sequence[str], columns: Sequence[str], reset: tuple[str, str] | None = None) -> DataFrame:
-    """Plain last-wins fold; with reset = (column, value), keys whose last event is a reset are dropped."""
+def last_event(events: DataFrame, key: str, order: Sequence[str], columns: Sequence[str], reset: tuple[str, str] | None = None, scope: DataFrame | None = None) -> DataFrame:
+    """Plain last-wins fold; with reset = (column, value), keys whose last event is a reset are dropped.
+
+    With a scope, only events of its keys are folded; other events are left out before they are shuffled for the fold.
+    """
+    if scope is not None:
+        events = events.join(scope.select(key).distinct(), key, "left_semi")
     last = events.groupBy(key).agg(F.max_by(F.struct(*columns), F.struct(*order)).alias("x")).select(key, "x.*")
     return last.filter(F.col(reset[0]) != reset[1]) if reset else last
 

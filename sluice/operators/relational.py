@@ -141,6 +141,12 @@ def within_years(date: Column, year_start: int, year_end: int) -> Column:
     return (date >= F.make_date(F.lit(year_end), F.lit(1), F.lit(1))) & (date < F.make_date(F.lit(year_start + 1), F.lit(1), F.lit(1)))
 
 
+def review_order(category: str, subject: str, year: str, ordinal: str, number: str, key: str) -> list[Column]:
+    """The six keys of review pages: names, later years and ordinals first (text that is no number counts as 0), number, key."""
+    name = lambda c: F.coalesce(F.col(c), F.lit("")).asc()
+    return [name(category), name(subject), guarded_int(F.col(year)).desc(), guarded_int(F.col(ordinal)).desc(), guarded_int(F.col(number)).asc(), F.col(key).asc()]
+
+
 def clamp_limit(limit, default: int = 500, most: int = 1000) -> int:
     try:
         n = int(limit or default)

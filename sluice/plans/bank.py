@@ -466,6 +466,22 @@ def sheet_orders(spark, d):
     return sheets.unionByName(groups)
 
 
+def review_page_order(spark, d):
+    """The first page of orders under all six keys; some years are no numbers."""
+    o = table(spark, d, "orders").select(
+        F.nullif(F.col("o_orderpriority"), F.lit("3-MEDIUM")).alias("category"), F.col("o_orderstatus").alias("subject"), F.when(F.col("o_orderkey") % 5 == 0, "n/a").otherwise(F.year("o_orderdate").cast("string")).alias("year"),
+        (F.col("o_custkey") % 4).cast("string").alias("ordinal"), F.concat(F.col("o_orderkey") % 50, F.when(F.col("o_orderkey") % 3 == 0, "b").otherwise("")).alias("number"), F.col("o_orderkey").alias("key"),
+    )
+    return o.orderBy(*R.review_order(*o.columns)).limit(500)
+
+
+def group_names(spark, d):
+    """Parts by group: brands of one group under one name."""
+    p = table(spark, d, "part")
+    name = N.group_name(F.concat(F.lit(" "), F.col("p_brand")), {"Brand#11": "one", "Brand#12": "one", "Brand#21": "two"})
+    return p.groupBy(name.alias("name")).agg(rows())
+
+
 def rank_reports(spark, d):
     """Each node's five largest categories, ties by name, without the categories that either of two lists leaves out."""
     part = table(spark, d, "part")
@@ -546,6 +562,10 @@ QUERIES = {
       SELECT doc_id, ['pass', 'needs_review', 'blocked'][coalesce(max(k) FILTER (NOT ans), 0) + 1] AS question_status, ['pass', 'needs_review', 'blocked'][coalesce(max(k) FILTER (ans), 0) + 1] AS answer_status FROM r GROUP BY 1"""),
     "notation_audit": (notation_audit, None),
     "parsed_papers": (parsed_papers, PAPERS_SQL),
+    "review_page_order": (review_page_order, """SELECT * FROM (SELECT nullif(o_orderpriority, '3-MEDIUM') AS category, o_orderstatus AS subject, CASE WHEN o_orderkey % 5 = 0 THEN 'n/a' ELSE year(o_orderdate)::VARCHAR END AS year, (o_custkey % 4)::VARCHAR AS ordinal,
+      (o_orderkey % 50) || CASE WHEN o_orderkey % 3 = 0 THEN 'b' ELSE '' END AS number, o_orderkey AS key FROM orders)
+      ORDER BY coalesce(category, ''), subject, CASE WHEN regexp_full_match(year, '[0-9]+') THEN year::INTEGER ELSE 0 END DESC, ordinal::INTEGER DESC, CASE WHEN regexp_full_match(number, '[0-9]+') THEN number::INTEGER ELSE 0 END, key LIMIT 500"""),
+    "group_names": (group_names, "SELECT coalesce(CASE replace(p_brand, ' ', '') WHEN 'Brand#11' THEN 'one' WHEN 'Brand#12' THEN 'one' WHEN 'Brand#21' THEN 'two' END, replace(coalesce(p_brand, ''), ' ', '')) AS name, count(*) AS n FROM part GROUP BY 1"),
     "event_hashes": (event_hashes, """SELECT event_id, sha256('{"a":' || coalesce(json(props)::VARCHAR, 'null') || ',"b":' || event_id || '}') AS hash, 2::BIGINT AS n, event_id AS b, try_cast(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events"""),
     "markup_flags": (markup_flags, r"""SELECT m AS has_markup, m AND r AS needs_review, count(*) AS n FROM (SELECT coalesce(regexp_matches(text, '(<sub>|<sup>|\\[a-zA-Z]+|[α-ωΑ-ΩⅠⅡⅢⅣⅤⅥⅦⅧⅨⅩ]|[A-Za-z][0-9][A-Za-z0-9]*|\^[0-9+-]+)'), false) AS m,
       coalesce(regexp_matches(text, '(<sub>|<sup>|\\[a-zA-Z]+|\^[0-9+-]+)'), false) AS r FROM documents) GROUP BY ALL"""),

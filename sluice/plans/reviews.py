@@ -31,6 +31,12 @@ def log_fold_counts(spark, d):
     return logs.fold_with_reset(e, "candidate_key", ORDER, "action", "reset_review").join(n, "candidate_key").select("candidate_key", "state", "n_events")
 
 
+def log_fold_scoped(spark, d):
+    """Latest actions of the keys that are labelled good; reset keys are left out."""
+    good = table(spark, d, "labels").filter("quality = 1").select(F.col("doc_id").alias("candidate_key"))
+    return logs.last_event(review_events(spark, d), "candidate_key", ORDER, ["action", "id"], ("action", "reset_review"), good)
+
+
 def log_last_wins_notes(spark, d):
     last = logs.last_event(review_events(spark, d), "candidate_key", ORDER, ["action", "id", "k"])
     return last.filter(F.col("action").isin("block", "comment") & F.col("k").isNotNull()).select("candidate_key", "action", "id", F.col("k").cast("long").alias("k"))
@@ -127,6 +133,7 @@ QUERIES = {
         CASE WHEN l.action <> 'reset_review' THEN c.correction::BIGINT END AS correction
       FROM last l LEFT JOIN car c ON c.candidate_key = l.candidate_key AND c.row_at = l.src"""),
     "log_fold_reset": (log_fold_reset, f"WITH {REVIEW_SQL} SELECT * FROM (SELECT candidate_key, arg_max(action, (created_at, id)) AS action, arg_max(id, (created_at, id)) AS id FROM review GROUP BY candidate_key) WHERE action <> 'reset_review'"),
+    "log_fold_scoped": (log_fold_scoped, f"WITH {REVIEW_SQL} SELECT * FROM (SELECT candidate_key, arg_max(action, (created_at, id)) AS action, arg_max(id, (created_at, id)) AS id FROM review WHERE candidate_key IN (SELECT doc_id FROM labels WHERE quality = 1) GROUP BY candidate_key) WHERE action <> 'reset_review'"),
     "log_fold_counts": (log_fold_counts, f"WITH {REVIEW_SQL} SELECT candidate_key, CASE arg_max(action, (created_at, id)) WHEN 'reset_review' THEN 'reset' ELSE 'latest' END AS state, count(*) AS n_events FROM review GROUP BY candidate_key"),
     "log_last_wins_notes": (log_last_wins_notes, f"""WITH {REVIEW_SQL}, last AS (SELECT * FROM review QUALIFY row_number() OVER (PARTITION BY candidate_key ORDER BY created_at DESC, id DESC) = 1)
       SELECT candidate_key, action, id, k::BIGINT AS k FROM last WHERE action IN ('block', 'comment') AND k IS NOT NULL"""),

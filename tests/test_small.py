@@ -83,3 +83,10 @@ def test_json_lines_keep_nulls_and_order(spark, tmp_path):
 def test_deliveries_and_counts(spark):
     events = S.event_stream(spark, "/root/testdata/sf0.001")
     assert S.replayed(spark, S.first_deliveries(events).select("event_id"), "append").count() == spark.read.parquet("/root/testdata/sf0.001/events.parquet").count()
+
+
+def test_group_names(spark):
+    from sluice.functions import names
+
+    rows = spark.createDataFrame([("牙醫師（一）",), (" 藥師 (二)",), ("護理師",), (None,)], "c string").select(names.group_name(F.col("c")).alias("g")).collect()
+    assert [r.g for r in rows] == ["牙醫師", "藥師", "護理師", ""]
