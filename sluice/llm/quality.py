@@ -6,7 +6,8 @@ A document's score is the mean over its n-grams of log p_target / p_raw; it is k
 threshold. Surface rules (too few words, too many repeated eight-word windows) come first.
 
 A trusted document is scored with its own n-grams taken out of the target, so that its score is that of a
-document without a label. The threshold comes from a histogram of the scores of all labelled documents that pass
+document without a label. So of two rows with one text, one trusted and one without a label, the latter can score higher, as the
+other's n-grams count for it, and the two can be judged apart. The threshold comes from a histogram of the scores of all labelled documents that pass
 the rules: the share of trusted ones lost and the share of toxic ones kept have the least sum (the middle, if
 many do). Without toxic rows it is the LOST quantile of the trusted scores.
 
