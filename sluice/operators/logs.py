@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .running import running
+from .running import dealt, running
 
 
 def fold_with_reset(events: DataFrame, key: str, order: Sequence[str], action: str, reset: str, carry: tuple[str, Column] | None = None) -> DataFrame:
@@ -52,9 +52,19 @@ def ordinals(df: DataFrame, group: str, code: Sequence[str], explicit: str) -> D
 
     A scan in (max, +): the place in the group and how far explicit numbers have run ahead of places, in ranges of any group's rows.
     """
-    numbered = running(df, [group], [F.col(c) for c in code], counts=["__rn"])
-    ahead = running(numbered, [group], [F.col("__rn")], greatest={"__ahead": F.col(explicit) - F.col("__rn")})
-    return ahead.withColumn("ordinal", (F.col("__rn") + F.greatest(F.lit(0), F.coalesce("__ahead", F.lit(0)))).cast("long")).drop("__rn", "__ahead")
+    parts = dealt(df, [group], [F.col(c) for c in code])
+    w = Window.partitionBy("__p", group).orderBy(*code, "__tie").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = parts.withColumn("__rn", F.row_number().over(Window.partitionBy("__p", group).orderBy(*code, "__tie")))
+    local = local.withColumn("__far", F.col(explicit) - F.col("__rn")).withColumn("__ahead", F.max("__far").over(w))
+    # a row for each group and range; places of a range begin behind those of the ranges before it
+    totals = local.groupBy(group, "__p").agg(F.max("__rn").alias("n"), F.max("__far").alias("far"))
+    before = Window.partitionBy(group).orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
+    placed = totals.withColumn("__before", F.sum("n").over(before)).withColumn("__reached", F.max(F.col("far") - F.coalesce("__before", F.lit(0))).over(before))
+    taken = placed.filter("__before is not null").select("__p", F.struct(group).alias("__k"), "__before", "__reached")
+    joined = local.withColumn("__k", F.struct(group)).join(F.broadcast(taken), ["__p", "__k"], "left")  # at most the first group of each range
+    begin = F.coalesce("__before", F.lit(0))
+    ahead = F.coalesce(F.greatest(F.col("__ahead") - begin, F.col("__reached")), F.lit(0))
+    return joined.select(*df.columns, (F.col("__rn") + begin + F.greatest(F.lit(0), ahead)).cast("long").alias("ordinal"))
 
 
 #: Actions whose correction keeps them.
