@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -97,16 +98,55 @@ def ancestors(path: Column) -> Column:
     return F.transform(F.sequence(F.lit(1), F.size(parts) - 1), lambda n: F.array_join(F.slice(parts, F.lit(1), n), "/"))
 
 
+#: Rows of a name that meet in one task at most, on either side.
+DEALT = 1000
+
+
+def _dealt_join(left: DataFrame, right: DataFrame, name: str) -> DataFrame:
+    """Equi-join on `name`; the rows of a frequent name are dealt into blocks, each block of one side meeting each of the other in a cell of its own."""
+    counts = left.groupBy(name).agg(F.count(F.lit(1)).alias("__nl")).join(right.groupBy(name).agg(F.count(F.lit(1)).alias("__nr")), name)
+    blocks = lambda n: F.ceil(F.col(n) / DEALT).cast("int")
+    often = counts.filter((F.col("__nl") > DEALT) | (F.col("__nr") > DEALT)).select(name, blocks("__nl").alias("__bl"), blocks("__nr").alias("__br"))  # few: each has DEALT rows or more
+
+    def cells(df: DataFrame, own: str, other: str, n_own: str, n_other: str) -> DataFrame:
+        at = F.pmod(F.xxhash64(*df.columns), F.coalesce(n_own, F.lit(1))).cast("int").alias(own)
+        every = F.explode(F.sequence(F.lit(0), F.coalesce(n_other, F.lit(1)) - 1)).alias(other)
+        return df.join(F.broadcast(often), name, "left").select(*df.columns, at, every)
+
+    return cells(left, "__l", "__r", "__bl", "__br").join(cells(right, "__r", "__l", "__br", "__bl"), [name, "__l", "__r"])
+
+
 def path_join(left: DataFrame, right: DataFrame, path: str, exact: str, folder: str, keep: Sequence[str]) -> DataFrame:
     """Distinct `keep` columns of left x right where left's path is right's exact path or lies under right's folder.
 
-    Each path meets the folders above it: a union of two equi-joins, no pattern and no comparison of all pairs. Folders are literal
-    and whole (`a/b` holds `a/b/c`, not `a/bc`); null and empty ones hold nothing.
+    Each path meets itself and the folders above it in one equi-join: no pattern and no comparison of all pairs. Folders are literal
+    and whole (`a/b` holds `a/b/c`, not `a/bc`); null and empty ones hold nothing. Two rows meet once, so only pairs of
+    keys that have several rows are made distinct; the others, which may be many more than the rows, are not moved again.
     """
-    same = left.join(right, left[path] == right[exact]).select(*keep)
-    under = left.filter(F.contains(path, F.lit("/"))).withColumn("__above", F.explode(ancestors(F.col(path))))
-    inside = under.join(right.filter(right[folder] != ""), F.col("__above") == right[folder]).select(*keep)
-    return same.unionByName(inside).distinct()
+    mine, theirs = [c for c in keep if c in left.columns], [c for c in keep if c in right.columns]
+    files = left.select(*mine, F.col(path).alias("__path")).filter("__path is not null").distinct()
+    lists = right.select(*theirs, F.col(exact).alias("__exact"), F.when(F.col(folder) != "", F.col(folder)).alias("__folder")).filter("__exact is not null or __folder is not null").distinct()
+
+    def pairs(files: DataFrame, lists: DataFrame) -> DataFrame:
+        above = F.when(F.contains("__path", F.lit("/")), F.transform(ancestors(F.col("__path")), lambda x: F.concat(F.lit("/"), x))).otherwise(F.array().cast("array<string>"))
+        named = files.withColumn("__name", F.explode(F.concat(F.array(F.concat(F.lit("="), "__path")), above)))
+        wanted = lists.withColumn("__name", F.explode(F.array_compact(F.array(F.concat(F.lit("="), "__exact"), F.concat(F.lit("/"), "__folder")))))
+        also = F.coalesce(F.startswith("__path", F.concat("__folder", F.lit("/"))), F.lit(False))  # an exact path that its own row's folder holds too
+        return _dealt_join(named, wanted, "__name").filter(F.startswith("__name", F.lit("/")) | ~also).select(*keep)
+
+    if not mine or not theirs:
+        return pairs(files, lists).distinct()
+
+    def by_rows(df: DataFrame, keys: list[str], values: list[str]) -> tuple[DataFrame, DataFrame]:
+        """Rows whose keys no other row has, and the rest."""
+        n = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), *(F.min(v).alias(v) for v in values))
+        named = [F.col(k).alias(f"__key{i}") for i, k in enumerate(keys)]
+        same = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"__key{i}")) for i, k in enumerate(keys)))
+        return n.filter("__n = 1").select(*keys, *values), df.join(n.filter("__n > 1").select(*named), same, "left_semi")
+
+    one_file, more_files = by_rows(files, mine, ["__path"])
+    one_list, more_lists = by_rows(lists, theirs, ["__exact", "__folder"])
+    return pairs(one_file, one_list).unionByName(pairs(more_files, lists).unionByName(pairs(one_file, more_lists)).distinct())
 
 
 def facets(df: DataFrame, filters: dict[str, object]) -> DataFrame:

@@ -112,3 +112,25 @@ def test_paths_under_folders(spark):
     assert got == [(1, 2), (1, 5), (2, 5), (3, 1), (3, 5), (4, 3), (6, 4), (7, 2), (7, 5)]
     plan = R.path_join(left, right, "path", "exact", "folder", ["i", "j"])._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_paths_under_a_folder_that_many_lists_name(spark):
+    """Pairs of keys with one row each are not moved to be made distinct; keys with several rows still give each pair once."""
+    files = [(i, f"top/{i % 7}/{i}") for i in range(2300)] + [(5, "top/x/5"), (None, "top/x/none"), (None, "top/y")]
+    lists = [(j, f"top/0/{j}" if j % 2 else None, "top" if j % 3 == 0 else "top/0" if j % 3 == 1 else None) for j in range(3200)] + [(3, "top/3/3", "top/3"), (None, None, "top/x")]
+    left, right = spark.createDataFrame(files, "i int, path string"), spark.createDataFrame(lists, "j int, exact string, folder string")
+    got = R.path_join(left, right, "path", "exact", "folder", ["i", "j"])
+    counts = got.groupBy("i").count().collect()
+    known = {}
+    for j, exact, folder in lists:
+        for name in (exact and "=" + exact, folder and "/" + folder):
+            known.setdefault(name, set()).add(j)
+    want = {}
+    for i, path in files:
+        parts = path.split("/")
+        names = ["=" + path, *("/" + "/".join(parts[:n]) for n in range(1, len(parts)))]
+        want.setdefault(i, set()).update(*(known.get(n, ()) for n in names))
+    assert sorted(map(tuple, counts), key=str) == sorted(((i, len(js)) for i, js in want.items() if js), key=str)
+    some = [0, 5, 7, 700]
+    assert {i: sorted(r.j for r in got.filter(F.col("i") == i).select("j").collect() if r.j is not None) for i in some} == {i: sorted(j for j in want[i] if j is not None) for i in some}
+    assert got._jdf.queryExecution().optimizedPlan().toString().startswith("Union")
