@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from ..functions import names, ocr
 from ..functions.questions import with_question
 from . import bank as B
-from .relational import gaps, occurrence_keys
 from .rules import severity_rank
 
 # How Markdown and HTML refer to images.
@@ -60,16 +59,18 @@ def parsed_candidates(documents: DataFrame, key: str, markdown: str, answers: st
     )
     parsed = parsed.withColumns({"stem": F.get("__texts", F.lit(0)), "options": F.transform("options", option)}).withColumn("stem_markup", names.markup_payload(F.col("stem")))
     base = F.concat(F.col(key).cast("string"), F.lit(":q"), F.lpad(F.col("number").cast("string"), 3, "0"))
-    keyed = occurrence_keys(parsed.drop("__texts", "__paths"), [key, "number"], ["place"], base)
+    same = Window.partitionBy(key, "number")  # blocks of one document
+    rn = F.row_number().over(same.orderBy("place"))
+    keyed = parsed.drop("__texts", "__paths").withColumns({"__rn": rn, "__same": F.count(F.lit(1)).over(same)})
+    keyed = keyed.withColumn("candidate_key", F.when(F.col("__rn") > 1, F.concat(base, F.lit(":dup"), F.lpad(F.col("__rn").cast("string"), 2, "0"))).otherwise(base)).drop("__rn")
     answered = B.with_answers(keyed, B.answer_rows(complete, [key], answers), [key])
 
     own = B.with_issues(answered)
     code = lambda name, severity, ok: F.when(ok, F.array(F.struct(F.lit(name).alias("issue_code"), F.lit(severity).alias("severity")))).otherwise(F.expr("cast(array() as array<struct<issue_code:string,severity:string>>)"))
-    lacking = gaps(keyed, key, "number")
-    first = keyed.groupBy(key).agg(F.min("place").alias("__first"))
-    about = first.join(lacking, key, "left")
-    whole = own.withColumn("__same", F.count(F.lit(1)).over(Window.partitionBy(key, "number"))).join(about, key, "left")
-    of_document = F.concat(code("duplicate_question_number", "error", F.col("__same") > 1), code("question_number_gap", "warning", (F.col("place") == F.col("__first")) & F.col("missing").isNotNull()))
-    whole = whole.withColumn("issues", F.concat("issues", of_document)).drop("__same", "__first", "missing")
+    lacks = F.max("number") - F.min("number") + 1 > F.count_distinct("number")
+    about = blocks.groupBy(key).agg(F.min("place").alias("__first"), lacks.alias("__lacks"))  # numbers and places alone: blocks are found again, but not taken apart
+    whole = own.join(about, key, "left")
+    of_document = F.concat(code("duplicate_question_number", "error", F.col("__same") > 1), code("question_number_gap", "warning", (F.col("place") == F.col("__first")) & F.col("__lacks")))
+    whole = whole.withColumn("issues", F.concat("issues", of_document)).drop("__same", "__first", "__lacks")
     rank = F.coalesce(F.array_max(F.transform("issues", lambda x: severity_rank(x["severity"]))), F.lit(0))
     return whole.withColumns({"quality_status": F.element_at(F.array(F.lit("pass"), F.lit("needs_review"), F.lit("blocked")), rank + 1), "issue_count": F.size("issues")})

@@ -103,3 +103,13 @@ def test_paper(spark):
     failed = {(r.src, r.issue_code) for r in B.document_failures(docs, question_blocks(docs, "src", "md", F.col("year")), "src", "md", "ans").collect()}
     assert failed == {("s2", "missing_question_markdown"), ("s3", "no_questions_parsed"), ("s4", "missing_answer_markdown")}
     assert parsed_candidates(docs.limit(0), "src", "md", "ans", F.col("year")).collect() == []
+
+
+def test_numbers_that_come_again_need_no_stored_copy(spark):
+    """Repeated and lacking numbers are told from one plan: nothing is written on the way."""
+    docs = spark.createDataFrame([(1, "1. a?\n(A) x\n(B) y\n2. b?\n2. c?\n4. d?", ""), (2, "3. e?\n4. f?", "")], "k int, m string, a string")
+    found = parsed_candidates(docs, "k", "m", "a", F.lit("110"))
+    assert "Relation" not in found._jdf.queryExecution().optimizedPlan().toString().replace("LocalRelation", "").replace("LogicalRDD", "")
+    codes = {r.candidate_key: {x.issue_code for x in r.issues} & {"duplicate_question_number", "question_number_gap"} for r in found.collect()}
+    again = {"duplicate_question_number"}
+    assert codes == {"1:q001": {"question_number_gap"}, "1:q002": again, "1:q002:dup02": again, "1:q004": set(), "2:q003": set(), "2:q004": set()}
