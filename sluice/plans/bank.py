@@ -28,8 +28,8 @@ def _answer_pages(spark, d):
     cells = l.select("l_orderkey", F.struct("l_linenumber", F.concat(F.lit("<td>第"), line, F.lit("題</td>")).alias("head"), F.concat(F.lit("<td> "), F.when(F.col("flag") == "A", "A").when(F.col("flag") == "N", "B").otherwise("#"), F.lit("</td>")).alias("cell"),
         F.when((F.col("flag") == "R") & (F.col("l_linenumber") % 2 == 0), F.concat(F.lit("第"), line, F.lit("題答A或C者均給分"))).alias("note")).alias("x"))
     rows = cells.groupBy("l_orderkey").agg(F.array_sort(F.collect_list("x")).alias("x"))  # the lines of one order
-    joined = lambda f: F.array_join(F.transform("x", f), "")
-    page = F.concat(F.lit("# page\n<table><tr><td>題號</td><td></td>"), joined(lambda x: x["head"]), F.lit("</tr><tr><td>答案</td>"), joined(lambda x: x["cell"]), F.lit("</tr></table>\n"), F.coalesce(joined(lambda x: x["note"]), F.lit("")))
+    joined = lambda name: F.array_join(f"x.{name}", "")
+    page = F.concat(F.lit("# page\n<table><tr><td>題號</td><td></td>"), joined("head"), F.lit("</tr><tr><td>答案</td>"), joined("cell"), F.lit("</tr></table>\n"), F.coalesce(joined("note"), F.lit("")))
     return rows.select("l_orderkey", page.alias("page"))
 
 
@@ -56,9 +56,9 @@ def question_parse(spark, d):
     l = table(spark, d, "lineitem").filter("l_linenumber between 1 and 5").groupBy("l_orderkey", "l_linenumber").agg(F.min("l_partkey").alias("part"))
     option = F.concat(F.lit("\n("), F.substring(F.lit("ABCDE"), F.col("l_linenumber"), F.lit(1)), F.lit(") part "), "part", F.lit(" E. coli"))
     blocks = l.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("l_linenumber", option.alias("o")))).alias("x"))  # the lines of one order
-    body = F.concat(F.lit("第1至9題 order "), "l_orderkey", F.array_join(F.transform("x", lambda x: x["o"]), ""))
-    q = blocks.select("l_orderkey", Q.question(F.lit(5), body).alias("q"))
-    return q.select("l_orderkey", F.col("q.stem").alias("stem"), F.size("q.options").cast("long").alias("n_options"), F.array_join(F.transform("q.options", lambda o: F.concat(o["key"], F.lit("="), o["text"])), ";").alias("options"), F.col("q.group_ref").alias("group_ref"))
+    body = F.concat(F.lit("第1至9題 order "), "l_orderkey", F.array_join("x.o", ""))
+    q = Q.with_question(blocks.select("l_orderkey", F.lit(5).alias("number"), body.alias("body")), "number", "body")
+    return q.select("l_orderkey", "stem", F.size("options").cast("long").alias("n_options"), F.array_join(F.transform("options", lambda o: F.concat(o["key"], F.lit("="), o["text"])), ";").alias("options"), "group_ref")
 
 
 def question_types(spark, d):

@@ -55,3 +55,13 @@ def test_runs(spark):
     assert by[6].question_type == "unknown" and by[6].options == [] and by[6].stem == "no options at all"
     assert by[7].group_ref == "q003-q005" and [o.text for o in by[7].options] == list("abcd")
     assert [o.key for o in by[1].options] == list("ABCD") and by[1].stem == "E. coli grows where?"
+
+
+def test_a_made_body_is_made_once(spark, tmp_path):
+    """question_parse makes each block once, however often its text is looked at."""
+    from sluice import registry
+
+    spark.createDataFrame([(1, 1, 5), (1, 2, 6), (1, 2, 4), (2, 9, 1)], "l_orderkey bigint, l_linenumber int, l_partkey bigint").write.parquet(str(tmp_path / "lineitem.parquet"))
+    found = registry.queries()["question_parse"](spark, str(tmp_path))
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("第1至9題") == 1
+    assert [tuple(r) for r in found.collect()] == [(1, "第1至9題 order 1", 2, "A=part 5 E. coli;B=part 4 E. coli", "q001-q009")]
