@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import names, ocr
-from ..functions.text import correction_notes, question_number, strip_tags
+from ..functions.text import CORRECTION_NOTE
 from .review import ANSWER_CODES
 from .rules import severity_rank
 
@@ -28,36 +30,58 @@ REF = "struct<path:string,exists:boolean,bytes:bigint>"
 # --- answers -------------------------------------------------------------------------------------
 
 
-def answer_pairs(markdown: Column) -> Column:
-    """Array of (number, answer) of all answer tables, in order: the numbers' row beside the answers' row, blank cells left out first."""
+_EITHER = re.I | re.S | re.A
+_TABLE, _ROW, _CELL = re.compile(r"<table.*?>(.*?)</table>", _EITHER), re.compile(r"<tr.*?>(.*?)</tr>", _EITHER), re.compile(r"<td[^>]*>(.*?)</td>", _EITHER)
+_TAG, _BLANKS, _NUMBER = re.compile(r"<[^>]+>"), re.compile(r"[ \t\n\r\f\x0B]+"), re.compile(r"[0-9]{1,3}")
+_NOTE, _LETTER = re.compile(CORRECTION_NOTE, re.A), re.compile(r"[A-E]")
+ANSWER = pa.struct([("__at", pa.int32()), ("number", pa.int32()), ("__raw", pa.string()), ("__noted", pa.list_(pa.string()))])
 
-    def of_rows(rows: Column) -> Column:
-        last = lambda *heads: F.element_at(F.concat(F.array(F.array(F.lit(""))), F.filter(rows, lambda r: F.get(r, F.lit(0)).isin(*heads))), -1)
-        cells = lambda row: ocr.once(row, lambda x: F.filter(F.slice(x, F.lit(2), F.greatest(F.size(x) - 1, F.lit(0))), lambda y: y != ""))
-        both = F.struct(cells(last("題號", "題序")).alias("numbers"), cells(last("答案")).alias("answers"))
-        return ocr.once(both, matched)
 
-    def matched(both: Column) -> Column:
-        n = F.least(F.size(both["numbers"]), F.size(both["answers"]))
-        return F.zip_with(F.slice(both["numbers"], F.lit(1), n), F.slice(both["answers"], F.lit(1), n), lambda x, y: F.struct(question_number(x).alias("number"), y.alias("answer")))
+def page_answers(page: str) -> list[tuple[int, int, str, list[str] | None]]:
+    """(place, number, answer, accepted by a note) of a page's tables, the last of each number; of several notes the last.
 
-    def pairs(body: Column) -> Column:
-        rows = F.transform(F.regexp_extract_all(body, F.lit(r"(?is)<tr.*?>(.*?)</tr>"), F.lit(1)), lambda r: F.transform(F.regexp_extract_all(r, F.lit(r"(?is)<td[^>]*>(.*?)</td>"), F.lit(1)), strip_tags))
-        return ocr.once(rows, of_rows)
-
-    tables = F.regexp_extract_all(markdown, F.lit(r"(?is)<table.*?>(.*?)</table>"), F.lit(1))
-    return F.filter(F.flatten(F.transform(tables, pairs)), lambda p: p["number"].isNotNull())
+    The row of numbers stands beside the row of answers, blank cells left out first; of several such rows of a table the last counts.
+    """
+    found, at = {}, 0
+    for body in _TABLE.findall(page):
+        numbers, answers = [], []
+        for row in _ROW.findall(body):
+            cells = [_BLANKS.sub(" ", _TAG.sub("", c)).strip(" ") for c in _CELL.findall(row)]
+            if cells and cells[0] in ("題號", "題序"):
+                numbers = [c for c in cells[1:] if c != ""]
+            elif cells and cells[0] == "答案":
+                answers = [c for c in cells[1:] if c != ""]
+        for head, answer in zip(numbers, answers):  # noqa: B905  the shorter row counts
+            if number := _NUMBER.search(head):
+                found[int(number[0])] = (at, answer)
+                at += 1
+    notes = {int(n): _LETTER.findall(accepted) for n, accepted in _NOTE.findall(page)} if found else {}
+    return [(place, number, answer, notes.get(number)) for number, (place, answer) in found.items()]
+
+
+def answers_of(markdown: Column) -> Column:
+    """page_answers of each page, in Arrow batches: pages hold so many small cells that expressions on arrays take several times as long."""
+
+    @F.arrow_udf("array<struct<__at:int,number:int,__raw:string,__noted:array<string>>>")
+    def answers(column: pa.Array) -> pa.Array:
+        ends, rows = [0], []
+        for at in range(0, len(column), 128):  # few pages are Python objects at once
+            for page in column.slice(at, 128).to_pylist():
+                rows += page_answers(page) if page else ()
+                ends.append(len(rows))
+        columns = list(zip(*rows, strict=True)) or [()] * len(ANSWER)
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays([pa.array(c, f.type) for c, f in zip(columns, ANSWER, strict=True)], fields=list(ANSWER)))
+
+    return answers(markdown)
 
 
 def answer_rows(df: DataFrame, keys: Sequence[str], markdown: str) -> DataFrame:
     """(keys, number, answer, accepted, raw_answer, special): the last answer of each number; `#` takes what the notes accept."""
-    notes = F.filter(correction_notes(F.col(markdown)), lambda n: F.size(n["accepted"]) > 0)
-    rows = df.select(*keys, notes.alias("__notes"), F.posexplode(answer_pairs(F.col(markdown))).alias("__i", "__p"))
-    last = rows.groupBy(*keys, F.col("__p.number").alias("number")).agg(F.max_by(F.struct(F.col("__p.answer").alias("raw"), "__notes"), "__i").alias("x"))
-    noted = F.element_at(F.concat(F.array(F.lit(None).cast("array<string>")), F.transform(F.filter("x.__notes", lambda n: n["number"] == F.col("number")), lambda n: n["accepted"])), -1)
-    special = (F.col("x.raw") == "#") & noted.isNotNull()
-    accepted = F.when(special, noted).otherwise(F.array("x.raw"))
-    return last.select(*keys, "number", F.array_join(accepted, "|").alias("answer"), accepted.alias("accepted"), F.col("x.raw").alias("raw_answer"), special.alias("special"))
+    rows = df.select(*keys, F.inline(answers_of(F.col(markdown))))
+    last = rows.groupBy(*keys, "number").agg(F.max_by(F.struct("__raw", "__noted"), "__at").alias("x"))
+    special = (F.col("x.__raw") == "#") & F.col("x.__noted").isNotNull()
+    accepted = F.when(special, F.col("x.__noted")).otherwise(F.array("x.__raw"))
+    return last.select(*keys, "number", F.array_join(accepted, "|").alias("answer"), accepted.alias("accepted"), F.col("x.__raw").alias("raw_answer"), special.alias("special"))
 
 
 def with_answers(questions: DataFrame, answers: DataFrame, keys: Sequence[str]) -> DataFrame:

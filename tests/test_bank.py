@@ -115,3 +115,11 @@ def test_corrections_by_presence(spark):
     df = spark.createDataFrame(rows, "id int, c string").withColumns({"stem": F.lit("old"), "answer": F.lit("A"), "image_refs": F.array(F.lit("a"))})
     got = {r.id: (r.stem, r.answer, r.image_refs) for r in B.corrected(df, "c").collect()}
     assert got == {1: ("old", None, ["a", "b"]), 2: ("new", "A", ["a"]), 3: ("old", "A", ["a"]), 4: ("old", "A", ["a"])}
+
+
+def test_answers_of_one_page():
+    """The last pair of a number and the last note of it count, found in one look at the page."""
+    table = lambda numbers, answers: "<table><tr><td>題號</td>" + "".join(f"<td>{n}</td>" for n in numbers) + "</tr>\n<TR a=1><td>答案</td>" + "".join(f"<td>{a}</td>" for a in answers) + "</tr></table>"
+    page = table(["第1題", "x", "2", "3"], ["A", "B", "#", "<b>\tC </b>"]) + table([2, 1], ["#"]) + "第2題答A均給分，第2題答B、C均給分，第9題答D"
+    assert sorted(B.page_answers(page)) == [(0, 1, "A", None), (2, 3, "C", None), (3, 2, "#", ["B", "C"])]
+    assert B.page_answers("第1題答A") == [] and B.page_answers(table([], [])) == []
