@@ -91,3 +91,28 @@ def test_queries(spark):
     full = N.rewriter(N.FULL)
     got = dict(registry.queries()["science_notation"](spark, sf).collect())
     assert got == {i: None if t is None else full(t) for i, t in texts.items()}
+
+
+def test_steps_are_passed_only_where_they_cannot_match():
+    """What a step names as needed is in all that it matches: the same results as without any of it."""
+    words = "Fy a Jk b Anti-C Rh null weak D ( Du ) RHNULL late bfu e BFU E A 1 cells O2 subgroup el B_{end} Gy FC Y receptor dl co DL CO \\mu m $x^{2}$ 10X ^{\\circ}C ° C α β 中 文 g mol mL  \t 5 μ / dL CO2 pO₂ H_{2}O → ， - （ ） } ^ ~ mmHg FEV ₁ % R₄S Se w1 ſ K null".split(" ")
+    rng = random.Random(3)
+    texts = [rng.choice([" ", "", " "]).join(rng.choice(words) for _ in range(rng.randint(1, 8))) for _ in range(3000)]
+    for steps in (N.FULL, N.CANDIDATE):
+        gated, plain = N.rewriter(steps), N.rewriter(tuple(s._replace(needs=()) for s in steps))
+        assert [gated(t) for t in texts] == [plain(t) for t in texts]
+
+
+def test_texts_are_python_objects_a_few_at_a_time(monkeypatch):
+    """A batch of long texts is not whole as Python objects, and the results that are remembered are bounded."""
+    import pyarrow as pa
+
+    seen, real = [], pa.array
+    monkeypatch.setattr(N.pa, "array", lambda x, kind: seen.append(len(x)) or real(x, kind))
+    column = pa.chunked_array([real(["x  y", None] * 500)]).combine_chunks()
+    out = N._by_rows(column, pa.string(), N._remembered(N.rewriter(N.FULL)))
+    assert out.to_pylist() == ["x y", None] * 500 and max(seen) <= N.ROWS
+    one = N._remembered(str.upper)
+    assert [one(f"x{i}") for i in range(N.KNOWN + 5)][-1] == f"X{N.KNOWN + 4}" and one("y" * 5000) == "Y" * 5000
+    known = next(c.cell_contents for c in one.__closure__ if isinstance(c.cell_contents, dict))
+    assert len(known) <= N.KNOWN and "y" * 5000 not in known
