@@ -15,7 +15,10 @@ of FAN.
 
 Scoring lays each text's ids out in rows of STRIDE. The queries of a row see the keys of their own row
 and of the one before it, masked to what comes earlier in the same text: windows of 2 * STRIDE overlap by half,
-and each token is scored once, in batched matrix products.
+and each token is scored once, in batched matrix products. Only queries that predict a token are softened and weighed.
+
+Texts are cut into ids once; counting, learning and scoring read the stored ids, two bytes each. Only the first
+id of a word begins with a blank, so ids alone tell words apart.
 
 Word counts are joined with what needs them by blocks of documents: rows are dealt to blocks of bounded bytes
 by their hash, each block's distinct words are counted once, summed over blocks, and sent back to the block.
@@ -36,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import LOWER_VALUE, Prefix, Scratch, chunks, release, stored, table, words
+from .common import LOWER_VALUE, Prefix, Scratch, chunks, mix, release, stored, table, words
 
 NAME = "op6_lm_scoring"
 SIZE = 16
@@ -50,8 +53,12 @@ BLOCK_BYTES = 8 << 20
 END = 50256
 VOCABULARY = 50257
 LOG10 = float(np.log(10.0))
+KNOWN, KNOWN_BYTES = 1 << 17, 32  # words whose ids a worker remembers, and about the longest of them
+SAFE = 60.0  # exp of what is no further from 0, and sums of it, are normal float32 numbers
 
 _encoders: dict[str, object] = {}
+_known: dict[str, dict[bytes, bytes]] = {}
+_begins: dict[str, np.ndarray] = {}
 
 
 def default_vocabulary() -> str:
@@ -61,13 +68,45 @@ def default_vocabulary() -> str:
 
 
 def encoder(path: str):
-    """Subword ids of one word, by merge ranks alone."""
+    """Subword ids by merge ranks alone: of one word, and of a text of words with a blank before each."""
     if path not in _encoders:
         import tiktoken
 
         ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in open(path, "rb") if line.strip())}
-        _encoders[path] = tiktoken.Encoding("words", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})
-    return _encoders[path].encode_single_token, _encoders[path]._core_bpe.encode_single_piece
+        _encoders[path] = tiktoken.Encoding("words", pat_str=" [^ ]+", mergeable_ranks=ranks, special_tokens={})
+    return _encoders[path]._core_bpe.encode_single_piece, _encoders[path].encode_to_numpy
+
+
+def cut(found: list[bytes], path: str) -> list[bytes]:
+    """The ids of each of these words, two bytes an id."""
+    known = _known.setdefault(path, {})
+    out = list(map(known.get, found))
+    new = [i for i, ids in enumerate(out) if ids is None]
+    if not new:
+        return out
+    piece, together = encoder(path)
+    text = b" " + b" ".join([found[i] for i in new])
+    try:
+        ids = together(text.decode(), disallowed_special=())
+    except UnicodeDecodeError:  # bytes that are not UTF-8
+        ids = np.array([x for i in new for x in piece(b" " + found[i])], np.uint32)
+    at = (2 * np.append(np.flatnonzero(begins(path)[ids]), len(ids))).tolist()
+    ids = ids.astype(np.uint16).tobytes()
+    for i, a, b in zip(new, at[:-1], at[1:], strict=True):
+        out[i] = ids[a:b]
+    if len(known) < KNOWN:
+        known.update({found[i]: out[i] for i in new if len(found[i]) <= KNOWN_BYTES})
+    return out
+
+
+def begins(path: str) -> np.ndarray:
+    """Which ids begin a token: those that begin with a blank, which no other place of a word can hold, and END."""
+    if path not in _begins:
+        out = np.zeros(1 << 16, bool)
+        out[[int(b) for a, b in (line.split() for line in open(path, "rb") if line.strip()) if base64.b64decode(a)[:1] == b" "]] = True
+        out[END] = True
+        _begins[path] = out
+    return _begins[path]
 
 
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
@@ -76,21 +115,14 @@ LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 class Block:
     """The words of some texts: distinct ones with their hashes and ids, and the sequence of them."""
 
-    def __init__(self, buf: np.ndarray, offsets: np.ndarray, path: str, with_ids: bool = True):
+    def __init__(self, buf: np.ndarray, offsets: np.ndarray, path: str):
         starts, ends, self.firsts = words(buf, offsets)
         hashes = Prefix(buf, LOWER_VALUE).of(starts, ends)
         self.hashes, place, self.of = np.unique(hashes, return_index=True, return_inverse=True)
-        if not with_ids:
-            return
         raw = buf.tobytes().translate(LOWER)
-        _, piece = encoder(path)
-        ids, lengths = [], np.zeros(len(place), np.int64)
-        for k, (a, b) in enumerate(zip(starts[place].tolist(), ends[place].tolist(), strict=True)):
-            got = piece(b" " + raw[a:b])
-            ids += got
-            lengths[k] = len(got)
-        self.ids = np.array(ids, np.int32)
-        self.begin = np.concatenate([[0], np.cumsum(lengths)])
+        ids = cut([raw[a:b] for a, b in zip(starts[place].tolist(), ends[place].tolist(), strict=True)], path)
+        self.ids = np.frombuffer(b"".join(ids), np.uint16).astype(np.int32)
+        self.begin = np.concatenate([[0], np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)) // 2)])
 
     def sequence(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The ids of all texts, each ending with END, which of them begin a token, and each text's first (and one past)."""
@@ -110,6 +142,29 @@ class Block:
         return out, starts, first
 
 
+#: A random-looking 64-bit value for every id.
+ID_VALUE = mix(np.arange(1, (1 << 16) + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+
+
+class Coded:
+    """Texts as the stored ids of `coded`, of which words are told apart by hashes of their ids."""
+
+    def __init__(self, buf: np.ndarray, offsets: np.ndarray, path: str):
+        self.ids, self.first = buf.view(np.uint16).astype(np.int32), offsets // 2
+        self.starts = begins(path)[self.ids]
+
+    def sequence(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        return self.ids, self.starts, self.first
+
+    def words(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The hash, the first id and the text of every word."""
+        at = np.flatnonzero(self.starts)
+        ends = np.append(at[1:], len(self.ids))
+        real = self.ids[at] != END
+        at, ends = at[real], ends[real]
+        return Prefix(self.ids, ID_VALUE).of(at, ends), self.ids[at], np.searchsorted(self.first, at, "right") - 1
+
+
 def blocked(inputs: np.ndarray, goals: np.ndarray, first: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Inputs and goals (-1: none) in rows of STRIDE, each place after its input, which rows begin a text, and each row's text."""
     size = np.diff(first)
@@ -134,6 +189,17 @@ def mask() -> np.ndarray:
     return np.where((k <= q) & (k > q - STRIDE), 0.0, -np.inf).astype(np.float32)
 
 
+#: How far back each key of a row lies from each query, within 0 to STRIDE - 1.
+BACK = np.clip(np.arange(STRIDE)[:, None] + STRIDE - np.arange(2 * STRIDE)[None, :], 0, STRIDE - 1).ravel()
+
+
+def lower(x: np.ndarray) -> np.ndarray:
+    """x itself, less the greatest value of each row where exp could leave the range of its numbers."""
+    if x.size and not (x.max() < SAFE and x.min() > -SAFE):
+        x -= x.max(-1, keepdims=True)
+    return x
+
+
 def dealt_by_count(counts: np.ndarray, n: int, shared: int) -> np.ndarray:
     """A number below n for each id: the most frequent have one of their own, the others the last `shared`."""
     own = np.argsort(-counts, kind="stable")[: n - shared]
@@ -168,71 +234,105 @@ class Model:
         known = np.log(1 - self.unknown) + np.log(np.maximum(times, 1)) - np.log(np.maximum(mass, 1))
         return np.where(times > 0, known, np.where(mass > 0, np.log(self.unknown), 0.0))
 
-    def inputs(self, part: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    def inputs(self, part: Block | Coded) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         ids, starts, first = part.sequence()
         return blocked(self.cell[ids], np.where(starts, self.classes[ids], -1), first, int(self.cell[END]))
 
     def bias(self) -> np.ndarray:
-        q, k = np.arange(STRIDE)[:, None], np.arange(2 * STRIDE)[None, :] - STRIDE
-        return mask() + self.p["near"][np.clip(q - k, 0, STRIDE - 1)]
-
-    def attended(self, q: np.ndarray, k: np.ndarray, v: np.ndarray, fresh: np.ndarray, bias: np.ndarray) -> tuple[np.ndarray, ...]:
-        prior = lambda z: np.concatenate([np.concatenate([np.zeros_like(z[:1]), z[:-1]]), z], axis=1)
-        keys, values = prior(k), prior(v)
-        s = np.matmul(q, keys.transpose(0, 2, 1))
-        s += bias
-        s[fresh, :, :STRIDE] = -np.inf
-        s -= s.max(-1, keepdims=True)
-        np.exp(s, out=s)
-        s /= s.sum(-1, keepdims=True)
-        return np.matmul(s, values), keys, values, s
+        """What is added to the score of each key (-inf: not seen), for the queries of rows after another and of rows that begin a text."""
+        after = mask() + self.p["near"][BACK].reshape(STRIDE, 2 * STRIDE)
+        begin = after.copy()
+        begin[:, :STRIDE] = -np.inf
+        return np.concatenate([after, begin])
+
+    def attended(self, qkv: np.ndarray, fresh: np.ndarray, at: np.ndarray, bias: np.ndarray) -> tuple[np.ndarray, ...]:
+        """For the queries at the flat places `at`: what they attend to and their weights; keys and values; all weights by row."""
+        rows = len(qkv)
+        both = np.empty((rows, 2 * STRIDE, 2 * SIZE), qkv.dtype)
+        both[0, :STRIDE] = 0
+        both[1:, :STRIDE] = qkv[:-1, :, SIZE:]
+        both[:, STRIDE:] = qkv[:, :, SIZE:]
+        keys, values = both[..., :SIZE], both[..., SIZE:]
+        w = np.matmul(qkv[..., :SIZE], keys.transpose(0, 2, 1)).reshape(-1, 2 * STRIDE).take(at, 0)
+        places = at % STRIDE + STRIDE * fresh[at // STRIDE]
+        if w.size and w.max() < SAFE and w.min() > -SAFE and np.abs(self.p["near"]).max() < SAFE / 4:
+            np.exp(w, out=w)
+            w *= np.exp(bias).take(places, 0)
+        else:
+            w += bias.take(places, 0)
+            w -= w.max(-1, keepdims=True)
+            np.exp(w, out=w)
+        w *= (1 / (w @ np.ones(2 * STRIDE, w.dtype)))[:, None]
+        dense = np.zeros((rows, STRIDE, 2 * STRIDE), w.dtype)
+        dense.reshape(-1, 2 * STRIDE)[at] = w
+        return np.matmul(dense, values).reshape(-1, SIZE).take(at, 0), w, keys, values, dense
 
     def tables(self) -> dict:
         """What depends on one id alone, for every embedding."""
         p = self.p
-        return {"q": p["e"] @ p["q"], "k": p["e"] @ p["k"], "v": p["e"] @ p["v"], "own": p["e"] @ p["u"][:SIZE] + p["c"], "bias": self.bias()}
+        return {"qkv": p["e"] @ np.concatenate([p["q"], p["k"], p["v"]], 1), "own": p["e"] @ p["u"][:SIZE] + p["c"], "bias": self.bias()}
 
     def gradients(self, before: np.ndarray, goal: np.ndarray, fresh: np.ndarray) -> tuple[float, dict]:
-        p = self.p
-        x = p["e"][before]
-        q = x @ p["q"]
-        h, keys, values, attention = self.attended(q, x @ p["k"], x @ p["v"], fresh, self.bias())
-        real = goal >= 0
-        both = np.concatenate([x, h], -1)[real]
-        logits = both @ p["u"] + p["c"]
-        logits -= logits.max(-1, keepdims=True)
-        d = np.exp(logits)
-        d /= d.sum(-1, keepdims=True)
-        n, line = max(1, len(d)), np.arange(len(d))
-        loss = -np.log(np.maximum(d[line, goal[real]], 1e-20)).sum() / n
-        d[line, goal[real]] -= 1
-        d /= n
-        g = {"u": both.T @ d, "c": d.sum(0)}
-        db = np.zeros((*before.shape, 2 * SIZE), d.dtype)
-        db[real] = d @ p["u"].T
-        dx, dh = db[..., :SIZE], db[..., SIZE:]
-        da = np.matmul(dh, values.transpose(0, 2, 1))
+        p, rows = self.p, len(before)
+        weights = np.concatenate([p["q"], p["k"], p["v"]], 1)
+        flat = p["e"].take(before.ravel(), 0)
+        qkv = (flat @ weights).reshape(rows, STRIDE, 3 * SIZE)
+        at = np.flatnonzero(goal.ravel() >= 0)
+        goal, n, line = goal.ravel()[at], max(1, len(at)), np.arange(len(at))
+        h, w, keys, values, attention = self.attended(qkv, fresh, at, self.bias())
+        both = np.concatenate([flat.take(at, 0), h], 1)
+        d = both @ p["u"]
+        d += p["c"]
+        np.exp(lower(d), out=d)
+        picked = d[line, goal]
+        total = d @ np.ones(CLASSES, d.dtype)
+        loss = -np.log(np.maximum(picked / total, 1e-20)).sum() / n
+        d *= (1 / (n * total))[:, None]
+        d[line, goal] -= 1 / n
+        g = {"u": both.T @ d, "c": np.ones(len(d), d.dtype) @ d}
+        db = d @ p["u"].T
+        dh = np.zeros((rows, STRIDE, SIZE), d.dtype)
+        dh.reshape(-1, SIZE)[at] = db[:, SIZE:]
+        ds = np.matmul(dh, values.transpose(0, 2, 1)).reshape(-1, 2 * STRIDE).take(at, 0)
         dv = np.matmul(attention.transpose(0, 2, 1), dh)
-        ds = attention * (da - (da * attention).sum(-1, keepdims=True))
-        dq, dk = np.matmul(ds, keys), np.matmul(ds.transpose(0, 2, 1), q)
-        at, to = np.arange(STRIDE)[:, None], np.arange(2 * STRIDE)[None, :] - STRIDE
-        g["near"] = np.bincount(np.clip(at - to, 0, STRIDE - 1).ravel(), weights=ds.sum(0).ravel(), minlength=STRIDE).astype(np.float32)
-
-        def back(z: np.ndarray) -> np.ndarray:  # undo `prior`
-            out = z[:, STRIDE:].copy()
-            out[:-1] += z[1:, :STRIDE]
-            return out
-
-        flat = x.reshape(-1, SIZE)
-        for name, dz in (("q", dq), ("k", back(dk)), ("v", back(dv))):
-            g[name] = flat.T @ dz.reshape(-1, SIZE)
-            dx = dx + dz @ p[name].T
-        g["e"] = (before.ravel(), dx.reshape(-1, SIZE))
+        ds -= ((ds * w) @ np.ones(2 * STRIDE, d.dtype))[:, None]
+        ds *= w
+        attention.reshape(-1, 2 * STRIDE)[at] = ds
+        dk = np.matmul(attention.transpose(0, 2, 1), qkv[..., :SIZE])
+        g["near"] = np.bincount(BACK, weights=np.ones(rows, d.dtype) @ attention.reshape(rows, -1), minlength=STRIDE).astype(np.float32)
+        dqkv = np.empty((rows, STRIDE, 3 * SIZE), d.dtype)
+        dqkv[..., :SIZE] = np.matmul(attention, keys)
+        dk[:-1, STRIDE:] += dk[1:, :STRIDE]
+        dv[:-1, STRIDE:] += dv[1:, :STRIDE]
+        dqkv[..., SIZE : 2 * SIZE], dqkv[..., 2 * SIZE :] = dk[:, STRIDE:], dv[:, STRIDE:]
+        dqkv = dqkv.reshape(-1, 3 * SIZE)
+        g["q"], g["k"], g["v"] = np.split(flat.T @ dqkv, 3, axis=1)
+        dx = dqkv @ weights.T
+        dx[at] += db[:, :SIZE]
+        g["e"] = (before.ravel(), dx)
         return float(loss), g
 
     def train(self, before: np.ndarray, goal: np.ndarray, fresh: np.ndarray, rng: np.random.Generator, rate: float = 0.02, batch: int = BATCH) -> list[float]:
         """Once through all rows, in batches of neighbouring rows."""
-        moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in self.p.items()}
+        names = [k for k in self.p if k != "e"]
+        e, rest = self.p["e"], np.concatenate([self.p[k].ravel() for k in names])
+        ends = np.cumsum([self.p[k].size for k in names])
+        self.p |= {k: x.reshape(self.p[k].shape) for k, x in zip(names, np.split(rest, ends[:-1]), strict=True)}  # views of rest
+        a, b, ea, eb = np.zeros_like(rest), np.zeros_like(rest), np.zeros_like(e), np.zeros_like(e)
+
+        def step(a: np.ndarray, b: np.ndarray, grad: np.ndarray, size: float) -> np.ndarray:
+            a *= 0.9
+            a += 0.1 * grad
+            b *= 0.98
+            grad *= grad
+            grad *= 0.02
+            b += grad
+            np.sqrt(b, out=grad)
+            grad += 1e-6
+            np.divide(a, grad, out=grad)
+            grad *= size
+            return grad
+
         losses = []
         for t, at in enumerate(rng.permutation(np.arange(0, len(before), batch)), 1):
             rows = slice(at, at + batch)
@@ -240,41 +340,41 @@ class Model:
             cut[0] = True
             loss, g = self.gradients(before[rows], goal[rows], cut)
             losses.append(loss)
-            for k, x in self.p.items():
-                a, b = moments[k]
-                if k == "e":
-                    some, back = np.unique(g["e"][0], return_inverse=True)
-                    grad = np.zeros((len(some), SIZE), np.float32)
-                    np.add.at(grad, back, g["e"][1])
-                else:
-                    some, grad = slice(None), g[k]
-                a[some] = 0.9 * a[some] + 0.1 * grad
-                b[some] = 0.98 * b[some] + 0.02 * grad * grad
-                x[some] -= rate * min(1.0, t / 20) * a[some] / (np.sqrt(b[some]) + 1e-6)
+            size = rate * min(1.0, t / 20)
+            rest -= step(a, b, np.concatenate([g[k].ravel() for k in names]), size)
+            cells = g["e"][0].astype(np.uint16)
+            order = np.argsort(cells, kind="stable")
+            cells = cells[order]
+            firsts = np.flatnonzero(np.append(True, cells[1:] != cells[:-1]))
+            some = cells[firsts].astype(np.int64)
+            sa, sb = ea.take(some, 0), eb.take(some, 0)
+            down = step(sa, sb, np.add.reduceat(g["e"][1].take(order, 0), firsts, axis=0), size)
+            ea[some], eb[some] = sa, sb
+            e[some] -= down
         return losses
 
-    def class_scores(self, part: Block, tables: dict, most: int = 512) -> np.ndarray:
+    def class_scores(self, part: Block | Coded, tables: dict, most: int = 512) -> np.ndarray:
         """For each text, the sum over its tokens of log P(class | ids before)."""
         before, goal, fresh, text = self.inputs(part)
-        out = np.zeros(len(part.firsts) - 1)
-        for at in range(0, len(before), most):
-            a = max(0, at - 1)  # the row before, for its keys
-            rows = slice(a, at + most)
+        out = np.zeros(text[-1] + 1 if len(text) else 0)  # each text has its end
+        for first in range(0, len(before), most):
+            a = max(0, first - 1)  # the row before, for its keys
+            rows = slice(a, first + most)
             start = fresh[rows].copy()
             start[0] = True
-            if at > a and not fresh[at]:
+            if first > a and not fresh[first]:
                 start[1] = False
-            seen = before[rows]
-            h = self.attended(tables["q"][seen], tables["k"][seen], tables["v"][seen], start, tables["bias"])[0][at - a :]
-            now = goal[at : at + most]
-            real = now >= 0
-            logits = h[real] @ self.p["u"][SIZE:]
-            logits += tables["own"][seen[at - a :][real]]
-            logits -= logits.max(-1, keepdims=True)
-            picked = logits[np.arange(len(logits)), now[real]]
+            seen, now = before[rows].ravel(), goal[rows].ravel()
+            at = np.flatnonzero(now >= 0)
+            at = at[at >= (first - a) * STRIDE]
+            h = self.attended(tables["qkv"].take(seen, 0).reshape(-1, STRIDE, 3 * SIZE), start, at, tables["bias"])[0]
+            logits = h @ self.p["u"][SIZE:]
+            logits += tables["own"].take(seen[at], 0)
+            lower(logits)
+            picked = logits[np.arange(len(at)), now[at]]
             np.exp(logits, out=logits)
-            said = picked.astype(np.float64) - np.log(logits.sum(-1))
-            out += np.bincount(np.repeat(text[at : at + most], real.sum(1)), weights=said, minlength=len(out))
+            said = picked.astype(np.float64) - np.log(logits @ np.ones(CLASSES, logits.dtype))
+            out += np.bincount(text[a + at // STRIDE], weights=said, minlength=len(out))
         return out
 
 
@@ -283,11 +383,28 @@ def is_training(key: Column) -> Column:
 
 
 def dealt(docs: DataFrame) -> tuple[DataFrame, int]:
-    """doc_id, text, training and block: rows dealt by hash to blocks of about BLOCK_BYTES; and the number of blocks."""
+    """doc_id, text, training, turn and block: rows dealt by hash to blocks of about BLOCK_BYTES; and the number of blocks."""
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(1, -(-total // BLOCK_BYTES))
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), is_training(F.col("doc_id")).alias("training"))
-    return rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).cast("int")), n
+    turn = F.pmod(F.xxhash64("doc_id", "text", F.lit(3)), F.lit(ROUNDS)).cast("int")
+    return rows.withColumns({"turn": turn, "block": F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).cast("int")}), n
+
+
+def coded(rows: DataFrame, path: str) -> DataFrame:
+    """Rows of `dealt` with the ids of each text, two bytes each, in place of the text."""
+    kind = rows.schema["doc_id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, b, buf, offsets in chunks(batch.column(4)):
+                ids, _, first = Block(buf, offsets, path).sequence()
+                column = pa.Array.from_buffers(pa.large_binary(), b - a, [None, pa.py_buffer(2 * first), pa.py_buffer(ids.astype(np.uint16))])
+                if 2 * first[-1] < 1 << 31:
+                    column = column.cast(pa.binary())
+                yield pa.RecordBatch.from_arrays([*(c.slice(a, b - a) for c in batch.columns[:4]), column], ["doc_id", "training", "turn", "block", "ids"])
+
+    return rows.select("doc_id", "training", "turn", "block", "text").mapInArrow(run, f"doc_id {kind}, training boolean, turn int, block int, ids binary")
 
 
 def block_words(rows: DataFrame, path: str) -> DataFrame:
@@ -297,16 +414,16 @@ def block_words(rows: DataFrame, path: str) -> DataFrame:
         block = frame.column("block")[0].as_py()
         learn = frame.column("training").to_numpy()
         h, n, ids, firsts = [], [], np.zeros(VOCABULARY, np.int64), np.zeros(VOCABULARY, np.int64)
-        for a, b, buf, offsets in chunks(frame.column("text")):
-            part = Block(buf, offsets, path)
-            owner = np.repeat(np.arange(b - a), np.diff(part.firsts))
-            times = np.bincount(part.of, weights=learn[a:b][owner], minlength=len(part.hashes)).astype(np.int64)
-            h.append(part.hashes)
-            n.append(times)
-            ids += np.bincount(part.ids, weights=np.repeat(times, np.diff(part.begin)), minlength=VOCABULARY).astype(np.int64)
-            firsts += np.bincount(part.ids[part.begin[:-1]], weights=times, minlength=VOCABULARY).astype(np.int64)
-            for counts in (ids, firsts):
-                counts[END] += int(learn[a:b].sum())
+        for a, b, buf, offsets in chunks(frame.column("ids")):
+            part = Coded(buf, offsets, path)
+            hashes, lead, owner = part.words()
+            mine = learn[a:b]
+            ids += np.bincount(part.ids[np.repeat(mine, np.diff(part.first))], minlength=VOCABULARY)
+            firsts += np.bincount(lead[mine[owner]], minlength=VOCABULARY)
+            firsts[END] += int(mine.sum())
+            found, of = np.unique(hashes, return_inverse=True)
+            h.append(found)
+            n.append(np.bincount(of, weights=mine[owner], minlength=len(found)).astype(np.int64))
         words_, back = np.unique(np.concatenate(h), return_inverse=True)
         times = np.bincount(back, weights=np.concatenate(n), minlength=len(words_)).astype(np.int64)
         some, lead = np.flatnonzero(ids), np.flatnonzero(firsts)
@@ -333,28 +450,28 @@ def average(found: DataFrame, n: int, work: Scratch) -> np.ndarray:
     return None if got is None else np.array(got.p, np.float32)
 
 
-def fit(model: Model, training: DataFrame, blocks: int, path: str, work: Scratch, rounds: int = ROUNDS) -> Model:
-    """The attention parameters, from all training rows (doc_id, text, block), each in one of the rounds."""
+def fit(model: Model, training: DataFrame, blocks: int, path: str, work: Scratch) -> Model:
+    """The attention parameters, from all training rows (doc_id, turn, block, ids), each in the round of its turn."""
     spark = training.sparkSession
-    rows = training.select("block", "doc_id", "text", F.pmod(F.xxhash64("doc_id", "text", F.lit(3)), F.lit(rounds)).alias("round"))
+    rows = training.select("block", "doc_id", "ids", "turn")
 
     def learner(turn: int, shared):
         def learn(frame: pa.Table) -> pa.Table:
             mine = copy.deepcopy(shared.value)
             block = frame.column("block")[0].as_py()
-            frame = frame.sort_by([("doc_id", "ascending"), ("text", "ascending")])  # alike in every run
+            frame = frame.sort_by([("doc_id", "ascending"), ("ids", "ascending")])  # alike in every run
             weight, rng = 0, np.random.default_rng([turn, block])
-            for _, _, buf, offsets in chunks(frame.column("text")):
-                before, goal, fresh, _ = mine.inputs(Block(buf, offsets, path))
+            for _, _, buf, offsets in chunks(frame.column("ids")):
+                before, goal, fresh, _ = mine.inputs(Coded(buf, offsets, path))
                 mine.train(before, goal, fresh, rng, 0.02 / (1 + turn))
                 weight += int((goal >= 0).sum())
             return pa.table({"learner": pa.array([block], pa.int64()), "weight": pa.array([float(weight)]), "p": pa.array([mine.flat()], pa.list_(pa.float32()))})
 
         return learn
 
-    for turn in range(rounds):
+    for turn in range(ROUNDS):
         learn = learner(turn, spark.sparkContext.broadcast(model))  # its size is fixed
-        found = work.stored(rows.filter(F.col("round") == turn).drop("round").groupBy("block").applyInArrow(learn, "learner long, weight double, p array<float>"))
+        found = work.stored(rows.filter(F.col("turn") == turn).drop("turn").groupBy("block").applyInArrow(learn, "learner long, weight double, p array<float>"))
         got = average(found, blocks, work)
         if got is not None:
             model.set_flat(got)
@@ -370,6 +487,7 @@ def score(docs: DataFrame, path: str | None = None) -> DataFrame:
 def _score(docs: DataFrame, path: str, work: Scratch) -> DataFrame:
     spark = docs.sparkSession
     rows, blocks = dealt(docs)
+    rows = work.stored(coded(rows, path))
     counted = work.stored(block_words(rows, path))
     release(spark)
     ids, firsts = np.zeros(VOCABULARY, np.int64), np.zeros(VOCABULARY, np.int64)
@@ -394,25 +512,24 @@ def _score(docs: DataFrame, path: str, work: Scratch) -> DataFrame:
         order = np.argsort(right.column("h").to_numpy())
         h, c = right.column("h").to_numpy()[order], right.column("c").to_numpy()[order]
         out = {k: [] for k in names[2:]}
-        for a, b, buf, offsets in chunks(left.column("text")):
-            part = Block(buf, offsets, path)
-            mine = part.hashes.view(np.int64)
-            at = np.minimum(np.searchsorted(h, mine), max(0, len(h) - 1))
-            times = np.where(h[at] == mine, c[at], 0) if len(h) else np.zeros(len(mine), np.int64)
-            owner = np.repeat(np.arange(b - a), np.diff(part.firsts))
-            each = times[part.of]
+        for a, b, buf, offsets in chunks(left.column("ids")):
+            part = Coded(buf, offsets, path)
+            hashes, lead, owner = part.words()
+            found, of = np.unique(hashes.view(np.int64), return_inverse=True)
+            at = np.minimum(np.searchsorted(h, found), max(0, len(h) - 1))
+            times = np.where(h[at] == found, c[at], 0) if len(h) else np.zeros(len(found), np.int64)
+            each = times[of]
             floor = total + 0.5 * (distinct + 1)
             summed = lambda x, owner=owner, n=b - a: np.bincount(owner, weights=x, minlength=n)
-            out["n_tokens"].append(np.diff(part.firsts) + 1)
+            out["n_tokens"].append(np.bincount(owner, minlength=b - a) + 1)
             out["n_known"].append(summed(each > 0).astype(np.int64) + (end > 0))
             out["train_tokens"].append(np.full(b - a, total))
-            out["base_score"].append(summed(np.log10((times + 0.5) / floor)[part.of]) + np.log10((end + 0.5) / floor))
-            inner = model.within(model.classes[part.ids[part.begin[:-1]]], times)[part.of]
+            out["base_score"].append(summed(np.log10((times + 0.5) / floor)[of]) + np.log10((end + 0.5) / floor))
             last = float(model.within(model.classes[[END]], np.array([end]))[0])
-            out["score"].append((model.class_scores(part, tables) + summed(inner) + last) / LOG10)
+            out["score"].append((model.class_scores(part, tables) + summed(model.within(model.classes[lead], each)) + last) / LOG10)
         return pa.table({"doc_id": left.column("doc_id"), "training": left.column("training"), **{k: pa.array(np.concatenate(v) if v else np.zeros(0)) for k, v in out.items()}})
 
-    left = rows.groupBy("block")
+    left = rows.select("block", "doc_id", "training", "ids").groupBy("block")
     return left.cogroup(counts.groupBy("block")).applyInArrow(run, f"doc_id {kind}, training boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 

@@ -125,3 +125,24 @@ def test_rows(spark):
         assert math.isclose(r.base_score, want[r.doc_id][4], rel_tol=1e-9)
         assert r.score < 0 and math.isfinite(r.score)
     assert lm.score(docs.limit(0)).collect() == []
+
+
+def test_texts_are_cut_once(spark):
+    """What is counted, learned and scored comes from the stored ids alone."""
+    texts = ["THE the\vThe", "", None, "é ÉA\x0cB\tc 日本 語", "  a  b ", "x" * 300 + " y", "no\xa0break"]
+    rows, _ = lm.dealt(spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string"))
+    frame = lm.coded(rows, PATH).orderBy("doc_id").toArrow()
+    assert "text" not in frame.column_names and frame.column("doc_id").to_pylist() == list(range(len(texts)))
+    coded = [lm.Coded(buf, offsets, PATH) for _, _, buf, offsets in chunks(frame.column("ids"))][0]
+    part = part_of(texts)
+    assert all((a == b).all() for a, b in zip(coded.sequence(), part.sequence(), strict=True))
+    hashes, lead, owner = coded.words()
+    assert len(set(hashes.tolist())) == len(part.hashes) and (np.bincount(owner, minlength=len(texts)) == np.diff(part.firsts)).all()
+    assert len(set(zip(hashes.tolist(), part.of.tolist(), strict=True))) == len(part.hashes)
+    assert (lead == part.ids[part.begin[:-1]][part.of]).all()
+
+
+def test_bytes_that_are_not_utf8_are_cut_alike():
+    found = [b"ab", b"\xff\xfe", b"unbelievable", b"ab"]
+    piece, _ = lm.encoder(PATH)
+    assert lm.cut(found, PATH) == [np.array(piece(b" " + w), np.uint16).tobytes() for w in found]
