@@ -130,6 +130,13 @@ class Prefix:
     def of(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         return mix((self.sums[ends] - self.sums[starts]) * self.down[starts] + (ends - starts).astype(np.uint64) * _BASE)
 
+    def runs(self, width: int) -> np.ndarray:
+        """The hashes of all runs of `width` bytes."""
+        out = self.sums[width:] - self.sums[: len(self.sums) - width]
+        out *= self.down[: len(out)]
+        out += np.uint64(width) * _BASE
+        return mix(out)
+
 
 # --- texts as bytes --------------------------------------------------------------------------
 

@@ -54,8 +54,7 @@ def anchors(buf: np.ndarray, offsets: np.ndarray, length: int, q: int) -> tuple[
     if n < length:
         return none, none, none, none, none, none
     prefix = Prefix(buf)
-    places = np.arange(n - q + 1)
-    grams = prefix.of(places, places + q) | np.uint64(1)  # 0 marks windows that leave their text
+    grams = prefix.runs(q) | np.uint64(1)  # 0 marks windows that leave their text
     least = sliding(grams, width, np.minimum)
     owner = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
     whole = owner[: len(least)] == owner[length - 1 : length - 1 + len(least)]
@@ -81,6 +80,24 @@ def level_ranges(width: int) -> list[int]:
     return [-(-width // side), -(-width // side**2), 1]
 
 
+def ranges(column: pa.Array) -> tuple[np.ndarray, ...]:
+    """Of a column of arrays of pairs of ints (null: none): the first pair of each row (and one past), and both numbers of all pairs."""
+    sizes = column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    a, b = (x.to_numpy(zero_copy_only=False).astype(np.int64) for x in column.flatten().flatten())
+    return np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)]), a, b
+
+
+def split(first: np.ndarray, lo: np.ndarray, hi: np.ndarray, step: int, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Row, least and greatest offset of the parts of `step` offsets of each row's ranges that reach into its low to high."""
+    n = -(-(hi + 1 - lo) // step)
+    of = np.repeat(np.arange(len(lo)), n)
+    row = np.repeat(np.arange(len(first) - 1), np.diff(first))[of]
+    x = lo[of] + step * (np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n))
+    y = np.minimum(x + step - 1, hi[of])
+    some = (x <= high[row]) & (y >= low[row])
+    return row[some], x[some], y[some]
+
+
 def repeated_spans(docs: DataFrame, length: int = LENGTH, q: int = Q) -> DataFrame:
     """(k1, k2, s, e): spans of bytes all of whose windows start elsewhere too; k1, k2 from keyed_docs."""
     spark = docs.sparkSession
@@ -120,22 +137,14 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, q: int = Q) -> DataFra
     def refine(step: int):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                parents = batch.column(7).to_pylist()
+                first, los, his = ranges(batch.column(7))
                 low_of, high_of = (batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (4, 5))
                 for begin, end, buf, offsets in chunks(batch.column(6)):
-                    row, lo, hi = [], [], []
-                    for r in range(begin, end):
-                        for p in parents[r]:
-                            top = p["hi"] + 1
-                            for x in range(p["lo"], top, step):
-                                y = min(x + step, top) - 1
-                                if x <= high_of[r] and y >= low_of[r]:
-                                    row.append(r)
-                                    lo.append(x)
-                                    hi.append(y)
-                    if not row:
+                    some = slice(first[begin], first[end])
+                    row, lo, hi = split(first[begin : end + 1], los[some], his[some], step, low_of[begin:end], high_of[begin:end])
+                    if not len(row):
                         continue
-                    row, lo, hi = np.array(row), np.array(lo), np.array(hi)
+                    row += begin
                     prefix, base = Prefix(buf), offsets[row - begin] + high_of[row]
                     core = prefix.of(base - lo, base - hi + length)
                     full = (lo >= low_of[row]) & (hi <= high_of[row])
@@ -178,14 +187,14 @@ def with_spans(docs: DataFrame, length: int = LENGTH, q: int = Q) -> DataFrame:
     return keyed_docs(docs).join(spans, ["k1", "k2"], "left").select("doc_id", "text", "spans")
 
 
-def merged(spans: list[dict] | None) -> list[tuple[int, int]]:
-    out: list[list[int]] = []
-    for s, e in sorted((x["s"], x["e"]) for x in spans or ()):
-        if out and s <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], e)
-        else:
-            out.append([s, e])
-    return [tuple(x) for x in out]
+def merged(row: np.ndarray, s: np.ndarray, e: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Row, start and end of the maximal runs of spans of one buffer; those of one row lie within its text, and no run leaves it."""
+    order = np.lexsort((s, row))
+    row, s, e = row[order], s[order], e[order]
+    new = np.ones(len(s), bool)
+    new[1:] = (s[1:] > np.maximum.accumulate(e)[:-1]) | (row[1:] != row[:-1])
+    first = np.flatnonzero(new)
+    return row[first], s[first], np.maximum.reduceat(e, first) if len(first) else e
 
 
 def dedup(docs: DataFrame, length: int = LENGTH, q: int = Q) -> DataFrame:
@@ -195,21 +204,21 @@ def dedup(docs: DataFrame, length: int = LENGTH, q: int = Q) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                sizes, gone, runs, kept, digests = [], [], [], [], []
-                for text, spans in zip(part.column(1).to_pylist(), part.column(2).to_pylist(), strict=True):
-                    raw = (text or "").encode()
-                    spans = merged(spans)
-                    edges = [0, *(x for s in spans for x in s), len(raw)]
-                    rest = b"".join(raw[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
-                    sizes.append(len(raw))
-                    gone.append(len(raw) - len(rest))
-                    runs.append([{"s": s, "e": e} for s, e in spans])
-                    kept.append(rest)
-                    digests.append(hashlib.sha256(rest).hexdigest())
-                span = pa.list_(pa.struct([("s", pa.int32()), ("e", pa.int32())]))
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sizes, pa.int64()), pa.array(gone, pa.int64()), pa.array(runs, span), pa.array(kept, pa.binary()), pa.array(digests)], ["doc_id", "n_bytes", "n_removed", "removed", "kept", "kept_sha256"])
+            spans, s, e = ranges(batch.column(2))
+            for begin, end, buf, offsets in chunks(batch.column(1)):
+                some, n = slice(spans[begin], spans[end]), end - begin
+                row = np.repeat(np.arange(n), np.diff(spans[begin : end + 1]))
+                row, starts, ends = merged(row, s[some] + offsets[row], e[some] + offsets[row])
+                edges = np.concatenate([[0], np.stack([starts, ends], 1).ravel(), [len(buf)]])
+                kept = buf[np.repeat(np.arange(len(edges) - 1) % 2 == 0, np.diff(edges))]
+                gone = np.bincount(row, weights=ends - starts, minlength=n).astype(np.int64)
+                bounds = offsets - np.concatenate([[0], np.cumsum(gone)])
+                raw, places = memoryview(kept), bounds.tolist()
+                digests = [hashlib.sha256(raw[a:b]).hexdigest() for a, b in zip(places, places[1:])]
+                pairs = pa.StructArray.from_arrays([pa.array((x - offsets[row]).astype(np.int32)) for x in (starts, ends)], ["s", "e"])
+                runs = pa.ListArray.from_arrays(pa.array(np.searchsorted(row, np.arange(n + 1)).astype(np.int32)), pairs)
+                bytes_ = pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(kept)])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(begin, n), pa.array(np.diff(offsets)), pa.array(gone), runs, bytes_, pa.array(digests, pa.string())], ["doc_id", "n_bytes", "n_removed", "removed", "kept", "kept_sha256"])
 
     return rows.mapInArrow(run, f"doc_id {kind}, n_bytes long, n_removed long, removed array<struct<s:int,e:int>>, kept binary, kept_sha256 string")
 

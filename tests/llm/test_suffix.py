@@ -2,6 +2,9 @@ import hashlib
 import random
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
+
 from sluice.llm import suffix
 
 
@@ -32,3 +35,27 @@ def test_against_brute_force(spark):
     want = sorted(((r[0] if r[0] is not None else -1), *b) for r, b in zip(rows, brute([r[1] for r in rows], 20)))
     assert got == want
     assert suffix.dedup(docs.limit(0), 20, 8).collect() == []
+
+
+def test_runs_of_spans():
+    """All spans of a buffer at once: runs that touch are one, but none goes on into the next text."""
+    row, s, e = suffix.merged(np.array([1, 0, 0, 0, 2, 0]), np.array([30, 5, 0, 12, 60, 22]), np.array([60, 12, 6, 20, 61, 30]))
+    assert list(zip(row.tolist(), s.tolist(), e.tolist())) == [(0, 0, 20), (0, 22, 30), (1, 30, 60), (2, 60, 61)]
+    assert all(len(x) == 0 for x in suffix.merged(*[np.zeros(0, np.int64)] * 3))
+
+
+def test_parts_of_ranges():
+    pairs = pa.list_(pa.struct([("lo", pa.int32()), ("hi", pa.int32())]))
+    rows = [[{"lo": 0, "hi": 136}], None, [], [{"lo": 3, "hi": 9}, {"lo": 20, "hi": 22}], [{"lo": 7, "hi": 7}]]
+    for column, kept in ((pa.array(rows, pairs), rows), (pa.array(rows, pairs).slice(2), rows[2:])):
+        first, lo, hi = suffix.ranges(column)
+        low, high = np.arange(len(kept)), np.array([21, 136, 136, 21, 136])[-len(kept) :]
+        for step in (28, 6, 1):
+            want = []
+            for r, parents in enumerate(kept):
+                for p in parents or ():
+                    for x in range(p["lo"], p["hi"] + 1, step):
+                        y = min(x + step, p["hi"] + 1) - 1
+                        if x <= high[r] and y >= low[r]:
+                            want.append((r, x, y))
+            assert list(zip(*(x.tolist() for x in suffix.split(first, lo, hi, step, low, high)))) == want
