@@ -353,7 +353,7 @@ class Model:
             e[some] -= down
         return losses
 
-    def class_scores(self, part: Block | Coded, tables: dict, most: int = 512) -> np.ndarray:
+    def class_scores(self, part: Block | Coded, tables: dict, most: int = 128) -> np.ndarray:
         """For each text, the sum over its tokens of log P(class | ids before)."""
         before, goal, fresh, text = self.inputs(part)
         out = np.zeros(text[-1] + 1 if len(text) else 0)  # each text has its end
