@@ -23,11 +23,11 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import table
+from .common import Remembered, kept, table
 
 NAME = "op5_bpe_round_trip"
 LONG = 200
-REMEMBERED = 400_000
+REMEMBERED = 300_000
 # Letters and digits that are newer than the library's Unicode, and so neither to it.
 NEWER = """
 558 58B-58C 88F C5C CDC 208F 209D-209F A7CE-A7CF A7DD A7E2 A7F1 AB6C-AB6D 107BB-107BF 10940-10959 10EC5-10EC7
@@ -98,8 +98,8 @@ class WordBPE:
         letters = byte_letters()
         self.inner = [self.vocab[c] for c in letters]
         self.final = [self.vocab[c + self.suffix] for c in letters]
-        self.longest_scanned, self.remembered = longest_scanned, remembered
-        self.known: dict[str, tuple[str, int, str]] = {}
+        self.longest_scanned = longest_scanned
+        self.known = Remembered(remembered)  # by word: (ids, their number, decoded text)
 
     def merge(self, parts: list[int]) -> list[int]:
         if len(parts) > self.longest_scanned:
@@ -187,20 +187,18 @@ class WordBPE:
         else:
             parts = [text]
         ids, decoded, n = [], [], 0
-        known = self.known
         for part in parts:
             if part in self.added:
                 ids.append(str(self.added[part]))
                 decoded.append(part)
                 n += 1
                 continue
+            known = self.known.newer.get
             for w in self.split(self.normal(part)):
-                if (got := known.get(w)) is None:
+                if (got := known(w)) is None and (got := self.known.get(w)) is None:
                     got = self.chunk(w)
                     if len(w) <= self.longest_scanned:
-                        if len(known) >= self.remembered:
-                            known.clear()
-                        known[w] = got
+                        self.known.put(w, got)
                 if got[1]:
                     ids.append(got[0])
                     n += got[1]
@@ -212,13 +210,8 @@ class WordBPE:
         return " ".join(self.token[i] for i in ids if i in self.token)
 
 
-_loaded: dict[str, WordBPE] = {}
-
-
 def tokenizer(path: str) -> WordBPE:
-    if path not in _loaded:
-        _loaded[path] = WordBPE(path)
-    return _loaded[path]
+    return kept(("bpe", path), lambda: WordBPE(path))
 
 
 def encode(docs: DataFrame, path: str | None = None, text: str = "text", keep: tuple[str, ...] = ("doc_id",), digests: bool = False) -> DataFrame:

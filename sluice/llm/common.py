@@ -5,7 +5,7 @@ from __future__ import annotations
 import gc
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Hashable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -85,6 +85,42 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+# --- what workers remember -------------------------------------------------------------------
+
+
+class Remembered:
+    """Results by key, `most` of them at the most: when the newer half is full the older one goes, and what is asked of it again moves up."""
+
+    def __init__(self, most: int):
+        self.half = max(1, most // 2)
+        self.newer: dict = {}
+        self.older: dict = {}
+
+    def get(self, key):
+        if (got := self.newer.get(key)) is None and (got := self.older.get(key)) is not None:
+            self.put(key, got)
+        return got
+
+    def put(self, key, value) -> None:
+        if len(self.newer) >= self.half:
+            self.newer, self.older = {}, self.newer
+        self.newer[key] = value
+
+    def __len__(self) -> int:
+        return len(self.newer) + len(self.older)
+
+
+_kept: dict[Hashable, object] = {}
+
+
+def kept[T](key: Hashable, make: Callable[[], T]) -> T:
+    """What a worker keeps between the tasks of one operator. What it kept of another goes, so that their tables never add up."""
+    if key not in _kept:
+        _kept.clear()
+        _kept[key] = make()
+    return _kept[key]
+
+
 # --- hashing ---------------------------------------------------------------------------------
 
 _U = np.uint64

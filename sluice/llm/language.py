@@ -20,6 +20,7 @@ from __future__ import annotations
 import json
 import math
 import re
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 
@@ -28,14 +29,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe import byte_letters, default_vocabulary
-from .common import table
+from .common import Remembered, kept, table
 
 NAME = "op3_language_id"
 TRAINING = 250
 ROUNDS = 2
 SMOOTHING = 0.05
 RESCALE = 16  # bytes: probabilities of all ways over this stretch stay well within a double
-REMEMBERED = 500_000
+REMEMBERED = 400_000
 SHORT = 48  # letters of the longest words that are remembered
 LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -185,23 +186,21 @@ def fit(training: DataFrame, path: str, most: int = TRAINING, rounds: int = ROUN
 class Scorer:
     def __init__(self, path: str, languages: list[str], p: dict, rest: tuple):
         self.vocabulary, self.languages, self.p, self.rest = pieces(path), languages, p, rest
-        self.known: dict[str, tuple[float, ...]] = {}
+        self.known = Remembered(REMEMBERED)
 
     def of(self, word: str) -> tuple[float, ...]:
         if (got := self.known.get(word)) is None:
-            if len(self.known) >= REMEMBERED:
-                self.known.clear()
             got = log_probabilities(word, self.vocabulary, self.p, self.rest)
             if len(word) <= SHORT:
-                self.known[word] = got
+                self.known.put(word, got)
         return got
 
     def predict(self, text: str | None) -> tuple[str, float]:
         found = text_words(text)
         if not self.languages or not any(map(str.isalpha, found)) and not any(map(str.isalpha, text or "")):
             return "und", 0.0
-        known, of = self.known, self.of
-        totals = [sum(scores) for scores in zip(*[known.get(w) or of(w) for w in found], strict=True)]
+        known, of = self.known.newer.get, self.of
+        totals = [sum(scores) for scores in zip(*[known(w) or of(w) for w in found], strict=True)]
         best = max(range(len(totals)), key=lambda i: (totals[i], -i))
         return self.languages[best], 1.0 / sum(math.exp(max(-700.0, t - totals[best])) for t in totals)
 
@@ -212,16 +211,19 @@ def identify(docs: DataFrame, model: Model, path: str, keep: tuple[str, ...] = (
     fields = {f.name: f.dataType.simpleString() for f in docs.schema}
     keep = tuple(k for k in keep if k not in ("lang_pred", "score"))
     schema = ", ".join([*(f"`{k}` {fields[k]}" for k in keep), "lang_pred string", "score double"])
+    sent = [docs[k] for k in keep] if text in keep else [*(docs[k] for k in keep), docs[text].alias("__text")]  # texts are large: once
+    place = keep.index(text) if text in keep else len(keep)
+    fitted = uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(path, *shared.value)
+        scorer = kept(("language", fitted), lambda: Scorer(path, *shared.value))
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                said = [scorer.predict(x) for x in part.column(len(keep)).to_pylist()]
+                said = [scorer.predict(x) for x in part.column(place).to_pylist()]
                 yield pa.RecordBatch.from_arrays([*part.columns[: len(keep)], pa.array([x[0] for x in said], pa.string()), pa.array([x[1] for x in said], pa.float64())], [*keep, "lang_pred", "score"])
 
-    return docs.select(*(docs[k] for k in keep), docs[text].alias("__text")).mapInArrow(run, schema)
+    return docs.select(*sent).mapInArrow(run, schema)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

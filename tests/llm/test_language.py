@@ -4,8 +4,9 @@ import random
 
 from pyspark.sql import functions as F
 
-from sluice.llm import language
+from sluice.llm import bpe, language
 from sluice.llm.bpe import default_vocabulary
+from sluice.llm.common import Remembered, kept
 
 PATH = default_vocabulary()
 
@@ -99,3 +100,25 @@ def test_held_out_accuracy(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     got = language.query(spark, "/root/testdata/sf0.01").join(docs.select("doc_id", "lang"), "doc_id").filter("held_out")
     assert got.filter("lang = lang_pred").count() / got.count() > 0.97
+
+
+def test_texts_are_sent_once(spark):
+    docs = spark.createDataFrame([(1, "the cat", "en"), (2, None, "de")], "doc_id long, text string, lang string")
+    model = language.Model(["en", "de"], {}, language.pieces(PATH).size)
+    got = language.identify(docs, model, PATH, keep=("text", "doc_id"))
+    assert "__text" not in got._jdf.queryExecution().analyzed().toString()  # each row's text once in the batches sent to Python
+    want = {r.doc_id: (r.lang_pred, r.score) for r in language.identify(docs, model, PATH).collect()}
+    rows = got.collect()
+    assert {(r.doc_id, r.text) for r in rows} == {(1, "the cat"), (2, None)} and all(want[r.doc_id] == (r.lang_pred, r.score) for r in rows)
+
+
+def test_what_a_worker_remembers_is_bounded():
+    found = Remembered(10)
+    for i in range(100):
+        found.put(i, str(i))
+        assert len(found) <= 10 and found.get(i) == str(i) and (i < 1 or found.get(i - 1) == str(i - 1))
+    assert found.get(3) is None
+    first = bpe.tokenizer(PATH)
+    assert bpe.tokenizer(PATH) is first
+    assert kept(("language", "x"), dict) is kept(("language", "x"), list)
+    assert bpe.tokenizer(PATH) is not first  # the table of one operator goes before another's comes
