@@ -189,6 +189,8 @@ def mask() -> np.ndarray:
     return np.where((k <= q) & (k > q - STRIDE), 0.0, -np.inf).astype(np.float32)
 
 
+MASK = mask()
+
 #: How far back each key of a row lies from each query, within 0 to STRIDE - 1.
 BACK = np.clip(np.arange(STRIDE)[:, None] + STRIDE - np.arange(2 * STRIDE)[None, :], 0, STRIDE - 1).ravel()
 
@@ -240,20 +242,20 @@ class Model:
 
     def bias(self) -> np.ndarray:
         """What is added to the score of each key (-inf: not seen), for the queries of rows after another and of rows that begin a text."""
-        after = mask() + self.p["near"][BACK].reshape(STRIDE, 2 * STRIDE)
+        after = MASK + self.p["near"][BACK].reshape(STRIDE, 2 * STRIDE)
         begin = after.copy()
         begin[:, :STRIDE] = -np.inf
         return np.concatenate([after, begin])
 
     def attended(self, qkv: np.ndarray, fresh: np.ndarray, at: np.ndarray, bias: np.ndarray) -> tuple[np.ndarray, ...]:
-        """For the queries at the flat places `at`: what they attend to and their weights; keys and values; all weights by row."""
-        rows = len(qkv)
-        both = np.empty((rows, 2 * STRIDE, 2 * SIZE), qkv.dtype)
-        both[0, :STRIDE] = 0
-        both[1:, :STRIDE] = qkv[:-1, :, SIZE:]
-        both[:, STRIDE:] = qkv[:, :, SIZE:]
-        keys, values = both[..., :SIZE], both[..., SIZE:]
-        w = np.matmul(qkv[..., :SIZE], keys.transpose(0, 2, 1)).reshape(-1, 2 * STRIDE).take(at, 0)
+        """For the queries at the flat places `at`: what they attend to and their weights; keys and values; all weights by row.
+
+        qkv has a row of zeros before the rows; keys and values are views of it, each row's after those of the row before.
+        """
+        rows = len(qkv) - 1
+        both = np.lib.stride_tricks.as_strided(qkv, (rows, 2 * STRIDE, 3 * SIZE), qkv.strides, writeable=False)
+        keys, values = both[..., SIZE : 2 * SIZE], both[..., 2 * SIZE :]
+        w = np.matmul(qkv[1:, :, :SIZE], keys.transpose(0, 2, 1)).reshape(-1, 2 * STRIDE).take(at, 0)
         places = at % STRIDE + STRIDE * fresh[at // STRIDE]
         if w.size and w.max() < SAFE and w.min() > -SAFE and np.abs(self.p["near"]).max() < SAFE / 4:
             np.exp(w, out=w)
@@ -276,20 +278,22 @@ class Model:
         p, rows = self.p, len(before)
         weights = np.concatenate([p["q"], p["k"], p["v"]], 1)
         flat = p["e"].take(before.ravel(), 0)
-        qkv = (flat @ weights).reshape(rows, STRIDE, 3 * SIZE)
+        qkv = np.empty((rows + 1, STRIDE, 3 * SIZE), flat.dtype)
+        qkv[0] = 0
+        np.matmul(flat, weights, out=qkv[1:].reshape(-1, 3 * SIZE))
         at = np.flatnonzero(goal.ravel() >= 0)
         goal, n, line = goal.ravel()[at], max(1, len(at)), np.arange(len(at))
         h, w, keys, values, attention = self.attended(qkv, fresh, at, self.bias())
-        both = np.concatenate([flat.take(at, 0), h], 1)
-        d = both @ p["u"]
-        d += p["c"]
+        both = np.concatenate([flat.take(at, 0), h, np.ones((len(at), 1), h.dtype)], 1)  # the last for c
+        d = both @ np.concatenate([p["u"], p["c"][None]])
         np.exp(lower(d), out=d)
         picked = d[line, goal]
         total = d @ np.ones(CLASSES, d.dtype)
         loss = -np.log(np.maximum(picked / total, 1e-20)).sum() / n
         d *= (1 / (n * total))[:, None]
         d[line, goal] -= 1 / n
-        g = {"u": both.T @ d, "c": np.ones(len(d), d.dtype) @ d}
+        du = both.T @ d
+        g = {"u": du[:-1], "c": du[-1]}
         db = d @ p["u"].T
         dh = np.zeros((rows, STRIDE, SIZE), d.dtype)
         dh.reshape(-1, SIZE)[at] = db[:, SIZE:]
@@ -298,7 +302,7 @@ class Model:
         ds -= ((ds * w) @ np.ones(2 * STRIDE, d.dtype))[:, None]
         ds *= w
         attention.reshape(-1, 2 * STRIDE)[at] = ds
-        dk = np.matmul(attention.transpose(0, 2, 1), qkv[..., :SIZE])
+        dk = np.matmul(attention.transpose(0, 2, 1), qkv[1:, :, :SIZE])
         g["near"] = np.bincount(BACK, weights=np.ones(rows, d.dtype) @ attention.reshape(rows, -1), minlength=STRIDE).astype(np.float32)
         dqkv = np.empty((rows, STRIDE, 3 * SIZE), d.dtype)
         dqkv[..., :SIZE] = np.matmul(attention, keys)
@@ -357,6 +361,7 @@ class Model:
         """For each text, the sum over its tokens of log P(class | ids before)."""
         before, goal, fresh, text = self.inputs(part)
         out = np.zeros(text[-1] + 1 if len(text) else 0)  # each text has its end
+        room = np.zeros((min(most + 1, len(before)) + 1, STRIDE, 3 * SIZE), tables["qkv"].dtype)
         for first in range(0, len(before), most):
             a = max(0, first - 1)  # the row before, for its keys
             rows = slice(a, first + most)
@@ -367,7 +372,9 @@ class Model:
             seen, now = before[rows].ravel(), goal[rows].ravel()
             at = np.flatnonzero(now >= 0)
             at = at[at >= (first - a) * STRIDE]
-            h = self.attended(tables["qkv"].take(seen, 0).reshape(-1, STRIDE, 3 * SIZE), start, at, tables["bias"])[0]
+            qkv = room[: len(start) + 1]
+            tables["qkv"].take(seen, 0, out=qkv[1:].reshape(-1, 3 * SIZE), mode="clip")
+            h = self.attended(qkv, start, at, tables["bias"])[0]
             logits = h @ self.p["u"][SIZE:]
             logits += tables["own"].take(seen[at], 0)
             lower(logits)

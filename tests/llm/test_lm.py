@@ -76,6 +76,22 @@ def test_gradients():
             assert math.isclose((up - down) / (2 * eps), grad.reshape(-1)[i], rel_tol=1e-2, abs_tol=1e-5), name
 
 
+def test_keys_and_values_are_not_copied():
+    rng = np.random.default_rng(4)
+    model = tiny_model()
+    qkv = rng.standard_normal((4, lm.STRIDE, 3 * lm.SIZE)).astype(np.float32)
+    qkv[0] = 0
+    at = np.array([0, 5, lm.STRIDE, 2 * lm.STRIDE + 3])
+    h, w, keys, values, _ = model.attended(qkv, np.array([True, False, True]), at, model.bias())
+    assert np.shares_memory(keys, qkv) and np.shares_memory(values, qkv)
+    flat = qkv[1:].reshape(-1, 3 * lm.SIZE)
+    for i, t in enumerate(at):
+        low = 2 * lm.STRIDE if t >= 2 * lm.STRIDE else max(0, t - lm.STRIDE + 1)  # the last row begins a text
+        s = np.array([flat[t, : lm.SIZE] @ flat[j, lm.SIZE : 2 * lm.SIZE] + model.p["near"][t - j] for j in range(low, t + 1)], np.float64)
+        a = np.exp(s - s.max())
+        assert np.allclose(h[i], a @ flat[low : t + 1, 2 * lm.SIZE :] / a.sum(), rtol=1e-3, atol=1e-3)
+
+
 def test_probabilities_sum_to_one():
     counts = np.array([5, 1, 1, 3, 2, 0])
     firsts = np.zeros(lm.VOCABULARY, np.int64)
