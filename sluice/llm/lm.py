@@ -21,7 +21,8 @@ Texts are cut into ids once; counting, learning and scoring read the stored ids,
 id of a word begins with a blank, so ids alone tell words apart.
 
 Word counts are joined with what needs them by blocks of documents: rows are dealt to blocks of bounded bytes
-by their hash, each block's distinct words are counted once, summed over blocks, and sent back to the block.
+by their hash, each block's distinct words are counted once, summed over blocks, and sent back to the blocks that do not
+hold all training rows of the word; a block counts the others itself, from its stored ids.
 A null text is empty: it has the end alone. Rows equal in doc_id and text each get their row. Without
 training rows all counts are 0 and every token is unknown. Words are told apart by 64-bit hashes. Texts are
 scored whole, a very long one in a block of its own; an empty table gives no rows. Only doc_id and text are
@@ -47,13 +48,14 @@ CELLS, SHARED_CELLS = 2048, 256  # embeddings, and those that rare ids share
 CLASSES, SHARED_CLASSES = 128, 32
 STRIDE = 16
 BATCH = 128
+FEW = 512  # different embeddings in a batch up to which queries meet keys as embeddings, not as places
 ROUNDS = 3
 FAN = 64
 BLOCK_BYTES = 8 << 20
 END = 50256
 VOCABULARY = 50257
 LOG10 = float(np.log(10.0))
-KNOWN, KNOWN_BYTES = 1 << 17, 32  # words whose ids a worker remembers, and about the longest of them
+KNOWN, KNOWN_BYTES = 1 << 17, 32  # words (of texts that are not UTF-8) whose ids a worker remembers, and about the longest of them
 SAFE = 60.0  # exp of what is no further from 0, and sums of it, are normal float32 numbers
 
 _encoders: dict[str, object] = {}
@@ -112,17 +114,34 @@ def begins(path: str) -> np.ndarray:
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
 
+def listed(raw: bytes, starts: np.ndarray, ends: np.ndarray) -> bytes:
+    """These words of raw one after another, each with a blank before it."""
+    size = ends - starts + 1
+    at = np.cumsum(size) - size
+    out = np.frombuffer(raw, np.uint8).take(np.arange(int(size.sum())) + np.repeat(starts - 1 - at, size), mode="clip")
+    out[at] = 32
+    return out.tobytes()
+
+
 class Block:
     """The words of some texts: distinct ones with their hashes and ids, and the sequence of them."""
 
     def __init__(self, buf: np.ndarray, offsets: np.ndarray, path: str):
         starts, ends, self.firsts = words(buf, offsets)
         hashes = Prefix(buf, LOWER_VALUE).of(starts, ends)
-        self.hashes, place, self.of = np.unique(hashes, return_index=True, return_inverse=True)
+        self.hashes, self.of = np.unique(hashes, return_inverse=True)
+        place = np.zeros(len(self.hashes), np.int64)
+        place[self.of] = np.arange(len(self.of))  # any one of equal words
+        starts, ends = starts[place], ends[place]
         raw = buf.tobytes().translate(LOWER)
-        ids = cut([raw[a:b] for a, b in zip(starts[place].tolist(), ends[place].tolist(), strict=True)], path)
-        self.ids = np.frombuffer(b"".join(ids), np.uint16).astype(np.int32)
-        self.begin = np.concatenate([[0], np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)) // 2)])
+        try:
+            ids = encoder(path)[1](listed(raw, starts, ends).decode(), disallowed_special=())
+            begin = np.flatnonzero(begins(path)[ids])
+        except UnicodeDecodeError:
+            ids = cut([raw[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)], path)
+            begin = np.concatenate([[0], np.cumsum([len(x) // 2 for x in ids])])[:-1].astype(np.int64)
+            ids = np.frombuffer(b"".join(ids), np.uint16)
+        self.ids, self.begin = ids.astype(np.int32), np.append(begin, len(ids))
 
     def sequence(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The ids of all texts, each ending with END, which of them begin a token, and each text's first (and one past)."""
@@ -170,12 +189,11 @@ def blocked(inputs: np.ndarray, goals: np.ndarray, first: np.ndarray, end: int)
     size = np.diff(first)
     rows = -(-size // STRIDE)
     row_first = np.concatenate([[0], np.cumsum(rows)])
-    owner = np.repeat(np.arange(len(size)), size)
-    place = row_first[owner] * STRIDE + np.arange(len(inputs)) - first[owner]
+    place = np.arange(len(inputs)) + np.repeat(row_first[:-1] * STRIDE - first[:-1], size)
     goal = np.full(row_first[-1] * STRIDE, -1, np.int32)
     goal[place] = goals
     before = np.full(row_first[-1] * STRIDE + 1, end, np.int32)
-    before[place + 1] = inputs
+    before[1:][place] = inputs
     before = before[:-1]
     before[row_first[:-1] * STRIDE] = end
     fresh = np.zeros(row_first[-1], bool)
@@ -183,16 +201,18 @@ def blocked(inputs: np.ndarray, goals: np.ndarray, first: np.ndarray, end: int)
     return before.reshape(-1, STRIDE), goal.reshape(-1, STRIDE), fresh, np.repeat(np.arange(len(size)), rows)
 
 
-def mask() -> np.ndarray:
-    """0 where a query may see a key of (the block before, its own block), else -inf; relative places up to STRIDE."""
-    q, k = np.arange(STRIDE)[:, None], np.arange(2 * STRIDE)[None, :] - STRIDE
-    return np.where((k <= q) & (k > q - STRIDE), 0.0, -np.inf).astype(np.float32)
+#: How far back each key of a query lies.
+BACK = np.arange(STRIDE)
 
+#: 0 where a query of (a row after another, one that begins a text) may see a key so far back, else -inf.
+MASK = np.concatenate([np.zeros((STRIDE, STRIDE)), np.where(BACK <= BACK[:, None], 0.0, -np.inf)]).astype(np.float32)
 
-MASK = mask()
 
-#: How far back each key of a row lies from each query, within 0 to STRIDE - 1.
-BACK = np.clip(np.arange(STRIDE)[:, None] + STRIDE - np.arange(2 * STRIDE)[None, :], 0, STRIDE - 1).ravel()
+def row_sums(rows: np.ndarray, of: np.ndarray, n: int) -> np.ndarray:
+    """The sum of the rows of each number below n."""
+    width = rows.shape[1]
+    at = (of * width)[:, None] + np.arange(width)
+    return np.bincount(at.ravel(), weights=rows.ravel(), minlength=n * width).reshape(n, width).astype(rows.dtype)
 
 
 def lower(x: np.ndarray) -> np.ndarray:
@@ -242,78 +262,123 @@ class Model:
 
     def bias(self) -> np.ndarray:
         """What is added to the score of each key (-inf: not seen), for the queries of rows after another and of rows that begin a text."""
-        after = MASK + self.p["near"][BACK].reshape(STRIDE, 2 * STRIDE)
-        begin = after.copy()
-        begin[:, :STRIDE] = -np.inf
-        return np.concatenate([after, begin])
+        return MASK + self.p["near"]
+
+    def softened(self, w: np.ndarray, fresh: np.ndarray, at: np.ndarray, bias: np.ndarray) -> np.ndarray:
+        """The weights of the keys of the queries at the flat places `at`, nearest first, made of their scores w."""
+        place = at % STRIDE + STRIDE * fresh.take(at // STRIDE)
+        if w.size and w.max() < SAFE and w.min() > -SAFE and np.abs(self.p["near"]).max() < SAFE / 4:
+            np.exp(w, out=w)
+            w *= np.exp(bias).take(place, 0)
+        else:
+            w += bias.take(place, 0)
+            w -= w.max(-1, keepdims=True)
+            np.exp(w, out=w)
+        w *= (1 / (w @ np.ones(STRIDE, w.dtype)))[:, None]
+        return w
 
     def attended(self, qkv: np.ndarray, fresh: np.ndarray, at: np.ndarray, bias: np.ndarray) -> tuple[np.ndarray, ...]:
-        """For the queries at the flat places `at`: what they attend to and their weights; keys and values; all weights by row.
+        """For the queries at the flat places `at`: what they attend to and their weights; keys and values; all weights by row and where those of `at` lie.
 
         qkv has a row of zeros before the rows; keys and values are views of it, each row's after those of the row before.
         """
         rows = len(qkv) - 1
-        both = np.lib.stride_tricks.as_strided(qkv, (rows, 2 * STRIDE, 3 * SIZE), qkv.strides, writeable=False)
+        both = np.ndarray((rows, 2 * STRIDE, 3 * SIZE), qkv.dtype, qkv, 0, qkv.strides)
         keys, values = both[..., SIZE : 2 * SIZE], both[..., 2 * SIZE :]
-        w = np.matmul(qkv[1:, :, :SIZE], keys.transpose(0, 2, 1)).reshape(-1, 2 * STRIDE).take(at, 0)
-        places = at % STRIDE + STRIDE * fresh[at // STRIDE]
-        if w.size and w.max() < SAFE and w.min() > -SAFE and np.abs(self.p["near"]).max() < SAFE / 4:
-            np.exp(w, out=w)
-            w *= np.exp(bias).take(places, 0)
-        else:
-            w += bias.take(places, 0)
-            w -= w.max(-1, keepdims=True)
-            np.exp(w, out=w)
-        w *= (1 / (w @ np.ones(2 * STRIDE, w.dtype)))[:, None]
+        where = (at * (2 * STRIDE) + at % STRIDE + STRIDE)[:, None] - BACK
+        w = self.softened(np.matmul(qkv[1:, :, :SIZE], keys.transpose(0, 2, 1)).take(where), fresh, at, bias)
         dense = np.zeros((rows, STRIDE, 2 * STRIDE), w.dtype)
-        dense.reshape(-1, 2 * STRIDE)[at] = w
-        return np.matmul(dense, values).reshape(-1, SIZE).take(at, 0), w, keys, values, dense
+        dense.reshape(-1)[where] = w
+        return np.matmul(dense, values).reshape(-1, SIZE).take(at, 0), w, keys, values, (dense, where)
 
     def tables(self) -> dict:
-        """What depends on one id alone, for every embedding."""
+        """What depends on one embedding alone, or on those of a query and a key (`plain`: its exp), for every embedding."""
         p = self.p
-        return {"qkv": p["e"] @ np.concatenate([p["q"], p["k"], p["v"]], 1), "own": p["e"] @ p["u"][:SIZE] + p["c"], "bias": self.bias()}
+        q, k, v = (p["e"] @ p[x] for x in "qkv")
+        scores, bias, own = q @ k.T, self.bias(), p["e"] @ p["u"][:SIZE] + p["c"]
+        plain = bool(np.abs(scores).max() + np.abs(p["near"]).max() < SAFE)
+        # what a query attends to is a mean of values, so no class scores more than this
+        small = bool(np.abs(own).max() + np.abs(v @ p["u"][SIZE:]).max() < SAFE)
+        if plain:
+            np.exp(scores, out=scores)
+            bias = np.exp(bias)
+        return {"scores": scores, "bias": bias, "plain": plain, "v": v, "own": own, "small": small}
 
     def gradients(self, before: np.ndarray, goal: np.ndarray, fresh: np.ndarray) -> tuple[float, dict]:
+        """The loss and its gradients, that of e as (the embeddings that occur, their rows).
+
+        Few different embeddings occur in a batch of words. Up to FEW of them each is projected once, and queries meet keys and
+        values as embeddings: all pairs of them in one product, of which every query takes its own, and sums of what each embedding
+        got at all its places. With more of them that would cost more than the places themselves.
+        """
         p, rows = self.p, len(before)
         weights = np.concatenate([p["q"], p["k"], p["v"]], 1)
-        flat = p["e"].take(before.ravel(), 0)
-        qkv = np.empty((rows + 1, STRIDE, 3 * SIZE), flat.dtype)
-        qkv[0] = 0
-        np.matmul(flat, weights, out=qkv[1:].reshape(-1, 3 * SIZE))
+        number = np.zeros(CELLS, np.int64)
+        number[before.ravel()] = 1
+        some = np.flatnonzero(number)
+        size = len(some)
+        number[some] = np.arange(size)
+        cell = np.zeros((rows + 1) * STRIDE, np.int64)  # what stands before the first row is not seen
+        number.take(before.ravel(), out=cell[STRIDE:], mode="clip")
+        e = p["e"].take(some, 0)
+        each = e @ weights
         at = np.flatnonzero(goal.ravel() >= 0)
-        goal, n, line = goal.ravel()[at], max(1, len(at)), np.arange(len(at))
-        h, w, keys, values, attention = self.attended(qkv, fresh, at, self.bias())
-        both = np.concatenate([flat.take(at, 0), h, np.ones((len(at), 1), h.dtype)], 1)  # the last for c
+        goal, n, line = goal.ravel().take(at), max(1, len(at)), np.arange(len(at))
+        mine, bias = cell.take(at + STRIDE), self.bias()
+        if few := size <= FEW:
+            q, k = each[:, :SIZE], each[:, SIZE : 2 * SIZE]
+            seen = cell.take((at + STRIDE)[:, None] - BACK)
+            values = np.ascontiguousarray(each[:, 2 * SIZE :]).take(seen, 0)
+            pair = seen + (mine * size)[:, None]
+            w = self.softened((q @ k.T).take(pair), fresh, at, bias)
+            h = np.matmul(w[:, None], values)[:, 0]
+        else:
+            qkv = each.take(cell, 0).reshape(rows + 1, STRIDE, 3 * SIZE)
+            qkv[0] = 0
+            h, w, keys, values, (attention, where) = self.attended(qkv, fresh, at, bias)
+        both = np.concatenate([e.take(mine, 0), h, np.ones((len(at), 1), h.dtype)], 1)  # the last for c
         d = both @ np.concatenate([p["u"], p["c"][None]])
         np.exp(lower(d), out=d)
-        picked = d[line, goal]
         total = d @ np.ones(CLASSES, d.dtype)
-        loss = -np.log(np.maximum(picked / total, 1e-20)).sum() / n
-        d *= (1 / (n * total))[:, None]
-        d[line, goal] -= 1 / n
-        du = both.T @ d
-        g = {"u": du[:-1], "c": du[-1]}
+        loss = -np.log(np.maximum(d[line, goal] / total, 1e-20)).sum() / n
+        d[line, goal] -= total
+        scale = (1 / (n * total))[:, None]  # applied to the narrow sides of the products, not to d
+        du = d.T @ (both * scale)
+        g = {"u": du[:, :-1].T, "c": du[:, -1]}
         db = d @ p["u"].T
-        dh = np.zeros((rows, STRIDE, SIZE), d.dtype)
-        dh.reshape(-1, SIZE)[at] = db[:, SIZE:]
-        ds = np.matmul(dh, values.transpose(0, 2, 1)).reshape(-1, 2 * STRIDE).take(at, 0)
-        dv = np.matmul(attention.transpose(0, 2, 1), dh)
-        ds -= ((ds * w) @ np.ones(2 * STRIDE, d.dtype))[:, None]
+        db *= scale
+        if few:
+            dh = np.ascontiguousarray(db[:, SIZE:])
+            ds = np.matmul(values, dh[:, :, None])[..., 0]
+            seen *= len(at)
+            seen += line[:, None]
+            attention = np.zeros((size, len(at)), w.dtype)
+            np.add.at(attention.reshape(-1), seen.ravel(), w.ravel())
+            dv = attention @ dh
+        else:
+            dh = np.zeros((rows, STRIDE, SIZE), d.dtype)
+            dh.reshape(-1, SIZE)[at] = db[:, SIZE:]
+            ds = np.matmul(dh, values.transpose(0, 2, 1)).take(where)
+            dv = np.matmul(attention.transpose(0, 2, 1), dh)
+        ds -= ((ds * w) @ np.ones(STRIDE, d.dtype))[:, None]
         ds *= w
-        attention.reshape(-1, 2 * STRIDE)[at] = ds
-        dk = np.matmul(attention.transpose(0, 2, 1), qkv[1:, :, :SIZE])
-        g["near"] = np.bincount(BACK, weights=np.ones(rows, d.dtype) @ attention.reshape(rows, -1), minlength=STRIDE).astype(np.float32)
-        dqkv = np.empty((rows, STRIDE, 3 * SIZE), d.dtype)
-        dqkv[..., :SIZE] = np.matmul(attention, keys)
-        dk[:-1, STRIDE:] += dk[1:, :STRIDE]
-        dv[:-1, STRIDE:] += dv[1:, :STRIDE]
-        dqkv[..., SIZE : 2 * SIZE], dqkv[..., 2 * SIZE :] = dk[:, STRIDE:], dv[:, STRIDE:]
-        dqkv = dqkv.reshape(-1, 3 * SIZE)
-        g["q"], g["k"], g["v"] = np.split(flat.T @ dqkv, 3, axis=1)
-        dx = dqkv @ weights.T
-        dx[at] += db[:, :SIZE]
-        g["e"] = (before.ravel(), dx)
+        g["near"] = np.ones(len(at), d.dtype) @ ds
+        if few:
+            met = np.zeros(size * size, d.dtype)
+            np.add.at(met, pair.ravel(), ds.ravel())
+            met = met.reshape(size, size)
+            dqkv = np.concatenate([met @ k, met.T @ q, dv], 1)
+        else:
+            attention.reshape(-1)[where] = ds
+            dqkv = np.empty((rows, STRIDE, 3 * SIZE), d.dtype)
+            dqkv[..., :SIZE] = np.matmul(attention, keys)
+            for a, x in ((SIZE, np.matmul(attention.transpose(0, 2, 1), qkv[1:, :, :SIZE])), (2 * SIZE, dv)):
+                x[:-1, STRIDE:] += x[1:, :STRIDE]
+                dqkv[..., a : a + SIZE] = x[:, STRIDE:]
+            dqkv = row_sums(dqkv.reshape(-1, 3 * SIZE), cell[STRIDE:], size)
+        dw = e.T @ dqkv
+        g["q"], g["k"], g["v"] = dw[:, :SIZE], dw[:, SIZE : 2 * SIZE], dw[:, 2 * SIZE :]
+        g["e"] = (some, dqkv @ weights.T + row_sums(db[:, :SIZE], mine, size))
         return float(loss), g
 
     def train(self, before: np.ndarray, goal: np.ndarray, fresh: np.ndarray, rng: np.random.Generator, rate: float = 0.02, batch: int = BATCH) -> list[float]:
@@ -346,13 +411,9 @@ class Model:
             losses.append(loss)
             size = rate * min(1.0, t / 20)
             rest -= step(a, b, np.concatenate([g[k].ravel() for k in names]), size)
-            cells = g["e"][0].astype(np.uint16)
-            order = np.argsort(cells, kind="stable")
-            cells = cells[order]
-            firsts = np.flatnonzero(np.append(True, cells[1:] != cells[:-1]))
-            some = cells[firsts].astype(np.int64)
+            some, grad = g["e"]
             sa, sb = ea.take(some, 0), eb.take(some, 0)
-            down = step(sa, sb, np.add.reduceat(g["e"][1].take(order, 0), firsts, axis=0), size)
+            down = step(sa, sb, grad, size)
             ea[some], eb[some] = sa, sb
             e[some] -= down
         return losses
@@ -361,7 +422,7 @@ class Model:
         """For each text, the sum over its tokens of log P(class | ids before)."""
         before, goal, fresh, text = self.inputs(part)
         out = np.zeros(text[-1] + 1 if len(text) else 0)  # each text has its end
-        room = np.zeros((min(most + 1, len(before)) + 1, STRIDE, 3 * SIZE), tables["qkv"].dtype)
+        u, ones = self.p["u"][SIZE:], np.ones(STRIDE, tables["v"].dtype)
         for first in range(0, len(before), most):
             a = max(0, first - 1)  # the row before, for its keys
             rows = slice(a, first + most)
@@ -369,15 +430,25 @@ class Model:
             start[0] = True
             if first > a and not fresh[first]:
                 start[1] = False
-            seen, now = before[rows].ravel(), goal[rows].ravel()
+            seen = np.zeros((len(start) + 1) * STRIDE, np.int64)  # what stands before the first row is not seen
+            seen[STRIDE:] = before[rows].ravel()
+            now = goal[rows].ravel()
             at = np.flatnonzero(now >= 0)
             at = at[at >= (first - a) * STRIDE]
-            qkv = room[: len(start) + 1]
-            tables["qkv"].take(seen, 0, out=qkv[1:].reshape(-1, 3 * SIZE), mode="clip")
-            h = self.attended(qkv, start, at, tables["bias"])[0]
-            logits = h @ self.p["u"][SIZE:]
-            logits += tables["own"].take(seen[at], 0)
-            lower(logits)
+            mine, keys = seen.take(at + STRIDE), seen.take((at + STRIDE)[:, None] - BACK)
+            w = tables["scores"].take((mine * CELLS)[:, None] + keys)
+            bias = tables["bias"].take(at % STRIDE + STRIDE * start.take(at // STRIDE), 0)
+            if tables["plain"]:
+                w *= bias
+            else:
+                w += bias
+                w -= w.max(-1, keepdims=True)
+                np.exp(w, out=w)
+            w *= (1 / (w @ ones))[:, None]
+            logits = np.matmul(w[:, None], tables["v"].take(keys, 0))[:, 0] @ u
+            logits += tables["own"].take(mine, 0)
+            if not tables["small"]:
+                lower(logits)
             picked = logits[np.arange(len(at)), now[at]]
             np.exp(logits, out=logits)
             said = picked.astype(np.float64) - np.log(logits @ np.ones(CLASSES, logits.dtype))
@@ -508,7 +579,7 @@ def _score(docs: DataFrame, path: str, work: Scratch) -> DataFrame:
     model = fit(Model(ids, firsts, once, np.random.default_rng(7)), rows.filter("training"), blocks, path, work)
     release(spark)
     shared = spark.sparkContext.broadcast(model)  # its size is fixed
-    counts = known.select("block", "h").join(sums.hint("merge"), "h").select("block", "h", "c")
+    counts = known.join(sums.hint("merge"), "h").filter("n < c").select("block", "h", "c")  # a block counts its own words
     kind = docs.schema["doc_id"].dataType.simpleString()
     names = ["doc_id", "training", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
 
@@ -516,22 +587,24 @@ def _score(docs: DataFrame, path: str, work: Scratch) -> DataFrame:
         model = shared.value
         tables = model.__dict__.setdefault("_tables", None) or model.tables()
         model._tables = tables
-        order = np.argsort(right.column("h").to_numpy())
-        h, c = right.column("h").to_numpy()[order], right.column("c").to_numpy()[order]
-        out = {k: [] for k in names[2:]}
-        for a, b, buf, offsets in chunks(left.column("ids")):
-            part = Coded(buf, offsets, path)
-            hashes, lead, owner = part.words()
-            found, of = np.unique(hashes.view(np.int64), return_inverse=True)
-            at = np.minimum(np.searchsorted(h, found), max(0, len(h) - 1))
-            times = np.where(h[at] == found, c[at], 0) if len(h) else np.zeros(len(found), np.int64)
-            each = times[of]
-            floor = total + 0.5 * (distinct + 1)
+        learn, out = left.column("training").to_numpy(), {k: [] for k in names[2:]}
+        parts = [(a, b, Coded(buf, offsets, path)) for a, b, buf, offsets in chunks(left.column("ids"))]
+        cut_up = [part.words() for _, _, part in parts]
+        found, of = np.unique(np.concatenate([x[0] for x in cut_up]).view(np.int64), return_inverse=True)
+        mine = np.concatenate([learn[a + x[2]] for (a, _, _), x in zip(parts, cut_up, strict=True)])
+        times = np.bincount(of, weights=mine, minlength=len(found)).astype(np.int64)
+        times[np.searchsorted(found, right.column("h").to_numpy())] = right.column("c").to_numpy()  # those that other blocks learn from too
+        floor = total + 0.5 * (distinct + 1)
+        base = np.log10((times + 0.5) / floor)
+        last_word = np.cumsum([len(x[0]) for x in cut_up])
+        for (a, b, part), (_, lead, owner), to in zip(parts, cut_up, last_word, strict=True):
+            word = of[to - len(owner) : to]
+            each = times[word]
             summed = lambda x, owner=owner, n=b - a: np.bincount(owner, weights=x, minlength=n)
             out["n_tokens"].append(np.bincount(owner, minlength=b - a) + 1)
             out["n_known"].append(summed(each > 0).astype(np.int64) + (end > 0))
             out["train_tokens"].append(np.full(b - a, total))
-            out["base_score"].append(summed(np.log10((times + 0.5) / floor)[of]) + np.log10((end + 0.5) / floor))
+            out["base_score"].append(summed(base[word]) + np.log10((end + 0.5) / floor))
             last = float(model.within(model.classes[[END]], np.array([end]))[0])
             out["score"].append((model.class_scores(part, tables) + summed(model.within(model.classes[lead], each)) + last) / LOG10)
         return pa.table({"doc_id": left.column("doc_id"), "training": left.column("training"), **{k: pa.array(np.concatenate(v) if v else np.zeros(0)) for k, v in out.items()}})

@@ -162,3 +162,45 @@ def test_bytes_that_are_not_utf8_are_cut_alike():
     found = [b"ab", b"\xff\xfe", b"unbelievable", b"ab"]
     piece, _ = lm.encoder(PATH)
     assert lm.cut(found, PATH) == [np.array(piece(b" " + w), np.uint16).tobytes() for w in found]
+
+
+def test_gradients_by_embeddings_are_those_by_places(monkeypatch):
+    rng = np.random.default_rng(5)
+    model = tiny_model()
+    model.p = {k: v.astype(np.float64) for k, v in model.p.items()}
+    for cells, goals in ((40, 0.5), (900, 0.9), (40, 0.0)):
+        before = rng.integers(0, cells, (40, lm.STRIDE))
+        goal = np.where(rng.random(before.shape) < goals, rng.integers(0, lm.CLASSES, before.shape), -1)
+        fresh = rng.random(40) < 0.3
+        fresh[0] = True
+        found = []
+        for few in (lm.CELLS, 0):
+            monkeypatch.setattr(lm, "FEW", few)
+            found.append(model.gradients(before, goal, fresh))
+        (loss, g), (loss2, g2) = found
+        assert math.isclose(loss, loss2) and (g["e"][0] == g2["e"][0]).all() and np.allclose(g["e"][1], g2["e"][1])
+        assert (np.diff(g["e"][0]) > 0).all()  # each embedding once
+        assert all(np.allclose(g[k], g2[k]) for k in g if k != "e")
+
+
+def test_words_are_cut_together():
+    raw = "the unbelievable zqxj 日本 a".encode()
+    starts, ends, _ = lm.words(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
+    assert lm.listed(raw, starts, ends) == b" " + raw
+    assert lm.listed(raw, starts[[3, 0]], ends[[3, 0]]) == " 日本 the".encode()
+    assert lm.listed(raw, starts[:0], ends[:0]) == b""
+    texts = [b"ab \xff\xfe ab", b"unbelievable cat", b""]
+    buf, offsets = np.frombuffer(b"".join(texts), np.uint8), np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    got = lm.Block(buf, offsets, PATH).sequence()[0].tolist()  # bytes that are not UTF-8
+    piece, _ = lm.encoder(PATH)
+    assert got == [x for t in texts for w in t.split() + [None] for x in (piece(b" " + w) if w else [lm.END])]
+
+
+def test_blocks_count_their_own_words(spark, monkeypatch):
+    source = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").limit(60)
+    exact = lambda: {r.doc_id: (r.n_known, r.base_score) for r in lm.score(source).collect()}
+    whole = exact()
+    monkeypatch.setattr(lm, "BLOCK_BYTES", 20_000)
+    assert lm.dealt(source)[1] > 3
+    for k, (known, base) in exact().items():
+        assert known == whole[k][0] and math.isclose(base, whole[k][1], rel_tol=1e-9)
